@@ -63,20 +63,31 @@ def _sort_exprs(df: DataFrame, order_by: Sequence[Column | str], tiebreak: Seque
 
 
 def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
-              tiebreak: Sequence[str] | None = None, chunk_rows: int = 1 << 16,
+              tiebreak: Sequence[str] | None = None, distinct: bool = False, chunk_rows: int = 1 << 16,
               max_broadcast_offsets: int = MAX_BROADCAST_OFFSETS) -> DataFrame:
     """Add ``key`` (BIGINT, 1..N, dense, no gaps) in the global order
     ``order_by`` + ``tiebreak`` (default: all other columns, ascending, NULLs
     first).  Rows that are equal in every column are interchangeable and get
-    consecutive keys.  Output: ``key`` followed by the input columns."""
+    consecutive keys.  Output: ``key`` followed by the input columns.
+
+    ``distinct=True`` states that ``order_by`` already holds a unique key (no
+    two rows share it), so there are no copies to collapse: the aggregate and
+    the Python running sum are skipped and a row's position in its sorted
+    partition comes from ``monotonically_increasing_id`` (JVM only)."""
     cols = df.columns
     spark = df.sparkSession
     sort = _sort_exprs(df, order_by, tiebreak)
 
-    counted = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias(_N))
-    ordered = counted.orderBy(*sort)
-    tagged = cut_lineage(ordered.select(
-        "*", F.spark_partition_id().alias(_PID), _rows_before(F.col(_N)).alias(_BEFORE)))
+    if distinct:
+        ordered = df.withColumn(_N, F.lit(1).cast("long")).orderBy(*sort)
+        pid = F.spark_partition_id()
+        position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+        tagged = cut_lineage(ordered.select("*", pid.alias(_PID), position.alias(_BEFORE)))
+    else:
+        counted = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias(_N))
+        ordered = counted.orderBy(*sort)
+        tagged = cut_lineage(ordered.select(
+            "*", F.spark_partition_id().alias(_PID), _rows_before(F.col(_N)).alias(_BEFORE)))
 
     sizes = tagged.groupBy(_PID).agg(F.sum(_N).alias("__size"))
     upto = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -88,6 +99,8 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
 
     out_cols = [F.col(f"`{c}`") for c in cols]
     singles = placed.filter(F.col(_N) == 1).select((F.col(_START) + 1).alias(key), *out_cols)
+    if distinct:
+        return singles
 
     n_chunks = F.floor((F.col(_N) - 1) / chunk_rows)
     chunks = (placed.filter(F.col(_N) > 1)

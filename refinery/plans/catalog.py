@@ -453,7 +453,8 @@ def orders_by_date(spark, sf):
 
 @register("surrogate_key_global", _ORDERS_SQL)
 def q_surrogate_key_global(spark, sf):
-    return keys.dense_key(orders_by_date(spark, sf), ["o_orderdate", "o_orderkey"], "order_key")
+    # o_orderkey is the primary key of orders, so the order (date, key) is total
+    return keys.dense_key(orders_by_date(spark, sf), ["o_orderdate", "o_orderkey"], "order_key", distinct=True)
 
 
 @register("preview_ordered", "SELECT * FROM customer ORDER BY c_custkey LIMIT 10")
