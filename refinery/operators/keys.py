@@ -12,8 +12,9 @@ over the whole table, without that window's single partition:
 3. inside each sorted partition an Arrow-batched running sum gives each row
    the number of rows before it in that partition (one int column crosses to
    Python; the partition is streamed, never held);
-4. that result is checkpointed to the shared checkpoint folder, so partition
-   ids and positions are fixed facts even if executors are lost later;
+4. that result is written as Parquet under the shared checkpoint folder and
+   read back, so partition ids and positions are fixed facts even if
+   executors are lost later;
 5. the per-partition totals (one row per partition, a proven bound) become
    offsets by a running sum and are broadcast when under the row limit, and
    joined by sort-merge otherwise;
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from refinery.session import cut_lineage
+from refinery.session import materialize
 
 _N = "__copies"
 _PID = "__part"
@@ -82,17 +83,19 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
         ordered = df.withColumn(_N, F.lit(1).cast("long")).orderBy(*sort)
         pid = F.spark_partition_id()
         position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-        tagged = cut_lineage(ordered.select("*", pid.alias(_PID), position.alias(_BEFORE)))
+        tagged = materialize(ordered.select("*", pid.alias(_PID), position.alias(_BEFORE)), "dense-key")
     else:
         counted = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias(_N))
         ordered = counted.orderBy(*sort)
-        tagged = cut_lineage(ordered.select(
-            "*", F.spark_partition_id().alias(_PID), _rows_before(F.col(_N)).alias(_BEFORE)))
+        tagged = materialize(ordered.select(
+            "*", F.spark_partition_id().alias(_PID), _rows_before(F.col(_N)).alias(_BEFORE)), "dense-key")
 
     sizes = tagged.groupBy(_PID).agg(F.sum(_N).alias("__size"))
     upto = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PID, F.coalesce(F.sum("__size").over(upto), F.lit(0)).alias(_OFF))
-    n_parts = tagged.rdd.getNumPartitions()
+    # one offsets row per range partition: at most the shuffle partition count
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(initial or 0))
     if n_parts <= max_broadcast_offsets:
         offsets = F.broadcast(offsets)
     placed = tagged.join(offsets, _PID).withColumn(_START, F.col(_OFF) + F.col(_BEFORE))

@@ -19,7 +19,7 @@ from refinery.functions import codes, dates, values
 from refinery.operators import aggregates, frames, joins, keys
 from refinery.plans import gold, quality, silver
 from refinery.plans.oracle_sql import dq_report_sql, with_ctes
-from refinery.session import scratch_path
+from refinery.session import materialize, scratch_path
 from refinery.sources import files, schemas
 from refinery.sources.fixtures import base_table, fixture
 
@@ -564,7 +564,7 @@ def q_fact_sales_current(spark, sf):
 def q_dq_report(spark, sf):
     sales = s_sales(spark, sf)
     dc, dp = d_customers(spark, sf), d_products(spark, sf)
-    fact = gold.fact_sales(sales, dp, dc)
+    fact = materialize(gold.fact_sales(sales, dp, dc), "fact-sales")    # the gold fact table
     return quality.dq_report(
         fixture(spark, sf, "f_cust_info"), fixture(spark, sf, "f_sales"), s_customers(spark, sf), sales,
         s_erp_customers(spark, sf), s_locations(spark, sf), s_categories(spark, sf), dc, dp, fact)

@@ -1,10 +1,13 @@
 """Gold star schema: customer and product dimensions, sales fact.
 
 Join strategy is left to Catalyst and AQE except where a side has a proven
-bound: the category lookup and the (natural key, surrogate key) projections
-of the dimensions are broadcast only after a bounded row-count check, and
-are otherwise joined by sort-merge with AQE's skew splitting.  Surrogate keys
-come from ``dense_key`` (no single-partition window).
+bound: the category lookup is broadcast only after a bounded row-count
+check.  The dimensions come out of ``dense_key`` written as Parquet, so the
+planner sizes the (natural key, surrogate key) lookup projections from real
+file bytes: broadcast below ``spark.sql.autoBroadcastJoinThreshold``,
+otherwise a sort-merge join where AQE splits partitions of a hot key on the
+fact side.  Surrogate keys come from ``dense_key`` (no single-partition
+window).
 
 Two facts are offered.  ``fact_sales`` is the faithful form: the product
 dimension keeps every version, so a sale of a product with three versions
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from refinery.functions.codes import boolean_to_flag, merge_gender
 from refinery.operators.joins import sized_broadcast
 from refinery.operators.keys import dense_key, latest_per_key
+from refinery.session import materialize
 
 # Lookup projections up to this many rows are broadcast (checked, not assumed).
 LOOKUP_BROADCAST_ROWS = 1_000_000
@@ -53,11 +57,21 @@ def customer_attributes(customers: DataFrame, erp_customers: DataFrame, location
     )
 
 
-def dim_customers(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame) -> DataFrame:
+def _finish(df: DataFrame, name: str, persist: bool) -> DataFrame:
+    """A dimension is written once (Parquet under the shared checkpoint folder)
+    so every later reader, the fact lookups above all, scans real files of a
+    known size instead of re-planning the key assignment.  ``persist=False``
+    leaves that to the caller (for example a catalog table write)."""
+    return materialize(df, name) if persist else df
+
+
+def dim_customers(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame,
+                  persist: bool = True) -> DataFrame:
     """Customer dimension; key order: customer id, then customer number (the
     id alone has ties in the source), then the remaining columns."""
     attrs = customer_attributes(customers, erp_customers, locations)
-    return dense_key(attrs, ["customer_id", "customer_number"], "customer_key").select(*DIM_CUSTOMER_COLUMNS)
+    dim = dense_key(attrs, ["customer_id", "customer_number"], "customer_key").select(*DIM_CUSTOMER_COLUMNS)
+    return _finish(dim, "dim-customers", persist)
 
 
 def latest_customers(customers: DataFrame) -> DataFrame:
@@ -65,9 +79,10 @@ def latest_customers(customers: DataFrame) -> DataFrame:
     return latest_per_key(customers, ["customer_id"], ["created_date"], ["customer_number"])
 
 
-def dim_customers_current(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame) -> DataFrame:
+def dim_customers_current(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame,
+                          persist: bool = True) -> DataFrame:
     """Customer dimension on unique customer ids."""
-    return dim_customers(latest_customers(customers), erp_customers, locations)
+    return dim_customers(latest_customers(customers), erp_customers, locations, persist)
 
 
 def _products_with_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
@@ -76,12 +91,13 @@ def _products_with_categories(products: DataFrame, categories: DataFrame) -> Dat
     return pn.join(pc, F.col("pn.category_id") == F.col("pc.category_id"), "left")
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame, persist: bool = True) -> DataFrame:
     """Product dimension with full history (every version is a row)."""
     joined = _products_with_categories(products, categories).select(
         "pn.product_id", "pn.product_number", "pn.product_name", "pn.category_id",
         "pc.category", "pc.subcategory", "pc.maintenance_flag", "pn.product_line", "pn.start_date")
-    return dense_key(joined, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_COLUMNS)
+    dim = dense_key(joined, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_COLUMNS)
+    return _finish(dim, "dim-products", persist)
 
 
 def latest_products(products: DataFrame) -> DataFrame:
@@ -89,7 +105,7 @@ def latest_products(products: DataFrame) -> DataFrame:
     return latest_per_key(products, ["product_number"], ["start_date"], ["product_id"])
 
 
-def dim_products_current(products: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_products_current(products: DataFrame, categories: DataFrame, persist: bool = True) -> DataFrame:
     """The analysts' product dimension: latest version per product number,
     category attributes, maintenance as Yes/No text, cost kept."""
     joined = _products_with_categories(latest_products(products), categories).select(
@@ -97,12 +113,13 @@ def dim_products_current(products: DataFrame, categories: DataFrame) -> DataFram
         "pc.category", "pc.subcategory",
         boolean_to_flag(F.col("pc.maintenance_flag")).alias("maintenance"),
         F.col("pn.product_cost").alias("cost"), "pn.product_line", "pn.start_date")
-    return dense_key(joined, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_CURRENT_COLUMNS)
+    dim = dense_key(joined, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_CURRENT_COLUMNS)
+    return _finish(dim, "dim-products-current", persist)
 
 
 def _key_lookup(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
-    slim = dim.select(F.col(natural).alias(f"__{natural}"), F.col(surrogate))
-    return sized_broadcast(slim, LOOKUP_BROADCAST_ROWS)
+    """The two columns a fact needs from a dimension (no hint: sized by the planner)."""
+    return dim.select(F.col(natural).alias(f"__{natural}"), F.col(surrogate))
 
 
 def fact_key_lookup(sales: DataFrame, dim_p: DataFrame) -> DataFrame:

@@ -78,6 +78,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    directory and return a frame that reads it back.
+
+    Like ``cut_lineage`` it fixes the rows (later stages never recompute the
+    lineage, so nondeterministic columns computed before the write stay
+    consistent, and a lost executor only costs a re-read).  Unlike a
+    checkpoint the result is columnar and carries real file sizes, so later
+    scans read only the columns they use and the planner's size-based join
+    choice (broadcast under ``spark.sql.autoBroadcastJoinThreshold``,
+    sort-merge above it) is made on measured bytes."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
     return path[len("file:"):] if path.startswith("file:") else path
