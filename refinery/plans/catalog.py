@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from refinery.functions import codes, dates, values
 from refinery.operators import aggregates, frames, joins, keys
-from refinery.plans import gold, quality, silver
+from refinery.plans import gold, layers, quality, silver
 from refinery.plans.oracle_sql import dq_report_sql, with_ctes
 from refinery.session import materialize, scratch_path
 from refinery.sources import files, schemas
 from refinery.sources.fixtures import base_table, fixture
+from refinery.streaming import run_incremental
 
 AS_OF = _dt.date(2024, 1, 1)
 
@@ -568,3 +569,23 @@ def q_dq_report(spark, sf):
     return quality.dq_report(
         fixture(spark, sf, "f_cust_info"), fixture(spark, sf, "f_sales"), s_customers(spark, sf), sales,
         s_erp_customers(spark, sf), s_locations(spark, sf), s_categories(spark, sf), dc, dp, fact)
+
+
+# ---- layer order and incremental load --------------------------------------------
+
+@register("layer_run", dq_report_sql())
+def q_layer_run(spark, sf):
+    """Landing CSV -> bronze, silver, gold tables -> report read from the tables."""
+    root = _landed(spark, sf, tuple(s.fixture for s in schemas.SOURCES))
+    warehouse = scratch_path(spark, "layers")
+    names = layers.Layers.with_prefix("l" + warehouse.rsplit("-", 1)[-1] + "_")
+    return layers.run_all(spark, root, names, warehouse, AS_OF)
+
+
+@register("silver_sales_stream", with_ctes("SELECT * FROM s_sales", "s_sales"))
+def q_silver_sales_stream(spark, sf):
+    """Sales extract landed as files, loaded and cleaned by an availableNow stream."""
+    root = _landed(spark, sf)
+    out = scratch_path(spark, "stream-silver-sales")
+    spec = schemas.SOURCE_BY_TABLE["crm_sales_details"]
+    return run_incremental(spark, spec, root, f"{out}/table", f"{out}/_checkpoint", silver.silver_sales)

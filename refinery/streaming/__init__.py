@@ -1,0 +1,3 @@
+"""Structured Streaming form of the bronze/silver load (availableNow trigger)."""
+
+from refinery.streaming.ingest import run_incremental, start_incremental, stream_extract  # noqa: F401
