@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup side is broadcast only when it is proven to have at most this many rows.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows.  Reads at most limit + 1
-    rows, so the check is bounded however large the table is."""
-    return df.limit(limit + 1).count() <= limit
+    """True when ``df`` has at most ``limit`` rows.
+
+    Uses an incremental take (``limit`` + ``collect`` scans one partition,
+    then more only while rows are missing) of a constant column, so the
+    work is bounded by ``limit`` + 1 rows however large the table is; a
+    ``limit(...).count()`` would run a task on every partition."""
+    return len(df.select(F.lit(1).alias("one")).limit(limit + 1).collect()) <= limit
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
