@@ -66,7 +66,7 @@ def test_fact_join_splits_a_hot_customer(spark):
         assert len(fact.collect()) == n
         final = fact._jdf.queryExecution().executedPlan().toString()     # AQE's final plan
         assert "SortMergeJoin" in final
-        assert "isSkewJoin=true" in final                               # hot key split
+        assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final   # hot key split
     finally:
         for k, v in old.items():
             if v is None:
