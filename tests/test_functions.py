@@ -53,8 +53,20 @@ def test_merge_gender_precedence(spark):
 
 
 def test_parse_yyyymmdd(spark):
-    df = one_col(spark, [20240131, 0, 5489, 20101340, None, 20240230, -2010101], "c int")
-    assert results(df, dates.parse_yyyymmdd("c")) == [dt.date(2024, 1, 31), None, None, None, None, None, None]
+    df = one_col(spark, [20240131, 0, 5489, 20101340, None, 20240230, -2010101, 20240229, 19000229], "c int")
+    assert results(df, dates.parse_yyyymmdd("c")) == \
+        [dt.date(2024, 1, 31), None, None, None, None, None, None, dt.date(2024, 2, 29), None]
+
+
+def test_parse_yyyymmdd_text_input(spark):
+    df = one_col(spark, ["20240131", "2024013 ", "abc", "00000000", "20240131 ", None], "c string")
+    assert results(df, dates.parse_yyyymmdd("c")) == [dt.date(2024, 1, 31), None, None, None, None, None]
+
+
+def test_parse_yyyymmdd_agrees_with_pattern_parse(spark):
+    df = spark.range(0, 200000).select(((F.col("id") * 7919) % 90000000 + 10000000).cast("int").alias("x"))
+    diff = df.filter(~dates.parse_yyyymmdd("x").eqNullSafe(dates.parse_yyyymmdd_text("x")))
+    assert diff.count() == 0
 
 
 def test_parse_mdy_and_cast_date(spark):
