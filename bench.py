@@ -3,8 +3,10 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query runs to completion through the ``noop`` sink (the whole plan
-executes, nothing is collected to the driver).  A short warm-up on sf0.001
-starts the JVM and the Python workers first.  Prints one JSON line.
+executes, nothing is collected to the driver); a query is built and run
+from scratch twice and the faster run is reported (``runs`` in the JSON).  A
+short warm-up on sf0.001 starts the JVM and the Python workers first.
+Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -43,13 +45,15 @@ def main() -> None:
     if os.path.isdir(warm):
         for name in ("silver_sales", "surrogate_key_global", "dim_products_current"):
             run(spark, catalog.QUERIES[name], warm)
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     times = {}
     for name in HEADLINE:
-        times[name] = round(run(spark, catalog.QUERIES[name], sf), 3)
-    times["surrogate_key_naive"] = round(run(spark, surrogate_key_naive, sf), 3)
+        times[name] = round(min(run(spark, catalog.QUERIES[name], sf) for _ in range(runs)), 3)
+    times["surrogate_key_naive"] = round(min(run(spark, surrogate_key_naive, sf) for _ in range(runs)), 3)
     total = round(sum(v for k, v in times.items() if k in HEADLINE), 3)
     print(json.dumps({"metric": "headline_total_wall", "value": total, "unit": "sec", "queries": times,
-                      "sf": os.path.basename(sf).replace("sf", ""), "cpus": cpus}))
+                      "sf": os.path.basename(sf).replace("sf", ""), "cpus": cpus, "runs": runs,
+                      "note": "best of runs; surrogate_key_naive is the single-partition window, not in the total"}))
     spark.stop()
 
 

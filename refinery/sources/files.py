@@ -91,6 +91,14 @@ def drop_layer_schemas(spark: SparkSession, layers: Iterable[str] = tuple(LAYERS
     return stmts
 
 
+def use_layer(spark: SparkSession, database: str, catalog: str | None = None) -> None:
+    """Make a layer schema current (``USE [CATALOG c;] SCHEMA s``); jobs in this
+    library still use qualified names, so this only affects ad-hoc SQL."""
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
+    spark.catalog.setCurrentDatabase(database)
+
+
 def landing_files(spark: SparkSession, root: str) -> DataFrame:
     """The files under a landing folder with their size and row count (the
     listing is computed by the executors from the file metadata column)."""
