@@ -63,6 +63,23 @@ def _sort_exprs(df: DataFrame, order_by: Sequence[Column | str], tiebreak: Seque
     return exprs
 
 
+def ranked_partitions(df: DataFrame, order_by: Sequence[Column | str], tiebreak: Sequence[str] | None = None,
+                      distinct: bool = False) -> DataFrame:
+    """Steps 1-3 of ``dense_key``: the distinct rows with their copy count,
+    range-sorted, each tagged with its partition id and the number of rows
+    before it in that partition.  Must be materialised before use (the
+    partition id is only meaningful for this one evaluation)."""
+    sort = _sort_exprs(df, order_by, tiebreak)
+    if distinct:
+        ordered = df.withColumn(_N, F.lit(1).cast("long")).orderBy(*sort)
+        pid = F.spark_partition_id()
+        position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+        return ordered.select("*", pid.alias(_PID), position.alias(_BEFORE))
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(_N))
+    ordered = counted.orderBy(*sort)
+    return ordered.select("*", F.spark_partition_id().alias(_PID), _rows_before(F.col(_N)).alias(_BEFORE))
+
+
 def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
               tiebreak: Sequence[str] | None = None, distinct: bool = False, chunk_rows: int = 1 << 16,
               max_broadcast_offsets: int = MAX_BROADCAST_OFFSETS) -> DataFrame:
@@ -77,18 +94,7 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
     partition comes from ``monotonically_increasing_id`` (JVM only)."""
     cols = df.columns
     spark = df.sparkSession
-    sort = _sort_exprs(df, order_by, tiebreak)
-
-    if distinct:
-        ordered = df.withColumn(_N, F.lit(1).cast("long")).orderBy(*sort)
-        pid = F.spark_partition_id()
-        position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-        tagged = materialize(ordered.select("*", pid.alias(_PID), position.alias(_BEFORE)), "dense-key")
-    else:
-        counted = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias(_N))
-        ordered = counted.orderBy(*sort)
-        tagged = materialize(ordered.select(
-            "*", F.spark_partition_id().alias(_PID), _rows_before(F.col(_N)).alias(_BEFORE)), "dense-key")
+    tagged = materialize(ranked_partitions(df, order_by, tiebreak, distinct), "dense-key")
 
     sizes = tagged.groupBy(_PID).agg(F.sum(_N).alias("__size"))
     upto = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
