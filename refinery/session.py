@@ -50,7 +50,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     master: on a cluster a machine-local folder would not be visible to the
     other executors, so that case raises instead.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no context: use the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by all executors")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

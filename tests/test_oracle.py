@@ -44,6 +44,8 @@ def test_query_matches_oracle(spark, duck, name):
     hd, cd, _ = digest(dcols, drows)
     assert (len(srows), cs) == (len(drows), cd)
     assert hs == hd
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan          # no row-at-a-time Python anywhere
 
 
 def test_entry_smoke(spark):
