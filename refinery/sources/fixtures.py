@@ -3,7 +3,10 @@
 The driver's tables are clean (no NULLs, no orphans, unique keys), so each
 extract is a projection that injects the defects the cleaning rules exist for:
 padded and mixed-case codes, NULL and repeated ids, impossible dates, zero
-quantities, negative sales, product versions.  The same SQL text runs in
+quantities, negative sales, product versions.  The category extract is four
+fixed rows (the categories the product keys point to, one of them unused, and
+one product category missing) plus one padded, mixed-case row per product
+group of ``part``, so that it too grows with the tables.  The same SQL text runs in
 Spark (tables bound as DataFrames) and in DuckDB (tables as views), which is
 what makes it usable for the cross-engine oracle.  Every projection reads the
 whole base table, so its size grows with the scale factor.
@@ -43,6 +46,10 @@ SELECT p_partkey AS prd_id,
 """,
     "f_px_cat": """
 SELECT * FROM (VALUES ('CO_RF','Components','Road Frames','Yes'),('BI_MB','Bikes','Mountain Bikes','yes '),('AC_HE','Accessories','Helmets','No'),('CO_PD','Components','Pedals','?')) AS t(id, cat, subcat, maintenance)
+UNION ALL
+SELECT concat('PG_', CAST(p_partkey AS STRING)) AS id, concat(' ', p_type) AS cat, concat(p_brand, ' ') AS subcat,
+  CASE p_size % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no ' WHEN 2 THEN ' YES' WHEN 3 THEN '?' ELSE NULL END AS maintenance
+FROM {part} WHERE p_partkey % 3 = 0
 """,
     "f_sales": """
 SELECT concat('SO', CAST(l_orderkey AS STRING)) AS sls_ord_num, concat('P', lpad(CAST(CAST(floor(l_partkey / 3) AS BIGINT) AS STRING), 6, '0'), ' ') AS sls_prd_key, o_custkey AS sls_cust_id,

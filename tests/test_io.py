@@ -62,15 +62,16 @@ def test_overwrite_is_idempotent(spark, sf_small):
     src = fixture(spark, sf_small, "f_px_cat")
     files.write_table(src, "t_io.cat")
     files.write_table(src, "t_io.cat")
-    assert spark.table("t_io.cat").count() == 4
+    assert spark.table("t_io.cat").count() == src.count()
     files.drop_layer_schemas(spark, ["t_io"])
 
 
 def test_landing_listing_counts_rows(spark, sf_small):
     root = scratch_path(spark, "test-list")
-    files.write_csv(fixture(spark, sf_small, "f_px_cat").coalesce(1), f"{root}/source_erp/PX_CAT_G1V2")
+    cats = fixture(spark, sf_small, "f_px_cat")
+    files.write_csv(cats.coalesce(1), f"{root}/source_erp/PX_CAT_G1V2")
     listing = files.landing_files(spark, root).collect()
-    assert sum(r.rows for r in listing) == 4
+    assert sum(r.rows for r in listing) == cats.count()
     assert all(r.file_name.endswith(".csv") for r in listing)
 
 
