@@ -47,9 +47,11 @@ SELECT p_partkey AS prd_id,
     "f_px_cat": """
 SELECT * FROM (VALUES ('CO_RF','Components','Road Frames','Yes'),('BI_MB','Bikes','Mountain Bikes','yes '),('AC_HE','Accessories','Helmets','No'),('CO_PD','Components','Pedals','?')) AS t(id, cat, subcat, maintenance)
 UNION ALL
-SELECT concat('PG_', CAST(p_partkey AS STRING)) AS id, concat(' ', p_type) AS cat, concat(p_brand, ' ') AS subcat,
-  CASE p_size % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no ' WHEN 2 THEN ' YES' WHEN 3 THEN '?' ELSE NULL END AS maintenance
-FROM {part} WHERE p_partkey % 3 = 0
+SELECT DISTINCT concat('PG_', CAST(g AS STRING)) AS id,
+  concat(' ', CASE g % 3 WHEN 0 THEN 'Components' WHEN 1 THEN 'Bikes' ELSE 'Accessories' END) AS cat,
+  concat('Group ', CAST(g AS STRING), ' ') AS subcat,
+  CASE g % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no ' WHEN 2 THEN ' YES' WHEN 3 THEN '?' ELSE NULL END AS maintenance
+FROM (SELECT CAST(floor(p_partkey / 3) AS BIGINT) AS g FROM {part}) AS groups
 """,
     "f_sales": """
 SELECT concat('SO', CAST(l_orderkey AS STRING)) AS sls_ord_num, concat('P', lpad(CAST(CAST(floor(l_partkey / 3) AS BIGINT) AS STRING), 6, '0'), ' ') AS sls_prd_key, o_custkey AS sls_cust_id,
