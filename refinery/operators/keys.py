@@ -69,6 +69,8 @@ def ranked_partitions(df: DataFrame, order_by: Sequence[Column | str], tiebreak:
     range-sorted, each tagged with its partition id and the number of rows
     before it in that partition.  Must be materialised before use (the
     partition id is only meaningful for this one evaluation)."""
+    if distinct and tiebreak is None:
+        tiebreak = []                       # the order columns are unique: nothing to break
     sort = _sort_exprs(df, order_by, tiebreak)
     if distinct:
         ordered = df.withColumn(_N, F.lit(1).cast("long")).orderBy(*sort)
