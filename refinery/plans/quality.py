@@ -16,6 +16,7 @@ dimension's keys.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -144,34 +145,25 @@ def dq_report(bronze_cust: DataFrame, bronze_sales: DataFrame, customers: DataFr
     one_row = metrics.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n)
                             for n in dict.fromkeys(names)])
     values = one_row.select(*[F.expr(c.expr).cast("long").alias(f"c{c.check_id}") for c in CHECKS])
-    stacked = ", ".join(f"{c.check_id}, `c{c.check_id}`" for c in CHECKS)
-    long = values.selectExpr(f"stack({len(CHECKS)}, {stacked}) AS (check_id, value)")
-    meta = [(c.check_id, c.name, "warn" if c.warn_only else "error", c.expect_zero) for c in CHECKS]
-    cases = {
-        "check_name": _case(meta, 1), "severity": _case(meta, 2),
-    }
-    passed = F.when(F.col("check_id").isin(*[m[0] for m in meta if m[3]]), F.col("value") == 0) \
-        .otherwise(F.col("value") > 0)
+    rows = ", ".join(
+        f"{c.check_id}, '{_quote(c.name)}', '{'warn' if c.warn_only else 'error'}', {str(c.expect_zero).lower()}, "
+        f"`c{c.check_id}`" for c in CHECKS)
+    long = values.selectExpr(f"stack({len(CHECKS)}, {rows}) AS (check_id, check_name, severity, expect_zero, value)")
+    passed = F.when(F.col("expect_zero"), F.col("value") == 0).otherwise(F.col("value") > 0)
     status = (F.when(F.coalesce(passed, F.lit(False)), F.lit("pass"))
               .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
-    out = long.select(F.col("check_id").cast("int").alias("check_id"), cases["check_name"].alias("check_name"),
-                      cases["severity"].alias("severity"), F.col("value"))
-    return out.withColumn("status", status).select(*REPORT_COLUMNS)
+    return long.select(F.col("check_id").cast("int").alias("check_id"), "check_name", "severity", "value",
+                       status.alias("status"))
 
 
-def _case(meta, idx: int) -> Column:
-    expr = None
-    for m in meta:
-        cond = F.col("check_id") == m[0]
-        expr = F.when(cond, F.lit(m[idx])) if expr is None else expr.when(cond, F.lit(m[idx]))
-    return expr
+def _quote(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 _SQL_WORDS = {"CASE", "WHEN", "THEN", "ELSE", "END", "abs", "nullif"}
 
 
 def _metric_names(expr: str) -> list[str]:
-    import re
     return [t for t in re.findall(r"[A-Za-z_][A-Za-z_0-9]*", expr) if t not in _SQL_WORDS]
 
 
