@@ -16,7 +16,6 @@ dimension's keys.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -76,19 +75,22 @@ def _count_if(p: Column) -> Column:
     return F.count_if(F.coalesce(p, F.lit(False)))
 
 
-def _metrics(df: DataFrame, named: dict[str, Column]) -> DataFrame:
-    """One scan -> rows (metric, value)."""
+Metrics = tuple[DataFrame, list[str]]
+
+
+def _metrics(df: DataFrame, named: dict[str, Column]) -> Metrics:
+    """One scan -> rows (metric, value), with the metric names it yields."""
     wide = df.agg(*[c.cast("long").alias(n) for n, c in named.items()])
     pairs = ", ".join(f"'{n}', `{n}`" for n in named)
-    return wide.selectExpr(f"stack({len(named)}, {pairs}) AS (metric, value)")
+    return wide.selectExpr(f"stack({len(named)}, {pairs}) AS (metric, value)"), list(named)
 
 
-def _dup_groups(df: DataFrame, key: str, name: str) -> DataFrame:
+def _dup_groups(df: DataFrame, key: str, name: str) -> Metrics:
     groups = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
     return _metrics(groups, {name: F.count(F.lit(1))})
 
 
-def _orphan_rows(fact: DataFrame, key: str, dim: DataFrame, name: str) -> DataFrame:
+def _orphan_rows(fact: DataFrame, key: str, dim: DataFrame, name: str) -> Metrics:
     """Fact rows whose non-NULL key has no dimension row."""
     per_key = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     known = dim.select(F.col(key).alias("__k"))
@@ -138,12 +140,11 @@ def dq_report(bronze_cust: DataFrame, bronze_sales: DataFrame, customers: DataFr
         _dup_groups(locations, "customer_number", "location_number_dups"),
         _dup_groups(categories, "category_id", "category_id_dups"),
     ]
-    metrics = parts[0]
-    for p in parts[1:]:
-        metrics = metrics.unionByName(p)
-    names = [r for c in CHECKS for r in _metric_names(c.expr)]
-    one_row = metrics.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n)
-                            for n in dict.fromkeys(names)])
+    metrics = parts[0][0]
+    for frame, _ in parts[1:]:
+        metrics = metrics.unionByName(frame)
+    names = [n for _, ns in parts for n in ns]
+    one_row = metrics.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
     values = one_row.select(*[F.expr(c.expr).cast("long").alias(f"c{c.check_id}") for c in CHECKS])
     rows = ", ".join(
         f"{c.check_id}, '{_quote(c.name)}', '{'warn' if c.warn_only else 'error'}', {str(c.expect_zero).lower()}, "
@@ -160,13 +161,6 @@ def _quote(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-_SQL_WORDS = {"CASE", "WHEN", "THEN", "ELSE", "END", "abs", "nullif"}
-
-
-def _metric_names(expr: str) -> list[str]:
-    return [t for t in re.findall(r"[A-Za-z_][A-Za-z_0-9]*", expr) if t not in _SQL_WORDS]
-
-
 def summary(report: DataFrame) -> DataFrame:
     """Counts of pass / warn / fail (a 3-row frame)."""
     return report.groupBy("status").agg(F.count(F.lit(1)).alias("checks"))
