@@ -19,7 +19,7 @@ from refinery.functions import codes, dates, values
 from refinery.operators import aggregates, frames, joins, keys
 from refinery.plans import gold, layers, quality, silver
 from refinery.plans.oracle_sql import dq_report_sql, with_ctes
-from refinery.session import materialize, scratch_path
+from refinery.session import concurrently, materialize, scratch_path
 from refinery.sources import files, schemas
 from refinery.sources.fixtures import base_table, fixture
 from refinery.streaming import run_incremental
@@ -549,22 +549,29 @@ def q_dim_products_current(spark, sf):
     return gold.dim_products_current(s_products(spark, sf), s_categories(spark, sf))
 
 
+def both_dims(spark, sf):
+    """Customer and product dimensions, built side by side (independent jobs)."""
+    return concurrently(lambda: d_customers(spark, sf), lambda: d_products(spark, sf))
+
+
 @register("fact_sales", with_ctes("SELECT * FROM fact_sales", "fact_sales"))
 def q_fact_sales(spark, sf):
-    return gold.fact_sales(s_sales(spark, sf), d_products(spark, sf), d_customers(spark, sf))
+    dc, dp = both_dims(spark, sf)
+    return gold.fact_sales(s_sales(spark, sf), dp, dc)
 
 
 @register("fact_sales_current", with_ctes("SELECT * FROM fact_sales_current", "fact_sales_current"))
 def q_fact_sales_current(spark, sf):
-    dc = gold.dim_customers_current(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf))
-    dp = gold.dim_products_current(s_products(spark, sf), s_categories(spark, sf))
+    dc, dp = concurrently(
+        lambda: gold.dim_customers_current(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf)),
+        lambda: gold.dim_products_current(s_products(spark, sf), s_categories(spark, sf)))
     return gold.fact_sales(s_sales(spark, sf), dp, dc)
 
 
 @register("dq_report", dq_report_sql())
 def q_dq_report(spark, sf):
     sales = s_sales(spark, sf)
-    dc, dp = d_customers(spark, sf), d_products(spark, sf)
+    dc, dp = both_dims(spark, sf)
     fact = materialize(gold.fact_sales(sales, dp, dc), "fact-sales")    # the gold fact table
     return quality.dq_report(
         fixture(spark, sf, "f_cust_info"), fixture(spark, sf, "f_sales"), s_customers(spark, sf), sales,

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from refinery.plans import gold, quality, silver
+from refinery.session import concurrently
 from refinery.sources import files
 from refinery.sources.schemas import LAYERS, SOURCES
 
@@ -48,22 +49,31 @@ def run_bronze(spark: SparkSession, landing_root: str, layers: Layers) -> dict[s
 
 
 def run_silver(spark: SparkSession, layers: Layers, as_of: _dt.date | str | None = None) -> dict[str, str]:
-    out = {}
-    for target, (source, job) in silver.SILVER_JOBS.items():
+    """The six cleaning jobs are independent: their writes are submitted side by side."""
+    def one(target: str, source: str, job) -> str:
         bronze_df = spark.table(layers.table("bronze", source))
         cleaned = job(bronze_df, as_of) if job is silver.silver_erp_customers else job(bronze_df)
         name = layers.table("silver", target)
         files.write_table(cleaned, name)
-        out[target] = name
-    return out
+        return name
+
+    jobs = list(silver.SILVER_JOBS.items())
+    names = concurrently(*[lambda t=t, s=s, j=j: one(t, s, j) for t, (s, j) in jobs])
+    return {t: n for (t, _), n in zip(jobs, names)}
 
 
 def run_gold(spark: SparkSession, layers: Layers) -> dict[str, str]:
     t = lambda name: spark.table(layers.table("silver", name))
-    dim_c = gold.dim_customers(t("crm_customers"), t("erp_customers"), t("erp_customer_location"), persist=False)
-    files.write_table(dim_c, layers.table("gold", "dim_customers"))
-    dim_p = gold.dim_products(t("crm_products"), t("erp_product_category"), persist=False)
-    files.write_table(dim_p, layers.table("gold", "dim_products"))
+
+    def customers() -> None:
+        dim_c = gold.dim_customers(t("crm_customers"), t("erp_customers"), t("erp_customer_location"), persist=False)
+        files.write_table(dim_c, layers.table("gold", "dim_customers"))
+
+    def products() -> None:
+        dim_p = gold.dim_products(t("crm_products"), t("erp_product_category"), persist=False)
+        files.write_table(dim_p, layers.table("gold", "dim_products"))
+
+    concurrently(customers, products)           # independent; the fact needs both
     fact = gold.fact_sales(t("crm_sales"), spark.table(layers.table("gold", "dim_products")),
                            spark.table(layers.table("gold", "dim_customers")))
     files.write_table(fact, layers.table("gold", "fact_sales"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -109,3 +111,16 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> None:
     if path.startswith("file:") or "://" not in path:
         os.makedirs(local_path(path), exist_ok=True)
+
+
+def concurrently(*calls: Callable[[], object], max_workers: int | None = None) -> list:
+    """Run independent driver-side steps (each submitting its own Spark jobs)
+    from separate threads, so their jobs are scheduled side by side instead
+    of one after another; results come back in call order and the first
+    failure is raised.  Useful when single jobs are too small to fill the
+    cluster, e.g. building two dimensions or six silver tables."""
+    if len(calls) <= 1:
+        return [c() for c in calls]
+    with ThreadPoolExecutor(max_workers or len(calls)) as pool:
+        futures = [pool.submit(c) for c in calls]
+        return [f.result() for f in futures]
