@@ -570,7 +570,7 @@ def q_fact_sales_current(spark, sf):
 
 @register("dq_report", dq_report_sql())
 def q_dq_report(spark, sf):
-    sales = s_sales(spark, sf)
+    sales = materialize(s_sales(spark, sf), "silver-sales")             # the silver table, read three times
     dc, dp = both_dims(spark, sf)
     fact = materialize(gold.fact_sales(sales, dp, dc), "fact-sales")    # the gold fact table
     return quality.dq_report(
