@@ -570,8 +570,9 @@ def q_fact_sales_current(spark, sf):
 
 @register("dq_report", dq_report_sql())
 def q_dq_report(spark, sf):
-    sales = materialize(s_sales(spark, sf), "silver-sales")             # the silver table, read three times
-    dc, dp = both_dims(spark, sf)
+    # the silver sales table (read three times) and both dimensions are independent: built side by side
+    sales, (dc, dp) = concurrently(lambda: materialize(s_sales(spark, sf), "silver-sales"),
+                                   lambda: both_dims(spark, sf))
     fact = materialize(gold.fact_sales(sales, dp, dc), "fact-sales")    # the gold fact table
     return quality.dq_report(
         fixture(spark, sf, "f_cust_info"), fixture(spark, sf, "f_sales"), s_customers(spark, sf), sales,
