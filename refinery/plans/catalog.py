@@ -66,12 +66,13 @@ def s_categories(spark, sf):
     return silver.silver_categories(fixture(spark, sf, "f_px_cat"))
 
 
-def d_customers(spark, sf):
-    return gold.dim_customers(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf))
+def d_customers(spark, sf, persist=True):
+    """persist=True when later joins read the dimension (its files size their broadcast)."""
+    return gold.dim_customers(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf), persist)
 
 
-def d_products(spark, sf):
-    return gold.dim_products(s_products(spark, sf), s_categories(spark, sf))
+def d_products(spark, sf, persist=True):
+    return gold.dim_products(s_products(spark, sf), s_categories(spark, sf), persist)
 
 
 # ---- projections and predicates -------------------------------------------
@@ -421,7 +422,7 @@ SELECT covered, total, CAST(covered AS DOUBLE) * 100.0 / CAST(nullif(total, 0) A
 FROM (SELECT count(*) FILTER (WHERE country IS NOT NULL AND country <> 'n/a') AS covered, count(*) AS total
       FROM dim_customers)""", "dim_customers"))
 def q_coverage_ratio(spark, sf):
-    d = d_customers(spark, sf)
+    d = d_customers(spark, sf, persist=False)
     return aggregates.coverage_ratio(d, F.col("country").isNotNull() & (F.col("country") != "n/a"))
 
 
@@ -531,22 +532,23 @@ for _name, _fn, _cte in [
 
 @register("dim_customers", with_ctes("SELECT * FROM dim_customers", "dim_customers"))
 def q_dim_customers(spark, sf):
-    return d_customers(spark, sf)
+    return d_customers(spark, sf, persist=False)
 
 
 @register("dim_customers_current", with_ctes("SELECT * FROM dim_customers_current", "dim_customers_current"))
 def q_dim_customers_current(spark, sf):
-    return gold.dim_customers_current(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf))
+    return gold.dim_customers_current(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf),
+                                      persist=False)
 
 
 @register("dim_products", with_ctes("SELECT * FROM dim_products", "dim_products"))
 def q_dim_products(spark, sf):
-    return d_products(spark, sf)
+    return d_products(spark, sf, persist=False)
 
 
 @register("dim_products_current", with_ctes("SELECT * FROM dim_products_current", "dim_products_current"))
 def q_dim_products_current(spark, sf):
-    return gold.dim_products_current(s_products(spark, sf), s_categories(spark, sf))
+    return gold.dim_products_current(s_products(spark, sf), s_categories(spark, sf), persist=False)
 
 
 def both_dims(spark, sf):
