@@ -15,6 +15,7 @@ whole base table, so its size grows with the scale factor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -76,8 +77,16 @@ FIXTURES = tuple(FIXTURE_SQL)
 SCALED_TABLES = {"lineitem": ("l_orderkey", "l_linenumber")}
 
 
+# Schemas of the (read-only) test tables, learned once per process: a parquet
+# read without a schema runs a footer-inference job every time.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
     keys = SCALED_TABLES.get(name)
     if keys:
         try:
