@@ -7,11 +7,14 @@
     python -m refinery gold     [--prefix P]
     python -m refinery validate [--prefix P] [--out PATH]
     python -m refinery reset    [--prefix P] [--dry-run]
+    python -m refinery stream   --landing DIR --warehouse ROOT [--as-of YYYY-MM-DD]
     python -m refinery land-fixtures --tables SF_DIR --landing DIR
 
 ``validate`` prints the report and exits non-zero when a check fails
-(warnings do not fail).  ``land-fixtures`` writes the six test extracts as
-CSV to a landing folder, for trying the layers on the test tables.
+(warnings do not fail).  ``stream`` loads only files that arrived since its
+last run into silver folders under ``ROOT/incremental`` (Structured Streaming,
+availableNow).  ``land-fixtures`` writes the six test extracts as CSV to a
+landing folder, for trying the layers on the test tables.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
 
     ap = argparse.ArgumentParser(prog="refinery")
     ap.add_argument("command", choices=["init", "run", "bronze", "silver", "gold", "validate", "reset",
-                                        "land-fixtures"])
+                                        "stream", "land-fixtures"])
     ap.add_argument("--landing")
     ap.add_argument("--warehouse")
     ap.add_argument("--prefix", default="")
@@ -69,6 +72,11 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "reset":
         for stmt in files.drop_layer_schemas(spark, dry_run=a.dry_run, prefix=a.prefix):
             print(("[dry run] " if a.dry_run else "") + stmt)
+    elif a.command == "stream":
+        from refinery.streaming import run_incremental_all
+        for table, folder in run_incremental_all(spark, a.landing, f"{a.warehouse.rstrip('/')}/incremental",
+                                                 a.as_of).items():
+            print(table, folder)
     elif a.command == "land-fixtures":
         files.land_sources(bronze_inputs(spark, a.tables), a.landing)
     return 0

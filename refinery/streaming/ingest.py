@@ -50,3 +50,24 @@ def run_incremental(spark: SparkSession, spec: SourceSpec, landing_root: str, ta
     if q.exception() is not None:
         raise q.exception()
     return spark.read.parquet(target)
+
+
+def run_incremental_all(spark: SparkSession, landing_root: str, target_root: str,
+                        as_of=None, timeout_s: float | None = None) -> dict[str, str]:
+    """All six extracts, each through its silver job, into ``target_root/<silver
+    table>`` (checkpoints alongside).  The six streams are independent and are
+    started together; returns {silver table: folder}."""
+    from refinery.plans.silver import SILVER_JOBS, silver_erp_customers
+    from refinery.sources.schemas import SOURCE_BY_TABLE
+
+    root = target_root.rstrip("/")
+    queries = {}
+    for target, (source, job) in SILVER_JOBS.items():
+        clean = (lambda df, j=job: j(df, as_of)) if job is silver_erp_customers else job
+        queries[target] = start_incremental(spark, SOURCE_BY_TABLE[source], landing_root, f"{root}/{target}",
+                                            f"{root}/_checkpoints/{target}", clean)
+    for q in queries.values():
+        q.awaitTermination(timeout_s)
+        if q.exception() is not None:
+            raise q.exception()
+    return {t: f"{root}/{t}" for t in queries}

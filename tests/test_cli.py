@@ -15,5 +15,7 @@ def test_cli_land_run_validate_reset(spark, sf_small, capsys):
     assert main(["validate", "--prefix", "cli_"]) == 1
     assert main(["reset", "--prefix", "cli_", "--dry-run"]) == 0
     assert "[dry run] DROP SCHEMA IF EXISTS `cli_bronze` CASCADE" in capsys.readouterr().out
+    assert main(["stream", "--landing", landing, "--warehouse", warehouse, "--as-of", "2024-01-01"]) == 0
+    assert "crm_sales" in capsys.readouterr().out
     assert main(["reset", "--prefix", "cli_"]) == 0
     assert not [r for r in spark.sql("SHOW SCHEMAS").collect() if r[0].startswith("cli_")]
