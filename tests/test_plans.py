@@ -104,3 +104,26 @@ def test_fact_joins_do_not_shuffle_fact_twice_when_dims_are_small(spark, sf_smal
     plan.collect()
     final = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
+
+
+def test_current_product_dimension_on_a_literal_extract(spark):
+    """Latest version wins; an unknown category stays with NULL attributes;
+    a missing cost becomes 0; keys follow (start date, product number)."""
+    import datetime as dt
+    prd = spark.createDataFrame([
+        (1, "AC-HE-HL-U509-R", "Helmet Red ", 12, "S ", dt.date(2011, 7, 1), dt.date(2007, 12, 28)),
+        (2, "AC-HE-HL-U509-R", "Helmet Red ", 14, "S ", dt.date(2012, 7, 1), dt.date(2008, 12, 27)),
+        (3, "AC-HE-HL-U509-R", "Helmet Red ", None, "S ", dt.date(2013, 7, 1), None),
+        (4, "CO-PE-PD-M282", "Pedal", 18, "M ", dt.date(2013, 7, 1), None),
+        (5, "CO-RF-FR-R92B-58", "Frame", None, None, dt.date(2003, 7, 1), None),
+    ], schemas.PRD_INFO)
+    cat = spark.createDataFrame([("AC_HE", "Accessories", "Helmets", "Yes"), ("CO_RF", "Components", "Road Frames", "no"),
+                                 ("CO_PD", "Components", "Pedals", "Yes")], schemas.PX_CAT_G1V2)
+    got = {r.product_number: r for r in
+           gold.dim_products_current(silver.silver_products(prd), silver.silver_categories(cat), persist=False).collect()}
+    assert set(got) == {"HL-U509-R", "PD-M282", "FR-R92B-58"}
+    helmet, pedal, frame = got["HL-U509-R"], got["PD-M282"], got["FR-R92B-58"]
+    assert (helmet.product_id, helmet.cost, helmet.maintenance, helmet.product_line) == (3, 0, "Yes", "Other Sales")
+    assert (pedal.category, pedal.subcategory, pedal.maintenance, pedal.cost) == (None, None, None, 18)
+    assert (frame.cost, frame.maintenance, frame.product_line) == (0, "No", "n/a")
+    assert [frame.product_key, helmet.product_key, pedal.product_key] == [1, 2, 3]   # by start date, then number
