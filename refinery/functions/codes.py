@@ -7,7 +7,7 @@ streaming frames alike and stays inside whole-stage codegen (a chain of
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,7 +106,3 @@ def merge_gender(primary: ColumnOrName, secondary: ColumnOrName) -> Column:
     secondary (ERP) label, then n/a.  A NULL primary counts as unknown."""
     p, s = _col(primary), _col(secondary)
     return F.when(p != NOT_AVAILABLE, p).otherwise(F.coalesce(s, F.lit(NOT_AVAILABLE)))
-
-
-def in_domain(c: ColumnOrName, domain: Sequence[str]) -> Column:
-    return _col(c).isin(*domain)

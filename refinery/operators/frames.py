@@ -45,12 +45,6 @@ def rename_strict(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(resolved)
 
 
-def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    for n in names:
-        resolve_column(df, n)
-    return df
-
-
 def filter_not_null(df: DataFrame, *keys: str) -> DataFrame:
     """Drop rows whose key is NULL (pushed to the scan by Catalyst)."""
     cond = None

@@ -159,8 +159,3 @@ def dq_report(bronze_cust: DataFrame, bronze_sales: DataFrame, customers: DataFr
 
 def _quote(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
-
-
-def summary(report: DataFrame) -> DataFrame:
-    """Counts of pass / warn / fail (a 3-row frame)."""
-    return report.groupBy("status").agg(F.count(F.lit(1)).alias("checks"))

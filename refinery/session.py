@@ -8,7 +8,6 @@ scratch tables go under the directory the cluster names in
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -78,22 +77,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/refinery-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are written to the shared checkpoint folder
-    and the returned frame reads them back, so a lost executor cannot make a
-    recomputation disagree with what was already used downstream."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
     directory and return a frame that reads it back.
 
-    Like ``cut_lineage`` it fixes the rows (later stages never recompute the
-    lineage, so nondeterministic columns computed before the write stay
-    consistent, and a lost executor only costs a re-read).  Unlike a
-    checkpoint the result is columnar and carries real file sizes, so later
+    This cuts the lineage: later stages never recompute it, so
+    nondeterministic columns computed before the write stay consistent, and
+    a lost executor only costs a re-read.  Unlike ``DataFrame.checkpoint()``
+    the result is columnar and carries real file sizes, so later
     scans read only the columns they use and the planner's size-based join
     choice (broadcast under ``spark.sql.autoBroadcastJoinThreshold``,
     sort-merge above it) is made on measured bytes."""
@@ -103,16 +94,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)      # known schema: no footer-inference job
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if path.startswith("file:") or "://" not in path:
-        os.makedirs(local_path(path), exist_ok=True)
-
-
 def concurrently(*calls: Callable[[], object], max_workers: int | None = None) -> list:
     """Run independent driver-side steps (each submitting its own Spark jobs)
     from separate threads, so their jobs are scheduled side by side instead
