@@ -2,6 +2,7 @@
 
     python -m refinery init     --warehouse ROOT [--prefix P]
     python -m refinery run      --landing DIR --warehouse ROOT [--prefix P] [--as-of YYYY-MM-DD]
+                                [--customer-buckets N]
     python -m refinery bronze   --landing DIR [--prefix P]
     python -m refinery silver   [--prefix P] [--as-of YYYY-MM-DD]
     python -m refinery gold     [--prefix P]
@@ -46,10 +47,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--dry-run", action="store_true")
     ap.add_argument("--out")
     ap.add_argument("--tables")
+    ap.add_argument("--customer-buckets", dest="customer_buckets", type=int,
+                    help="bucket silver sales and the customer dimension on customer_id")
     a = ap.parse_args(argv)
 
     spark = _session()
-    names = layers.Layers.with_prefix(a.prefix)
+    names = layers.Layers.with_prefix(a.prefix, a.customer_buckets)
     if a.command == "init":
         layers.create_layers(spark, names, a.warehouse)
     elif a.command == "bronze":

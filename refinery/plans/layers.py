@@ -25,10 +25,20 @@ class Layers:
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
+    # When set, silver sales and the customer dimension are bucketed on
+    # customer_id into this many buckets, so the fact's customer lookup is a
+    # sort-merge join without a shuffle on either side (for a customer
+    # dimension too large to broadcast).
+    customer_buckets: int | None = None
 
     @classmethod
-    def with_prefix(cls, prefix: str) -> Layers:
-        return cls(prefix + "bronze", prefix + "silver", prefix + "gold")
+    def with_prefix(cls, prefix: str, customer_buckets: int | None = None) -> Layers:
+        return cls(prefix + "bronze", prefix + "silver", prefix + "gold", customer_buckets)
+
+    def bucketing(self, table: str) -> dict:
+        if self.customer_buckets and table in ("crm_sales", "dim_customers"):
+            return {"bucket_by": "customer_id", "buckets": self.customer_buckets}
+        return {}
 
     def table(self, layer: str, name: str) -> str:
         return f"`{getattr(self, layer)}`.`{name}`"
@@ -54,7 +64,7 @@ def run_silver(spark: SparkSession, layers: Layers, as_of: _dt.date | str | None
         bronze_df = spark.table(layers.table("bronze", source))
         cleaned = job(bronze_df, as_of) if job is silver.silver_erp_customers else job(bronze_df)
         name = layers.table("silver", target)
-        files.write_table(cleaned, name)
+        files.write_table(cleaned, name, **layers.bucketing(target))
         return name
 
     jobs = list(silver.SILVER_JOBS.items())
@@ -67,7 +77,7 @@ def run_gold(spark: SparkSession, layers: Layers) -> dict[str, str]:
 
     def customers() -> None:
         dim_c = gold.dim_customers(t("crm_customers"), t("erp_customers"), t("erp_customer_location"), persist=False)
-        files.write_table(dim_c, layers.table("gold", "dim_customers"))
+        files.write_table(dim_c, layers.table("gold", "dim_customers"), **layers.bucketing("dim_customers"))
 
     def products() -> None:
         dim_p = gold.dim_products(t("crm_products"), t("erp_product_category"), persist=False)

@@ -56,9 +56,18 @@ def write_csv(df: DataFrame, path: str) -> None:
        .csv(path))
 
 
-def write_table(df: DataFrame, table: str, mode: str = "overwrite") -> None:
-    """Full-refresh write of a catalog table."""
-    df.write.mode(mode).format(TABLE_FORMAT).saveAsTable(table)
+def write_table(df: DataFrame, table: str, mode: str = "overwrite",
+                bucket_by: str | None = None, buckets: int | None = None) -> None:
+    """Full-refresh write of a catalog table.  With ``bucket_by`` the table is
+    hash-bucketed (and sorted) on that column into ``buckets`` buckets; rows
+    are first spread into exactly that many partitions so each bucket is one
+    file, not one file per writing task."""
+    if bucket_by:
+        df = df.repartition(buckets, bucket_by)
+        (df.write.mode(mode).format(TABLE_FORMAT).bucketBy(buckets, bucket_by).sortBy(bucket_by)
+           .saveAsTable(table))
+    else:
+        df.write.mode(mode).format(TABLE_FORMAT).saveAsTable(table)
 
 
 def create_layer_schemas(spark: SparkSession, root: str | None = None,
