@@ -60,8 +60,9 @@ def summarize(text: str) -> str:
     if scans:
         out.append("\nScans (pushed filters / read schema):")
         out += [f"- {f} {s[:160]}" for f, s in scans]
-    out.append(f"\nShuffle exchanges in the final plan: {counts or 'none'} "
-               "(SinglePartition ones carry one partial-aggregate row per task)")
+    counts = {("broadcast" if k == "HashedRelationBroadcastMode" else k): v for k, v in counts.items()}
+    out.append(f"\nExchanges in the final plan: {counts or 'none'} "
+               "(a SinglePartition exchange carries one partial-aggregate row per task)")
     return "\n".join(out)
 
 
