@@ -3,7 +3,7 @@
 Each job is a pure ``DataFrame -> DataFrame`` function and map-only: one
 projection (trim, clean, rename) and at most one filter, so Catalyst fuses it
 into the scan's whole-stage-codegen span and pushes the key filter to the
-reader.  The order of rules is part of the contract: trimming comes first
+reader (the optional customer de-duplication is the one aggregate).  The order of rules is part of the contract: trimming comes first
 (codes carry trailing blanks), the product key is split before it is replaced.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions import codes, dates, values
 from refinery.operators.frames import rename_strict, resolve_column, trim_all_strings
+from refinery.operators.keys import latest_per_key
 from refinery.sources import schemas
 
 
@@ -31,16 +32,19 @@ def _with(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
     return df.withColumns(resolved)
 
 
-def silver_customers(bronze: DataFrame) -> DataFrame:
+def silver_customers(bronze: DataFrame, dedupe: bool = False) -> DataFrame:
     """CRM customers: trim, normalise marital status and gender, drop rows
-    without an id, rename.  Repeated ids are kept (see ``latest_per_key``)."""
+    without an id, rename.  Repeated ids are kept by default, as in the
+    source jobs; ``dedupe=True`` keeps the latest created row per id (ties
+    by customer number), an aggregate with map-side combine."""
     df = trim_all_strings(bronze)
     df = _with(df, {
         "cst_marital_status": codes.normalize_marital_status("cst_marital_status"),
         "cst_gndr": codes.normalize_gender_crm("cst_gndr"),
     })
     df = df.filter(F.col("cst_id").isNotNull())
-    return rename_strict(df, schemas.RENAME_CUSTOMERS)
+    df = rename_strict(df, schemas.RENAME_CUSTOMERS)
+    return latest_per_key(df, ["customer_id"], ["created_date"], ["customer_number"]) if dedupe else df
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:

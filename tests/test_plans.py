@@ -127,3 +127,12 @@ def test_current_product_dimension_on_a_literal_extract(spark):
     assert (pedal.category, pedal.subcategory, pedal.maintenance, pedal.cost) == (None, None, None, 18)
     assert (frame.cost, frame.maintenance, frame.product_line) == (0, "No", "n/a")
     assert [frame.product_key, helmet.product_key, pedal.product_key] == [1, 2, 3]   # by start date, then number
+
+
+def test_silver_customers_dedupe_option(spark, sf_small):
+    from refinery.sources.fixtures import fixture
+    raw = fixture(spark, sf_small, "f_cust_info")
+    kept = silver.silver_customers(raw)
+    deduped = silver.silver_customers(raw, dedupe=True)
+    assert kept.count() > deduped.count() == kept.select("customer_id").distinct().count()
+    assert sorted(map(tuple, deduped.collect())) == sorted(map(tuple, gold.latest_customers(kept).collect()))
