@@ -61,3 +61,14 @@ def coverage_ratio(df: DataFrame, covered: Column, threshold_pct: float = 50.0)
     ratio = (F.col("covered").cast("double") * 100.0) / F.nullif(F.col("total"), F.lit(0)).cast("double")
     return c.select("covered", "total", ratio.alias("ratio_pct"),
                     F.when(ratio < threshold_pct, 1).otherwise(0).alias("below"))
+
+
+def top_key_share(df: DataFrame, key: str) -> DataFrame:
+    """One row: the most frequent value of ``key`` (NULL included), its row
+    count, the total and its share.  Counts per key are combined on the map
+    side, so a hot key costs one row per map task."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    top = per_key.agg(F.max_by(F.col(key), F.col("rows")).alias("top_key"), F.max("rows").alias("top_rows"),
+                      F.sum("rows").alias("total_rows"))
+    return top.select("top_key", "top_rows", "total_rows",
+                      (F.col("top_rows") / F.nullif(F.col("total_rows"), F.lit(0))).alias("share"))

@@ -28,3 +28,27 @@ def test_customer_lookup_on_bucketed_tables_has_no_exchange(spark, sf_small):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         files.drop_layer_schemas(spark, prefix="bk_")
+
+
+def test_hot_customer_turns_bucketing_off(spark, sf_small):
+    import pytest
+    landing = scratch_path(spark, "test-hot-landing")
+    inputs = {s.fixture: fixture(spark, sf_small, s.fixture) for s in schemas.SOURCES}
+    sales = inputs["f_sales"]
+    inputs["f_sales"] = sales.withColumn(                        # half of all lines go to one customer
+        "sls_cust_id", F.when(F.col("sls_ord_num").substr(-1, 1).isin("0", "2", "4", "6", "8"), F.lit(7))
+        .otherwise(F.col("sls_cust_id")))
+    files.land_sources(inputs, landing)
+    names = layers.Layers.with_prefix("hot_", customer_buckets=8)
+    with pytest.warns(UserWarning, match="one customer holds"):
+        layers.run_all(spark, landing, names, scratch_path(spark, "test-hot-wh"), "2024-01-01").collect()
+    detail = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED hot_silver.crm_sales").collect()}
+    assert "Num Buckets" not in detail
+    files.drop_layer_schemas(spark, prefix="hot_")
+
+
+def test_top_key_share(spark):
+    from refinery.operators.aggregates import top_key_share
+    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,)], "k int")
+    row = top_key_share(df, "k").collect()[0]
+    assert (row.top_key, row.top_rows, row.total_rows, row.share) == (1, 3, 6, 0.5)
