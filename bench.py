@@ -67,20 +67,22 @@ def main() -> None:
     if os.path.isdir(warm):          # same plan shapes on tiny data: code generation and JIT warm-up
         for name in HEADLINE:
             run(spark, catalog.QUERIES[name], warm)
-        for fn in (surrogate_key_naive, dense_key_lineitem_x10, naive_key_lineitem_x10):
+        for fn in (surrogate_key_naive, dense_key_lineitem_x10, naive_key_lineitem_x10, catalog.QUERIES["layer_run"]):
             run(spark, fn, warm)
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     times = {}
     for name in HEADLINE:
         times[name] = round(min(run(spark, catalog.QUERIES[name], sf) for _ in range(runs)), 3)
     for name, fn in [("surrogate_key_naive", surrogate_key_naive), ("dense_key_lineitem_x10", dense_key_lineitem_x10),
-                     ("naive_key_lineitem_x10", naive_key_lineitem_x10)]:
+                     ("naive_key_lineitem_x10", naive_key_lineitem_x10),
+                     ("layer_run", catalog.QUERIES["layer_run"])]:
         times[name] = round(min(run(spark, fn, sf) for _ in range(runs)), 3)
     total = round(sum(v for k, v in times.items() if k in HEADLINE), 3)
     print(json.dumps({"metric": "headline_total_wall", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf).replace("sf", ""), "cpus": cpus, "runs": runs,
                       "note": "best of runs; the *_naive / *_x10 entries compare the dense key with the "
-                              "single-partition window and are not in the total"}))
+                              "single-partition window, layer_run is landing CSV to report over written "
+                              "tables; these are not in the total"}))
     spark.stop()
 
 

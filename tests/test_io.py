@@ -146,3 +146,16 @@ def test_incremental_load_of_all_extracts_matches_batch_silver(spark, sf_small):
         batch = job(batch_in, "2024-01-01") if job is silver.silver_erp_customers else job(batch_in)
         streamed = spark.read.parquet(out[target])
         assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, batch.collect()), key=str), target
+
+
+def test_concurrently_keeps_order_and_raises_first_failure():
+    import time as _t
+
+    from refinery.session import concurrently
+    assert concurrently(lambda: (_t.sleep(0.2), 1)[1], lambda: 2, lambda: 3) == [1, 2, 3]
+    assert concurrently() == [] and concurrently(lambda: 5) == [5]
+
+    def boom():
+        raise ValueError("bad step")
+    with pytest.raises(ValueError, match="bad step"):
+        concurrently(lambda: 1, boom)
