@@ -480,6 +480,16 @@ def q_ingest_csv(spark, sf):
     return files.ingest_csv(spark, f"{root}/source_crm/sales_details", schemas.SALES_DETAILS)
 
 
+@register("ingest_csv_inferred", with_ctes("""
+SELECT sls_ord_num, sls_prd_key, CAST(sls_cust_id AS INTEGER) AS sls_cust_id, sls_order_dt, sls_ship_dt, sls_due_dt,
+  sls_sales, sls_quantity, sls_price FROM f_sales""", "f_sales"))
+def q_ingest_csv_inferred(spark, sf):
+    """Type inference (an extra pass over the files): customer ids that fit
+    in 32 bits come back as INT."""
+    root = _landed(spark, sf)
+    return files.read_csv(spark, f"{root}/source_crm/sales_details", infer=True)
+
+
 @register("ingest_csv_strings", with_ctes("SELECT * FROM f_sales", "f_sales"))
 def q_ingest_csv_strings(spark, sf):
     root = _landed(spark, sf)
