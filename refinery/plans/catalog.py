@@ -527,6 +527,18 @@ def q_landing_files(spark, sf):
     return files.landing_files(spark, root)
 
 
+@register("landing_sources", with_ctes("\nUNION ALL\n".join(
+    f"SELECT '{s.path}' AS source, count(*) AS row_count FROM {s.fixture}" for s in schemas.SOURCES),
+    *[s.fixture for s in schemas.SOURCES]))
+def q_landing_sources(spark, sf):
+    """The landing listing summed per extract folder (file names differ per
+    run; the folders and their row totals do not)."""
+    root = _landed(spark, sf, tuple(s.fixture for s in schemas.SOURCES))
+    listing = files.landing_files(spark, root)
+    folder = F.regexp_extract("file_path", r"(source_[a-z]+/[^/]+)/[^/]+$", 1)
+    return listing.groupBy(folder.alias("source")).agg(F.sum("rows").alias("row_count"))
+
+
 # ---- silver and gold jobs ----------------------------------------------------------
 
 for _name, _fn, _cte in [
