@@ -11,8 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job of this library expects.  AQE re-plans joins from runtime
@@ -94,14 +94,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)      # known schema: no footer-inference job
 
 
-def concurrently(*calls: Callable[[], object], max_workers: int | None = None) -> list:
+def concurrently(*calls: Callable[[], object]) -> list:
     """Run independent driver-side steps (each submitting its own Spark jobs)
     from separate threads, so their jobs are scheduled side by side instead
     of one after another; results come back in call order and the first
     failure is raised.  Useful when single jobs are too small to fill the
-    cluster, e.g. building two dimensions or six silver tables."""
+    cluster, e.g. building two dimensions or six silver tables.
+
+    The threads are ``InheritableThread``s: they carry the caller's local
+    properties (job group, description, scheduler pool), so cancelling the
+    caller's job group also cancels the jobs started here."""
     if len(calls) <= 1:
         return [c() for c in calls]
-    with ThreadPoolExecutor(max_workers or len(calls)) as pool:
-        futures = [pool.submit(c) for c in calls]
-        return [f.result() for f in futures]
+    results: list = [None] * len(calls)
+    errors: list = [None] * len(calls)
+
+    def run(i: int, call: Callable[[], object]) -> None:
+        try:
+            results[i] = call()
+        except BaseException as exc:  # noqa: BLE001 - re-raised in the caller's thread
+            errors[i] = exc
+
+    threads = [InheritableThread(target=run, args=(i, c)) for i, c in enumerate(calls)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    for e in errors:
+        if e is not None:
+            raise e
+    return results

@@ -159,3 +159,16 @@ def test_concurrently_keeps_order_and_raises_first_failure():
         raise ValueError("bad step")
     with pytest.raises(ValueError, match="bad step"):
         concurrently(lambda: 1, boom)
+
+
+def test_concurrently_threads_inherit_the_job_group(spark):
+    from refinery.session import concurrently
+    sc = spark.sparkContext
+    sc.setJobGroup("refinery-test-group", "inherit check")
+    try:
+        seen = concurrently(lambda: sc.getLocalProperty("spark.jobGroup.id"),
+                            lambda: sc.getLocalProperty("spark.jobGroup.id"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert seen == ["refinery-test-group", "refinery-test-group"]
