@@ -74,3 +74,17 @@ def test_latest_per_key_null_dates_are_oldest(spark):
                                "k string, d string, id int")
     got = {r.k: r.id for r in latest_per_key(df, ["k"], ["d"], ["id"]).collect()}
     assert got == {"p": 2, "q": 3}
+
+
+def test_latest_per_key_null_key_group_and_ties(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 3, "b"), ("k", 2, "x"), ("k", 2, "y"), ("k", None, "z")],
+                               "k string, d int, v string")
+    got = sorted(map(tuple, latest_per_key(df, ["k"], ["d"], ["v"]).collect()), key=str)
+    want = sorted(map(tuple, latest_per_key_window(df, ["k"], ["d"], ["v"]).collect()), key=str)
+    assert got == want == sorted([(None, 3, "b"), ("k", 2, "y")], key=str)
+
+
+def test_dense_key_orders_descending_columns(spark):
+    df = spark.createDataFrame([(1, "a"), (3, "b"), (2, "c"), (None, "d")], "x int, y string")
+    got = {r.y: r.k for r in dense_key(df, [F.col("x").desc_nulls_last()], "k").collect()}
+    assert got == {"b": 1, "c": 2, "a": 3, "d": 4}
