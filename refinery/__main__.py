@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command in ("run", "validate"):
         report = (layers.run_all(spark, a.landing, names, a.warehouse, a.as_of) if a.command == "run"
                   else layers.report(spark, names))
-        rows = report.orderBy("check_id").collect()        # 28 rows: the report itself
+        rows = report.orderBy("check_id").collect()        # one row per check: the report itself
         for r in rows:
             print(f"{r.status:5} {r.check_id:3} {r.check_name:58} {r.value}")
         counts = {s: sum(1 for r in rows if r.status == s) for s in ("pass", "warn", "fail")}

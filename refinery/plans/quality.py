@@ -3,7 +3,7 @@
 The 22 checks of the validation notebook (row counts, layer consistency,
 NULL keys, value domains, key uniqueness, orphan keys, business rules) plus
 the ones the gold design calls for (fact rows vs sales rows, NULL surrogate
-keys, uniqueness of every lookup side).
+keys, uniqueness of every lookup side, products without a category).
 
 Execution: one aggregate per table computes all of that table's metrics in a
 single scan; the metric rows are unioned, folded into one row, turned into
@@ -66,6 +66,7 @@ CHECKS = (
     Check(26, "erp_customers.customer_number unique", "erp_number_dups", warn_only=True),
     Check(27, "erp_customer_location.customer_number unique", "location_number_dups", warn_only=True),
     Check(28, "erp_product_category.category_id unique", "category_id_dups", warn_only=True),
+    Check(29, "dim_products.category resolved", "product_category_missing", warn_only=True),
 )
 
 REPORT_COLUMNS = ["check_id", "check_name", "severity", "value", "status"]
@@ -125,7 +126,8 @@ def dq_report(bronze_cust: DataFrame, bronze_sales: DataFrame, customers: DataFr
             "customer_key_null": _count_if(F.col("customer_key").isNull()),
             "country_covered": _count_if(F.col("country").isNotNull() & (F.col("country") != "n/a")),
         }),
-        _metrics(dim_p, {"product_key_null": _count_if(F.col("product_key").isNull())}),
+        _metrics(dim_p, {"product_key_null": _count_if(F.col("product_key").isNull()),
+                         "product_category_missing": _count_if(F.col("category").isNull())}),
         _metrics(fact, {
             "fact_rows": F.count(F.lit(1)),
             "fact_product_key_null": _count_if(F.col("product_key").isNull()),

@@ -66,7 +66,8 @@ def test_rerun_gives_same_result(spark, sf_small):
 
 def test_report_statuses(spark, sf_small):
     rep = {r.check_id: r for r in catalog.QUERIES["dq_report"](spark, sf_small).collect()}
-    assert len(rep) == 28
+    assert len(rep) == 29
+    assert rep[29].status == "warn"                 # a category the products use is missing
     assert rep[1].status == "pass" and rep[3].status == "pass"
     assert rep[5].value == 0                        # silver keeps every sales row
     assert rep[17].status == "warn"                 # repeated customer ids in the source
