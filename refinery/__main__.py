@@ -2,7 +2,7 @@
 
     python -m refinery init     --warehouse ROOT [--prefix P]
     python -m refinery run      --landing DIR --warehouse ROOT [--prefix P] [--as-of YYYY-MM-DD]
-                                [--customer-buckets N]
+                                [--customer-buckets N] [--fact-by-month]
     python -m refinery bronze   --landing DIR [--prefix P]
     python -m refinery silver   [--prefix P] [--as-of YYYY-MM-DD]
     python -m refinery gold     [--prefix P]
@@ -49,10 +49,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--tables")
     ap.add_argument("--customer-buckets", dest="customer_buckets", type=int,
                     help="bucket silver sales and the customer dimension on customer_id")
+    ap.add_argument("--fact-by-month", dest="fact_by_month", action="store_true",
+                    help="write the fact partitioned by order month")
     a = ap.parse_args(argv)
 
     spark = _session()
-    names = layers.Layers.with_prefix(a.prefix, a.customer_buckets)
+    names = layers.Layers.with_prefix(a.prefix, a.customer_buckets, a.fact_by_month)
     if a.command == "init":
         layers.create_layers(spark, names, a.warehouse)
     elif a.command == "bronze":

@@ -15,6 +15,7 @@ import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from refinery.operators.aggregates import top_key_share
 from refinery.plans import gold, quality, silver
@@ -33,10 +34,13 @@ class Layers:
     # sort-merge join without a shuffle on either side (for a customer
     # dimension too large to broadcast).
     customer_buckets: int | None = None
+    # When set, the fact table carries ``order_month`` (first day of the order
+    # month) and is written partitioned by it, so date filters prune folders.
+    fact_by_month: bool = False
 
     @classmethod
-    def with_prefix(cls, prefix: str, customer_buckets: int | None = None) -> Layers:
-        return cls(prefix + "bronze", prefix + "silver", prefix + "gold", customer_buckets)
+    def with_prefix(cls, prefix: str, customer_buckets: int | None = None, fact_by_month: bool = False) -> Layers:
+        return cls(prefix + "bronze", prefix + "silver", prefix + "gold", customer_buckets, fact_by_month)
 
     def bucketing(self, table: str) -> dict:
         if self.customer_buckets and table in ("crm_sales", "dim_customers"):
@@ -89,7 +93,12 @@ def run_gold(spark: SparkSession, layers: Layers) -> dict[str, str]:
     concurrently(customers, products)           # independent; the fact needs both
     fact = gold.fact_sales(t("crm_sales"), spark.table(layers.table("gold", "dim_products")),
                            spark.table(layers.table("gold", "dim_customers")))
-    files.write_table(fact, layers.table("gold", "fact_sales"))
+    if layers.fact_by_month:
+        fact = fact.withColumn("order_month", F.trunc("order_date", "month"))
+        files.write_table(fact, layers.table("gold", "fact_sales"), partition_by="order_month",
+                          spread_by=("order_number",))
+    else:
+        files.write_table(fact, layers.table("gold", "fact_sales"))
     return {n: layers.table("gold", n) for n in ("dim_customers", "dim_products", "fact_sales")}
 
 

@@ -57,12 +57,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, table: str, mode: str = "overwrite",
-                bucket_by: str | None = None, buckets: int | None = None) -> None:
-    """Full-refresh write of a catalog table.  With ``bucket_by`` the table is
-    hash-bucketed (and sorted) on that column into ``buckets`` buckets; rows
-    are first spread into exactly that many partitions so each bucket is one
-    file, not one file per writing task."""
-    if bucket_by:
+                bucket_by: str | None = None, buckets: int | None = None,
+                partition_by: str | None = None, spread_by: tuple[str, ...] = ()) -> None:
+    """Full-refresh write of a catalog table.
+
+    With ``bucket_by`` the table is hash-bucketed (and sorted) on that column
+    into ``buckets`` buckets; rows are first spread into exactly that many
+    partitions so each bucket is one file, not one file per writing task.
+
+    With ``partition_by`` the table gets one folder per value (partition
+    pruning for filters on it).  Rows are first range-partitioned on the
+    partition column and ``spread_by``, so each task covers a contiguous
+    stretch of values and writes few files, while a value holding many rows
+    is still split over several tasks by the trailing columns."""
+    if partition_by:
+        ranged = df.repartitionByRange(partition_by, *spread_by)
+        ranged.write.mode(mode).format(TABLE_FORMAT).partitionBy(partition_by).saveAsTable(table)
+    elif bucket_by:
         df = df.repartition(buckets, bucket_by)
         (df.write.mode(mode).format(TABLE_FORMAT).bucketBy(buckets, bucket_by).sortBy(bucket_by)
            .saveAsTable(table))

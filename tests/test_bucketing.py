@@ -52,3 +52,19 @@ def test_top_key_share(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,)], "k int")
     row = top_key_share(df, "k").collect()[0]
     assert (row.top_key, row.top_rows, row.total_rows, row.share) == (1, 3, 6, 0.5)
+
+
+def test_fact_partitioned_by_month_prunes_on_date_filters(spark, sf_small):
+    import datetime as dt
+    landing = scratch_path(spark, "test-month-landing")
+    files.land_sources({s.fixture: fixture(spark, sf_small, s.fixture) for s in schemas.SOURCES}, landing)
+    names = layers.Layers.with_prefix("pm_", fact_by_month=True)
+    report = {r.check_id: r for r in
+              layers.run_all(spark, landing, names, scratch_path(spark, "test-month-wh"), "2024-01-01").collect()}
+    fact = spark.table(names.table("gold", "fact_sales"))
+    assert report[3].value == fact.count() > 0
+    one_month = fact.filter(F.col("order_month") == F.lit(dt.date(1995, 3, 1)))
+    plan = one_month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan
+    assert one_month.count() == fact.filter("order_date >= DATE '1995-03-01' AND order_date < DATE '1995-04-01'").count()
+    files.drop_layer_schemas(spark, prefix="pm_")
