@@ -47,3 +47,32 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     c = child.filter(F.col(child_key).isNotNull()) if ignore_null else child
     p = parent.select(F.col(pk).alias("__pk")).filter(F.col("__pk").isNotNull())
     return c.join(p, c[child_key] == p["__pk"], "left_anti")
+
+
+def salted_left_lookup(left: DataFrame, right: DataFrame, key: str, salts: int = 16,
+                       min_share: float | None = None) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` that stays balanced when a few keys
+    hold a large share of ``left`` (a sort-merge join would put each of them
+    in one task).
+
+    Keys holding at least ``min_share`` of the left rows (default 1 / (4 *
+    salts); there are at most 1 / min_share of them, so the list has a proven
+    bound and is broadcast) are split: each left row of such a key gets a
+    salt from a hash of its own columns (deterministic on retry), and that
+    key's right rows are repeated once per salt.  Every left row still meets
+    exactly the right rows it would have met; other keys keep salt 0.  Per-key
+    counts are combined on the map side, so finding the hot keys shuffles one
+    row per key and map task."""
+    min_share = min_share if min_share is not None else 1.0 / (4 * salts)
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).collect()[0][0] or 0           # one number
+    hot = F.broadcast(counts.filter(F.col("__n") >= F.lit(min_share * total))
+                      .select(F.col(key), F.lit(True).alias("__hot")))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
+    lft = (left.join(hot, key, "left")
+               .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0).cast("long")))
+               .drop("__hot"))
+    reps = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))) \
+        .otherwise(F.array(F.lit(0).cast("long")))
+    rgt = right.join(hot, key, "left").withColumn("__salt", F.explode(reps)).drop("__hot")
+    return lft.join(rgt, [key, "__salt"], "left").drop("__salt")

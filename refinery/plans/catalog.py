@@ -584,6 +584,13 @@ def q_fact_sales(spark, sf):
     return gold.fact_sales(s_sales(spark, sf), dp, dc)
 
 
+@register("fact_sales_salted", with_ctes("SELECT * FROM fact_sales", "fact_sales"))
+def q_fact_sales_salted(spark, sf):
+    """The sales fact with the customer join salted for hot customers (same rows)."""
+    dc, dp = both_dims(spark, sf)
+    return gold.fact_sales(s_sales(spark, sf), dp, dc, salt_customers=8)
+
+
 @register("fact_sales_current", with_ctes("SELECT * FROM fact_sales_current", "fact_sales_current"))
 def q_fact_sales_current(spark, sf):
     dc, dp = concurrently(

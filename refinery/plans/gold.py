@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.codes import boolean_to_flag, merge_gender
-from refinery.operators.joins import sized_broadcast
+from refinery.operators.joins import salted_left_lookup, sized_broadcast
 from refinery.operators.keys import dense_key, latest_per_key
 from refinery.session import materialize
 
@@ -132,9 +132,17 @@ def fact_key_lookup(sales: DataFrame, dim_p: DataFrame) -> DataFrame:
                                                           "customer_id")
 
 
-def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame) -> DataFrame:
-    """Sales fact: the silver sales lines with product and customer surrogate keys."""
+def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
+               salt_customers: int | None = None) -> DataFrame:
+    """Sales fact: the silver sales lines with product and customer surrogate
+    keys.  ``salt_customers`` splits customers that hold a large share of the
+    sales over that many sub-keys for the customer join (see
+    ``salted_left_lookup``) instead of relying on AQE's skew split."""
     p = _key_lookup(dim_p, "product_number", "product_key")
     c = _key_lookup(dim_c, "customer_id", "customer_key")
-    joined = sales.join(p, "product_number", "left").join(c, "customer_id", "left")
+    with_product = sales.join(p, "product_number", "left")
+    if salt_customers:
+        joined = salted_left_lookup(with_product, c, "customer_id", salts=salt_customers)
+    else:
+        joined = with_product.join(c, "customer_id", "left")
     return joined.select(*FACT_COLUMNS)

@@ -81,3 +81,29 @@ def test_broadcast_size_check_is_bounded(spark):
     assert not rows_at_most(huge, 1000)
     assert time.perf_counter() - t0 < 30
     assert rows_at_most(spark.range(10), 10)
+
+
+def test_salted_lookup_equals_plain_join_and_spreads_a_hot_key(spark):
+    from refinery.operators.joins import salted_left_lookup
+    n = 40000
+    left = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"), F.col("id").alias("v"))
+    right = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w")) \
+        .unionByName(spark.createDataFrame([(7, -1)], "k long, w long"))         # the hot key has two rows
+    plain = left.join(right, "k", "left")
+    salted = salted_left_lookup(left, right, "k", salts=8)
+    assert sorted(map(tuple, salted.select("k", "v", "w").collect())) == \
+        sorted(map(tuple, plain.select("k", "v", "w").collect()))
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")        # no AQE split: only the salt can balance
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def max_share(df):
+            parts = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+            return max(r["count"] for r in parts) / sum(r["count"] for r in parts)
+        assert max_share(plain) > 0.6                             # the hot key sits in one task
+        assert max_share(salted) < 0.4                            # spread over the salts
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
