@@ -2,7 +2,7 @@
 
     python -m refinery init     --warehouse ROOT [--prefix P]
     python -m refinery run      --landing DIR --warehouse ROOT [--prefix P] [--as-of YYYY-MM-DD]
-                                [--customer-buckets N] [--fact-by-month]
+                                [--customer-buckets N] [--fact-by-month] [--salt-customers N]
     python -m refinery bronze   --landing DIR [--prefix P]
     python -m refinery silver   [--prefix P] [--as-of YYYY-MM-DD]
     python -m refinery gold     [--prefix P]
@@ -51,10 +51,12 @@ def main(argv: list[str] | None = None) -> int:
                     help="bucket silver sales and the customer dimension on customer_id")
     ap.add_argument("--fact-by-month", dest="fact_by_month", action="store_true",
                     help="write the fact partitioned by order month")
+    ap.add_argument("--salt-customers", dest="salt_customers", type=int,
+                    help="salt the fact's customer join for hot customers over N sub-keys")
     a = ap.parse_args(argv)
 
     spark = _session()
-    names = layers.Layers.with_prefix(a.prefix, a.customer_buckets, a.fact_by_month)
+    names = layers.Layers.with_prefix(a.prefix, a.customer_buckets, a.fact_by_month, a.salt_customers)
     if a.command == "init":
         layers.create_layers(spark, names, a.warehouse)
     elif a.command == "bronze":

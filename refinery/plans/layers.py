@@ -37,10 +37,15 @@ class Layers:
     # When set, the fact table carries ``order_month`` (first day of the order
     # month) and is written partitioned by it, so date filters prune folders.
     fact_by_month: bool = False
+    # When set, the fact's customer join is salted over this many sub-keys
+    # for customers holding a large share of the sales.
+    salt_customers: int | None = None
 
     @classmethod
-    def with_prefix(cls, prefix: str, customer_buckets: int | None = None, fact_by_month: bool = False) -> Layers:
-        return cls(prefix + "bronze", prefix + "silver", prefix + "gold", customer_buckets, fact_by_month)
+    def with_prefix(cls, prefix: str, customer_buckets: int | None = None, fact_by_month: bool = False,
+                    salt_customers: int | None = None) -> Layers:
+        return cls(prefix + "bronze", prefix + "silver", prefix + "gold", customer_buckets, fact_by_month,
+                   salt_customers)
 
     def bucketing(self, table: str) -> dict:
         if self.customer_buckets and table in ("crm_sales", "dim_customers"):
@@ -92,7 +97,7 @@ def run_gold(spark: SparkSession, layers: Layers) -> dict[str, str]:
 
     concurrently(customers, products)           # independent; the fact needs both
     fact = gold.fact_sales(t("crm_sales"), spark.table(layers.table("gold", "dim_products")),
-                           spark.table(layers.table("gold", "dim_customers")))
+                           spark.table(layers.table("gold", "dim_customers")), salt_customers=layers.salt_customers)
     if layers.fact_by_month:
         fact = fact.withColumn("order_month", F.trunc("order_date", "month"))
         files.write_table(fact, layers.table("gold", "fact_sales"), partition_by="order_month",

@@ -68,3 +68,16 @@ def test_fact_partitioned_by_month_prunes_on_date_filters(spark, sf_small):
     assert "PartitionFilters: [isnotnull(order_month" in plan
     assert one_month.count() == fact.filter("order_date >= DATE '1995-03-01' AND order_date < DATE '1995-04-01'").count()
     files.drop_layer_schemas(spark, prefix="pm_")
+
+
+def test_layer_run_with_salted_customer_join_writes_the_same_fact(spark, sf_small):
+    landing = scratch_path(spark, "test-salt-landing")
+    files.land_sources({s.fixture: fixture(spark, sf_small, s.fixture) for s in schemas.SOURCES}, landing)
+    plain, salted = layers.Layers.with_prefix("sp_"), layers.Layers.with_prefix("ss_", salt_customers=4)
+    for names in (plain, salted):
+        layers.run_all(spark, landing, names, scratch_path(spark, "test-salt-wh"), "2024-01-01").collect()
+    a = spark.table(plain.table("gold", "fact_sales"))
+    b = spark.table(salted.table("gold", "fact_sales"))
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    files.drop_layer_schemas(spark, prefix="sp_")
+    files.drop_layer_schemas(spark, prefix="ss_")
