@@ -21,7 +21,7 @@ from refinery.session import build_session  # noqa: E402
 from refinery.operators.keys import ranked_partitions  # noqa: E402
 from refinery.plans import gold  # noqa: E402
 
-HEADLINE = ["silver_sales", "fact_sales", "fact_sales_current", "latest_per_key", "dq_report"]
+HEADLINE = ["silver_sales", "fact_sales", "fact_sales_current", "fact_sales_salted", "latest_per_key", "dq_report"]
 
 
 def extra_plans(spark, sf):
