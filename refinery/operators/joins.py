@@ -60,7 +60,8 @@ def salted_left_lookup(left: DataFrame, right: DataFrame, key: str, salts: int =
     bound and is broadcast) are split: each left row of such a key gets a
     salt from a hash of its own columns (deterministic on retry), and that
     key's right rows are repeated once per salt.  Every left row still meets
-    exactly the right rows it would have met; other keys keep salt 0.  Per-key
+    exactly the right rows it would have met; other keys keep salt 0, except
+    NULL keys, which match nothing and are spread as well.  Per-key
     counts are combined on the map side, so finding the hot keys shuffles one
     row per key and map task."""
     min_share = min_share if min_share is not None else 1.0 / (4 * salts)
@@ -69,8 +70,10 @@ def salted_left_lookup(left: DataFrame, right: DataFrame, key: str, salts: int =
     hot = F.broadcast(counts.filter(F.col("__n") >= F.lit(min_share * total))
                       .select(F.col(key), F.lit(True).alias("__hot")))
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
+    # NULL keys never match, so spreading them is free (and NULL is a common hot key)
+    spread = F.col("__hot") | F.col(key).isNull()
     lft = (left.join(hot, key, "left")
-               .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0).cast("long")))
+               .withColumn("__salt", F.when(spread, salt).otherwise(F.lit(0).cast("long")))
                .drop("__hot"))
     reps = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))) \
         .otherwise(F.array(F.lit(0).cast("long")))

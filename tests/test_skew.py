@@ -107,3 +107,22 @@ def test_salted_lookup_equals_plain_join_and_spreads_a_hot_key(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_salted_lookup_spreads_a_hot_null_key(spark):
+    from refinery.operators.joins import salted_left_lookup
+    left = spark.range(30000).select(
+        F.when(F.col("id") % 3 != 0, F.lit(None)).otherwise(F.col("id") % 500).cast("long").alias("k"),
+        F.col("id").alias("v"))
+    right = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    salted = salted_left_lookup(left, right, "k", salts=8)
+    assert salted.count() == 30000 and salted.filter("k IS NULL AND w IS NOT NULL").count() == 0
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = salted.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert max(r["count"] for r in parts) / 30000 < 0.4      # two thirds are NULL keys, yet spread
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
