@@ -133,7 +133,7 @@ def fact_key_lookup(sales: DataFrame, dim_p: DataFrame) -> DataFrame:
 
 
 def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
-               salt_customers: int | None = None) -> DataFrame:
+               salt_customers: int | None = None, salt_min_share: float | None = None) -> DataFrame:
     """Sales fact: the silver sales lines with product and customer surrogate
     keys.  ``salt_customers`` splits customers that hold a large share of the
     sales over that many sub-keys for the customer join (see
@@ -142,7 +142,7 @@ def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
     c = _key_lookup(dim_c, "customer_id", "customer_key")
     with_product = sales.join(p, "product_number", "left")
     if salt_customers:
-        joined = salted_left_lookup(with_product, c, "customer_id", salts=salt_customers)
+        joined = salted_left_lookup(with_product, c, "customer_id", salts=salt_customers, min_share=salt_min_share)
     else:
         joined = with_product.join(c, "customer_id", "left")
     return joined.select(*FACT_COLUMNS)
