@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     from refinery.sources import files
     from refinery.sources.fixtures import bronze_inputs
 
-    ap = argparse.ArgumentParser(prog="refinery")
+    ap = argparse.ArgumentParser(prog="refinery", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("command", choices=["init", "run", "bronze", "silver", "gold", "validate", "reset",
                                         "stream", "land-fixtures"])
     ap.add_argument("--landing")
