@@ -23,3 +23,18 @@ def test_sized_broadcast_only_marks_small_sides(spark):
     plan_small = small.join(sized_broadcast(small, 100), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan_small
     assert sized_broadcast(big, 100) is big          # over the bound: returned unchanged, the planner decides
+
+
+def test_salted_lookup_without_hot_keys_is_the_plain_join(spark):
+    from refinery.operators.joins import salted_left_lookup
+    from pyspark.sql import functions as F
+    left = spark.range(2000).select((F.col("id") % 500).alias("k"))
+    right = spark.range(500).withColumnRenamed("id", "k")
+    got = sorted(r.k for r in salted_left_lookup(left, right, "k", salts=4, min_share=0.5).collect())
+    assert got == sorted(r.k for r in left.join(right, "k", "left").collect())
+
+
+def test_top_key_share_on_an_empty_table(spark):
+    from refinery.operators.aggregates import top_key_share
+    row = top_key_share(spark.createDataFrame([], "k int"), "k").collect()[0]
+    assert row.top_rows is None and row.share is None
