@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,10 +57,11 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     seeded order.  Repeated rows are documents of their own.
 
     The fractional repetition takes a source's documents in a seeded hash
-    order until its words are nearest to the target.  The order is cut into
-    hash buckets: bucket totals find the bucket in which the cut lies, and
-    only that bucket's rows are summed one by one, so a source with a third of
-    all rows is no one task's work.  The same input gives the same mix."""
+    order until its words are near the target.  The order is cut into hash
+    buckets: bucket totals find the bucket in which the cut lies, and only
+    that bucket's rows (about ``rows_per_bucket``) are gone through one by one,
+    so a source with a third of all rows is no one task's work.  The same
+    input gives the same mix."""
     size = F.regexp_count(F.coalesce(F.col(text_column), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     draw = F.xxhash64(F.lit(seed), F.col(id_column), F.xxhash64(F.col(text_column)))
     rows = numbered(docs, {"id": F.col(id_column), "source": F.col(source_column), "size": size, "draw": draw}, "mix-rows")
@@ -80,10 +83,8 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
                        .select("source", "cut.bucket", "cut.before"), "mix-cuts")
     marked = spread.join(cuts.select(F.col("source").alias("s"), F.col("bucket").alias("cut"), "before"),
                          F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    upto = Window.partitionBy("source").orderBy("draw", "id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = marked.filter(F.col("bucket") == F.col("cut")).withColumn("sum", F.col("before") + F.sum("size").over(upto))
-    # a document that crosses the target is taken if that comes nearer to it
-    edge = edge.withColumn("more", (F.col("sum") - F.col("size") / 2 <= F.col("extra")).cast("long"))
+    edge = (marked.filter(F.col("bucket") == F.col("cut")).groupBy("source")
+            .applyInPandas(fill_edge, marked.withColumn("more", F.lit(0).cast("long")).schema))
     # without a cut the extra words are none, or (up to rounding) all of the source
     rest = marked.filter(F.col("cut").isNull() | (F.col("bucket") != F.col("cut"))).withColumn(
         "more", F.when(F.col("cut").isNotNull(), F.col("bucket") < F.col("cut")).otherwise(F.col("extra") > 0).cast("long"))
@@ -91,6 +92,22 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     return rest.select(*cols).unionByName(edge.select(*cols))
 
 
+def fill_edge(bucket: pd.DataFrame) -> pd.DataFrame:
+    """``more`` = 1 for the documents of a cut bucket that the fractional
+    repetition takes: in seeded order each one that still fits, then the one
+    that brings the sum nearer to the target, if there is one."""
+    bucket = bucket.sort_values(["draw", "id", "row"]).assign(more=0)
+    gap = bucket["extra"].iloc[0] - bucket["before"].iloc[0]
+    sizes, take = bucket["size"].to_numpy(), np.zeros(len(bucket), np.int64)
+    for i, n in enumerate(sizes):
+        if n <= gap:
+            take[i], gap = 1, gap - n
+    rest = np.flatnonzero((take == 0) & (sizes < 2 * gap))
+    if len(rest):
+        take[rest[np.argmin(np.abs(sizes[rest] - gap))]] = 1
+    return bucket.assign(more=take)
+
+
 def _plan(sources: DataFrame, max_epochs: float, rows_per_bucket: int) -> DataFrame:
     """Per source: target, whole repetitions, words of the fractional one, and
     into how many buckets its rows are cut."""
