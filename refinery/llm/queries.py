@@ -8,13 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.llm.common import table
+from refinery.llm.decontaminate import contamination
 from refinery.llm.exact_dedup import refine
+from refinery.llm.language import held_out, identify, train_on_open_part
 from refinery.llm.mixing import mix
 from refinery.llm.sharding import pack
+from refinery.llm.tokens import read_token_files, write_token_files
+from refinery.llm.warc import round_trip
+from refinery.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    out = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op2_warc_salvage(spark: SparkSession, sf: str) -> DataFrame:
+    back = round_trip(table(spark, sf, "pages"))
+    return back.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op3_vector_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = pack(table(spark, sf, "documents"), shards=40, overhead=16)
     return packed.select(F.col("id").alias("doc_id"), F.col("bytes").alias("size"), F.col("crc32").alias("text_crc32"),
@@ -28,15 +45,32 @@ def op4_water_filling(spark: SparkSession, sf: str) -> DataFrame:
                         (F.col("times") * F.col("size")).cast("long").alias("taken"))
 
 
+def op5_seekable_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "tokens")
+    manifest = write_token_files(table(spark, sf, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(manifest, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_progressive_refinement(spark: SparkSession, sf: str) -> DataFrame:
     out = refine(table(spark, sf, "documents"), digest_all=True)
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op10_hierarchical_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return identify(docs, train_on_open_part(docs), carry={"doc_id": F.col("doc_id"), "held_out": held_out()})
+
+
 QUERIES: dict[str, Query] = {
+    "op1_winnowing": op1_winnowing,
+    "op2_warc_salvage": op2_warc_salvage,
     "op3_vector_packing": op3_vector_packing,
     "op4_water_filling": op4_water_filling,
+    "op5_seekable_tokens": op5_seekable_tokens,
     "op6_progressive_refinement": op6_progressive_refinement,
+    "op10_hierarchical_language": op10_hierarchical_language,
 }
 
 ORACLE: dict[str, str] = {
