@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from refinery.llm.common import table
 from refinery.llm.decontaminate import contamination
 from refinery.llm.exact_dedup import refine
+from refinery.llm.jaccard_join import similar_groups
 from refinery.llm.language import held_out, identify, train_on_open_part
 from refinery.llm.mixing import mix
 from refinery.llm.sharding import pack
@@ -58,6 +59,11 @@ def op6_progressive_refinement(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op9_set_relation_skipping(spark: SparkSession, sf: str) -> DataFrame:
+    groups = similar_groups(table(spark, sf, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op10_hierarchical_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return identify(docs, train_on_open_part(docs), carry={"doc_id": F.col("doc_id"), "held_out": held_out()})
@@ -70,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_water_filling": op4_water_filling,
     "op5_seekable_tokens": op5_seekable_tokens,
     "op6_progressive_refinement": op6_progressive_refinement,
+    "op9_set_relation_skipping": op9_set_relation_skipping,
     "op10_hierarchical_language": op10_hierarchical_language,
 }
 
