@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from refinery.llm.common import table
 from refinery.llm.decontaminate import contamination
 from refinery.llm.exact_dedup import refine
+from refinery.llm.html_main import extract, learn
 from refinery.llm.jaccard_join import similar_groups
 from refinery.llm.language import held_out, identify, train_on_open_part
 from refinery.llm.mixing import mix
@@ -59,6 +60,11 @@ def op6_progressive_refinement(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op8_maximum_subsequence(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return extract(pages, learn(pages))
+
+
 def op9_set_relation_skipping(spark: SparkSession, sf: str) -> DataFrame:
     groups = similar_groups(table(spark, sf, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
@@ -76,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op4_water_filling": op4_water_filling,
     "op5_seekable_tokens": op5_seekable_tokens,
     "op6_progressive_refinement": op6_progressive_refinement,
+    "op8_maximum_subsequence": op8_maximum_subsequence,
     "op9_set_relation_skipping": op9_set_relation_skipping,
     "op10_hierarchical_language": op10_hierarchical_language,
 }
