@@ -15,6 +15,7 @@ from refinery.llm.jaccard_join import similar_groups
 from refinery.llm.language import held_out, identify, train_on_open_part
 from refinery.llm.mixing import mix
 from refinery.llm.sharding import pack
+from refinery.llm.suffix_dedup import remove_repeats
 from refinery.llm.tokens import read_token_files, write_token_files
 from refinery.llm.warc import round_trip
 from refinery.session import scratch_path
@@ -60,6 +61,12 @@ def op6_progressive_refinement(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op7_prefix_doubling(spark: SparkSession, sf: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      "kept_sha256")
+
+
 def op8_maximum_subsequence(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
     return extract(pages, learn(pages))
@@ -82,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op4_water_filling": op4_water_filling,
     "op5_seekable_tokens": op5_seekable_tokens,
     "op6_progressive_refinement": op6_progressive_refinement,
+    "op7_prefix_doubling": op7_prefix_doubling,
     "op8_maximum_subsequence": op8_maximum_subsequence,
     "op9_set_relation_skipping": op9_set_relation_skipping,
     "op10_hierarchical_language": op10_hierarchical_language,
