@@ -95,14 +95,14 @@ def repeat(values: list[int], parts: list[np.ndarray], kind) -> pa.Array:
 
 
 def classes(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n_shingles, class) of every row."""
+    """(id, text_hash, n_shingles, class) of every row."""
     id_type = dict(docs.dtypes)["id"]
 
     def emit(batch, sets):
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for _, _, s in sets], pa.int64()),
-                                           pa.array([c for _, c, _ in sets], pa.int64())], ["id", "n_shingles", "class"])
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_hash"), pa.array([len(s) for _, _, s in sets], pa.int64()),
+                                           pa.array([c for _, c, _ in sets], pa.int64())], ["id", "text_hash", "n_shingles", "class"])
 
-    return scan(docs, k, f"id {id_type}, n_shingles long, class long", emit)
+    return scan(docs, k, f"id {id_type}, text_hash long, n_shingles long, class long", emit)
 
 
 def prefix_counts(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -244,18 +244,20 @@ def links_between(index: DataFrame, sets: DataFrame, members: DataFrame, known:
 
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = SHINGLE,
                    similarity: tuple[int, int] = SIMILARITY, frequent: int = FREQUENT, rounds: int = STAR_ROUNDS) -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``n_shingles``, ``class`` (equal
-    for equal shingle sets) and ``component`` (the smallest id that links
-    reach).
+    """One row per row of ``docs``: ``id``, ``text_hash``, ``n_shingles``, ``class`` (equal
+    for equal shingle sets), ``component`` (the smallest id that links reach)
+    and ``component_text`` (the text hash of that row).
 
     Words are runs without ASCII white space, A-Z in lower case.  A null or
     empty text has no shingles and its row is alone.  Rows may repeat; null ids
     never name a component unless all its ids are null.  Sets are compared by
     64-bit shingle hashes and classes by a 64-bit hash of the set."""
     num, den = similarity
-    docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.xxhash64(id_column).alias("id_hash"))
+    docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.xxhash64(id_column).alias("id_hash"),
+                       F.xxhash64(text_column).alias("text_hash"))
     rows = materialize(classes(docs, k), "jaccard-rows")
-    first = materialize(rows.filter("n_shingles > 0").groupBy("class").agg(F.min("id").alias("first")), "jaccard-classes")
+    lowest = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "text_hash"))
+    first = materialize(rows.filter("n_shingles > 0").groupBy("class").agg(lowest.alias("first")), "jaccard-classes")
 
     counts = materialize(prefix_counts(docs, k, num, den), "jaccard-counts")
     entries = index_entries(docs, k, num, den, bitmap_of(counts.filter(F.col("n") >= frequent), "s"),
@@ -265,7 +267,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     index = materialize(entries.join(several, "s"), "jaccard-index")
 
     wanted = materialize(index.select("class").distinct(), "jaccard-wanted")
-    holders = first.join(wanted, "class").select(F.xxhash64("first").alias("h"))
+    holders = first.join(wanted, "class").select(F.xxhash64("first.id").alias("h"))
     sets = materialize(needed_sets(docs, k, bitmap_of(wanted, "class"), bitmap_of(holders, "h")), "jaccard-sets")
 
     members, known = stars(index, sets, rounds, num, den)
@@ -274,6 +276,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     named = first.join(root, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     label = named.join(smallest, "root").select("class", "component")
-    full = rows.join(label, "class", "left")
-    return full.select("id", "n_shingles", "class", F.when(F.col("n_shingles") > 0, F.col("component"))
-                       .otherwise(F.col("id")).alias("component"))
+    full, some = rows.join(label, "class", "left"), F.col("n_shingles") > 0
+    return full.select("id", "text_hash", "n_shingles", "class",
+                       F.when(some, F.col("component.id")).otherwise(F.col("id")).alias("component"),
+                       F.when(some, F.col("component.text_hash")).otherwise(F.col("text_hash")).alias("component_text"))

@@ -183,7 +183,7 @@ def train(labelled: DataFrame, text_column: str = "text", lang_column: str = "la
 
 
 def identify(docs: DataFrame, model: Model | None, text_column: str = "text",
-             carry: dict[str, Column] | None = None) -> DataFrame:
+             carry: dict[str, Column] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The ``carry`` columns of every row with ``lang_pred`` and ``score``.
     ``und`` with score 0 where the text is null or has no letter, or there is
     no model.  No column but the text decides."""
@@ -206,7 +206,8 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text",
                                              [*kept, "lang_pred", "score"])
 
     out = rows.mapInArrow(score, schema)
-    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(carry)], "lang_pred", "score")
+    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(carry)],
+                      F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
 
 
 def held_out(id_column: str = "doc_id") -> Column:

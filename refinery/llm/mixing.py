@@ -48,12 +48,13 @@ def water_fill(sources: DataFrame, max_epochs: float) -> DataFrame:
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
         weight_of: Callable[[Column], Column] = thirds, max_epochs: float = 3.0, seed: int = 17,
-        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+        rows_per_bucket: int = ROWS_PER_BUCKET, row_column: str | None = None) -> DataFrame:
     """One row per document: ``row``, ``id``, ``source``, ``size`` (words),
     ``source_size``, ``target``, ``times`` (how often the mix takes it).
 
     Sources are in code point order with null last; null is a source like the
-    others.  A null or empty text has no words; it follows its place in the
+    others.  ``row`` is ``row_column`` (a unique number) or, without it, made
+    here.  A null or empty text has no words; it follows its place in the
     seeded order.  Repeated rows are documents of their own.
 
     The fractional repetition takes a source's documents in a seeded hash
@@ -64,7 +65,11 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     input gives the same mix."""
     size = F.regexp_count(F.coalesce(F.col(text_column), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     draw = F.xxhash64(F.lit(seed), F.col(id_column), F.xxhash64(F.col(text_column)))
-    rows = numbered(docs, {"id": F.col(id_column), "source": F.col(source_column), "size": size, "draw": draw}, "mix-rows")
+    columns = {"id": F.col(id_column), "source": F.col(source_column), "size": size, "draw": draw}
+    if row_column is None:
+        rows = numbered(docs, columns, "mix-rows")
+    else:
+        rows = materialize(docs.select(*[c.alias(n) for n, c in columns.items()], F.col(row_column).alias("row")), "mix-rows")
 
     per_source = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
     ordered = Window.orderBy(F.col("source").asc_nulls_last())          # one row per source
