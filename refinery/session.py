@@ -91,7 +91,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)      # known schema: no footer-inference job
+    copy = spark.read.schema(df.schema).parquet(path)      # known schema: no footer-inference job
+    copy.scratch_folder = path
+    return copy
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these frames; call it once nothing
+    that is still to be computed reads them.  The driver then collects its
+    garbage, so that Spark's cleaner also removes the shuffle files of plans
+    that are no longer in use, rather than at some later time."""
+    spark = None
+    for df in copies:
+        spark = df.sparkSession
+        if folder := getattr(df, "scratch_folder", None):
+            remove_folder(spark, folder)
+    if spark is not None:
+        spark.sparkContext._jvm.System.gc()
 
 
 def concurrently(*calls: Callable[[], object]) -> list:
