@@ -46,13 +46,6 @@ def parse_yyyymmdd(c: ColumnOrName) -> Column:
     return F.when(bad, F.lit(None).cast("date")).otherwise(day)
 
 
-def parse_yyyymmdd_text(c: ColumnOrName) -> Column:
-    """The pattern-parsing form of ``parse_yyyymmdd`` (kept as its cross-check)."""
-    text = _col(c).cast("string")
-    return (F.when((_col(c).try_cast("long") == 0) | (F.length(text) != 8), F.lit(None).cast("date"))
-            .otherwise(F.try_to_date(text, YYYYMMDD)))
-
-
 def parse_mdy_date(c: ColumnOrName) -> Column:
     """Text like 5/3/2001 (month and day without padding) to DATE, NULL if invalid."""
     return F.try_to_date(_col(c).cast("string"), MONTH_DAY_YEAR)

@@ -8,6 +8,6 @@ from refinery.operators.frames import (  # noqa: F401
     drop_duplicates, filter_current_rows, filter_not_null, preview_ordered, rename_strict, trim_all_strings,
 )
 from refinery.operators.joins import (  # noqa: F401
-    left_lookup, orphans, rows_at_most, salted_left_lookup, sized_broadcast,
+    hot_keys, left_lookup, orphans, salted_left_lookup,
 )
-from refinery.operators.keys import dense_key, latest_per_key, naive_dense_key  # noqa: F401
+from refinery.operators.keys import dense_key, latest_per_key  # noqa: F401

@@ -1,4 +1,9 @@
-"""Lookup joins, with the size of any broadcast side checked first."""
+"""Lookup joins.
+
+No side is forced to be broadcast: Catalyst and AQE choose from measured bytes,
+and AQE splits the partitions of a hot key in a sort-merge join.  The salted
+form does the same split where AQE is off.
+"""
 
 from __future__ import annotations
 
@@ -7,25 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it is proven to have at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows.
-
-    Uses an incremental take (``limit`` + ``collect`` scans one partition,
-    then more only while rows are missing) of a constant column, so the
-    work is bounded by ``limit`` + 1 rows however large the table is; a
-    ``limit(...).count()`` would run a task on every partition."""
-    return len(df.select(F.lit(1).alias("one")).limit(limit + 1).collect()) <= limit
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is under ``max_rows``;
-    otherwise return it unchanged and let AQE choose (sort-merge with skew
-    splitting, or a runtime broadcast if it turns out small)."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+from refinery.session import materialize
 
 
 def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
@@ -49,27 +36,33 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return c.join(p, c[child_key] == p["__pk"], "left_anti")
 
 
+def hot_keys(df: DataFrame, key: str, min_share: float) -> DataFrame:
+    """The keys that hold at least ``min_share`` of the rows of ``df``: at most
+    1 / min_share of them.  Counts are combined in the map tasks, written once,
+    and serve for the total and the list."""
+    if not 0 < min_share <= 1:
+        raise ValueError(f"min_share must be above 0 and at most 1, not {min_share}")
+    counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")), "hot-keys")
+    total = counts.agg(F.sum("__n")).first()[0] or 0                # one number
+    return counts.filter((F.col("__n") >= F.lit(min_share * total)) & F.col(key).isNotNull()).select(key)
+
+
 def salted_left_lookup(left: DataFrame, right: DataFrame, key: str, salts: int = 16,
-                       min_share: float | None = None) -> DataFrame:
+                       min_share: float | None = None, counted: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` that stays balanced when a few keys
-    hold a large share of ``left`` (a sort-merge join would put each of them
-    in one task).
-
-    Keys holding at least ``min_share`` of the left rows (default 1 / (4 *
-    salts); there are at most 1 / min_share of them, so the list has a proven
-    bound and is broadcast) are split: each left row of such a key gets a
-    salt from a hash of its own columns (deterministic on retry), and that
-    key's right rows are repeated once per salt.  Every left row still meets
-    exactly the right rows it would have met; other keys keep salt 0, except
-    NULL keys, which match nothing and are spread as well.  Per-key
-    counts are combined on the map side, so finding the hot keys shuffles one
-    row per key and map task."""
-    min_share = min_share if min_share is not None else 1.0 / (4 * salts)
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).collect()[0][0] or 0           # one number
-    hot = F.broadcast(counts.filter(F.col("__n") >= F.lit(min_share * total))
-                      .select(F.col(key), F.lit(True).alias("__hot")))
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
+    hold a large share of ``left``, without AQE.
+
+    Keys holding at least ``min_share`` of the rows of ``counted`` (``left``
+    itself by default; pass the frame before a fan-out when there is one) are
+    split: each left row of such a key gets a salt from a hash of its columns
+    and its partition, so rows that are identical spread too, and the key's
+    right rows are repeated once per salt.  Every left row still meets exactly
+    the right rows it would have met; other keys keep salt 0, except NULL keys,
+    which match nothing and are spread as well.  ``min_share`` is 1 / (4 *
+    salts) by default; it bounds the list of hot keys, which is broadcast."""
+    share = 1.0 / (4 * salts) if min_share is None else min_share
+    hot = F.broadcast(hot_keys(left if counted is None else counted, key, share).withColumn("__hot", F.lit(True)))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.spark_partition_id()), F.lit(salts))
     # NULL keys never match, so spreading them is free (and NULL is a common hot key)
     spread = F.col("__hot") | F.col(key).isNull()
     lft = (left.join(hot, key, "left")

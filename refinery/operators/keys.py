@@ -1,134 +1,80 @@
 """Surrogate keys and version selection.
 
 ``dense_key`` gives the same numbers as ``ROW_NUMBER() OVER (ORDER BY ...)``
-over the whole table, without that window's single partition:
-
-1. identical rows are collapsed into (row, copies) by an aggregate whose
-   partial combine runs before the shuffle, so a group of copies holding a
-   large share of the table never lands in one task;
-2. the distinct rows are range-partitioned and sorted on the full order
-   (requested columns, then every other column as tie-break), so even a hot
-   leading value is split across partitions by its trailing columns;
-3. inside each sorted partition an Arrow-batched running sum gives each row
-   the number of rows before it in that partition (one int column crosses to
-   Python; the partition is streamed, never held);
-4. that result is written as Parquet under the shared checkpoint folder and
-   read back, so partition ids and positions are fixed facts even if
-   executors are lost later;
-5. the per-partition totals (one row per partition, a proven bound) become
-   offsets by a running sum and are broadcast when under the row limit, and
-   joined by sort-merge otherwise;
-6. rows with copies are expanded in chunks of at most ``chunk_rows`` that are
-   spread by hash first, so the expansion is parallel too.
+over the whole table, without that window's single partition and without
+Python:
+
+1. the input is written once with a row number, which the write fixes; as the
+   last sort column it makes the order total, so even a large group of
+   identical rows is split across partitions (skipped when the order columns
+   are already unique);
+2. the rows are range-partitioned and sorted on the full order, and each gets
+   its partition and its position there;
+3. that result is written as Parquet under the shared checkpoint folder, so
+   partitions and positions are fixed facts even if executors are lost later;
+4. the partitions' sizes (one row per partition) become offsets by a running
+   sum, and key = offset + position + 1.
+
+Rows are carried through unchanged: nothing is grouped by value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from refinery.session import materialize
 
-_N = "__copies"
+_ROW = "__row"
 _PID = "__part"
 _BEFORE = "__before"
 _OFF = "__offset"
-_START = "__start"
-_CHUNK = "__chunk"
 
-# Above this many partitions the offsets table is joined without a broadcast.
-MAX_BROADCAST_OFFSETS = 200_000
 
-
-@F.pandas_udf(LongType())
-def _rows_before(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Exclusive running sum of the copy counts, in partition order.  Called
-    once per partition with its batches in order, so the carry spans batches."""
-    carried = 0
-    for counts in batches:
-        running = counts.cumsum()
-        yield running - counts + carried
-        carried += int(counts.sum())
-
-
-def _sort_exprs(df: DataFrame, order_by: Sequence[Column | str], tiebreak: Sequence[str] | None) -> list[Column]:
+def sort_columns(df: DataFrame, order_by: Sequence[Column | str], tiebreak: Sequence[str] | None) -> list[Column]:
+    """The full order: the requested columns, then the tie-break (default all
+    other columns), NULLs first."""
     named = [o for o in order_by if isinstance(o, str)]
     exprs = [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order_by]
     rest = tiebreak if tiebreak is not None else [c for c in df.columns if c not in named]
-    exprs += [F.col(c).asc_nulls_first() for c in rest if c not in named]
+    exprs += [F.col(f"`{c}`").asc_nulls_first() for c in rest if c not in named]
     return exprs
 
 
 def ranked_partitions(df: DataFrame, order_by: Sequence[Column | str], tiebreak: Sequence[str] | None = None,
                       distinct: bool = False) -> DataFrame:
-    """Steps 1-3 of ``dense_key``: the distinct rows with their copy count,
-    range-sorted, each tagged with its partition id and the number of rows
-    before it in that partition.  Must be materialised before use (the
-    partition id is only meaningful for this one evaluation)."""
-    if distinct and tiebreak is None:
-        tiebreak = []                       # the order columns are unique: nothing to break
-    sort = _sort_exprs(df, order_by, tiebreak)
-    if distinct:
-        ordered = df.withColumn(_N, F.lit(1).cast("long")).orderBy(*sort)
-        pid = F.spark_partition_id()
-        position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-        return ordered.select("*", pid.alias(_PID), position.alias(_BEFORE))
-    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(_N))
-    ordered = counted.orderBy(*sort)
-    return ordered.select("*", F.spark_partition_id().alias(_PID), _rows_before(F.col(_N)).alias(_BEFORE))
+    """Step 2 of ``dense_key``: the rows range-sorted, each with its partition
+    and its position there.  Must be materialised before use (both are only
+    meaningful for this one evaluation)."""
+    sort = sort_columns(df, order_by, [] if distinct and tiebreak is None else tiebreak)
+    pid = F.spark_partition_id()
+    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    return df.orderBy(*sort).select("*", pid.alias(_PID), position.alias(_BEFORE))
 
 
 def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
-              tiebreak: Sequence[str] | None = None, distinct: bool = False, chunk_rows: int = 1 << 16,
-              max_broadcast_offsets: int = MAX_BROADCAST_OFFSETS) -> DataFrame:
+              tiebreak: Sequence[str] | None = None, distinct: bool = False) -> DataFrame:
     """Add ``key`` (BIGINT, 1..N, dense, no gaps) in the global order
     ``order_by`` + ``tiebreak`` (default: all other columns, ascending, NULLs
     first).  Rows that are equal in every column are interchangeable and get
     consecutive keys.  Output: ``key`` followed by the input columns.
 
     ``distinct=True`` states that ``order_by`` already holds a unique key (no
-    two rows share it), so there are no copies to collapse: the aggregate and
-    the Python running sum are skipped and a row's position in its sorted
-    partition comes from ``monotonically_increasing_id`` (JVM only)."""
-    cols = df.columns
-    spark = df.sparkSession
-    tagged = materialize(ranked_partitions(df, order_by, tiebreak, distinct), "dense-key")
-
-    sizes = tagged.groupBy(_PID).agg(F.sum(_N).alias("__size"))
+    two rows share it): the first write is skipped."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    rows = df
+    if not distinct:
+        rows = materialize(df.withColumn(_ROW, F.monotonically_increasing_id()), "dense-key-rows")
+        if tiebreak is not None:
+            tiebreak = [*tiebreak, _ROW]
+    tagged = materialize(ranked_partitions(rows, order_by, tiebreak, distinct), "dense-key")
+    sizes = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__size"))
     upto = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_PID, F.coalesce(F.sum("__size").over(upto), F.lit(0)).alias(_OFF))
-    # one offsets row per range partition: at most the shuffle partition count
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(initial or 0))
-    if n_parts <= max_broadcast_offsets:
-        offsets = F.broadcast(offsets)
-    placed = tagged.join(offsets, _PID).withColumn(_START, F.col(_OFF) + F.col(_BEFORE))
-
-    out_cols = [F.col(f"`{c}`") for c in cols]
-    singles = placed.filter(F.col(_N) == 1).select((F.col(_START) + 1).alias(key), *out_cols)
-    if distinct:
-        return singles
-
-    n_chunks = F.floor((F.col(_N) - 1) / chunk_rows)
-    chunks = (placed.filter(F.col(_N) > 1)
-              .select("*", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks.cast("long"))).alias(_CHUNK))
-              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), _PID, _BEFORE, _CHUNK))
-    lo = F.col(_START) + F.col(_CHUNK) * chunk_rows + 1
-    hi = F.col(_START) + F.least(F.col(_N), (F.col(_CHUNK) + 1) * chunk_rows)
-    copies = chunks.select(F.explode(F.sequence(lo, hi)).alias(key), *out_cols)
-    return singles.unionByName(copies)
-
-
-def naive_dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
-                    tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """The textbook form, ``row_number()`` over an unpartitioned window: every
-    row goes through one task.  Kept only as the bench's point of comparison."""
-    w = Window.orderBy(*_sort_exprs(df, order_by, tiebreak))
-    return df.select(F.row_number().over(w).cast("long").alias(key), *[F.col(f"`{c}`") for c in df.columns])
+    # one row per range partition; written, so the planner sees its size
+    offsets = materialize(sizes.select(_PID, F.coalesce(F.sum("__size").over(upto), F.lit(0)).alias(_OFF)), "dense-key-offsets")
+    return tagged.join(offsets, _PID).select((F.col(_OFF) + F.col(_BEFORE) + 1).alias(key), *cols)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
@@ -147,12 +93,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     pos = {c: i for i, c in enumerate(packed)}
     return agg.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__best.f{pos[c]}").alias(c)
                         for c in df.columns])
-
-
-def latest_per_key_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                          tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """The window form of ``latest_per_key`` (used in tests as its cross-check)."""
-    order = [F.col(c).desc_nulls_last() for c in order_by]
-    order += [F.col(c).desc_nulls_last() for c in (tiebreak or []) if c not in order_by]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

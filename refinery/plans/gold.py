@@ -1,13 +1,10 @@
 """Gold star schema: customer and product dimensions, sales fact.
 
-Join strategy is left to Catalyst and AQE except where a side has a proven
-bound: the category lookup is broadcast only after a bounded row-count
-check.  The dimensions come out of ``dense_key`` written as Parquet, so the
-planner sizes the (natural key, surrogate key) lookup projections from real
-file bytes: broadcast below ``spark.sql.autoBroadcastJoinThreshold``,
-otherwise a sort-merge join where AQE splits partitions of a hot key on the
-fact side.  Surrogate keys come from ``dense_key`` (no single-partition
-window).
+Join strategy is left to Catalyst and AQE.  The dimensions come out of
+``dense_key`` as scans of written Parquet, so the planner sizes the (natural
+key, surrogate key) lookup projections from real file bytes: broadcast below
+``spark.sql.autoBroadcastJoinThreshold``, otherwise a sort-merge join where AQE
+splits partitions of a hot key on the fact side.
 
 Two facts are offered.  ``fact_sales`` is the faithful form: the product
 dimension keeps every version, so a sale of a product with three versions
@@ -21,13 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.codes import boolean_to_flag, merge_gender
-from refinery.operators.joins import salted_left_lookup, sized_broadcast
+from refinery.operators.joins import left_lookup, salted_left_lookup
 from refinery.operators.keys import dense_key, latest_per_key
-from refinery.session import materialize
-
-# Lookup projections up to this many rows are broadcast (checked, not assumed).
-LOOKUP_BROADCAST_ROWS = 100_000
 
+# The output columns of the gold tables, in order.
 DIM_CUSTOMER_COLUMNS = ["customer_key", "customer_id", "customer_number", "first_name", "last_name",
                         "country", "marital_status", "gender", "birthdate", "create_date"]
 DIM_PRODUCT_COLUMNS = ["product_key", "product_id", "product_number", "product_name", "category_id",
@@ -39,39 +33,21 @@ FACT_COLUMNS = ["order_number", "product_key", "customer_key", "order_date", "sh
 
 
 def customer_attributes(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame) -> DataFrame:
-    """CRM customers enriched from the two ERP tables by customer number
-    (two LEFT joins on the same key, so the CRM side is shuffled once)."""
-    ci, ca, la = customers.alias("ci"), erp_customers.alias("ca"), locations.alias("la")
-    joined = (ci.join(ca, F.col("ci.customer_number") == F.col("ca.customer_number"), "left")
-                .join(la, F.col("ci.customer_number") == F.col("la.customer_number"), "left"))
-    return joined.select(
-        F.col("ci.customer_id").alias("customer_id"),
-        F.col("ci.customer_number").alias("customer_number"),
-        F.col("ci.first_name").alias("first_name"),
-        F.col("ci.last_name").alias("last_name"),
-        F.col("la.country").alias("country"),
-        F.col("ci.marital_status").alias("marital_status"),
-        merge_gender(F.col("ci.gender"), F.col("ca.gender")).alias("gender"),
-        F.col("ca.birth_date").alias("birthdate"),
-        F.col("ci.created_date").alias("create_date"),
-    )
-
-
-def _finish(df: DataFrame, name: str, persist: bool) -> DataFrame:
-    """A dimension is written once (Parquet under the shared checkpoint folder)
-    so every later reader, the fact lookups above all, scans real files of a
-    known size instead of re-planning the key assignment.  ``persist=False``
-    leaves that to the caller (for example a catalog table write)."""
-    return materialize(df, name) if persist else df
-
-
-def dim_customers(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame,
-                  persist: bool = True) -> DataFrame:
+    """CRM customers with the ERP birth date, the country, and one gender out of
+    the two sources.  Both lookups are on the customer number, so the CRM side
+    shuffles once; a repeated number on the ERP side repeats the customer."""
+    both = left_lookup(customers, erp_customers, "customer_number", right_cols=["gender", "birth_date"], prefix="erp_")
+    both = left_lookup(both, locations, "customer_number", right_cols=["country"])
+    merged = merge_gender(F.col("gender"), F.col("erp_gender"))
+    named = {"gender": merged, "birthdate": F.col("erp_birth_date"), "create_date": F.col("created_date")}
+    return both.select(*[named.get(c, F.col(c)).alias(c) for c in DIM_CUSTOMER_COLUMNS if c != "customer_key"])
+
+
+def dim_customers(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame) -> DataFrame:
     """Customer dimension; key order: customer id, then customer number (the
     id alone has ties in the source), then the remaining columns."""
     attrs = customer_attributes(customers, erp_customers, locations)
-    dim = dense_key(attrs, ["customer_id", "customer_number"], "customer_key").select(*DIM_CUSTOMER_COLUMNS)
-    return _finish(dim, "dim-customers", persist)
+    return dense_key(attrs, ["customer_id", "customer_number"], "customer_key").select(*DIM_CUSTOMER_COLUMNS)
 
 
 def latest_customers(customers: DataFrame) -> DataFrame:
@@ -79,25 +55,20 @@ def latest_customers(customers: DataFrame) -> DataFrame:
     return latest_per_key(customers, ["customer_id"], ["created_date"], ["customer_number"])
 
 
-def dim_customers_current(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame,
-                          persist: bool = True) -> DataFrame:
+def dim_customers_current(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame) -> DataFrame:
     """Customer dimension on unique customer ids."""
-    return dim_customers(latest_customers(customers), erp_customers, locations, persist)
+    return dim_customers(latest_customers(customers), erp_customers, locations)
 
 
-def _products_with_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
-    pn = products.alias("pn")
-    pc = sized_broadcast(categories, LOOKUP_BROADCAST_ROWS).alias("pc")
-    return pn.join(pc, F.col("pn.category_id") == F.col("pc.category_id"), "left")
+def product_attributes(products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Products with their category's columns (NULL where it is not known)."""
+    return left_lookup(products, categories, "category_id", right_cols=["category", "subcategory", "maintenance_flag"])
 
 
-def dim_products(products: DataFrame, categories: DataFrame, persist: bool = True) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Product dimension with full history (every version is a row)."""
-    joined = _products_with_categories(products, categories).select(
-        "pn.product_id", "pn.product_number", "pn.product_name", "pn.category_id",
-        "pc.category", "pc.subcategory", "pc.maintenance_flag", "pn.product_line", "pn.start_date")
-    dim = dense_key(joined, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_COLUMNS)
-    return _finish(dim, "dim-products", persist)
+    attrs = product_attributes(products, categories).select(*[c for c in DIM_PRODUCT_COLUMNS if c != "product_key"])
+    return dense_key(attrs, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_COLUMNS)
 
 
 def latest_products(products: DataFrame) -> DataFrame:
@@ -105,16 +76,13 @@ def latest_products(products: DataFrame) -> DataFrame:
     return latest_per_key(products, ["product_number"], ["start_date"], ["product_id"])
 
 
-def dim_products_current(products: DataFrame, categories: DataFrame, persist: bool = True) -> DataFrame:
+def dim_products_current(products: DataFrame, categories: DataFrame) -> DataFrame:
     """The analysts' product dimension: latest version per product number,
     category attributes, maintenance as Yes/No text, cost kept."""
-    joined = _products_with_categories(latest_products(products), categories).select(
-        "pn.product_id", "pn.product_number", "pn.product_name", "pn.category_id",
-        "pc.category", "pc.subcategory",
-        boolean_to_flag(F.col("pc.maintenance_flag")).alias("maintenance"),
-        F.col("pn.product_cost").alias("cost"), "pn.product_line", "pn.start_date")
-    dim = dense_key(joined, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_CURRENT_COLUMNS)
-    return _finish(dim, "dim-products-current", persist)
+    attrs = product_attributes(latest_products(products), categories)
+    named = {"maintenance": boolean_to_flag(F.col("maintenance_flag")), "cost": F.col("product_cost")}
+    attrs = attrs.select(*[named.get(c, F.col(c)).alias(c) for c in DIM_PRODUCT_CURRENT_COLUMNS if c != "product_key"])
+    return dense_key(attrs, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_CURRENT_COLUMNS)
 
 
 def _key_lookup(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
@@ -142,7 +110,8 @@ def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
     c = _key_lookup(dim_c, "customer_id", "customer_key")
     with_product = sales.join(p, "product_number", "left")
     if salt_customers:
-        joined = salted_left_lookup(with_product, c, "customer_id", salts=salt_customers, min_share=salt_min_share)
+        joined = salted_left_lookup(with_product, c, "customer_id", salts=salt_customers, min_share=salt_min_share,
+                                    counted=sales)
     else:
         joined = with_product.join(c, "customer_id", "left")
     return joined.select(*FACT_COLUMNS)

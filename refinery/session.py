@@ -2,15 +2,19 @@
 
 Nothing here hard-codes a machine-local path for cluster use: checkpoints and
 scratch tables go under the directory the cluster names in
-``spark.checkpoint.dir``.  Only a local-mode session without that setting
-(unit tests) gets a private folder under the system temp directory.
+``spark.checkpoint.dir``.  Only a local-mode session without that setting gets
+a private folder under the system temp directory, removed when the process
+ends; on a cluster the missing setting is an error.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +71,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="refinery-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -74,7 +79,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory (never reused)."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/refinery-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/refinery-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Every scratch folder made inside (by any thread) is deleted at the end;
+    frames that read one must be finished with by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_folder(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -30,9 +30,9 @@ def extra_plans(spark, sf):
                                      catalog.s_locations(spark, sf))
     yield ("dense_key stage 1 on the customer dimension (written as Parquet)",
            ranked_partitions(attrs, ["customer_id", "customer_number"]))
-    yield ("dim_customers: keys from the written stage + broadcast offsets (persist=False)",
+    yield ("dim_customers: keys from the written stage + offsets",
            gold.dim_customers(catalog.s_customers(spark, sf), catalog.s_erp_customers(spark, sf),
-                              catalog.s_locations(spark, sf), persist=False))
+                              catalog.s_locations(spark, sf)))
     yield ("dense_key stage 1 on orders with a unique key (distinct=True, JVM only)",
            ranked_partitions(catalog.orders_by_date(spark, sf), ["o_orderdate", "o_orderkey"], distinct=True))
 
@@ -72,9 +72,7 @@ def main() -> None:
     parts = ["# Final physical plans of the headline queries",
              f"\nGenerated by `scripts/plans.py` on `{os.path.basename(sf)}` (local[8], AQE on). "
              "Node ids removed; checkpoint paths are per run.\n",
-             "The `hashpartitioning` exchange over lineitem in the sales plans is the fixture reader spreading "
-             "the single-row-group test file over the cores (a no-op when a scan already has enough splits); "
-             "the fact itself is never shuffled when the dimension lookups are broadcast.\n"]
+             "The fact is not shuffled when the dimension lookups are broadcast.\n"]
     for name in HEADLINE:
         df = catalog.QUERIES[name](spark, sf)
         parts.append(f"## {name}\n\n```\n{summarize(final_plan(df))}\n```\n")

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from crosschecks import parse_yyyymmdd_text
 from refinery.functions import codes, dates, values
 
 
@@ -65,7 +66,7 @@ def test_parse_yyyymmdd_text_input(spark):
 
 def test_parse_yyyymmdd_agrees_with_pattern_parse(spark):
     df = spark.range(0, 200000).select(((F.col("id") * 7919) % 90000000 + 10000000).cast("int").alias("x"))
-    diff = df.filter(~dates.parse_yyyymmdd("x").eqNullSafe(dates.parse_yyyymmdd_text("x")))
+    diff = df.filter(~dates.parse_yyyymmdd("x").eqNullSafe(parse_yyyymmdd_text("x")))
     assert diff.count() == 0
 
 

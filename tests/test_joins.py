@@ -1,6 +1,8 @@
 """Lookup joins and orphan detection on literal rows."""
 
-from refinery.operators.joins import left_lookup, orphans, sized_broadcast
+import pytest
+
+from refinery.operators.joins import hot_keys, left_lookup, orphans
 
 
 def test_left_lookup_keeps_unmatched_and_multiplies_repeated_keys(spark):
@@ -18,11 +20,14 @@ def test_orphans_ignore_null_keys_by_default(spark):
                   key=lambda x: (x is not None, x)) == [None, 2]
 
 
-def test_sized_broadcast_only_marks_small_sides(spark):
-    small, big = spark.range(10), spark.range(1000)
-    plan_small = small.join(sized_broadcast(small, 100), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan_small
-    assert sized_broadcast(big, 100) is big          # over the bound: returned unchanged, the planner decides
+def test_hot_keys_need_a_share(spark):
+    df = spark.createDataFrame([(1,)] * 6 + [(2,)] * 3 + [(None,)] * 11, "k int")
+    assert sorted(r.k for r in hot_keys(df, "k", 0.15).collect()) == [1, 2]
+    assert [r.k for r in hot_keys(df, "k", 0.3).collect()] == [1]
+    for bad in (0, -1, 1.5):
+        with pytest.raises(ValueError):
+            hot_keys(df, "k", bad)
+    assert hot_keys(df.limit(0), "k", 0.5).count() == 0
 
 
 def test_salted_lookup_without_hot_keys_is_the_plain_join(spark):

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from refinery.operators.keys import dense_key, latest_per_key, latest_per_key_window, naive_dense_key
+from crosschecks import latest_per_key_window, naive_dense_key
+from refinery.operators.keys import dense_key, latest_per_key, ranked_partitions
 from refinery.plans import catalog
 
 
@@ -26,9 +27,9 @@ def test_dense_key_general_path_matches_on_orders(spark, sf_small):
 
 def test_dense_key_with_copies_and_nulls(spark):
     base = [(None, "a"), (1, "b"), (1, "b"), (2, None), (1, "a")]
-    hot = [(3, "hot")] * 70                                 # a copy group spanning several chunks
+    hot = [(3, "hot")] * 70
     df = spark.createDataFrame(base + hot, "id int, v string")
-    got = dense_key(df, ["id"], "k", chunk_rows=16)
+    got = dense_key(df, ["id"], "k")
     keys = sorted(r.k for r in got.collect())
     assert keys == list(range(1, len(base) + len(hot) + 1))
     want = naive_dense_key(df, ["id"], "k")
@@ -88,3 +89,32 @@ def test_dense_key_orders_descending_columns(spark):
     df = spark.createDataFrame([(1, "a"), (3, "b"), (2, "c"), (None, "d")], "x int, y string")
     got = {r.y: r.k for r in dense_key(df, [F.col("x").desc_nulls_last()], "k").collect()}
     assert got == {"b": 1, "c": 2, "a": 3, "d": 4}
+
+
+def test_dense_key_leaves_values_as_they_are(spark):
+    df = spark.createDataFrame([(-0.0, 1), (0.0, 2), (float("nan"), 3), (None, 4)], "x double, y int")
+    got = {r.y: r.x for r in dense_key(df, ["y"], "k").collect()}
+    assert str(got[1]) == "-0.0" and str(got[2]) == "0.0" and got[3] != got[3] and got[4] is None
+
+
+def test_dense_key_runs_no_python_in_any_stage(spark, monkeypatch):
+    from refinery.operators import keys
+    plans, write = [], keys.materialize
+    monkeypatch.setattr(keys, "materialize", lambda df, name: plans.append((name, df._jdf.queryExecution().toString())) or write(df, name))
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "x int, y string")
+    out = dense_key(df, ["x"], "k")
+    plans.append(("result", out._jdf.queryExecution().toString()))
+    assert [n for n, _ in plans] == ["dense-key-rows", "dense-key", "dense-key-offsets", "result"]
+    assert not any(w in p for _, p in plans for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_dense_key_splits_a_large_group_of_identical_rows(spark):
+    df = spark.range(30000).select(F.lit(1).alias("x"), F.lit("same").alias("y"))
+    rows_ = df.withColumn("__row", F.monotonically_increasing_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")     # else so few rows end up in one
+    try:
+        parts = ranked_partitions(rows_, ["x"]).groupBy("__part").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 15000
+    assert dense_key(df, ["x"], "k").agg(F.count_distinct("k"), F.min("k"), F.max("k")).first() == (30000, 1, 30000)

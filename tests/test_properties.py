@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from refinery.functions import dates, values
 from refinery.operators import aggregates
-from refinery.operators.keys import dense_key, naive_dense_key
+from crosschecks import naive_dense_key
+from refinery.operators.keys import dense_key
 
 
 def python_yyyymmdd(v):
@@ -49,7 +50,7 @@ def test_repair_price_matches_python(spark, rows):
                 min_size=0, max_size=150))
 def test_dense_key_equals_row_number_with_heavy_duplication(spark, rows):
     df = spark.createDataFrame(rows, "x int, y string")
-    got = sorted(map(tuple, dense_key(df, ["x"], "k", chunk_rows=8).collect()))
+    got = sorted(map(tuple, dense_key(df, ["x"], "k").collect()))
     want = sorted(map(tuple, naive_dense_key(df, ["x"], "k").collect()))
     assert got == want
 

@@ -2,9 +2,9 @@
 
 Runs in a separate process with ``local[4,4]`` (up to four attempts per
 task).  The first attempt of one task fails in two places: in the input
-before the copy collapse, and in the running-sum step of the stage that
-assigns partition ids and positions and is written out.  The retried tasks
-must produce the same keys as the single-partition ROW_NUMBER.
+as it is first written, and in the stage that reads it back to sort it and
+assign partitions and positions.  The retried tasks must produce the same keys
+as the single-partition ROW_NUMBER.
 """
 
 import os
@@ -19,12 +19,9 @@ SF = "/root/testdata/sf0.001"
 
 SCRIPT = textwrap.dedent(f"""
     import sys
-    sys.path.insert(0, {ROOT!r})
-    from collections.abc import Iterator
-    import pandas as pd
+    sys.path[:0] = [{ROOT!r}, {ROOT!r} + "/tests"]
+    from crosschecks import naive_dense_key
     from pyspark import TaskContext
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import LongType
     from refinery.session import build_session
     from refinery.operators import keys
     from refinery.plans import catalog
@@ -37,14 +34,20 @@ SCRIPT = textwrap.dedent(f"""
         if ctx.partitionId() == 1 and ctx.attemptNumber() == 0:
             raise RuntimeError("injected task failure in " + where)
 
-    original = keys._rows_before.func
+    write = keys.materialize
 
-    @F.pandas_udf(LongType())
-    def flaky_rows_before(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        fail_first_attempt("running sum")
-        yield from original(batches)
+    def flaky_write(df, name):
+        copy = write(df, name)
+        if name != "dense-key-rows":
+            return copy
 
-    keys._rows_before = flaky_rows_before
+        def flaky_copy(it):
+            fail_first_attempt("sorting stage")
+            yield from it
+
+        return copy.repartition(4).mapInPandas(flaky_copy, copy.schema)
+
+    keys.materialize = flaky_write
 
     def flaky_rows(it):
         fail_first_attempt("input")
@@ -53,7 +56,7 @@ SCRIPT = textwrap.dedent(f"""
     orders = catalog.orders_by_date(spark, {SF!r})
     flaky = orders.repartition(4).mapInPandas(flaky_rows, orders.schema)
     got = sorted(map(tuple, keys.dense_key(flaky, ["o_orderdate"], "k").collect()))
-    want = sorted(map(tuple, keys.naive_dense_key(orders, ["o_orderdate"], "k").collect()))
+    want = sorted(map(tuple, naive_dense_key(orders, ["o_orderdate"], "k").collect()))
     assert got == want, "keys differ after retries"
     print("RETRY_OK", len(got))
 """)
@@ -67,4 +70,4 @@ def test_dense_key_survives_task_retries(tmp_path):
     proc = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600)
     assert "RETRY_OK" in proc.stdout, proc.stdout[-2000:] + proc.stderr[-4000:]
     assert "injected task failure in input" in proc.stderr          # both failures happened ...
-    assert "injected task failure in running sum" in proc.stderr    # ... and were retried
+    assert "injected task failure in sorting stage" in proc.stderr    # ... and were retried
