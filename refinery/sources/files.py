@@ -1,8 +1,11 @@
 """Raw-file ingest and table IO: landing CSV -> bronze tables, layer DDL.
 
-Reads are typed by an explicit schema (``inferSchema`` would add a full pass
-over each file); writes are full-refresh overwrites, so re-running a load
-gives the same table.  Tables are Parquet.
+Columns are taken by header name, never by position: a reordered extract loads
+correctly, one with a missing, renamed or additional column is refused, and so
+is a folder whose files disagree.  No value is lost silently: the strict read
+fails on a value that does not fit its type, the lenient one keeps the value in
+``_rejected``.  Writes are full-refresh overwrites, so re-running a load gives
+the same table.  Tables are Parquet.
 """
 
 from __future__ import annotations
@@ -14,38 +17,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from refinery.session import concurrently
 from refinery.sources.schemas import LAYERS, SOURCES, SourceSpec
 
 TABLE_FORMAT = "parquet"
+REJECTED = "_rejected"       # array of (column, value): what a lenient read could not convert
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             infer: bool = False) -> DataFrame:
-    """Headered, comma-separated files.  With a schema the read is a single
-    pass; ``infer=True`` reproduces type inference (an extra pass).  An empty
-    field reads as NULL."""
+def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
+    """Headered, comma-separated files with the names of their header: text
+    columns, or inferred types (an extra pass).  An empty field reads as NULL."""
     reader = spark.read.option("header", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+    return (reader.option("inferSchema", "true") if infer else reader).csv(path)
 
 
-def ingest_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Typed read of one raw extract (malformed numbers become NULL)."""
-    return read_csv(spark, path, schema)
+def header_order(spark: SparkSession, path: str, schema: StructType) -> list[StructField]:
+    """The fields of ``schema`` in the order of the files' header, under the
+    header's spelling (names match without regard to case).  Raises when the
+    header lacks a column or has another one."""
+    header = spark.read.options(header="true", recursiveFileLookup="true").csv(path).columns
+    wanted = {f.name.lower(): f for f in schema.fields}
+    found = [h.lower() for h in header]
+    if sorted(found) != sorted(wanted):
+        missing, other = sorted(set(wanted) - set(found)), sorted(set(found) - set(wanted))
+        raise ValueError(f"{path}: header {header} does not have the expected columns; missing {missing}, not expected {other}")
+    return [StructField(h, wanted[h.lower()].dataType, True) for h in header]
 
 
-def all_strings(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+def _by_header(spark: SparkSession, path: str, fields: list[StructField], **options: str) -> DataFrame:
+    # enforceSchema=false: Spark compares every file's header with these names
+    return spark.read.options(header="true", enforceSchema="false", recursiveFileLookup="true", **options).schema(StructType(fields)).csv(path)
 
 
-def ingest_csv_strings(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read every column as text, then convert with ``try_cast`` to the target
-    types: text that does not convert becomes NULL instead of failing the load."""
-    raw = read_csv(spark, path, all_strings(schema))
-    return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+def ingest_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Strict typed read of one raw extract, a single pass; a value that does
+    not fit its type fails the read."""
+    raw = _by_header(spark, path, header_order(spark, path, schema), mode="FAILFAST")
+    return raw.select([F.col(f.name).alias(f.name) for f in schema.fields])
+
+
+def ingest_csv_strings(spark: SparkSession, path: str, schema: StructType, keep_rejected: bool = False) -> DataFrame:
+    """Lenient read: every column as text, then ``try_cast`` to its type.  Text
+    that does not convert becomes NULL; with ``keep_rejected`` the column
+    ``_rejected`` holds (column, value) of each such text."""
+    text = [StructField(f.name, StringType(), True) for f in header_order(spark, path, schema)]
+    raw = _by_header(spark, path, text)
+    typed = [f for f in schema.fields if not isinstance(f.dataType, StringType)]
+    bad = [F.when((F.trim(F.col(f.name)) != "") & F.col(f.name).try_cast(f.dataType).isNull(),
+                  F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("value"))) for f in typed]
+    none = F.lit(None).cast("struct<column:string,value:string>")
+    rejected = [F.array_compact(F.array(none, *bad)).alias(REJECTED)] if keep_rejected else []
+    return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields] + rejected)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -81,13 +103,14 @@ def write_table(df: DataFrame, table: str, mode: str = "overwrite",
         df.write.mode(mode).format(TABLE_FORMAT).saveAsTable(table)
 
 
-def create_layer_schemas(spark: SparkSession, root: str | None = None,
-                         layers: Mapping[str, str] = LAYERS, prefix: str = "") -> list[str]:
-    """``CREATE SCHEMA IF NOT EXISTS`` for each layer, with its comment; when
-    ``root`` is given the layer's tables live under ``root/<layer>``."""
+def create_layer_schemas(spark: SparkSession, root: str | None = None, names: Mapping[str, str] | None = None,
+                         prefix: str = "") -> list[str]:
+    """``CREATE SCHEMA IF NOT EXISTS`` for each layer, with its comment; ``names``
+    gives layers a name of their own, and with ``root`` a layer's tables live
+    under ``root/<name>``."""
     done = []
-    for name, comment in layers.items():
-        db = prefix + name
+    for layer, comment in LAYERS.items():
+        db = prefix + (names or {}).get(layer, layer)
         stmt = f"CREATE SCHEMA IF NOT EXISTS `{db}` COMMENT '{comment}'"
         if root:
             stmt += f" LOCATION '{root.rstrip('/')}/{db}'"
@@ -120,14 +143,20 @@ def use_layer(spark: SparkSession, database: str, catalog: str | None = None) ->
 
 
 def landing_files(spark: SparkSession, root: str) -> DataFrame:
-    """The files under a landing folder with their size and row count (the
-    listing is computed by the executors from the file metadata column)."""
+    """Path, name and size of every file under a landing folder, from file
+    metadata alone: no content is read, and files without rows are listed."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
+                        F.col("length").alias("file_size"))
+
+
+def landing_rows(spark: SparkSession, root: str) -> DataFrame:
+    """``landing_files`` with each file's row count (this reads the files)."""
     rows = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(root)
-    return (rows.select(F.col("_metadata.file_path").alias("file_path"),
-                        F.col("_metadata.file_name").alias("file_name"),
-                        F.col("_metadata.file_size").alias("file_size"))
-            .groupBy("file_path", "file_name", "file_size")
-            .agg(F.count(F.lit(1)).alias("rows")))
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("__path")).agg(F.count(F.lit(1)).alias("rows"))
+    files = landing_files(spark, root)
+    return (files.join(counts, files["file_path"] == counts["__path"], "left").drop("__path")
+            .withColumn("rows", F.coalesce("rows", F.lit(0).cast("long"))))
 
 
 def land_sources(inputs: Mapping[str, DataFrame], root: str,
@@ -139,14 +168,28 @@ def land_sources(inputs: Mapping[str, DataFrame], root: str,
 
 
 def ingest_catalog(spark: SparkSession, root: str, database: str,
-                   specs: Sequence[SourceSpec] = SOURCES, strings_first: bool = False) -> dict[str, str]:
+                   specs: Sequence[SourceSpec] = SOURCES, strict: bool = False) -> dict[str, str]:
     """Config-driven full-refresh load: every extract under ``root`` becomes
-    the table ``database.<spec.table>``.  Returns {table: qualified name}."""
-    loaded = {}
-    for spec in specs:
+    the table ``database.<spec.table>``, all of them side by side.  Returns
+    {table: qualified name}.  The lenient load (the default) gives each table
+    the column ``_rejected``; with ``strict`` a bad value fails the load."""
+    def load(spec: SourceSpec) -> str:
         path = f"{root.rstrip('/')}/{spec.path}"
-        df = (ingest_csv_strings if strings_first else ingest_csv)(spark, path, spec.schema)
+        df = ingest_csv(spark, path, spec.schema) if strict else ingest_csv_strings(spark, path, spec.schema, keep_rejected=True)
         name = f"`{database}`.`{spec.table}`"
         write_table(df, name)
-        loaded[spec.table] = name
-    return loaded
+        return name
+
+    names = concurrently(*[lambda s=spec: load(s) for spec in specs])
+    return {spec.table: name for spec, name in zip(specs, names)}
+
+
+def rejected_values(tables: Iterable[DataFrame]) -> DataFrame:
+    """(column, value, n) of what lenient loads could not convert."""
+    parts = [t.select(F.explode(REJECTED).alias("r")).select("r.column", "r.value") for t in tables if REJECTED in t.columns]
+    if not parts:
+        raise ValueError("no table has a column of rejected values")
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return found.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))

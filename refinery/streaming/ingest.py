@@ -14,18 +14,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from refinery.sources.files import header_order
 from refinery.sources.schemas import SourceSpec
 
 
 def stream_extract(spark: SparkSession, spec: SourceSpec, landing_root: str,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming frame over one extract's landing folder (typed, headered CSV)."""
-    reader = spark.readStream.schema(spec.schema).option("header", "true")
+    """A streaming frame over one extract's landing folder (typed, headered
+    CSV, columns by header name; a file with another header or a value that
+    does not fit its type fails the stream)."""
+    path = f"{landing_root.rstrip('/')}/{spec.path}"
+    fields = header_order(spark, path, spec.schema)
+    reader = spark.readStream.schema(StructType(fields)).options(header="true", enforceSchema="false", mode="FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(f"{landing_root.rstrip('/')}/{spec.path}")
+    return reader.csv(path).select([F.col(f.name).alias(f.name) for f in spec.schema.fields])
 
 
 def start_incremental(spark: SparkSession, spec: SourceSpec, landing_root: str, target: str,
@@ -41,14 +48,22 @@ def start_incremental(spark: SparkSession, spec: SourceSpec, landing_root: str,
             .start(target))
 
 
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait until the stream has ended.  One that does not within ``timeout_s``
+    is stopped and raises: its target is incomplete."""
+    ended = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination() or True
+    if not ended:
+        query.stop()
+        raise TimeoutError(f"the stream did not finish within {timeout_s} s; its target is incomplete")
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def run_incremental(spark: SparkSession, spec: SourceSpec, landing_root: str, target: str, checkpoint: str,
                     clean: Callable[[DataFrame], DataFrame] | None = None,
                     timeout_s: float | None = None) -> DataFrame:
     """Run one ``availableNow`` pass to completion and return the target table."""
-    q = start_incremental(spark, spec, landing_root, target, checkpoint, clean)
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    finish(start_incremental(spark, spec, landing_root, target, checkpoint, clean), timeout_s)
     return spark.read.parquet(target)
 
 
@@ -66,8 +81,10 @@ def run_incremental_all(spark: SparkSession, landing_root: str, target_root: str
         clean = (lambda df, j=job: j(df, as_of)) if job is silver_erp_customers else job
         queries[target] = start_incremental(spark, SOURCE_BY_TABLE[source], landing_root, f"{root}/{target}",
                                             f"{root}/_checkpoints/{target}", clean)
-    for q in queries.values():
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise q.exception()
+    try:
+        for q in queries.values():
+            finish(q, timeout_s)
+    finally:
+        for q in queries.values():
+            q.stop()
     return {t: f"{root}/{t}" for t in queries}

@@ -66,13 +66,85 @@ def test_overwrite_is_idempotent(spark, sf_small):
     files.drop_layer_schemas(spark, ["t_io"])
 
 
-def test_landing_listing_counts_rows(spark, sf_small):
+def test_landing_listing_has_files_without_rows(spark, sf_small):
     root = scratch_path(spark, "test-list")
     cats = fixture(spark, sf_small, "f_px_cat")
     files.write_csv(cats.coalesce(1), f"{root}/source_erp/PX_CAT_G1V2")
+    files.write_csv(cats.limit(0).coalesce(1), f"{root}/source_erp/EMPTY")
     listing = files.landing_files(spark, root).collect()
-    assert sum(r.rows for r in listing) == cats.count()
-    assert all(r.file_name.endswith(".csv") for r in listing)
+    assert len(listing) == 2 and all(r.file_name.endswith(".csv") and r.file_size > 0 for r in listing)
+    assert "content" not in files.landing_files(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.rows for r in files.landing_rows(spark, root).collect()) == [0, cats.count()]
+
+
+CSV = {"plain": "cid,bdate,gen\nA,1980-01-01,F\n", "reordered": "gen,cid,bdate\nF,A,1980-01-01\n",
+       "upper": "CID,BDATE,GEN\nA,1980-01-01,F\n"}
+
+
+@pytest.mark.parametrize("read", [files.ingest_csv, files.ingest_csv_strings])
+def test_columns_are_taken_by_header_name(spark, tmp_path, read):
+    for name, text in CSV.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+        got = read(spark, str(tmp_path / f"{name}.csv"), schemas.CUST_AZ12)
+        assert got.schema == schemas.CUST_AZ12
+        assert [(r.cid, str(r.bdate), r.gen) for r in got.collect()] == [("A", "1980-01-01", "F")], name
+
+
+@pytest.mark.parametrize("read", [files.ingest_csv, files.ingest_csv_strings])
+@pytest.mark.parametrize("header", ["cid,birthday,gen", "cid,bdate", "cid,bdate,gen,more", "cid,bdate,bdate"])
+def test_another_header_is_refused(spark, tmp_path, read, header):
+    (tmp_path / "x.csv").write_text(header + "\n" + ",".join("A" for _ in header.split(",")) + "\n")
+    with pytest.raises(ValueError, match="expected columns"):
+        read(spark, str(tmp_path / "x.csv"), schemas.CUST_AZ12)
+
+
+def test_files_of_a_folder_must_agree(spark, tmp_path):
+    for name in ("plain", "reordered"):
+        (tmp_path / f"{name}.csv").write_text(CSV[name] * 1)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.ingest_csv_strings(spark, str(tmp_path), schemas.CUST_AZ12).collect()
+
+
+def test_bad_values_fail_or_are_kept(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("cid,bdate,gen\nA,1980-01-01,F\nB,soon,M\nC,,\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.ingest_csv(spark, str(tmp_path / "x.csv"), schemas.CUST_AZ12).collect()
+    got = files.ingest_csv_strings(spark, str(tmp_path / "x.csv"), schemas.CUST_AZ12, keep_rejected=True)
+    kept = {r.cid: [tuple(x) for x in r["_rejected"]] for r in got.collect()}
+    assert kept == {"A": [], "B": [("bdate", "soon")], "C": []}
+    assert [tuple(r) for r in files.rejected_values([got]).collect()] == [("bdate", "soon", 1)]
+
+
+def test_stream_that_does_not_finish_raises_and_stops(spark, sf_small):
+    from refinery.streaming import run_incremental
+    spec = schemas.SOURCE_BY_TABLE["erp_px_cat_g1v2"]
+    root, out = scratch_path(spark, "test-slow"), scratch_path(spark, "test-slow-out")
+    files.write_csv(fixture(spark, sf_small, "f_px_cat"), f"{root}/{spec.path}")
+    with pytest.raises(TimeoutError):
+        run_incremental(spark, spec, root, f"{out}/t", f"{out}/_ck", timeout_s=0.001)
+    assert not spark.streams.active
+
+
+def test_scratch_scope_and_discard_leave_nothing(spark):
+    import os
+    from refinery.session import checkpoint_dir, discard, materialize, scratch_scope
+    base = checkpoint_dir(spark).removeprefix("file:") + "/refinery-scratch"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    with scratch_scope(spark):
+        copy = materialize(spark.range(5), "scoped")
+        assert copy.count() == 5 and len(set(os.listdir(base)) - before) == 1
+        other = materialize(spark.range(3), "discarded")
+        discard(other)
+        assert len(set(os.listdir(base)) - before) == 1
+    assert set(os.listdir(base)) == before
+
+
+@pytest.mark.parametrize("name", ["table_overwrite", "ingest_catalog", "layer_run"])
+def test_queries_leave_no_database(spark, sf_small, name):
+    from refinery.plans import catalog
+    before = {r[0] for r in spark.sql("SHOW SCHEMAS").collect()}
+    assert catalog.QUERIES[name](spark, sf_small).count() > 0
+    assert {r[0] for r in spark.sql("SHOW SCHEMAS").collect()} == before
 
 
 def test_checkpoint_dir_is_shared_setting(spark):
