@@ -25,18 +25,23 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from refinery.session import DEFAULT_CONF, scratch_scope
+
 
 def _session() -> SparkSession:
-    spark = SparkSession.builder.appName("refinery").getOrCreate()
+    """The cluster's session, with this library's settings where it has none."""
+    from pyspark import SparkConf
+
+    given, builder = SparkConf(), SparkSession.builder.appName("refinery")
+    for key, value in DEFAULT_CONF.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
 
 def main(argv: list[str] | None = None) -> int:
-    from refinery.plans import layers
-    from refinery.sources import files
-    from refinery.sources.fixtures import bronze_inputs
-
     ap = argparse.ArgumentParser(prog="refinery", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("command", choices=["init", "run", "bronze", "silver", "gold", "validate", "reset",
@@ -57,6 +62,15 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     spark = _session()
+    with scratch_scope(spark):               # what the step writes besides its tables goes with it
+        return _run(spark, a)
+
+
+def _run(spark: SparkSession, a: argparse.Namespace) -> int:
+    from refinery.plans import layers
+    from refinery.sources import files
+    from refinery.sources.fixtures import bronze_inputs
+
     names = layers.Layers.with_prefix(a.prefix, a.customer_buckets, a.fact_by_month, a.salt_customers)
     if a.command == "init":
         layers.create_layers(spark, names, a.warehouse)
@@ -71,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
                   else layers.report(spark, names))
         rows = report.orderBy("check_id").collect()        # one row per check: the report itself
         for r in rows:
-            print(f"{r.status:5} {r.check_id:3} {r.check_name:58} {r.value}")
+            print(f"{r.status:5} {r.check_id:3} {r.check_name:58} {r.value}" + (f"  {r.about}" if r.status != "pass" else ""))
         counts = {s: sum(1 for r in rows if r.status == s) for s in ("pass", "warn", "fail")}
         print(f"{counts['pass']}/{len(rows)} passed, {counts['warn']} warnings, {counts['fail']} failed")
         if a.out:

@@ -3,12 +3,15 @@
 Every query reads the whole test tables of ``sf_dir`` (through the dirty
 projections of ``sources.fixtures``), so its work grows with the scale
 factor.  ``ORACLE`` holds the DuckDB statement of each query that SQL can
-express; the ingest queries write to a fresh folder under the shared
-checkpoint directory and read back.
+express.  Queries that write (ingest, dimensions, facts, report, layer order) do
+so while they are called, to fresh folders under the shared checkpoint
+directory, and return a frame that reads the result.  Databases they create are
+dropped again.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 from collections.abc import Callable
 
@@ -19,7 +22,7 @@ from refinery.functions import codes, dates, values
 from refinery.operators import aggregates, frames, joins, keys
 from refinery.plans import gold, layers, quality, silver
 from refinery.plans.oracle_sql import dq_report_sql, with_ctes
-from refinery.session import concurrently, materialize, scratch_path
+from refinery.session import concurrently, discard, materialize, scratch_path
 from refinery.sources import files, schemas
 from refinery.sources.fixtures import base_table, fixture
 from refinery.streaming import run_incremental
@@ -66,13 +69,12 @@ def s_categories(spark, sf):
     return silver.silver_categories(fixture(spark, sf, "f_px_cat"))
 
 
-def d_customers(spark, sf, persist=True):
-    """persist=True when later joins read the dimension (its files size their broadcast)."""
-    return gold.dim_customers(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf), persist)
+def d_customers(spark, sf):
+    return gold.dim_customers(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf))
 
 
-def d_products(spark, sf, persist=True):
-    return gold.dim_products(s_products(spark, sf), s_categories(spark, sf), persist)
+def d_products(spark, sf):
+    return gold.dim_products(s_products(spark, sf), s_categories(spark, sf))
 
 
 # ---- projections and predicates -------------------------------------------
@@ -335,8 +337,7 @@ SELECT pn.product_id, pn.product_number, pn.category_id, pc.category, pc.subcate
 FROM s_products pn LEFT JOIN s_categories pc ON pn.category_id = pc.category_id""", "s_products", "s_categories"))
 def q_left_join_lookup(spark, sf):
     pn = s_products(spark, sf).select("product_id", "product_number", "category_id")
-    pc = joins.sized_broadcast(s_categories(spark, sf))
-    return joins.left_lookup(pn, pc, "category_id", right_cols=["category", "subcategory", "maintenance_flag"])
+    return joins.left_lookup(pn, s_categories(spark, sf), "category_id", right_cols=["category", "subcategory", "maintenance_flag"])
 
 
 @register("fact_key_lookup", with_ctes("""
@@ -422,7 +423,7 @@ SELECT covered, total, CAST(covered AS DOUBLE) * 100.0 / CAST(nullif(total, 0) A
 FROM (SELECT count(*) FILTER (WHERE country IS NOT NULL AND country <> 'n/a') AS covered, count(*) AS total
       FROM dim_customers)""", "dim_customers"))
 def q_coverage_ratio(spark, sf):
-    d = d_customers(spark, sf, persist=False)
+    d = gold.customer_attributes(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf))
     return aggregates.coverage_ratio(d, F.col("country").isNotNull() & (F.col("country") != "n/a"))
 
 
@@ -468,12 +469,14 @@ def q_preview_ordered(spark, sf):
 
 def _landed(spark, sf, names=("f_sales",)) -> str:
     root = scratch_path(spark, "landing")
-    for spec in schemas.SOURCES:
-        if spec.fixture in names:
-            files.write_csv(fixture(spark, sf, spec.fixture), f"{root}/{spec.path}")
+    specs = [s for s in schemas.SOURCES if s.fixture in names]
+    files.land_sources({s.fixture: fixture(spark, sf, s.fixture) for s in specs}, root, specs)
     return root
 
 
+ALL_EXTRACTS = tuple(s.fixture for s in schemas.SOURCES)
+
+
 @register("ingest_csv", with_ctes("SELECT * FROM f_sales", "f_sales"))
 def q_ingest_csv(spark, sf):
     root = _landed(spark, sf)
@@ -496,47 +499,46 @@ def q_ingest_csv_strings(spark, sf):
     return files.ingest_csv_strings(spark, f"{root}/source_crm/sales_details", schemas.SALES_DETAILS)
 
 
-def _bronze_database(spark) -> str:
-    root = scratch_path(spark, "warehouse")
-    db = "bronze_" + root.rsplit("-", 1)[-1]
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{db}` COMMENT 'Bronze layer: raw ingested data' LOCATION '{root}'")
-    return db
+@contextlib.contextmanager
+def _layers(spark):
+    """Layer schemas of a run of its own, dropped with their tables at the end."""
+    root = scratch_path(spark, "layers")
+    names = layers.Layers.with_prefix("l" + root.rsplit("-", 1)[-1] + "_")
+    layers.create_layers(spark, names, root)
+    try:
+        yield names, root
+    finally:
+        for db in (names.bronze, names.silver, names.gold):
+            spark.sql(f"DROP SCHEMA IF EXISTS `{db}` CASCADE")
 
 
 @register("ingest_catalog", _COUNTS_SQL)
 def q_ingest_catalog(spark, sf):
-    root = _landed(spark, sf, tuple(s.fixture for s in schemas.SOURCES))
-    db = _bronze_database(spark)
-    loaded = files.ingest_catalog(spark, root, db)
-    return _count_tables({t: spark.table(name) for t, name in loaded.items()})
+    root = _landed(spark, sf, ALL_EXTRACTS)
+    with _layers(spark) as (names, _):
+        loaded = files.ingest_catalog(spark, root, names.bronze)
+        return materialize(_count_tables({t: spark.table(name) for t, name in loaded.items()}), "ingest-catalog")
 
 
 @register("table_overwrite", with_ctes("SELECT * FROM f_cust_info", "f_cust_info"))
 def q_table_overwrite(spark, sf):
-    db = _bronze_database(spark)
-    name = f"`{db}`.`crm_cust_info`"
     src = fixture(spark, sf, "f_cust_info")
-    files.write_table(src, name)
-    files.write_table(src, name)      # a re-run replaces, it does not append
-    return spark.table(name)
-
-
-@register("landing_files")
-def q_landing_files(spark, sf):
-    root = _landed(spark, sf, tuple(s.fixture for s in schemas.SOURCES))
-    return files.landing_files(spark, root)
+    with _layers(spark) as (names, _):
+        name = names.table("bronze", "crm_cust_info")
+        files.write_table(src, name)
+        files.write_table(src, name)      # a re-run replaces, it does not append
+        return materialize(spark.table(name), "table-overwrite")
 
 
 @register("landing_sources", with_ctes("\nUNION ALL\n".join(
     f"SELECT '{s.path}' AS source, count(*) AS row_count FROM {s.fixture}" for s in schemas.SOURCES),
-    *[s.fixture for s in schemas.SOURCES]))
+    *ALL_EXTRACTS))
 def q_landing_sources(spark, sf):
     """The landing listing summed per extract folder (file names differ per
     run; the folders and their row totals do not)."""
-    root = _landed(spark, sf, tuple(s.fixture for s in schemas.SOURCES))
-    listing = files.landing_files(spark, root)
+    root = _landed(spark, sf, ALL_EXTRACTS)
     folder = F.regexp_extract("file_path", r"(source_[a-z]+/[^/]+)/[^/]+$", 1)
-    return listing.groupBy(folder.alias("source")).agg(F.sum("rows").alias("row_count"))
+    return files.landing_rows(spark, root).groupBy(folder.alias("source")).agg(F.sum("rows").alias("row_count"))
 
 
 # ---- silver and gold jobs ----------------------------------------------------------
@@ -554,23 +556,22 @@ for _name, _fn, _cte in [
 
 @register("dim_customers", with_ctes("SELECT * FROM dim_customers", "dim_customers"))
 def q_dim_customers(spark, sf):
-    return d_customers(spark, sf, persist=False)
+    return d_customers(spark, sf)
 
 
 @register("dim_customers_current", with_ctes("SELECT * FROM dim_customers_current", "dim_customers_current"))
 def q_dim_customers_current(spark, sf):
-    return gold.dim_customers_current(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf),
-                                      persist=False)
+    return gold.dim_customers_current(s_customers(spark, sf), s_erp_customers(spark, sf), s_locations(spark, sf))
 
 
 @register("dim_products", with_ctes("SELECT * FROM dim_products", "dim_products"))
 def q_dim_products(spark, sf):
-    return d_products(spark, sf, persist=False)
+    return d_products(spark, sf)
 
 
 @register("dim_products_current", with_ctes("SELECT * FROM dim_products_current", "dim_products_current"))
 def q_dim_products_current(spark, sf):
-    return gold.dim_products_current(s_products(spark, sf), s_categories(spark, sf), persist=False)
+    return gold.dim_products_current(s_products(spark, sf), s_categories(spark, sf))
 
 
 def both_dims(spark, sf):
@@ -602,26 +603,47 @@ def q_fact_sales_current(spark, sf):
     return gold.fact_sales(s_sales(spark, sf), dp, dc)
 
 
+REPORT = ["check_id", "check_name", "severity", "value", "status"]
+
+
 @register("dq_report", dq_report_sql())
 def q_dq_report(spark, sf):
-    # the silver sales table (read three times) and both dimensions are independent: built side by side
+    # silver sales and the fact are read twice, the dimensions are written by their keys
     sales, (dc, dp) = concurrently(lambda: materialize(s_sales(spark, sf), "silver-sales"),
                                    lambda: both_dims(spark, sf))
     fact = materialize(gold.fact_sales(sales, dp, dc), "fact-sales")    # the gold fact table
-    return quality.dq_report(
+    report = materialize(quality.dq_report(
         fixture(spark, sf, "f_cust_info"), fixture(spark, sf, "f_sales"), s_customers(spark, sf), sales,
-        s_erp_customers(spark, sf), s_locations(spark, sf), s_categories(spark, sf), dc, dp, fact)
+        s_erp_customers(spark, sf), s_locations(spark, sf), s_categories(spark, sf), dc, dp, fact).select(*REPORT), "report")
+    discard(sales, fact)
+    return report
 
 
 # ---- layer order and incremental load --------------------------------------------
 
+def _built(spark, sf, read):
+    """Landing CSV -> bronze, silver, gold tables; what ``read`` makes of them."""
+    landed = _landed(spark, sf, ALL_EXTRACTS)
+    with _layers(spark) as (names, root):
+        layers.build(spark, landed, names, root, AS_OF)
+        return materialize(read(names), "layer-result")
+
+
 @register("layer_run", dq_report_sql())
 def q_layer_run(spark, sf):
-    """Landing CSV -> bronze, silver, gold tables -> report read from the tables."""
-    root = _landed(spark, sf, tuple(s.fixture for s in schemas.SOURCES))
-    warehouse = scratch_path(spark, "layers")
-    names = layers.Layers.with_prefix("l" + warehouse.rsplit("-", 1)[-1] + "_")
-    return layers.run_all(spark, root, names, warehouse, AS_OF)
+    """The layers from landing files to the report read from the tables."""
+    return _built(spark, sf, lambda names: layers.report(spark, names).select(*REPORT))
+
+
+def _written(table: str) -> Query:
+    """A gold table as the layer run wrote it."""
+    def query(spark, sf):
+        return _built(spark, sf, lambda names: spark.table(names.table("gold", table)))
+    return query
+
+
+for _table in ("dim_customers", "dim_products", "fact_sales"):
+    register(f"layer_{_table}", with_ctes(f"SELECT * FROM {_table}", _table))(_written(_table))
 
 
 @register("silver_sales_stream", with_ctes("SELECT * FROM s_sales", "s_sales"))

@@ -9,15 +9,12 @@ per layer) whose folders sit under a shared root.
 
 from __future__ import annotations
 
-import dataclasses
 import datetime as _dt
-import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.operators.aggregates import top_key_share
 from refinery.plans import gold, quality, silver
 from refinery.session import concurrently
 from refinery.sources import files
@@ -32,7 +29,9 @@ class Layers:
     # When set, silver sales and the customer dimension are bucketed on
     # customer_id into this many buckets, so the fact's customer lookup is a
     # sort-merge join without a shuffle on either side (for a customer
-    # dimension too large to broadcast).
+    # dimension too large to broadcast).  The layout is written as asked: AQE
+    # cannot split a bucket, so do not ask for it when one customer holds far
+    # more than a bucket's share of the sales (``top_key_share`` tells).
     customer_buckets: int | None = None
     # When set, the fact table carries ``order_month`` (first day of the order
     # month) and is written partitioned by it, so date filters prune folders.
@@ -57,23 +56,19 @@ class Layers:
 
 
 def create_layers(spark: SparkSession, layers: Layers, root: str | None = None) -> None:
-    for layer, comment in LAYERS.items():
-        db = getattr(layers, layer)
-        stmt = f"CREATE SCHEMA IF NOT EXISTS `{db}` COMMENT '{comment}'"
-        if root:
-            stmt += f" LOCATION '{root.rstrip('/')}/{db}'"
-        spark.sql(stmt)
+    files.create_layer_schemas(spark, root, {layer: getattr(layers, layer) for layer in LAYERS})
 
 
 def run_bronze(spark: SparkSession, landing_root: str, layers: Layers) -> dict[str, str]:
-    """Every raw extract under the landing root becomes a typed bronze table."""
+    """Every raw extract under the landing root becomes a typed bronze table;
+    what does not fit its type is kept in the column ``_rejected``."""
     return files.ingest_catalog(spark, landing_root, layers.bronze, SOURCES)
 
 
 def run_silver(spark: SparkSession, layers: Layers, as_of: _dt.date | str | None = None) -> dict[str, str]:
     """The six cleaning jobs are independent: their writes are submitted side by side."""
     def one(target: str, source: str, job) -> str:
-        bronze_df = spark.table(layers.table("bronze", source))
+        bronze_df = spark.table(layers.table("bronze", source)).drop(files.REJECTED)
         cleaned = job(bronze_df, as_of) if job is silver.silver_erp_customers else job(bronze_df)
         name = layers.table("silver", target)
         files.write_table(cleaned, name, **layers.bucketing(target))
@@ -88,11 +83,11 @@ def run_gold(spark: SparkSession, layers: Layers) -> dict[str, str]:
     t = lambda name: spark.table(layers.table("silver", name))
 
     def customers() -> None:
-        dim_c = gold.dim_customers(t("crm_customers"), t("erp_customers"), t("erp_customer_location"), persist=False)
+        dim_c = gold.dim_customers(t("crm_customers"), t("erp_customers"), t("erp_customer_location"))
         files.write_table(dim_c, layers.table("gold", "dim_customers"), **layers.bucketing("dim_customers"))
 
     def products() -> None:
-        dim_p = gold.dim_products(t("crm_products"), t("erp_product_category"), persist=False)
+        dim_p = gold.dim_products(t("crm_products"), t("erp_product_category"))
         files.write_table(dim_p, layers.table("gold", "dim_products"))
 
     concurrently(customers, products)           # independent; the fact needs both
@@ -111,33 +106,23 @@ def report(spark: SparkSession, layers: Layers) -> DataFrame:
     b = lambda name: spark.table(layers.table("bronze", name))
     s = lambda name: spark.table(layers.table("silver", name))
     g = lambda name: spark.table(layers.table("gold", name))
+    rejected = files.rejected_values([b(spec.table) for spec in SOURCES])
     return quality.dq_report(b("crm_cust_info"), b("crm_sales_details"), s("crm_customers"), s("crm_sales"),
                              s("erp_customers"), s("erp_customer_location"), s("erp_product_category"),
-                             g("dim_customers"), g("dim_products"), g("fact_sales"))
+                             g("dim_customers"), g("dim_products"), g("fact_sales"), rejected)
 
 
-def safe_bucketing(spark: SparkSession, layers: Layers) -> Layers:
-    """Bucketing fixes the layout: a bucket that holds a hot customer cannot be
-    split at join time (AQE splits shuffle reads, not bucketed scans).  Keep
-    the bucketed layout only when no customer holds more than two buckets'
-    fair share of the bronze sales; otherwise fall back to the unbucketed
-    layout, whose sort-merge join AQE can split."""
-    if not layers.customer_buckets:
-        return layers
-    share = top_key_share(spark.table(layers.table("bronze", "crm_sales_details")), "sls_cust_id") \
-        .collect()[0]["share"]
-    if share is not None and share > 2.0 / layers.customer_buckets:
-        warnings.warn(f"one customer holds {share:.1%} of the sales: writing unbucketed tables", stacklevel=2)
-        return dataclasses.replace(layers, customer_buckets=None)
-    return layers
+def build(spark: SparkSession, landing_root: str, layers: Layers, root: str | None = None,
+          as_of: _dt.date | str | None = None) -> None:
+    """Write the tables of all layers, in order."""
+    create_layers(spark, layers, root)
+    run_bronze(spark, landing_root, layers)
+    run_silver(spark, layers, as_of)
+    run_gold(spark, layers)
 
 
 def run_all(spark: SparkSession, landing_root: str, layers: Layers = Layers(), root: str | None = None,
             as_of: _dt.date | str | None = None) -> DataFrame:
     """Run the layers in order and return the quality report over the written tables."""
-    create_layers(spark, layers, root)
-    run_bronze(spark, landing_root, layers)
-    layers = safe_bucketing(spark, layers)
-    run_silver(spark, layers, as_of)
-    run_gold(spark, layers)
+    build(spark, landing_root, layers, root, as_of)
     return report(spark, layers)

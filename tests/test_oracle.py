@@ -11,9 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from oracle_check import TABLES, digest  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from refinery.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -26,11 +27,11 @@ def duck():
     return con
 
 
-def test_every_query_is_registered_with_an_oracle_or_is_rows_only():
+def test_every_library_query_has_an_oracle():
     qs = entry.queries()
-    assert len(qs) >= 55
-    assert set(ORACLE) <= set(qs)
-    assert set(qs) - set(ORACLE) == {"landing_files"}
+    assert len(qs) >= 65
+    assert set(entry.oracle_sql()) <= set(qs)
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
