@@ -52,7 +52,7 @@ _ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*
 _WORDS = re.compile(r"[a-z]+")
 SAMPLE_PAGES = 1000
 # Scores where no labelled page has the kind: a word, a word in a link, a tag, a left-out element.
-DEFAULT = {"word": 0.5, "link": -1.0, "tag": -0.2, "gap": -1.0}
+DEFAULT = {"word": 0.5, "link": -1.0, "tag": -0.05, "gap": -1.0}
 
 
 class Gap:
@@ -114,6 +114,7 @@ def tokens(page: str) -> Iterator[tuple]:
             if at is not None:
                 pop(at)
         elif name not in VOID:
+            attrs = m["attrs"] or ""
             if name not in INLINE:             # a block ends an open paragraph
                 at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), None)
                 if at is not None and (stack[at][0] == "p" or stack[at][0] == name == "li"):
