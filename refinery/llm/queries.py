@@ -95,7 +95,37 @@ QUERIES: dict[str, Query] = {
     "op10_hierarchical_language": op10_hierarchical_language,
 }
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_SPACED = f"regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+')"
+
 ORACLE: dict[str, str] = {
+    "op1_winnowing": f"""
+WITH docs AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+  items AS (SELECT item_id, w, least(len(w), 10) AS k FROM (SELECT item_id, {_ALNUM} AS w FROM benchmark) WHERE len(w) > 0),
+  windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
+  grams AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows))),
+  hits AS (SELECT doc_id, i, k, item_id FROM grams JOIN windows USING (k, g)),
+  words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY ALL),
+  found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY ALL)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op9_set_relation_skipping": f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+  sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+  sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY ALL),
+  common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+  links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+  reached AS (SELECT doc_id, doc_id AS r FROM docs UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.r)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+""",
     "op6_progressive_refinement": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
