@@ -1,0 +1,123 @@
+"""Plain Python versions of the operators, for small inputs."""
+
+import hashlib
+import random
+import re
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+VOCABULARY = "the of and ton rea ing wha est ion der che une pour nicht ist más qué niño été straße 中文 o'clock x1".split()
+
+
+def alnum_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def spaced_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+
+
+def prose(rng, n):
+    return "".join(rng.choice(VOCABULARY) + rng.choice([" ", " ", " ", ", ", ".\n", "  ", "\t"]) for _ in range(n))
+
+
+def corpus(seed=1, n=40):
+    """Texts with exact copies, near copies, shared passages, nulls and empties."""
+    rng = random.Random(seed)
+    base = [prose(rng, rng.choice([0, 1, 3, 7, 30, 120, 300])) for _ in range(n)]
+    passage = prose(rng, 90)
+    out = list(base)
+    for t in base[:n // 2]:
+        words = t.split(" ")
+        for _ in range(rng.randint(0, 3)):                     # near copies
+            w = list(words)
+            w[rng.randrange(len(w))] = "edit"
+            out.append(" ".join(w))
+        out += [t] * rng.randint(0, 2)                          # exact copies
+    out += [prose(rng, 40) + passage + prose(rng, 40) for _ in range(6)]
+    out += [None, None, "", "   ", "a", "!!!", "aaaa " * 400, "ab" * 700, "ab" * 700 + "x", prose(rng, 20000)]
+    return out
+
+
+def contamination(texts, items, window=10):
+    """(n_words, n_hit, sorted item ids) of each text; items are (id, text)."""
+    windows = {}
+    for i, t in items:
+        w = alnum_words(t)
+        k = min(window, len(w))
+        for s in range(len(w) - k + 1 if k else 0):
+            windows.setdefault(tuple(w[s:s + k]), set()).add(i)
+    sizes, out = {len(k) for k in windows}, []
+    for t in texts:
+        w, hit, found = alnum_words(t), set(), set()
+        for k in sizes:
+            for s in range(len(w) - k + 1):
+                if (ids := windows.get(tuple(w[s:s + k]))) is not None:
+                    hit.update(range(s, s + k))
+                    found |= ids
+        out.append((len(w), len(hit), sorted(str(i) for i in found if i is not None)))
+    return out
+
+
+def shingles(text, k=5):
+    w = spaced_words(text)
+    return {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+
+
+def similar_components(rows, num=3, den=4):
+    """Component number of each row's text, by all pairs; rows are (id, text)."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if a and sets[j] and den * common >= num * (len(a) + len(sets[j]) - common):
+                parent[find(i)] = find(j)
+    groups = {}
+    for i, (d, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(d)
+    low = {g: min((d for d in ids if d is not None), default=None) for g, ids in groups.items()}
+    return [low[find(i)] if sets[i] else rows[i][0] for i in range(len(rows))], [len(s) for s in sets]
+
+
+def repeats_removed(texts, length):
+    """(n_bytes, n_removed, n_spans, sha256 of the rest) of each text."""
+    data = [(t or "").encode() for t in texts]
+    seen = {}
+    for b in data:
+        for a in range(len(b) - length + 1):
+            h = b[a:a + length]
+            seen[h] = seen.get(h, 0) + 1
+    out = []
+    for b in data:
+        spans = []
+        for a in range(len(b) - length + 1):
+            if seen[b[a:a + length]] > 1:
+                if spans and a <= spans[-1][1]:
+                    spans[-1][1] = a + length
+                else:
+                    spans.append([a, a + length])
+        kept, at = b"", 0
+        for s, e in spans:
+            kept, at = kept + b[at:s], e
+        kept += b[at:]
+        out.append((len(b), len(b) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def water_level(sizes, weights, epochs=3.0):
+    """Targets by repeated clamping and sharing anew."""
+    total, capped = sum(sizes), set()
+    while True:
+        free = sum(w for i, w in enumerate(weights) if i not in capped)
+        left = total - sum(epochs * sizes[i] for i in capped)
+        target = [epochs * s if i in capped else (left * w / free if free else 0) for i, (s, w) in enumerate(zip(sizes, weights))]
+        over = {i for i, s in enumerate(sizes) if i not in capped and target[i] > epochs * s}
+        if not over:
+            return target
+        capped |= over

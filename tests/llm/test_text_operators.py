@@ -1,0 +1,161 @@
+"""Decontamination, Jaccard join and repeated spans against brute force."""
+
+import random
+from collections import Counter, defaultdict
+
+import brute
+import pytest
+
+from refinery.llm import jaccard_join
+from refinery.llm.components import components
+from refinery.llm.decontaminate import contamination
+from refinery.llm.jaccard_join import similar_groups
+from refinery.llm.suffix_dedup import remove_repeats
+
+LONGS = "doc_id long, text string"
+
+
+def benchmark_items(rows):
+    """Passages of the documents, short items, items that repeat, nulls."""
+    words = [brute.alnum_words(t) for _, t, *_ in rows if t]
+    rng = random.Random(7)
+    items = []
+    for i, w in enumerate(w for w in words if len(w) > 25):
+        s = rng.randrange(len(w) - 15)
+        items.append((i, " ".join(w[s:s + rng.choice([10, 11, 14])]).upper()))
+    items += [(500, "the of"), (501, words[0][0] if words[0] else "the"), (502, "the of"), (503, " ".join(["aaaa"] * 12)), (504, None),
+              (505, "?!"), (None, items[0][1]), items[1], (506, "never seen words here at all in any of the texts")]
+    return items
+
+
+def test_contamination_equals_brute_force(spark, awkward):
+    rows, df = awkward
+    items = benchmark_items(rows)
+    got = contamination(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute.contamination([r[1] for r in rows], items)
+    as_rows = lambda r: (str(r[0]), r[1], r[2], tuple(r[3]))
+    assert Counter(as_rows((r["id"], r["n_words"], r["n_hit"], r["items"])) for r in got) == \
+        Counter(as_rows((row[0], *w)) for row, w in zip(rows, want))
+    assert sum(r["n_hit"] > 0 for r in got) > 10
+
+
+def test_contamination_of_empty_tables(spark, awkward, nothing):
+    rows, df = awkward
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert contamination(nothing, none).count() == 0
+    assert {(r["n_hit"], tuple(r["items"])) for r in contamination(df, none).collect()} == {(0, ())}
+
+
+def groups_of(out):
+    return Counter((str(r["id"]), r["n_shingles"], str(r["component"])) for r in out)
+
+
+def test_similar_groups_equal_brute_force(awkward):
+    rows, df = awkward
+    component, sizes = brute.similar_components([(r[0], r[1]) for r in rows])
+    want = Counter((str(r[0]), n, str(c)) for r, n, c in zip(rows, sizes, component))
+    assert groups_of(similar_groups(df).collect()) == want
+    assert groups_of(similar_groups(df, frequent=(2,), rounds=1).collect()) == want      # most shingles are put last
+    assert groups_of(similar_groups(df, rounds=0).collect()) == want                   # no stars: leaders only
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_a_chain_of_edits_is_one_component(spark, seed):
+    """Each text differs from the one before a little, the ends a lot; other
+    families share a passage with them."""
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(30)]
+    rows, d = [], 0
+    for f in range(5):
+        words = [f"f{f}w{i}" for i in range(90)]
+        for step in range(14):
+            rows.append((d, " ".join(words[:40] + passage + words[40:])))
+            d += 1
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                words[rng.randrange(len(words))] = f"e{rng.random()}"
+    rng.shuffle(rows)
+    component, sizes = brute.similar_components(rows)
+    got = similar_groups(spark.createDataFrame(rows, LONGS).repartition(4), frequent=rng.choice([(2,), (3, 8), (100,), ()])).collect()
+    assert groups_of(got) == Counter((str(i), n, str(c)) for (i, _), n, c in zip(rows, sizes, component))
+    assert len(set(component)) < len(rows)
+
+
+def test_similar_groups_of_an_empty_table(nothing):
+    assert similar_groups(nothing).count() == 0
+
+
+def test_prefix_length_covers_the_threshold():
+    for n in range(1, 300):
+        p = jaccard_join.prefix_length(n, 3, 4)
+        assert 1 <= p <= n and 4 * (n - p) < 3 * n and 4 * (n - p + 1) >= 3 * n
+
+
+def test_sketch_bounds_the_overlap():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        x, y = (np.unique(rng.integers(0, 1 << 62, rng.integers(1, 900), dtype=np.uint64)) for _ in range(2))
+        both = np.unique(np.concatenate((x[rng.random(len(x)) < rng.random()], y[:1])))
+        y = np.unique(np.concatenate((y[rng.random(len(y)) < rng.random()], both)))
+        bound = jaccard_join.most_common(len(x), len(y), jaccard_join.sketch(x), jaccard_join.sketch(y))
+        assert len(np.intersect1d(x, y)) <= bound <= (len(x) + len(y)) // 2
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(45)]
+    parent = {v: v for e in edges for v in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {v: find(v) for e in edges if e[0] != e[1] for v in e}
+
+
+def removed(out):
+    return Counter((str(r["id"]), r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) for r in out)
+
+
+@pytest.mark.parametrize("length", [400, 230])
+def test_repeats_removed_equal_brute_force(awkward, length):
+    rows, df = awkward
+    want = brute.repeats_removed([r[1] for r in rows], length)
+    out = remove_repeats(df, length=length).collect()
+    assert removed(out) == Counter((str(r[0]), *w) for r, w in zip(rows, want))
+    texts = defaultdict(set)
+    for d, t, *_ in rows:
+        texts[d].add((t or "").encode())
+    for r in out:
+        assert all(a["end"] < b["start"] for a, b in zip(r["spans"], r["spans"][1:]))
+        assert any(r["kept"] == b"".join(t[a:b] for a, b in zip([0] + [s["end"] for s in r["spans"]],
+                                                                 [s["start"] for s in r["spans"]] + [len(t)])) for t in texts[r["id"]])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats_in_low_entropy_texts(spark, seed):
+    """Runs, periods and shared pieces at every alignment."""
+    rng = random.Random(seed)
+    pieces = [bytes(rng.choice(b"ab") for _ in range(rng.randint(150, 600))).decode() for _ in range(6)]
+    pieces += ["a" * 700, "ab" * 350, "abc" * 200, "".join(rng.choice("abcdefgh ") for _ in range(1200))]
+    texts = []
+    for _ in range(40):
+        t = ""
+        for _ in range(rng.randint(1, 4)):
+            p = rng.choice(pieces)
+            a = rng.randrange(len(p) // 2)
+            t += p[a:a + rng.randint(100, 1200)] + rng.choice(["", "x", "q" * rng.randint(1, 40)])
+        texts.append(t)
+    df = spark.createDataFrame(list(enumerate(texts)), LONGS).repartition(4)
+    want = brute.repeats_removed(texts, 400)
+    assert removed(remove_repeats(df).collect()) == Counter((str(i), *w) for i, w in enumerate(want))
+
+
+def test_repeats_of_an_empty_table(nothing):
+    assert remove_repeats(nothing).count() == 0
