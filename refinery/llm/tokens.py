@@ -13,10 +13,12 @@ hold all documents in id order and every task writes its own files.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,23 +48,48 @@ _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u30
 # (the apostrophe aside).
 _LETTERS, _MARKS = "A-Za-z0-9\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f", ".,;:!?*$%&#|"
 _CUTS = re.compile(rf" ?[{_LETTERS}]+(?=[{_MARKS}])| ?[^{_WS}]+|[{_WS}]+(?=[{_WS}][^{_WS}])|[{_WS}]+")
+_ONE_PIECE = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
 CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 48
 
 
+def byte_letters() -> dict[int, str]:
+    """Byte-level BPE's letter for each byte: printable ones stand for
+    themselves, the rest take the code points from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Ids of whole texts.  Each distinct word is encoded by the tokenizer
-    once per worker and remembered; the ids equal those of the whole text."""
+    once per worker and remembered; the ids equal those of the whole text.  A
+    word of letters is one piece to a byte-level tokenizer and goes straight to
+    its BPE model."""
 
     _made: dict[tuple, Encoder] = {}
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"          # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
+        split = self.tokenizer.pre_tokenizer
+        byte_level = isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space
+        self.model = self.tokenizer.model if byte_level and self.tokenizer.normalizer is None else None
+        self.letters = byte_letters()
+
+    def _new(self, words: Iterable[str]) -> dict[str, bytes]:
+        whole = [w for w in words if self.model is None or not _ONE_PIECE.fullmatch(w)]
+        ids = dict(zip(whole, (e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))))
+        for w in words:
+            if w not in ids:
+                ids[w] = [t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))]
+        return {w: array(self.kind, i).tobytes() for w, i in ids.items()}
 
     @classmethod
     def of(cls, path: str, end_id: int) -> Encoder:
@@ -71,20 +98,19 @@ class Encoder:
             cls._made[key] = cls(path, end_id)
         return cls._made[key]
 
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        """Packed ids of each text, the end id appended; null is empty."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        cut = [_CUTS.findall(t or "") for t in texts]
-        new = list({w for words in cut for w in words if w not in self.known})
-        fresh = {w: np.array(e.ids, self.dtype).tobytes()
-                 for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        long = {w: b for w, b in fresh.items() if len(w) > CACHE_CHARS}
-        self.known.update(fresh)
-        out = [b"".join(map(self.known.__getitem__, words)) + self.end for words in cut]
-        for w in long:
-            del self.known[w]
-        return out
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Packed ids of each text, the end id appended; null is empty.  Once
+        the memory is full, further words are encoded without being kept."""
+        known = self.known
+        for t in texts:
+            words = _CUTS.findall(t or "")
+            ids = list(map(known.get, words))
+            if None in ids:
+                fresh = self._new({w for w, i in zip(words, ids) if i is None})
+                ids = [fresh[w] if i is None else i for w, i in zip(words, ids)]
+                if len(known) < CACHE_ENTRIES:
+                    known.update((w, i) for w, i in fresh.items() if len(w) <= CACHE_CHARS)
+            yield b"".join(ids) + self.end
 
 
 # --- the file format -----------------------------------------------------------------------------
