@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from refinery.session import materialize
 
 # Bytes of text that one numpy step looks at; a longer single text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +45,9 @@ def bitmap_of(df: DataFrame, hash_column: str, bits: int = BITMAP_BITS) -> np.nd
     out = np.zeros(1 << (bits - 6), np.uint64)
     packed = words.groupBy(F.shiftright("w", 9).alias("g")).agg(
         F.collect_list("w").alias("w"), F.collect_list("b").alias("b"))
-    for r in packed.toLocalIterator():
-        out[np.array(r["w"], np.int64)] = np.array(r["b"], np.int64).view(np.uint64)
+    found = packed.select("w", "b").toArrow()                 # at most the size of the bitmap, twice
+    at, bits_set = (found.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("w", "b"))
+    out[at.astype(np.int64)] = bits_set.astype(np.int64).view(np.uint64)
     return out
 
 
@@ -56,6 +57,40 @@ def in_bitmap(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
+# --- counting hashes ------------------------------------------------------------------------------
+
+PACKED = "bucket int, s binary, n binary"
+BUCKET_HASHES = 1 << 20      # hashes that one group of a count has, about
+
+
+def buckets_for(hashes: int) -> int:
+    return max(64, hashes // BUCKET_HASHES)
+
+
+def packed(hashes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The distinct hashes (uint64) with their counts, cut by hash range: what
+    is shuffled is 8 bytes a hash, and a very frequent one is one entry."""
+    s, n = np.unique(hashes, return_counts=True)
+    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+    cut = np.concatenate(([0], np.searchsorted(s, edges), [len(s)]))
+    some, n = np.flatnonzero(cut[1:] > cut[:-1]), n.astype(np.uint32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some, pa.int32()), pa.array([s[cut[b]:cut[b + 1]].tobytes() for b in some], pa.binary()),
+         pa.array([n[cut[b]:cut[b + 1]].tobytes() for b in some], pa.binary())], ["bucket", "s", "n"])
+
+
+def repeated(packs: DataFrame) -> DataFrame:
+    """(s, n) of the hashes in ``packed`` rows that occur more than once."""
+    def add(table: pa.Table) -> pa.Table:
+        s, n = (np.concatenate([np.frombuffer(v.as_py(), t) for v in table.column(c)]) for c, t in (("s", np.uint64), ("n", np.uint32)))
+        order = np.argsort(s, kind="stable")
+        s, first = np.unique(s[order], return_index=True)
+        total = np.add.reduceat(n[order].astype(np.int64), first)
+        return pa.table({"s": s[total > 1].view(np.int64), "n": total[total > 1]})
+
+    return packs.groupBy("bucket").applyInArrow(add, "s long, n long")
+
+
 # --- numpy over Arrow text ------------------------------------------------------------------------
 
 def text_steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[tuple]:

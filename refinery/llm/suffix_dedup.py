@@ -8,18 +8,20 @@ found, exactly, without a rank for every byte of the corpus:
    bytes have their first anchor at the same place.  ``next(p)`` is the anchor
    of the run that starts after p; it depends only on what follows p.
 2. Prefix doubling over anchors.  An anchor's first rank names its first
-   ``WINDOW + GRAM`` bytes.  Each round sorts the pairs (rank of p, rank of the
-   anchor 1, 2, 4, ... steps on), names equal pairs by their place in that
-   order, and drops anchors whose pair is unique.  A pair that would reach past
-   the bytes which all strings with that anchor share is left as it is.
+   ``WINDOW + GRAM`` bytes.  Each round gathers the pairs (rank of p, rank of the
+   anchor 1, 2, 4, ... steps on), gives equal pairs one new rank, and drops
+   anchors whose pair is unique.  A pair that would reach past the bytes which
+   all strings with that anchor share is left as it is.  A rank is a name (a
+   64-bit hash of its pair): only equality is needed, so no rank has to be sent
+   back from a sorted order, and which pairs recur comes back as a bitmap.
 3. Cells.  The strings with the same anchor start next to each other; a cell is
    their union.  Cells that occur twice are repeated whole.  Only a cell that is
    unique while its rank is not (the rim of a repeated span) is looked at string
    by string, against the other cells of its rank.
 
 The texts are scanned, never shuffled, until the end, when the rows with
-something to remove meet their spans.  Strings are named by 64-bit (ranks) and
-128-bit hashes (cells, strings).
+something to remove meet their spans.  Cells and strings are told apart by 128
+bits; an error in a rank could only make more of them be compared.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import SpanHash, bitmap_of, in_bitmap, mix, text_steps
-from refinery.session import materialize
+from refinery.llm.common import PACKED, SpanHash, bitmap_of, buckets_for, in_bitmap, mix, packed, repeated, text_steps
+from refinery.session import discard, materialize
 
 LENGTH = 400
 WINDOW, GRAM = 96, 16
@@ -105,28 +107,37 @@ def long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
-def first_ranks(rows: DataFrame, length: int) -> DataFrame:
-    """First ranks that occur more than once."""
-    def emit(keys, data, a):
-        return pa.RecordBatch.from_arrays([long(a.rank)], ["rank"])
+def first_ranks(rows: DataFrame, length: int, buckets: int) -> DataFrame:
+    """First ranks that occur more than once, as ``s``."""
+    return repeated(scan(rows, length, PACKED, lambda keys, data, a: packed(a.rank, buckets)))
+
 
-    return scan(rows, length, "rank long", emit).groupBy("rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("rank")
+ANCHORS = ("key long, pos array<int>, follows array<int>, next array<int>, rank array<long>, low array<int>, high array<int>, "
+           "c1 array<long>, c2 array<long>")
 
 
 def candidate_anchors(rows: DataFrame, length: int, known: np.ndarray) -> DataFrame:
-    """Anchors whose first rank may be repeated, with their cells: (key, pos,
-    next, rank, low, high, c1, c2), positions from the text's start."""
+    """The anchors of each text whose first rank may be repeated, with their
+    cells, in text order: position, place of the next anchor in this list (-1
+    where it is not in it) and its position, first rank, cell bounds and name."""
     shared = rows.sparkSession.sparkContext.broadcast(known)       # of a fixed size
 
     def emit(keys, data, a):
         a.pick(np.flatnonzero(in_bitmap(shared.value, a.rank)))
         c1, c2 = cell_hashes(a, data, length)
+        texts, first = np.unique(a.text, return_index=True)
+        ends = np.append(first, len(a.p))
+        at = np.searchsorted(a.p, a.next)
+        here = (at < len(a.p)) & (a.p[np.minimum(at, max(0, len(a.p) - 1))] == a.next)
+        begin = np.repeat(first, np.diff(ends))
+        lists = lambda x, t: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x.astype(t)))
         return pa.RecordBatch.from_arrays(
-            [long(keys[a.text]), *[pa.array((x - a.begin).astype(np.int32)) for x in (a.p, a.next)], long(a.rank),
-             *[pa.array((x - a.begin).astype(np.int32)) for x in (a.low, a.high)], long(c1), long(c2)],
-            ["key", "pos", "next", "rank", "low", "high", "c1", "c2"])
+            [long(keys[texts]), lists(a.p - a.begin, np.int32), lists(np.where(here, at - begin, -1), np.int32),
+             lists(a.next - a.begin, np.int32), lists(a.rank.view(np.int64), np.int64), lists(a.low - a.begin, np.int32),
+             lists(a.high - a.begin, np.int32), lists(c1.view(np.int64), np.int64), lists(c2.view(np.int64), np.int64)],
+            ["key", "pos", "follows", "next", "rank", "low", "high", "c1", "c2"])
 
-    return scan(rows, length, "key long, pos int, next int, rank long, low int, high int, c1 long, c2 long", emit)
+    return scan(rows, length, ANCHORS, emit)
 
 
 def cell_hashes(a: Anchors, data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,89 +149,187 @@ def cell_hashes(a: Anchors, data: np.ndarray, length: int) -> tuple[np.ndarray,
     return one, mix(SpanHash(data, 2)(a.low, end) + place) if len(a.p) else one
 
 
-def doubled(state: DataFrame, core: int, first_length: int) -> DataFrame:
-    """Prefix doubling: (key, pos, rank) of the anchors whose rank is shared to
-    the end.  ``state`` has (key, pos, next, rank, weight).
+class Doubling:
+    """The anchors of a batch of texts, after some rounds of doubling.
 
     A rank covers 2**round steps.  Whether an anchor takes part in a round
     depends only on its first ``core`` bytes: the steps of the doubled rank must
-    end within them (then those of every anchor on the way do, too).  ``len`` of
-    a dropped anchor is how many of its bytes occur nowhere else."""
-    state = state.withColumn("len", F.lit(first_length)).withColumn("alive", F.lit(True)).withColumn("done", F.lit(False))
+    end within them (then those of every anchor on the way do, too); otherwise
+    it is ``done`` and keeps its rank.  ``size`` of a dropped anchor is how many
+    of its bytes occur nowhere else."""
+
+    def __init__(self, batch: pa.RecordBatch, core: int, first_length: int):
+        flat = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "key"}
+        count = batch.column("pos").value_lengths().to_numpy(zero_copy_only=False)
+        self.text = np.repeat(np.arange(batch.num_rows), count)
+        self.flat, self.core = flat, core
+        begin = np.repeat(np.cumsum(count) - count, count)
+        self.pos, self.next = flat["pos"].astype(np.int64), flat["next"].astype(np.int64)
+        self.follows = np.where(flat["follows"] >= 0, flat["follows"] + begin, -1)
+        self.rank, n = flat["rank"].view(np.uint64), len(begin)
+        self.size = np.full(n, first_length)
+        self.alive, self.done, self.first_length = np.ones(n, bool), np.zeros(n, bool), first_length
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchors to look up, their rank, the rank that follows): 0 follows
+        where the pair would reach too far."""
+        f = self.follows
+        has = f >= 0
+        self.reach = self.next - self.pos + np.where(has, self.size[f], self.first_length)
+        self.past = self.done | (has & self.done[f]) | (self.reach > self.core)
+        self.open = np.flatnonzero(self.alive & ~self.done & (self.past | (has & self.alive[f])))
+        second = np.where(self.past, np.uint64(0), self.rank[f])
+        return self.open, self.rank[self.open], second[self.open]
+
+    def apply(self, again: np.ndarray) -> None:
+        """One round: ``again`` is the bitmap of the pairs that occur again."""
+        at, one, two = self.pairs()
+        name = pair_name(one, two)
+        back = in_bitmap(again, name)
+        f, new = self.follows, ~self.past
+        alive = self.done.copy() & self.alive
+        alive[at[back]] = True
+        rank = self.rank.copy()
+        rank[at] = name
+        size = np.where(new, self.reach, np.where(alive, self.size, self.core))
+        step = new & (f >= 0)
+        self.next, self.follows = np.where(step, self.next[f], self.next), np.where(step, f[f], np.where(new, -1, f))
+        self.rank, self.size, self.done, self.alive = rank, size, self.past, alive
+
+
+def pair_name(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return mix(one * np.uint64(0xD6E8FEB86659FD93) + mix(two))
+
+
+def shared_cells(anchors: DataFrame, core: int, first_length: int) -> DataFrame:
+    """Prefix doubling to its end: (key, rank, low, high, c1, c2) of the cells
+    whose anchor's rank is shared.  Each round reads the anchors, brings them up
+    to date with the bitmaps of the rounds before, and hands the rank pairs to
+    Spark, which sorts out the ones that recur."""
+    sc = anchors.sparkSession.sparkContext
+    bitmaps: list[np.ndarray] = []
+
+    def up_to_date(batch: pa.RecordBatch, known: list[np.ndarray]) -> Doubling:
+        d = Doubling(batch, core, first_length)
+        for again in known:
+            d.apply(again)
+        return d
+
     while True:
-        ahead = state.select("key", F.col("pos").alias("next"), F.col("rank").alias("rank2"), F.col("len").alias("len2"),
-                             F.col("next").alias("next2"), F.col("alive").alias("alive2"), F.col("done").alias("done2"))
-        live = state.filter("alive").join(ahead, ["key", "next"], "left")
-        reach = F.col("next") - F.col("pos") + F.coalesce("len2", F.lit(first_length))
-        past = F.col("done") | F.coalesce("done2", F.lit(False)) | (reach > core)
-        lone = ~past & ~F.coalesce("alive2", F.lit(False))         # what follows is unique, so the pair is
-        pairs = live.withColumns({"reach": reach, "past": past, "lone": lone}).withColumn(
-            "rank2", F.when(F.col("past"), F.lit(-1).cast("long")).otherwise(F.col("rank2")))
-        pairs = materialize(pairs.select("key", "pos", "next", "next2", "rank", "rank2", "len", "reach", "past", "lone", "weight"),
-                            "suffix-pairs")
-        # sort the pairs that occur again; a pair's place in the order is its new rank
-        again = (pairs.filter("not lone").groupBy("rank", "rank2", "past").agg(F.sum("weight").alias("n")).filter("n > 1"))
-        named = materialize(again.orderBy("rank", "rank2", "past").select(
-            "rank", "rank2", "past", F.monotonically_increasing_id().alias("name")), "suffix-ranks")
-        now = pairs.join(named, ["rank", "rank2", "past"], "left")
-        alive = F.col("name").isNotNull()
-        now = now.select("key", "pos", F.when(F.col("past"), F.col("next")).otherwise(F.coalesce("next2", F.lit(-1))).alias("next"),
-                         F.coalesce("name", F.lit(-1).cast("long")).alias("rank"), "weight",
-                         F.when(~F.col("past"), F.col("reach")).when(alive, F.col("len")).otherwise(core).alias("len"),
-                         alive.alias("alive"), F.col("past").alias("done"))
-        dead = state.filter("not alive")
-        state = materialize(now.unionByName(dead.select(*now.columns)), "suffix-state")
-        if not state.filter("alive and not done").take(1):
-            return state.filter("alive").select("key", "pos", "rank")
-
-
-def strings_of_cells(rows: DataFrame, length: int, wanted: np.ndarray) -> DataFrame:
-    """(c1, c2, off, h1, h2) of every string of the cells in the bitmap, each
-    cell once per task; ``off`` is from the cell's start."""
-    shared = rows.sparkSession.sparkContext.broadcast(wanted)       # of a fixed size
+        shared = sc.broadcast(bitmaps)                              # of a fixed size each
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                _, one, two = up_to_date(batch, shared.value).pairs()
+                yield pa.RecordBatch.from_arrays([long(one), long(two)], ["rank", "rank2"])
+
+        pairs = anchors.mapInArrow(run, "rank long, rank2 long").groupBy("rank", "rank2").agg(F.count(F.lit(1)).alias("n"))
+        again = materialize(pairs.filter("n > 1").sort("rank", "rank2"), "suffix-pairs")
+        more = bool(again.filter("rank2 <> 0").take(1))
+
+        def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                one, two = (b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("rank", "rank2"))
+                yield pa.RecordBatch.from_arrays([long(pair_name(one, two))], ["s"])
+
+        bitmaps.append(bitmap_of(again.select("rank", "rank2").mapInArrow(name, "s long"), "s"))
+        del pairs
+        discard(again)
+        if not more:
+            break
+    shared = sc.broadcast(bitmaps)
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = up_to_date(batch, shared.value)
+            at = np.flatnonzero(d.alive & (d.flat["high"] >= d.flat["low"]))
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([long(keys[d.text[at]]), long(d.rank[at]), *[pa.array(d.flat[c][at]) for c in ("low", "high", "c1", "c2")]],
+                                             ["key", "rank", "low", "high", "c1", "c2"])
+
+    return anchors.mapInArrow(cells, "key long, rank long, low int, high int, c1 long, c2 long")
+
+
+def strings_of_cells(rows: DataFrame, length: int, wanted: np.ndarray, lone: np.ndarray) -> DataFrame:
+    """(c1, c2, first, off, h, lone) of every string of the cells in the bitmap
+    ``wanted``, each cell once per task: its offset from the cell's start, its
+    hash, the anchor's first rank, and whether the bitmap ``lone`` has the cell."""
+    sc = rows.sparkSession.sparkContext
+    cells, single = sc.broadcast(wanted), sc.broadcast(lone)        # both of a fixed size
     seen: set[int] = set()                                          # of one task: the function is unpickled for each
 
     def emit(keys, data, a):
         a.pick(np.flatnonzero(a.high >= a.low))
         c1, c2 = cell_hashes(a, data, length)
-        hit = [i for i in np.flatnonzero(in_bitmap(shared.value, c1)) if not (int(c1[i]) in seen or seen.add(int(c1[i])))]
+        hit = [i for i in np.flatnonzero(in_bitmap(cells.value, c1)) if not (int(c1[i]) in seen or seen.add(int(c1[i])))]
         n = (a.high - a.low + 1)[hit]
         cell = np.repeat(np.array(hit, np.int64), n)
         off = np.arange(len(cell)) - np.repeat(np.cumsum(n) - n, n)
         at = a.low[cell] + off
-        two = SpanHash(data, 2)
-        return pa.RecordBatch.from_arrays([long(c1[cell]), long(c2[cell]), pa.array(off.astype(np.int32)), long(a.one(at, at + length)),
-                                           long(two(at, at + length))], ["c1", "c2", "off", "h1", "h2"])
+        return pa.RecordBatch.from_arrays(
+            [long(c1[cell]), long(c2[cell]), long(a.rank[cell]), pa.array(off.astype(np.int32)), long(a.one(at, at + length)),
+             pa.array(in_bitmap(single.value, c1[cell]))], ["c1", "c2", "first", "off", "h", "lone"])
+
+    return scan(rows, length, "c1 long, c2 long, first long, off int, h long, lone boolean", emit)
+
+
+def repeated_strings(strings: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            held.append(b.column("h").to_numpy(zero_copy_only=False).view(np.uint64))
+            n += b.num_rows
+            if n >= 1 << 19:
+                yield packed(np.concatenate(held), buckets)
+                held, n = [], 0
+        yield packed(np.concatenate([*held, np.zeros(0, np.uint64)]), buckets)
+
+    return repeated(strings.select("h").mapInArrow(run, PACKED))
+
+
+def in_both(strings: DataFrame, known: np.ndarray) -> DataFrame:
+    """The strings whose hash is in the bitmap."""
+    shared = strings.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(in_bitmap(shared.value, b.column("h").to_numpy(zero_copy_only=False).view(np.uint64))))
 
-    return scan(rows, length, "c1 long, c2 long, off int, h1 long, h2 long", emit)
+    return strings.mapInArrow(run, strings.schema)
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(key, start, end): byte ranges to remove, which may overlap."""
+    """(key, spans): sorted byte ranges to remove, which may overlap."""
     window, gram = WINDOW, GRAM
-    ranks = materialize(first_ranks(rows, length), "suffix-first")
-    anchors = materialize(candidate_anchors(rows, length, bitmap_of(ranks, "rank", RANK_BITS)), "suffix-anchors")
-    # rows that repeat both id and text share a key: kept once, counted as often as they occur
-    twice = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "suffix-repeated")
-    marked = anchors.join(twice, "key", "left")
-    single = marked.filter(F.col("n").isNull()).withColumn("weight", F.lit(1).cast("long")).drop("n")
-    anchors = single.unionByName(marked.filter(F.col("n").isNotNull()).withColumnRenamed("n", "weight").distinct())
-
-    final = doubled(anchors.select("key", "pos", "next", "rank", "weight"), length - window + 1, window + gram)
-    cells = anchors.filter("high >= low").drop("rank", "next").join(final, ["key", "pos"])
-    cells = materialize(cells, "suffix-cells")
-    kinds = cells.groupBy("rank", "c1", "c2").agg(F.sum("weight").alias("n"))
-    kinds = materialize(kinds, "suffix-kinds")
+    buckets = buckets_for((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) * 2 // window)
+    ranks = materialize(first_ranks(rows, length, buckets), "suffix-first")
+    anchors = materialize(candidate_anchors(rows, length, bitmap_of(ranks, "s", RANK_BITS)), "suffix-anchors")
+    discard(ranks)
+    cells = materialize(shared_cells(anchors, length - window + 1, window + gram), "suffix-cells")
+    discard(anchors)
+
+    kinds = materialize(cells.groupBy("rank", "c1", "c2").agg(F.count(F.lit(1)).alias("n")), "suffix-kinds")
     mixed = kinds.groupBy("rank").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
-    look = kinds.join(mixed.select("rank"), "rank")
-    strings = materialize(strings_of_cells(rows, length, bitmap_of(look, "c1")), "suffix-strings")
-    again = strings.groupBy("h1", "h2").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).filter("lo <> hi").select("h1", "h2")
+    look = materialize(kinds.join(mixed.select("rank"), "rank"), "suffix-mixed")
     lone = kinds.filter("n = 1").select("c1", "c2")
-    found = strings.join(again, ["h1", "h2"]).select("c1", "c2", "off").distinct().join(lone, ["c1", "c2"])
-    part = cells.join(found, ["c1", "c2"]).select("key", (F.col("low") + F.col("off")).alias("start"))
-    whole = cells.join(kinds.filter("n > 1").select("rank", "c1", "c2"), ["rank", "c1", "c2"])
-    return whole.select("key", F.col("low").alias("start"), (F.col("high") + length).alias("end")).unionByName(
-        part.select("key", "start", (F.col("start") + length).alias("end")))
+    strings = materialize(strings_of_cells(rows, length, bitmap_of(look, "c1"), bitmap_of(look.filter("n = 1"), "c1")), "suffix-strings")
+    discard(look)
+    # a cell that occurs once gives each of its strings once: a second row is another cell's
+    again = materialize(repeated_strings(strings, buckets), "suffix-again")
+    twofold = materialize(in_both(strings, bitmap_of(again, "s", RANK_BITS)), "suffix-twofold")
+    discard(strings, again)
+    equal = twofold.groupBy("h", "first").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).filter("lo <> hi").select("h", "first")
+    found = materialize(twofold.filter("lone").join(equal, ["h", "first"]).join(lone, ["c1", "c2"]).groupBy("c1", "c2").agg(
+        F.collect_set("off").alias("offs")), "suffix-found")           # at most WINDOW offsets to a cell
+    discard(twofold)
+    part = cells.join(found, ["c1", "c2"]).select("key", F.explode(F.transform(
+        "offs", lambda o: F.struct((F.col("low") + o).alias("start"), (F.col("low") + o + length).alias("end")))).alias("span"))
+    whole = cells.join(kinds.filter("n > 1").select("rank", "c1", "c2"), ["rank", "c1", "c2"]).select(
+        "key", F.struct(F.col("low").alias("start"), (F.col("high") + length).alias("end")).alias("span"))
+    spans = materialize(whole.unionByName(part).groupBy("key").agg(F.sort_array(F.collect_set("span")).alias("spans")), "suffix-spans")
+    del part, whole, equal, mixed, lone
+    discard(cells, kinds, found)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH) -> DataFrame:
@@ -234,8 +343,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if length < 2 * (WINDOW + GRAM):
         raise ValueError(f"length must be at least {2 * (WINDOW + GRAM)} bytes")
     rows = keyed(docs, id_column, text_column)
-    spans = materialize(repeated_spans(rows, length).groupBy("key").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")), "suffix-spans")
+    spans = repeated_spans(rows, length)
     touched = rows.sparkSession.sparkContext.broadcast(bitmap_of(spans, "key"))
     id_type = dict(rows.dtypes)["id"]
 
