@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.session import materialize
+from refinery.session import discard, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,7 +15,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbours meets only one row of minima."""
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     now = materialize(edges.select(u, v).filter("u <> v").distinct(), "components")
-    seen = None
     while True:
         # large star: every larger neighbour of a node goes to the node's smallest neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -25,10 +24,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = large.filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        now = materialize(small.filter("u <> v").distinct(), "components")
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF))).first())
-        if state == seen:
+        before, now = now, materialize(small.filter("u <> v").distinct(), "components")
+        del both, low, large, small
+        discard(before)
+        # done when every node has one root and no root is below another
+        ends = now.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            now.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not ends.filter("up > 1 or (up > 0 and down > 0)").take(1):
             break
-        seen = state
     roots = now.select("v").distinct().select(F.col("v").alias("u"), "v")
     return now.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("root"))

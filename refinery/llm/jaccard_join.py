@@ -10,12 +10,14 @@
    and position, and lists with one class are dropped.
 3. Index-level skipping: an entry of a list is passed over when size and
    position rule a link out.
-4. Answer-level skipping: in a few rounds each class is compared with one
-   leader, the most frequent first entry of its lists; if they link, it becomes
-   a member of the leader's star.  Then only leaders of different stars are
-   compared.  A member's overlap with anything is at most its leader's overlap
-   plus what the member does not share with the leader, so pairs of members
-   are verified only where that bound leaves a link open.
+4. Answer-level skipping: in a few rounds each class meets the leaders (first
+   entries) of its lists and is compared with the most promising; if they link,
+   it becomes a member of the leader's star.  Then only leaders of different
+   stars are compared.  A member's overlap with anything is at most its
+   leader's overlap plus what the member does not share with the leader, so
+   pairs of members are verified only where that bound leaves a link open.
+   Before any comparison a parity sketch (a bit per shingle, about) bounds the
+   overlap from above, so full sets are read only for pairs near a link.
 5. Links give components.
 
 All sums of work follow the input: a group of near copies costs a comparison
@@ -32,14 +34,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import SPACED_WORD, SpanHash, bitmap_of, gram_hashes, in_bitmap, mix, text_steps, words_of
+from refinery.llm.common import (
+    PACKED, SPACED_WORD, SpanHash, bitmap_of, buckets_for, gram_hashes, in_bitmap, mix, packed, repeated, text_steps, words_of,
+)
 from refinery.llm.components import components
-from refinery.session import materialize
+from refinery.session import discard, materialize
 
 SHINGLE = 5
 SIMILARITY = (3, 4)          # 0.75 as a fraction
-FREQUENT = 24                # prefix entries from which a shingle is put last
-STAR_ROUNDS = 3
+FREQUENT = (2, 4, 8, 16, 64)  # numbers of classes from which a shingle comes later
+STAR_ROUNDS, TRIES = 1, 3
 FILTER_BITS = 27
 
 
@@ -105,29 +109,32 @@ def classes(docs: DataFrame, k: int) -> DataFrame:
     return scan(docs, k, f"id {id_type}, text_hash long, n_shingles long, class long", emit)
 
 
-def prefix_counts(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """How often each shingle occurs among the prefixes in hash order, and
-    half a prefix beyond, where the last ones may still move up."""
+def shingle_counts(docs: DataFrame, k: int, buckets: int) -> DataFrame:
+    """(s, n) of the shingles that more than one class has."""
     def emit(batch, sets):
-        parts = [s[:(m := prefix_length(len(s), num, den)) + m // 2] for _, _, s in once(sets)]
-        return pa.RecordBatch.from_arrays([signed(parts)], ["s"])
+        every = [s for _, _, s in once(sets)]
+        return packed(np.concatenate(every) if every else np.zeros(0, np.uint64), buckets)
 
-    return scan(docs, k, "s long", emit).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return repeated(scan(docs, k, PACKED, emit))
 
 
-def index_entries(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray, shared: np.ndarray) -> DataFrame:
-    """(s, class, n, position) of the prefixes in the final order.  Shingles
-    that were counted once are left out by the bitmap ``shared``."""
+def final_prefix(s: np.ndarray, tiers: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Places (in hash order) of the set's prefix, rare shingles first."""
+    tier = sum((in_bitmap(t, s).astype(np.int8) for t in tiers), np.zeros(len(s), np.int8))
+    return np.argsort(tier, kind="stable")[:prefix_length(len(s), num, den)]
+
+
+def index_entries(docs: DataFrame, k: int, num: int, den: int, tiers: list[np.ndarray], several: np.ndarray) -> DataFrame:
+    """(s, class, n, position) of the prefixes, for shingles in the bitmap
+    ``several`` (others have no one to meet)."""
     sc = docs.sparkSession.sparkContext
-    last, known = sc.broadcast(frequent), sc.broadcast(shared)      # both of a fixed size
+    shared, known = sc.broadcast(tiers), sc.broadcast(several)      # of a fixed size
 
     def emit(batch, sets):
         cls, size, parts, pos = [], [], [], []
         for _, c, s in once(sets):
-            p = prefix_length(len(s), num, den)
-            late = in_bitmap(last.value, s)
-            order = np.concatenate((np.flatnonzero(~late), np.flatnonzero(late)))[:p]
-            at = np.flatnonzero(in_bitmap(known.value, s[order]) | (order >= p + p // 2))
+            order = final_prefix(s, shared.value, num, den)
+            at = np.flatnonzero(in_bitmap(known.value, s[order]))
             if len(at):
                 cls.append(c), size.append(len(s)), parts.append(s[order[at]]), pos.append(at)
         return pa.RecordBatch.from_arrays(
@@ -137,38 +144,107 @@ def index_entries(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndar
     return scan(docs, k, "s long, class long, n int, position int", emit)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the shingles in each of m slots, m the power of two from the set's size up."""
+    m = 1 << max(6, (len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def most_common(na: int, nb: int, x: bytes, y: bytes) -> int:
+    """Upper bound of two sets' overlap: every odd slot of the folded
+    difference holds a shingle that only one of them has."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return (na + nb - int(np.unpackbits(a ^ b).sum())) // 2
+
+
 def needed_sets(docs: DataFrame, k: int, wanted: np.ndarray, holders: np.ndarray) -> DataFrame:
-    """(class, set) of the classes in the bitmap ``wanted``, from the rows whose
-    id is in ``holders`` (the first id of a class)."""
+    """(class, n, set) of the classes in the bitmap ``wanted``, from the rows
+    whose id is in ``holders`` (the first id of a class)."""
     sc = docs.sparkSession.sparkContext
-    cls, ids = sc.broadcast(wanted), sc.broadcast(holders)
+    cls, ids = sc.broadcast(wanted), sc.broadcast(holders)          # both of a fixed size
 
     def emit(batch, sets):
         held = in_bitmap(ids.value, batch.column("id_hash").to_numpy(zero_copy_only=False).view(np.uint64))
-        sets = [x for x in once(sets) if held[x[0]]]
+        sets = once([x for x in sets if held[x[0]]])
         keep = in_bitmap(cls.value, np.array([c for _, c, _ in sets], np.int64).view(np.uint64))
         sets = [x for x, y in zip(sets, keep) if y]
-        return pa.RecordBatch.from_arrays([pa.array([c for _, c, _ in sets], pa.int64()),
-                                           pa.array([s.tobytes() for _, _, s in sets], pa.binary())], ["class", "set"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([c for _, c, _ in sets], pa.int64()), pa.array([len(s) for _, _, s in sets], pa.int32()),
+             pa.array([s.tobytes() for _, _, s in sets], pa.binary())], ["class", "n", "set"])
+
+    return scan(docs, k, "class long, n int, set binary", emit)
+
+
+def sketches_of(sets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [sketch(np.frombuffer(v.as_py(), np.uint64)) for v in b.column("set")]
+            yield pa.RecordBatch.from_arrays([b.column("class"), b.column("n"), pa.array(made, pa.binary())], ["class", "n", "set"])
+
+    return sets.mapInArrow(run, sets.schema)
+
+
+def both_sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with each side's size and set."""
+    for c in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("class").alias(c), F.col("n").alias(f"n{c}"), F.col("set").alias(f"s{c}")), c)
+    return pairs
+
+
+def bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b, na, nb, common) of pairs of classes; ``common`` is an upper bound."""
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb, sa, sb = (batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb"))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "na", "nb")],
+                                              pa.array([most_common(*x) for x in zip(na, nb, sa, sb)], pa.int64())],
+                                             ["a", "b", "na", "nb", "common"])
+
+    return both_sides(pairs.select("a", "b"), sketches).mapInArrow(bound, "a long, b long, na int, nb int, common long").distinct()
 
-    return scan(docs, k, "class long, set binary", emit)
 
+def links(common, na, nb, num: int, den: int):
+    return common * (num + den) >= (na + nb) * num
 
-def overlaps(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, na, nb, common, link) of pairs of classes."""
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, common) of pairs of classes."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = ([np.frombuffer(v.as_py(), np.uint64) for v in batch.column(c)] for c in ("sa", "sb"))
-            common = np.array([len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)], np.int64)
-            na, nb = (np.array([len(p) for p in v], np.int64) for v in (x, y))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(na), pa.array(nb), pa.array(common),
-                 pa.array((num + den) * common >= num * (na + nb))], ["a", "b", "na", "nb", "common", "link"])
+            common = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "na", "nb")], pa.array(common, pa.int64())],
+                                             ["a", "b", "na", "nb", "common"])
+
+    return both_sides(pairs.select("a", "b"), sets).mapInArrow(count, "a long, b long, na int, nb int, common long").distinct()
+
+
+class Verifier:
+    """Compares pairs of the index's classes: by their sketches, and near a
+    link by their sets."""
+
+    def __init__(self, docs: DataFrame, k: int, first: DataFrame, index: DataFrame, num: int, den: int):
+        self.num, self.den = num, den
+        wanted = materialize(index.select("class").distinct(), "jaccard-wanted")
+        holders = first.join(wanted, "class").select(F.xxhash64("first.id").alias("h"))
+        self.sets = materialize(needed_sets(docs, k, bitmap_of(wanted, "class"), bitmap_of(holders, "h")), "jaccard-sets")
+        self.sketches = materialize(sketches_of(self.sets), "jaccard-sketches")
+
+    def bound(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, na, nb, common, open): ``open`` where the bound allows a link."""
+        found = bounded(pairs, self.sketches)
+        return found.withColumn("open", links(F.col("common"), F.col("na"), F.col("nb"), self.num, self.den))
 
-    left = sets.select(F.col("class").alias("a"), F.col("set").alias("sa"))
-    right = sets.select(F.col("class").alias("b"), F.col("set").alias("sb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(
-        count, "a long, b long, na long, nb long, common long, link boolean").distinct()
+    def compare(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(a, b, na, nb, common, link) of pairs, from their sets; written."""
+        pairs = materialize(pairs.select("a", "b").distinct(), f"{name}-pairs")
+        found = overlaps(pairs, self.sets).withColumn("link", links(F.col("common"), F.col("na"), F.col("nb"), self.num, self.den))
+        found = materialize(found, name)
+        discard(pairs)
+        return found
 
 
 def may_link(na: Column, ra: Column, nb: Column, rb: Column, num: int, den: int) -> Column:
@@ -178,72 +254,110 @@ def may_link(na: Column, ra: Column, nb: Column, rb: Column, num: int, den: int)
             & (F.least(ra, rb).cast("long") * (num + den) >= (na + nb).cast("long") * num))
 
 
-def stars(index: DataFrame, sets: DataFrame, rounds: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def stars(index: DataFrame, verify: Verifier, rounds: int) -> tuple[DataFrame, DataFrame]:
     """(class, leader, missing) of the members of stars, where ``missing`` is
-    how many of its shingles the leader lacks, and all links that were found."""
-    spark = index.sparkSession
+    how many of its shingles the leader lacks, and all links that were found.
+
+    One order of classes says who leads: the first class of a list, and of the
+    leaders that a class may link with the first one it has not yet tried.  So
+    a group of similar classes gathers around few leaders."""
+    spark, num, den = index.sparkSession, verify.num, verify.den
     members = spark.createDataFrame([], "class long, leader long, missing long")
-    links = spark.createDataFrame([], "a long, b long")
-    rank = F.xxhash64("class")                                 # one order of classes for all lists
-    for _ in range(rounds):
-        active = index.join(members.select("class"), "class", "left_anti")
-        top = active.groupBy("s").agg(F.min(F.struct(rank.alias("rank"), "class", "n", (F.col("n") - F.col("position")).alias("r")))
-                                      .alias("top"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    found_links = tried = spark.createDataFrame([], "a long, b long")
+    for k in range(rounds + TRIES):
+        # afterwards what has no link yet tries others of its lists, in another order each time: a
+        # link to any member joins the star's component
+        late = k >= rounds
+        out = members.select("class") if not late else found_links.select(F.col("a").alias("class")).unionByName(
+            found_links.select(F.col("b").alias("class"))).distinct()
+        active = index.join(out, "class", "left_anti")
+        order = F.xxhash64("class", F.lit(k)) if late else F.xxhash64("class")
+        first = F.struct(order.alias("rank"), "class", "n", (F.col("n") - F.col("position")).alias("r"))
+        top = (index if late else active).groupBy("s").agg(F.min(first).alias("top"), F.count(F.lit(1)).alias("c")).filter("c > 1")
         top = top.select("s", F.col("top.class").alias("leader"), F.col("top.n").alias("ln"), F.col("top.r").alias("lr"))
         met = active.join(top, "s").filter((F.col("class") != F.col("leader")) & may_link(
             F.col("n"), F.col("n") - F.col("position"), F.col("ln"), F.col("lr"), num, den))
-        best = (met.groupBy("class", "leader").agg(F.count(F.lit(1)).alias("c")).groupBy("class")
-                .agg(F.max(F.struct("c", "leader")).alias("best")).select(F.col("class").alias("a"), F.col("best.leader").alias("b")))
-        found = materialize(overlaps(best, sets, num, den).filter("link"), "jaccard-stars")
-        links = links.unionByName(found.select("a", "b"))
+        met = met.select(F.col("class").alias("a"), F.col("leader").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+        best = verify.bound(met).filter("open").groupBy("a").agg(F.min(F.struct(F.xxhash64("b").alias("rank"), "b")).alias("best"))
+        compared = verify.compare(best.select("a", F.col("best.b").alias("b")), "jaccard-stars")
+        if not late and not compared.take(1):
+            continue
+        found = compared.filter("link")
+        tried = tried.unionByName(compared.filter("not link").select("a", "b"))
+        found_links = found_links.unionByName(found.select("a", "b"))
+        if late:
+            continue
         # a leader that itself joined a star in this round leads none; its followers try again
         joined = found.join(found.select(F.col("a").alias("b")), "b", "left_anti")
         members = materialize(members.unionByName(joined.select(
             F.col("a").alias("class"), F.col("b").alias("leader"), (F.col("na") - F.col("common")).alias("missing"))), "jaccard-members")
-        if not joined.take(1):
-            break
-    return members, materialize(links.distinct(), "jaccard-star-links")
-
-
-def links_between(index: DataFrame, sets: DataFrame, members: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
-    """The links between stars that change components, given the ``known`` ones."""
-    led = index.join(members, "class", "left").select(
-        "s", F.coalesce("leader", "class").alias("star"), "class", "n", (F.col("n") - F.col("position")).alias("r"))
-    lists = led.groupBy("s", "star").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("r").alias("r"))
-    x = lists.select("s", *[F.col(c).alias(f"{c}_a") for c in ("star", "low", "high", "r")])
-    y = lists.select("s", *[F.col(c).alias(f"{c}_b") for c in ("star", "low", "high", "r")])
+    return members, materialize(found_links.distinct(), "jaccard-star-links")
+
+
+def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, root) of the linked classes, from the ``known`` links and those
+    between stars: stars of one component are not compared again."""
+    num, den = verify.num, verify.den
+    root = components(known)
+    led = index.join(members, "class", "left").join(root, F.col("class") == F.col("node"), "left").select(
+        "s", F.coalesce("leader", "class").alias("star"), F.coalesce("root", "class").alias("root"), "n",
+        (F.col("n") - F.col("position")).alias("r"))
+    lists = led.groupBy("s", "star", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("r").alias("r"))
+    x = lists.select("s", *[F.col(c).alias(f"{c}_a") for c in ("star", "root", "low", "high", "r")])
+    y = lists.select("s", *[F.col(c).alias(f"{c}_b") for c in ("star", "root", "low", "high", "r")])
     total = (F.col("low_a") + F.col("low_b")).cast("long") * num
     open_ = ((F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
              & (F.least("r_a", "r_b").cast("long") * (num + den) >= total))
-    pairs = x.join(y, "s").filter((F.col("star_a") < F.col("star_b")) & open_).select(
+    pairs = x.join(y, "s").filter((F.col("star_a") < F.col("star_b")) & (F.col("root_a") != F.col("root_b")) & open_).select(
         F.col("star_a").alias("a"), F.col("star_b").alias("b")).distinct()
-    leaders = materialize(overlaps(pairs, sets, num, den), "jaccard-leaders")
-    linked = leaders.filter("link").select("a", "b")
+    leaders = materialize(verify.bound(pairs), "jaccard-leaders")
+    compared = verify.compare(leaders.filter("open"), "jaccard-leader-links")
+    linked = compared.filter("link").select("a", "b")
 
     # members of two stars that are still apart: only where the bound leaves a link open
-    root = components(known.unionByName(linked))
-    apart = (leaders.filter("not link").join(root.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
-             .join(root.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
-             .filter(~F.col("root_a").eqNullSafe(F.col("root_b")) | F.col("root_a").isNull()))
-    size = index.select("class", "n").distinct()
-    own = size.join(members, "class", "left").select(
+    root = components(edges_of(root).unionByName(linked))
+    side = lambda t, s: t.select(*[F.col(c).alias(f"{c}_{s}") for c in t.columns])
+    apart = leaders.filter("not open").select("a", "b", "common").unionByName(compared.filter("not link").select("a", "b", "common"))
+    apart = materialize(still_apart(apart, root), "jaccard-apart-stars")
+    own = verify.sketches.select("class", "n").distinct().join(members, "class", "left").select(
         "class", "n", F.coalesce("leader", "class").alias("star"), F.coalesce("missing", F.lit(0)).alias("missing"))
     own = materialize(own, "jaccard-own")
+    # first one member of each star, drawn anew, for its whole star
+    for k in range(TRIES - 1):
+        drawn = own.groupBy("star").agg(F.min(F.struct(F.xxhash64("class", F.lit(k)), "class")).alias("of")).select(
+            "star", F.col("of.class").alias("class"))
+        pairs = apart.join(side(drawn, "a"), F.col("a") == F.col("star_a")).join(side(drawn, "b"), F.col("b") == F.col("star_b"))
+        pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+        compared = verify.compare(verify.bound(pairs).filter("open"), "jaccard-drawn")
+        root = components(edges_of(root).unionByName(compared.filter("link").select("a", "b")))
+        apart = materialize(still_apart(apart, root), "jaccard-apart-stars")
     most = own.groupBy("star").agg(F.max("missing").alias("most"), F.min("n").alias("low"))
-    side = lambda t, s: t.select(*[F.col(c).alias(f"{c}_{s}") for c in t.columns])
     apart = apart.join(side(most, "a"), F.col("a") == F.col("star_a")).join(side(most, "b"), F.col("b") == F.col("star_b"))
-    apart = apart.filter((F.col("common") + F.col("most_a") + F.col("most_b")) * (num + den) >= (F.col("low_a") + F.col("low_b")) * num)
+    apart = apart.filter(links(F.col("common") + F.col("most_a") + F.col("most_b"), F.col("low_a"), F.col("low_b"), num, den))
     apart = materialize(apart.select("a", "b", "common"), "jaccard-apart")
     wide = apart.join(side(own, "a"), F.col("a") == F.col("star_a")).join(side(own, "b"), F.col("b") == F.col("star_b"))
-    bound = (F.col("common") + F.col("missing_a") + F.col("missing_b")) * (num + den) >= (F.col("n_a") + F.col("n_b")) * num
+    bound = links(F.col("common") + F.col("missing_a") + F.col("missing_b"), F.col("n_a"), F.col("n_b"), num, den)
     fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
     other = (F.col("class_a") != F.col("a")) | (F.col("class_b") != F.col("b"))     # the leaders are compared already
     rest = wide.filter(bound & fits & other).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-    return linked.unionByName(overlaps(rest, sets, num, den).filter("link").select("a", "b"))
+    more = verify.compare(verify.bound(rest).filter("open"), "jaccard-members-links")
+    more = more.filter("link").select("a", "b")
+    return components(edges_of(root).unionByName(more)) if more.take(1) else root
+
+
+def still_apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
+    """The pairs of stars (a, b, common) that are not of one component."""
+    for c in ("a", "b"):
+        pairs = pairs.join(root.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "common")
+
+
+def edges_of(root: DataFrame) -> DataFrame:
+    return root.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = SHINGLE,
-                   similarity: tuple[int, int] = SIMILARITY, frequent: int = FREQUENT, rounds: int = STAR_ROUNDS) -> DataFrame:
+                   similarity: tuple[int, int] = SIMILARITY, frequent: tuple[int, ...] = FREQUENT, rounds: int = STAR_ROUNDS) -> DataFrame:
     """One row per row of ``docs``: ``id``, ``text_hash``, ``n_shingles``, ``class`` (equal
     for equal shingle sets), ``component`` (the smallest id that links reach)
     and ``component_text`` (the text hash of that row).
@@ -259,20 +373,21 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     lowest = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "text_hash"))
     first = materialize(rows.filter("n_shingles > 0").groupBy("class").agg(lowest.alias("first")), "jaccard-classes")
 
-    counts = materialize(prefix_counts(docs, k, num, den), "jaccard-counts")
-    entries = index_entries(docs, k, num, den, bitmap_of(counts.filter(F.col("n") >= frequent), "s"),
-                            bitmap_of(counts, "s", FILTER_BITS)).distinct()
-    entries = materialize(entries, "jaccard-entries")
+    shingles = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    counts = materialize(shingle_counts(docs, k, buckets_for(shingles)), "jaccard-counts")
+    tiers = [bitmap_of(counts.filter(F.col("n") >= f), "s") for f in frequent]
+    known = bitmap_of(counts, "s", FILTER_BITS)
+    discard(counts)
+    entries = materialize(index_entries(docs, k, num, den, tiers, known).distinct(), "jaccard-entries")
     several = entries.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("s")
     index = materialize(entries.join(several, "s"), "jaccard-index")
+    del several
+    discard(entries)
 
-    wanted = materialize(index.select("class").distinct(), "jaccard-wanted")
-    holders = first.join(wanted, "class").select(F.xxhash64("first.id").alias("h"))
-    sets = materialize(needed_sets(docs, k, bitmap_of(wanted, "class"), bitmap_of(holders, "h")), "jaccard-sets")
-
-    members, known = stars(index, sets, rounds, num, den)
-    links = known.unionByName(links_between(index, sets, members, known, num, den))
-    root = components(links)
+    verify = Verifier(docs, k, first, index, num, den)
+    members, known = stars(index, verify, rounds)
+    root = joined_classes(index, verify, members, known)
+    discard(index, verify.sets, verify.sketches, members, known)
     named = first.join(root, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     label = named.join(smallest, "root").select("class", "component")
