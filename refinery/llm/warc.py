@@ -137,24 +137,23 @@ def inflate(data: memoryview, pos: int, step: int = 1 << 16) -> tuple[bytes, int
     return b"".join(out), at - len(z.unused_data)
 
 
-def parse(data, pos: int) -> tuple[dict, bytes, int]:
-    """Headers (lower-case names) and block of the record at ``pos``, and its end."""
-    if bytes(data[pos:pos + 7]) != b"WARC/1.":
+def parse(data: bytes, pos: int) -> tuple[dict, bytes, int]:
+    """Headers (lower-case names) and block of the record at ``pos``, and its
+    end.  Headers may be of any length (a url has no bound)."""
+    if not data.startswith(b"WARC/1.", pos):
         raise Damage("no version line")
-    limit = pos + (1 << 16)
-    text = bytes(data[pos:limit])
-    end = text.find(b"\r\n\r\n")
+    end = data.find(b"\r\n\r\n", pos)
     if end < 0:
         raise Damage("headers do not end")
-    lines = text[:end].split(b"\r\n")[1:]
+    lines = data[pos:end].split(b"\r\n")[1:]
     head = {k.strip().lower(): v.strip() for k, _, v in (x.decode("utf-8", "replace").partition(":") for x in lines)}
     if not head.get("content-length", "").isdigit():
         raise Damage("no Content-Length")
-    start = pos + end + 4
+    start = end + 4
     stop = start + int(head["content-length"])
-    if bytes(data[stop:stop + 4]) != b"\r\n\r\n":
+    if data[stop:stop + 4] != b"\r\n\r\n":
         raise Damage("block does not end where Content-Length says")
-    block = bytes(data[start:stop])
+    block = data[start:stop]
     if (want := head.get("warc-block-digest", "")).startswith("sha1:") and want[5:] != base32_sha1(block):
         raise Damage("block digest differs")
     payload = payload_of(head, block)
@@ -170,12 +169,12 @@ def payload_of(head: dict, block: bytes) -> bytes:
     return block
 
 
-def records_at(data: memoryview, pos: int) -> tuple[list, int]:
+def records_at(content: bytes, pos: int) -> tuple[list, int]:
     """All records of the gzip member at ``pos``, or the plain record there."""
-    if bytes(data[pos:pos + 3]) != MEMBER:
-        head, payload, end = parse(data, pos)
+    if not content.startswith(MEMBER, pos):
+        head, payload, end = parse(content, pos)
         return [(head, payload)], end
-    plain, end = inflate(data, pos)
+    plain, end = inflate(memoryview(content), pos)
     found, at = [], 0
     while at < len(plain):
         head, payload, at = parse(plain, at)
@@ -187,10 +186,10 @@ def salvage(content: bytes) -> Iterator[tuple]:
     """(start, end, records, reason) over the bytes of an archive: records and
     no reason for a sound span, no records and the reason for a gap.  Spans
     follow one another without holes and cover all bytes."""
-    data, pos, gap, reason = memoryview(content), 0, None, ""
+    pos, gap, reason = 0, None, ""
     while pos < len(content):
         try:
-            found, end = records_at(data, pos)
+            found, end = records_at(content, pos)
         except Damage as e:
             if gap is None:
                 gap, reason = pos, str(e)

@@ -6,6 +6,7 @@ import os
 import random
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import unquote
 
 import brute
 import pytest
@@ -56,6 +57,16 @@ def test_small_payloads_are_not_revisits(spark):
     assert out == {"1": "response", "2": "response", "3": "response", "4": "revisit"}
 
 
+def test_a_very_long_url_comes_back(spark):
+    urls = ["http://x.example/" + "a" * 300_000, "http://x.example/" + "中" * 30_000]
+    df = spark.createDataFrame([(i, urls[i % 2], f"page {i // 2} ") for i in range(4)], PAGES)
+    out = warc.round_trip(df).collect()
+    assert {r["record_id"]: (r["record_type"], unquote(r["url"]), r["payload_bytes"], r["reason"]) for r in out} == {
+        str(i): ("revisit" if i % 2 else "response", urls[i % 2], 7, None) for i in range(4)} and len(out) == 4
+    plain = zlib.decompress(warc.member(warc.record_bytes(1, urls[0], b"x", digest(b"x"), None, False, "2024-01-01T00:00:00Z")), 31)
+    assert ids(warc.salvage(plain * 2)) == ["<urn:page:1>"] * 2
+
+
 def test_an_empty_table_makes_no_archives(spark):
     assert warc.round_trip(spark.createDataFrame([], PAGES)).count() == 0
 
