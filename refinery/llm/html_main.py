@@ -37,6 +37,14 @@ NEVER_WORDS = set("ad ads adv advert advertisement advertising advertorial adsen
                   "consent contentinfo cookie cookies copyright dialog footer gdpr hidden login menu modal nav navbar navigation "
                   "newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related search share "
                   "sharebar sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar widget".split())
+# Words beside those in a hyphenated name ("related-links", "visually-hidden"), and words that tell a state ("has-sidebar").
+PART_WORDS = set("area bar bars block body bottom box boxes btn button buttons card cards container content group header heading "
+                 "icon icons inner is item items left link links list main module outer page pane panel post posts primary right row "
+                 "screen section secondary site slot strip text thread title top u unit visually wrap wrapper".split())
+STATE_WORDS = set("closed disabled enabled has no not open overflow with without".split())
+# Ids of these are mostly slugs of the text: they tell nothing, a section's only if it is one of comments.
+SLUGGED = INLINE | set("blockquote caption dd dt figcaption figure h1 h2 h3 h4 h5 h6 li p pre section td th".split())
+COMMENT_IDS = COMMENT_WORDS - {"comment", "discussion", "reply"}
 TITLE_WORDS = set("article content entry post story".split())
 KNOWN = VOID | INLINE | NEVER | set(RAW) | set(CONTENT) | set(
     "address blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hgroup html "
@@ -48,7 +56,7 @@ _TOKEN = re.compile(
     rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>(?:.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[/!?a-z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.I | re.S)
-_ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s/>="'][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _WORDS = re.compile(r"[a-z]+")
 SAMPLE_PAGES = 1000
 # Scores where no labelled page has the kind: a word, a word in a link, a tag, a left-out element.
@@ -63,6 +71,27 @@ class Gap:
         self.sure, self.on = sure, True
 
 
+def attributes(attrs: str) -> dict[str, str]:
+    """Names and values in lower case, "" for a name without a value.  The
+    first of a repeated name counts, as in browsers."""
+    values: dict[str, str] = {}
+    for name, *value in _ATTR.findall(attrs):
+        values.setdefault(name.lower(), html.unescape("".join(value)).lower())
+    return values
+
+
+def names(marks: list[str], words: set[str], whole: bool) -> bool:
+    """Whether a class, id or role token is one of ``words`` or, hyphenated,
+    has one in it.  Its other words must be such words or ``PART_WORDS`` too if
+    ``whole``, or beside "hidden"."""
+    for mark in marks:
+        parts = set(_WORDS.findall(mark))
+        found = parts & words
+        if found and not parts & STATE_WORDS and (parts - found <= PART_WORDS or not whole and found != {"hidden"}):
+            return True
+    return False
+
+
 def gap_of(name: str, attrs: str, in_content: bool) -> Gap | None:
     if name in NEVER:
         return Gap(True)
@@ -70,14 +99,18 @@ def gap_of(name: str, attrs: str, in_content: bool) -> Gap | None:
         return Gap(False)
     if not attrs or name in ("html", "body"):
         return None
-    values = {k.lower(): (a or b or c or "").lower() for k, a, b, c in _ATTR.findall(attrs)}
-    words = set(_WORDS.findall(" ".join(values.get(k, "") for k in ("class", "id", "role"))))
-    if words & COMMENT_WORDS:
+    values = attributes(attrs)
+    marks = [t for k in ("class", "role") for t in values.get(k, "").split()]
+    slug = values.get("id", "").strip()
+    if slug and (name not in SLUGGED or name == "section" and slug in COMMENT_IDS):
+        marks.append(slug)
+    if names(marks, COMMENT_WORDS, in_content):
         return Gap(True)
     if name in CONTENT or name == "h1":
         return None
-    if "hidden" in values or values.get("aria-hidden") == "true" or words & NEVER_WORDS:
+    if "hidden" in values or values.get("aria-hidden") == "true" or names(marks, NEVER_WORDS, in_content):
         return Gap(False)
+    words = set(_WORDS.findall(" ".join(marks)))
     return Gap(False) if words & HEADER and not in_content and not words & TITLE_WORDS else None
 
 

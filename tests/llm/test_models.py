@@ -100,6 +100,32 @@ def test_elements_inside_the_article_are_left_out(noise):
     assert H.main_text(page, {}) == " ".join((PROSE + PROSE).split())
 
 
+@pytest.mark.parametrize("part", [
+    '<div style="overflow:hidden">{}</div>', '<p title="A hidden valley">{}</p>', '<a href="/films/hidden-figures">{}</a>',
+    '<a href="/story?id=share-price-falls">{}</a>', '<a href=/hidden/x>{}</a>', '<p data-hidden="x" data-id="share">{}</p>',
+    '<h2 id="related-work">{}</h2>', '<section id="social-impact">{}</section>', '<p id="search-engines">{}</p>', '<span id="share">{}</span>',
+    '<div class="overflow-hidden">{}</div>', '<div class="social-impact">{}</div>', '<div id="search-engines">{}</div>'])
+def test_loose_words_in_attributes_drop_nothing(part):
+    part = part.format("Words of this very part are kept.")
+    want = " ".join(f"{PROSE} Words of this very part are kept. {PROSE}".split())
+    assert H.main_text(f"<body>{CHROME[0]}<article><p>{PROSE}</p>{part}<p>{PROSE}</p></article>{CHROME[2]}</body>", {}) == want
+
+
+@pytest.mark.parametrize("part", ['<div style="overflow:hidden">{}</div>', '<h2 id="related-work">{}</h2>', '<div class="overflow-hidden">{}</div>',
+                                  '<div class="hidden-xs has-sidebar">{}</div>'])
+def test_loose_words_drop_nothing_without_marks(part):
+    part = part.format("Words of this very part are kept.")
+    assert H.main_text(f"<body><p>{PROSE}</p>{part}<p>{PROSE}</p></body>", {}) == " ".join(f"{PROSE} Words of this very part are kept. {PROSE}".split())
+
+
+@pytest.mark.parametrize("part", [
+    "<div hidden>{}</div>", "<div HIDDEN=''>{}</div>", "<div title='>' class=hidden>{}</div>", "<div class='visually-hidden'>{}</div>",
+    "<div id=share>{}</div>", "<ul class='share-buttons'>{}</ul>", "<section id='comments'>{}</section>", "<p aria-hidden = 'true'>{}</p>"])
+def test_named_elements_are_still_left_out(part):
+    page = f"<body><article><p>{PROSE}</p>{part.format('Not of the story.')}<p>{PROSE}</p></article></body>"
+    assert H.main_text(page, {}) == " ".join((PROSE + PROSE).split())
+
+
 def test_a_wrapper_with_a_suspicious_class_is_kept():
     page = f'<body><div class="page has-sidebar"><article class="post has-sidebar"><header><h1>Head</h1></header><p>{PROSE}</p></article></div></body>'
     assert H.main_text(page, {}) == "Head " + " ".join(PROSE.split())
