@@ -64,11 +64,12 @@ DEFAULT = {"word": 0.5, "link": -1.0, "tag": -0.05, "gap": -1.0}
 
 
 class Gap:
-    """An element that is left out.  ``sure``: by its name or as comments;
-    otherwise a content mark inside it shows that it is a wrapper."""
+    """An element that is left out.  ``sure``: by its name, or as a form or
+    comments that come after content; otherwise a content mark inside it shows
+    that it is a wrapper.  ``kind`` is "form", "comments" or ""."""
 
-    def __init__(self, sure: bool):
-        self.sure, self.on = sure, True
+    def __init__(self, sure: bool, kind: str = ""):
+        self.sure, self.kind, self.on = sure, kind, True
 
 
 def attributes(attrs: str) -> dict[str, str]:
@@ -92,7 +93,11 @@ def names(marks: list[str], words: set[str], whole: bool) -> bool:
     return False
 
 
-def gap_of(name: str, attrs: str, in_content: bool) -> Gap | None:
+def gap_of(name: str, attrs: str, in_content: bool, found: bool = False, story: bool = False) -> Gap | None:
+    """``found``: marked content with text came before; ``story``: that, or a
+    paragraph below a headline."""
+    if name == "form":
+        return Gap(found, "form")
     if name in NEVER:
         return Gap(True)
     if name == "header" and not in_content:
@@ -101,11 +106,17 @@ def gap_of(name: str, attrs: str, in_content: bool) -> Gap | None:
         return None
     values = attributes(attrs)
     marks = [t for k in ("class", "role") for t in values.get(k, "").split()]
+    section = name == "section" or "section" in marks
     slug = values.get("id", "").strip()
     if slug and (name not in SLUGGED or name == "section" and slug in COMMENT_IDS):
         marks.append(slug)
-    if names(marks, COMMENT_WORDS, in_content):
-        return Gap(True)
+    # a section of the content may be its discussion, an article an opinion piece
+    lone = {"comment", "discussion"} if section else {"comment", "discussion"} & {slug} if in_content else set()
+    if names([t for t in marks if t not in lone], COMMENT_WORDS, in_content):
+        if name not in CONTENT and name != "h1":
+            return Gap(story, "comments")
+        if story:
+            return Gap(True, "comments")
     if name in CONTENT or name == "h1":
         return None
     if "hidden" in values or values.get("aria-hidden") == "true" or names(marks, NEVER_WORDS, in_content):
@@ -120,6 +131,7 @@ def tokens(page: str) -> Iterator[tuple]:
     stack: list[tuple[str, Gap | None, bool]] = []
     gaps: tuple[Gap, ...] = ()
     depth = block = links = 0                 # open content marks, block number, open links
+    found = story = headed = False            # text of marked content, of any content, a headline
 
     def pop(to: int) -> None:
         nonlocal gaps, depth, links
@@ -157,21 +169,43 @@ def tokens(page: str) -> Iterator[tuple]:
                 pop(at)
             attrs = m["attrs"] or ""
             mark = name in CONTENT or "articlebody" in attrs.lower()
+            gap = gap_of(name, attrs, depth > 0, found, story)
             if mark or name == "h1":
+                # an article of a comment does not show that comments wrap content
+                said = name != "main" and names(attributes(attrs).get("class", "").split(), COMMENT_WORDS, False)
                 for g in gaps:
-                    g.on = g.on and g.sure
-            gap = gap_of(name, attrs, depth > 0)
+                    g.on = g.on and (g.sure or said and g.kind == "comments")
             stack.append((name, gap, mark))
             gaps = (*gaps, gap) if gap else gaps
             depth += mark
             links += name == "a"
+            if (mark or name in ("h1", "p")) and not any(g.on for g in gaps):
+                headed |= name == "h1"
+                found |= mark and name != "main" or name == "p" and depth > 0
+                story |= found or name == "p" and headed and not any(n in ("header", "hgroup") for n, _, _ in stack)
         yield "tag", name if name in KNOWN else "other", depth > 0, gaps
 
 
+def page_tokens(page: str) -> list[tuple]:
+    """All tokens.  A form that opens before any marked content and holds most
+    words of the page is its wrapper."""
+    row = list(tokens(page))
+    forms, outside = Counter(), 0
+    for t in row:
+        on = [g for g in t[3] if g.on] if t[0] == "text" else []
+        if t[0] == "text" and all(g.kind == "form" and not g.sure for g in on):
+            n = len(t[4].split())
+            outside += 0 if on else n
+            forms.update({g: n for g in on})
+    for form, n in forms.items():
+        form.on = n <= outside
+    return row
+
+
 def kind_counts(page: str) -> Counter:
     """(kind, in content) counts over a labelled page; empty for other pages."""
     found, marked = Counter(), False
-    for t in list(tokens(page)):
+    for t in page_tokens(page):
         if any(g.on for g in t[3]):
             continue
         marked |= t[2]
@@ -225,7 +259,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     """The page's main text: blocks in page order joined by one space."""
     if not page:
         return ""
-    row, scores, open_gaps = list(tokens(page)), [], set()
+    row, scores, open_gaps = page_tokens(page), [], set()
     for t in row:
         on = [g for g in t[3] if g.on]
         if on:

@@ -126,6 +126,39 @@ def test_named_elements_are_still_left_out(part):
     assert H.main_text(page, {}) == " ".join((PROSE + PROSE).split())
 
 
+STORY = f"<h1>Head</h1><p>{PROSE}</p>"
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="comment">{}</article>', '<div class="has-comments"><article>{}</article></div>',
+    '<main><article class="comment">{}</article></main>', '<div class="comment-page"><main>{}</main></div>',
+    '<form id="aspnetForm"><div id="page"><article>{}</article></div></form>', '<form id="aspnetForm"><div>{}</div></form>',
+    '<main><form><article>{}</article></form></main>'])
+def test_a_form_or_comment_word_around_the_content_is_lifted(page):
+    page = f"<body>{page.format(CHROME[0] + STORY + CHROME[1])}{CHROME[2]}</body>"
+    assert H.main_text(page, {}) == "Head " + " ".join(PROSE.split())
+
+
+def test_a_form_around_a_page_without_marks_is_lifted():
+    assert H.main_text(f"<body><form id='aspnetForm'><a href='#'>Skip</a>{CHROME[0]}<div>{PROSE}</div></form></body>", {}) == " ".join(PROSE.split())
+
+
+@pytest.mark.parametrize("part", ['<section id="discussion">{}</section>', '<section class="discussion">{}</section>',
+                                  '<div class="section" id="discussion">{}</div>', '<section id="comment">{}</section>'])
+def test_a_discussion_section_is_kept(part):
+    page = f"<body><article>{STORY}{part.format('<h2>Discussion</h2><p>We compare results.</p>')}<p>End.</p></article></body>"
+    assert H.main_text(page, {}) == " ".join(f"Head {PROSE} Discussion We compare results. End.".split())
+
+
+@pytest.mark.parametrize("part", [
+    '<article class="comment"><p>I disagree.</p></article>', '<div id="comments"><article class="comment"><h1>No</h1><p>I disagree.</p></article></div>',
+    '<div class="comment-list"><article><p>I disagree.</p></article></div>', '<form><h1>Join</h1><p>Your name</p></form>'])
+@pytest.mark.parametrize("around", ["<article>{}</article>{}", "<main>{}{}</main>", "<article>{}{}</article>"])
+def test_comments_and_forms_below_the_content_stay_out(part, around):
+    page = f"<body>{around.format(STORY, part)}</body>"
+    assert H.main_text(page, {}) == "Head " + " ".join(PROSE.split())
+
+
 def test_a_wrapper_with_a_suspicious_class_is_kept():
     page = f'<body><div class="page has-sidebar"><article class="post has-sidebar"><header><h1>Head</h1></header><p>{PROSE}</p></article></div></body>'
     assert H.main_text(page, {}) == "Head " + " ".join(PROSE.split())
