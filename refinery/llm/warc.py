@@ -6,8 +6,8 @@ payload's digest and the record that holds it.
 
 Reader: every record is checked (gzip trailer, version line, Content-Length,
 block end, digests).  After a failed check the reader looks for the next gzip
-member or version line at which a whole valid record starts, goes on from
-there, and logs the bytes in between as a quarantined gap.
+member or version line at which a whole valid record starts, also inside a
+member, goes on from there, and logs the bytes in between as a quarantined gap.
 """
 
 from __future__ import annotations
@@ -122,19 +122,35 @@ class Damage(ValueError):
     """A record that fails a check."""
 
 
-def inflate(data: memoryview, pos: int, step: int = 1 << 16) -> tuple[bytes, int]:
-    """The gzip member at ``pos`` and where it ends."""
+def inflate(data: memoryview, pos: int, step: int = 1 << 16) -> tuple[bytes, int, str | None]:
+    """The gzip member at ``pos``, where it ends, and no reason; of a damaged
+    or cut member what inflates before the damage, where that is, and the reason."""
     z, out, at = zlib.decompressobj(31), [], pos
-    try:
-        while not z.eof:
-            if at >= len(data):
-                raise Damage("member is cut off")
-            piece = data[at:at + step]
+    while not z.eof:
+        if at >= len(data):
+            return b"".join(out), len(data), "member is cut off"
+        piece, before = data[at:at + step], z.copy() if at > pos else None
+        try:
             out.append(z.decompress(piece))
-            at += len(piece)
-    except zlib.error as e:
-        raise Damage(f"bad member: {e}") from None
-    return b"".join(out), at - len(z.unused_data)
+        except zlib.error as e:
+            z = before or zlib.decompressobj(31)
+            for k in range(len(piece)):                   # byte by byte up to the damage
+                try:
+                    out.append(z.decompress(piece[k:k + 1]))
+                except zlib.error:
+                    return b"".join(out), at + k, f"bad member: {e}"
+        at += len(piece)
+    return b"".join(out), at - len(z.unused_data), None
+
+
+def reach(data: memoryview, pos: int, size: int, step: int = 1 << 16) -> int:
+    """Where the bytes end that give the first ``size`` of the member at ``pos``."""
+    z, at = zlib.decompressobj(31), pos
+    while size > 0:
+        piece = data[at:at + step]
+        size -= len(z.decompress(piece, size))
+        at += len(piece) - len(z.unconsumed_tail)
+    return at
 
 
 def parse(data: bytes, pos: int) -> tuple[dict, bytes, int]:
@@ -169,27 +185,62 @@ def payload_of(head: dict, block: bytes) -> bytes:
     return block
 
 
-def records_at(content: bytes, pos: int) -> tuple[list, int]:
-    """All records of the gzip member at ``pos``, or the plain record there."""
+def plain_spans(content: bytes) -> Iterator[tuple]:
+    """``salvage`` over records that are not in gzip members."""
+    pos, gap, reason = 0, None, ""
+    while pos < len(content):
+        try:
+            head, payload, end = parse(content, pos)
+        except Damage as e:
+            if gap is None:
+                gap, reason = pos, str(e)
+            pos = content.find(b"WARC/1.", pos + 1)
+            pos = len(content) if pos < 0 else pos
+            continue
+        if gap is not None:
+            yield gap, pos, [], reason
+            gap = None
+        yield pos, end, [(head, payload)], None
+        pos = end
+    if gap is not None:
+        yield gap, len(content), [], reason
+
+
+def records_at(content: bytes, pos: int) -> tuple[list, int, str | None, str | None]:
+    """The sound records of the gzip member at ``pos``, or the plain record
+    there; where they end; what is wrong between them; and why the member goes
+    no further.  The last record of a member without a valid trailer counts only
+    if a version line follows."""
     if not content.startswith(MEMBER, pos):
         head, payload, end = parse(content, pos)
-        return [(head, payload)], end
-    plain, end = inflate(memoryview(content), pos)
-    found, at = [], 0
-    while at < len(plain):
-        head, payload, at = parse(plain, at)
-        found.append((head, payload))
-    return found, end
+        return [(head, payload)], end, None, None
+    data = memoryview(content)
+    plain, end, broken = inflate(data, pos)
+    spans = list(plain_spans(plain))
+    if broken:
+        if spans and not spans[-1][3]:
+            spans.pop()
+        while spans and spans[-1][3]:
+            spans.pop()
+        if not spans:
+            raise Damage(broken)
+        end = reach(data, pos, spans[-1][1] - 4)          # before the record's last line ends: no byte of what follows it
+    found = [r for s in spans for r in s[2]]
+    bad = [s for s in spans if s[3]]
+    if bad and not found:
+        raise Damage(bad[0][3])
+    return found, end, "; ".join(f"{why} (inflated bytes {a} to {b})" for a, b, _, why in bad) or None, broken
 
 
 def salvage(content: bytes) -> Iterator[tuple]:
     """(start, end, records, reason) over the bytes of an archive: records and
-    no reason for a sound span, no records and the reason for a gap.  Spans
-    follow one another without holes and cover all bytes."""
+    no reason for a sound span, no records and the reason for a gap, both for a
+    member with a damaged record beside sound ones.  Spans follow one another
+    without holes and cover all bytes."""
     pos, gap, reason = 0, None, ""
     while pos < len(content):
         try:
-            found, end = records_at(content, pos)
+            found, end, wrong, broken = records_at(content, pos)
         except Damage as e:
             if gap is None:
                 gap, reason = pos, str(e)
@@ -197,26 +248,33 @@ def salvage(content: bytes) -> Iterator[tuple]:
             pos = min(nexts, default=len(content))
             continue
         if gap is not None:
-            yield gap, pos, [], reason
+            if gap < pos:
+                yield gap, pos, [], reason
             gap = None
-        yield pos, end, found, None
+        if broken and end == len(content):                # no bytes are left for a gap
+            wrong = "; ".join(filter(None, (wrong, broken)))
+        yield pos, end, found, wrong
         pos = end
+        if broken and end < len(content):
+            gap, reason = end, broken
     if gap is not None:
         yield gap, len(content), [], reason
 
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """Every record and every gap of the archives under ``folder``, one row
-    each (``RECORDS``): a gap has a ``reason`` and no record type.  An archive
-    is one task's value; the writer bounds it."""
+    each (``RECORDS``): a gap has a ``reason`` and no record type.  What is lost
+    beside sound records of one gzip member is a row over that member.  An
+    archive is one task's value; the writer bounds it."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
                 rows = []
                 name = path.as_py().rsplit("/", 1)[-1]
                 for start, end, found, reason in salvage(content.as_py()):
-                    span = {"path": name, "start": start, "end": end, "reason": reason}
-                    rows += [span | _row(h, p, with_payload) for h, p in found] or [span]
+                    span = {"path": name, "start": start, "end": end}
+                    rows += [span | _row(h, p, with_payload) for h, p in found]
+                    rows += [span | {"reason": reason}] if reason or not found else []
                 yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "content")

@@ -120,6 +120,44 @@ def test_salvage_reads_plain_records_and_checks_digests():
     assert list(warc.salvage(b"")) == [] and [s[3] for s in warc.salvage(b"no archive")] == ["no version line"]
 
 
+def test_salvage_goes_on_inside_a_member():
+    plain, sound = [zlib.decompress(m, 31) for m in archive()], warc.member(b"")
+    for bad in range(5):
+        damaged = list(plain)
+        damaged[bad] = plain[bad].replace(b"Block-Digest: sha1:", b"Block-Digest: sha1:X")
+        data = warc.member(b"".join(damaged)) + archive()[0] + sound
+        spans = list(warc.salvage(data))
+        assert [s[0] for s in spans] == [0] + [s[1] for s in spans[:-1]] and spans[-1][1] == len(data)
+        assert ids(spans) == [f"<urn:page:{i}>" for i in range(5) if i != bad] + ["<urn:page:0>"]
+        assert [("digest" in s[3]) for s in spans if s[3]] == [True]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("kind", ["cut", "edge", "flip", "end"])
+def test_salvage_keeps_what_inflates_before_the_damage(level, kind):
+    rng = random.Random(level)
+    bodies = [rng.randbytes(9_000) for _ in range(40)]
+    z = zlib.compressobj(level, zlib.DEFLATED, 31)
+    parts = [z.compress(warc.record_bytes(i, None, b, digest(b), None, False, "2024-01-01T00:00:00Z")) + z.flush(zlib.Z_FULL_FLUSH)
+             for i, b in enumerate(bodies)]
+    at = sum(map(len, parts[:25]))
+    whole = b"".join(parts) + z.flush()
+    if kind == "flip":                                    # a block type that does not exist
+        whole = whole[:at] + b"\x07" + whole[at + 1:]
+    elif kind == "edge":
+        whole = whole[:at]
+    else:
+        whole = whole[:at + 500]
+    after = b"" if kind == "end" else b"".join(archive()[:2])
+    data = whole + after
+    spans = list(warc.salvage(data))
+    assert [s[0] for s in spans] == [0] + [s[1] for s in spans[:-1]] and spans[-1][1] == len(data)
+    got = ids(spans)
+    assert got[:24] == [f"<urn:page:{i}>" for i in range(24)] and len(got) == len(set(got)) + 2 * bool(after)
+    assert any(s[3] for s in spans) and all(s[0] < s[1] for s in spans)
+    assert not after or got[-2:] == ["<urn:page:0>", "<urn:page:1>"]
+
+
 def test_reader_logs_gaps(spark, tmp_path):
     m = archive()
     (tmp_path / "a.warc.gz").write_bytes(m[0] + b"garbage" + m[1])
