@@ -205,7 +205,7 @@ def shared_cells(anchors: DataFrame, core: int, first_length: int) -> DataFrame:
     """Prefix doubling to its end: (key, rank, low, high, c1, c2) of the cells
     whose anchor's rank is shared.  Each round reads the anchors, brings them up
     to date with the bitmaps of the rounds before, and hands the rank pairs to
-    Spark, which sorts out the ones that recur."""
+    Spark, which finds the ones that recur by grouping."""
     sc = anchors.sparkSession.sparkContext
     bitmaps: list[np.ndarray] = []
 
@@ -224,7 +224,7 @@ def shared_cells(anchors: DataFrame, core: int, first_length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([long(one), long(two)], ["rank", "rank2"])
 
         pairs = anchors.mapInArrow(run, "rank long, rank2 long").groupBy("rank", "rank2").agg(F.count(F.lit(1)).alias("n"))
-        again = materialize(pairs.filter("n > 1").sort("rank", "rank2"), "suffix-pairs")
+        again = materialize(pairs.filter("n > 1"), "suffix-pairs")
         more = bool(again.filter("rank2 <> 0").take(1))
 
         def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
