@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from refinery.llm.common import table
 from refinery.llm.decontaminate import contamination
 from refinery.llm.jaccard_join import similar_groups
-from refinery.llm.language import UNDETERMINED, identify, train_on_open_part
+from refinery.llm.language import UNDETERMINED, identify, train_on_open_part, with_letter
 from refinery.llm.mixing import mix
 from refinery.llm.tokens import read_token_files, write_token_files
 from refinery.session import materialize, scratch_path
@@ -22,8 +22,11 @@ from refinery.session import materialize, scratch_path
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: a null text, or one without a
-    letter, goes.  Nothing else is rejected."""
+    letter, goes.  Nothing else is rejected, also where no row is labelled
+    outside the held-out third and so there is no model."""
     model = train_on_open_part(docs)
+    if model is None:
+        return with_letter(docs)
     told = identify(docs, model, carry={c: F.col(f"`{c}`") for c in docs.columns}, names=("__lang", "__score"))
     return told.filter(F.col("__lang") != UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -210,6 +210,18 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text",
                       F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
 
 
+def with_letter(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """The rows whose text has a letter of any script; no model decides."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.zeros(batch.num_rows, bool)
+            for lo, hi, data, off in text_steps(batch, text_column):
+                found[lo:hi] = has_letter(data, off)
+            yield batch.filter(pa.array(found))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(id_column: str = "doc_id") -> Column:
     """The third of the ids that training never sees (a null id is in it not)."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))

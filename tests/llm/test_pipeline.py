@@ -6,6 +6,7 @@ from collections import Counter
 import brute
 import corpus_pipeline as P
 import pytest
+from pyspark.sql import functions as F
 
 from refinery.llm import queries
 
@@ -32,6 +33,15 @@ def test_language_stage_rejects_only_texts_without_letters(spark, awkward, table
         (d, t) for d, t, *_ in rows if any(c.isalpha() for c in t or ""))
 
 
+def test_language_stage_without_a_model_rejects_only_texts_without_letters(spark, awkward, nothing, tables):
+    rows, df = awkward
+    out = P.language_id(spark, df.withColumn("lang", F.lit(None).cast("string")), tables)
+    assert out.columns == df.columns
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter(
+        (d, t) for d, t, *_ in rows if any(c.isalpha() for c in t or ""))
+    assert P.language_id(spark, nothing, tables).count() == 0
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark, awkward, tables):
     rows, df = awkward
     out = P.near_duplicates(spark, df, tables)
