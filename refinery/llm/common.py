@@ -29,6 +29,15 @@ def numbered(df: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
     return materialize(picked, name)
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, all else as it is.  Where every character is one byte
+    the built-in ``lower`` does just that, and faster."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+
+
 # --- a membership bitmap of a fixed size ---------------------------------------------------------
 
 BITMAP_BITS = 26          # 2**26 bits are 8 MB, whatever the input

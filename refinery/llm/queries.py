@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm.common import table
+from refinery.llm.common import ascii_lower, table
 from refinery.llm.decontaminate import contamination
 from refinery.llm.exact_dedup import refine
 from refinery.llm.html_main import extract, learn
 from refinery.llm.jaccard_join import similar_groups
 from refinery.llm.language import held_out, identify, train_on_open_part
+from refinery.llm.line_dedup import apply_bitmaps, keep_bitmaps
+from refinery.llm.merkle import folded, leaf_hash, manifest, proof_digest
 from refinery.llm.mixing import mix
+from refinery.llm.periodic_runs import collapse_runs
 from refinery.llm.sharding import pack
 from refinery.llm.suffix_dedup import remove_repeats
 from refinery.llm.tokens import read_token_files, write_token_files
@@ -82,6 +85,37 @@ def op10_hierarchical_language(spark: SparkSession, sf: str) -> DataFrame:
     return identify(docs, train_on_open_part(docs), carry={"doc_id": F.col("doc_id"), "held_out": held_out()})
 
 
+def op11_range_partitioned_lines(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    out = apply_bitmaps(docs, keep_bitmaps(docs))
+    return out.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_bitmap_rank_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = leaf_hash(*[F.col(c) for c in columns[:-1]], ascii_lower(F.col("text")))
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    out = manifest(docs, "doc_id", "source", leaf_hash(*[F.col(c) for c in columns]), F.when(chosen, tampered))
+    out = out.withColumn("folded_root", folded(F.coalesce("altered", "leaf")))
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_digest().alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_maximal_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string"))
+    out = collapse_runs(table(spark, sf, "documents"), loop_seed=F.when(h % 10 == 0, F.floor(h / 10)))
+    runs = F.col("runs")
+    # the greatest length / period, compared exactly; the first of equals in order of start and period
+    best = F.reduce(runs, F.get(runs, F.lit(0)), lambda b, r: F.when(
+        r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    out = out.withColumn("best", best)
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.select("doc_id", F.size(runs).cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                      F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_winnowing": op1_winnowing,
     "op2_warc_salvage": op2_warc_salvage,
@@ -93,6 +127,9 @@ QUERIES: dict[str, Query] = {
     "op8_maximum_subsequence": op8_maximum_subsequence,
     "op9_set_relation_skipping": op9_set_relation_skipping,
     "op10_hierarchical_language": op10_hierarchical_language,
+    "op11_range_partitioned_lines": op11_range_partitioned_lines,
+    "op12_bitmap_rank_manifest": op12_bitmap_rank_manifest,
+    "op13_maximal_pairs": op13_maximal_pairs,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
