@@ -136,7 +136,67 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 _ALNUM = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _SPACED = f"regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+')"
 
+_KEY = "trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')"
+
+
+def _encoded(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR) END"
+
+
+def manifest_statement(row_levels: int = 6, group_levels: int = 3) -> str:
+    """The Merkle manifest as SQL, for up to 16**row_levels rows of a source and
+    16**group_levels sources; a level hands a single node on."""
+    fields = " || ".join(_encoded(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32 of the digits, by the usual table of 256 remainders
+    entry = "list_reduce(list_prepend(i, range(8)), lambda c, b: xor(c >> 1, 3988292384 * (c & 1)))"
+    crc = ("xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), "
+           "lambda d: CAST(ascii(d) AS BIGINT))), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))")
+    parts = [f"crc AS (SELECT list({entry} ORDER BY i) AS crc_table FROM (SELECT unnest(range(256)) AS i))",
+             f"leaves AS (SELECT doc_id, source, sha256({fields} || {_encoded('text')}) AS h, "
+             f"CASE WHEN {crc} % 5 = 0 THEN sha256({fields} || {_encoded(lowered)}) END AS altered, "
+             "row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS p FROM documents, crc)",
+             "r0 AS (SELECT source AS g, p, h FROM leaves)"]
+
+    def levels(name: str, count: int) -> None:
+        run = "PARTITION BY g, p // 16 ORDER BY p ROWS BETWEEN"
+        for k in range(count):
+            parts.append(f"{name}s{k} AS (SELECT *, count(*) OVER (PARTITION BY g) > 1 AS many, "
+                         f"coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+                         f"coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})")
+            parts.append(f"{name}{k + 1} AS (SELECT g, p // 16 AS p, CASE WHEN any_value(many) THEN sha256(string_agg(h, '' ORDER BY p)) "
+                         f"ELSE any_value(h) END AS h FROM {name}s{k} GROUP BY g, p // 16)")
+
+    levels("r", row_levels)
+    parts.append(f"g0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS p, h, g AS source FROM r{row_levels})")
+    levels("g", group_levels)
+    joins = [f"JOIN rs{k} ON rs{k}.g IS NOT DISTINCT FROM source AND rs{k}.p = leaves.p // {16 ** k}" for k in range(row_levels)]
+    joins.append("JOIN g0 ON g0.source IS NOT DISTINCT FROM leaves.source")
+    joins += [f"JOIN gs{k} ON gs{k}.p = g0.p // {16 ** k}" for k in range(group_levels)]
+    steps = [f"rs{k}" for k in range(row_levels)] + [f"gs{k}" for k in range(group_levels)]
+    proof = " || ".join(f"CASE WHEN {s}.many THEN {s}.l || {s}.r ELSE '' END" for s in steps)
+    sides = ", ".join(f"{s}.many AS {s}m, {s}.l AS {s}l, {s}.r AS {s}r" for s in steps)
+    parts.append(f"paths AS (SELECT doc_id, leaves.h AS leaf, g0.h AS subroot, sha256({proof}) AS proof_sha256, "
+                 f"coalesce(altered, leaves.h) AS f, {sides} FROM leaves {' '.join(j.replace(' source ', ' leaves.source ') for j in joins)})")
+    last = "paths"
+    for s in steps:
+        parts.append(f"f{s} AS (SELECT * REPLACE (CASE WHEN {s}m THEN sha256({s}l || f || {s}r) ELSE f END AS f) FROM {last})")
+        last = f"f{s}"
+    return (f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified "
+            f"FROM {last}, (SELECT h AS root FROM g{group_levels})")
+
+
 ORACLE: dict[str, str] = {
+    "op11_range_partitioned_lines": f"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+  keys AS (SELECT doc_id, pos, line, translate({_KEY}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+  shared AS (SELECT key, max(doc_id) AS last FROM keys WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE last <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE last IS NULL OR last = doc_id), '')) AS kept_sha256
+FROM keys LEFT JOIN shared USING (key) GROUP BY doc_id
+""",
+    "op12_bitmap_rank_manifest": manifest_statement(),
     "op1_winnowing": f"""
 WITH docs AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
   items AS (SELECT item_id, w, least(len(w), 10) AS k FROM (SELECT item_id, {_ALNUM} AS w FROM benchmark) WHERE len(w) > 0),

@@ -121,3 +121,76 @@ def water_level(sizes, weights, epochs=3.0):
         if not over:
             return target
         capped |= over
+
+
+def lines_dropped(rows, min_chars=20, min_documents=3):
+    """(id, n_lines, n_dropped, text that stays) of each (id, text) row."""
+    white, held = " \t\n\x0b\f\r", {}
+
+    def key(line):
+        return line.strip(white).translate(LOWER)
+
+    for d, t in rows:
+        for line in (t or "").split("\n"):
+            held.setdefault(key(line), set()).add(d)
+    out = []
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        keep = [x for x in lines if len(key(x)) < min_chars or len(held[key(x)]) < min_documents
+                or d == max(held[key(x)], key=lambda i: (i is not None, i or 0))]
+        out.append((d, len(lines), len(lines) - len(keep), "\n".join(keep)))
+    return out
+
+
+def sha(*texts):
+    return hashlib.sha256("".join(texts).encode()).hexdigest()
+
+
+def encoded(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def merkle(leaves):
+    """(id, leaf, subroot, root, path) of each (group, id, leaf); path is the
+    (left, right) siblings of each step up."""
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([sha(*levels[-1][i:i + 16]) for i in range(0, len(levels[-1]), 16)])
+        return levels
+
+    def path(levels, i):
+        out = []
+        for nodes in levels[:-1]:
+            run, at, i = nodes[i // 16 * 16:i // 16 * 16 + 16], i % 16, i // 16
+            out.append(("".join(run[:at]), "".join(run[at + 1:])))
+        return out
+
+    groups = {}
+    for g, i, leaf in leaves:
+        groups.setdefault(g, []).append((i is not None, i or 0, leaf))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: tree([leaf for *_, leaf in sorted(groups[g])]) for g in order}
+    top = tree([trees[g][-1][0] for g in order])
+    return [(i if known else None, leaf, trees[g][-1][0], top[-1][0], path(trees[g], at) + path(top, n))
+            for n, g in enumerate(order) for at, (known, i, leaf) in enumerate(sorted(groups[g]))]
+
+
+def periodic_runs(words, min_words=24, times=3):
+    """(start, length, period) of the maximal runs, by trying every period."""
+    n, found = len(words), {}
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(min_words, times * q) and j > i:
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)

@@ -1,0 +1,208 @@
+"""Line dedup, Merkle manifest and periodic runs against brute force."""
+
+import os
+import random
+import zlib
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from refinery.llm.common import ascii_lower
+from refinery.llm.line_dedup import apply_bitmaps, keep_bitmaps
+from refinery.llm.merkle import folded, leaf_hash, manifest, proof_digest
+from refinery.llm.periodic_runs import collapse_runs
+from refinery.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def by_text(rows):
+    return sorted(rows, key=repr)
+
+
+# --- line dedup ----------------------------------------------------------------------------------
+
+def dropped(docs, **parameters):
+    out = apply_bitmaps(docs, keep_bitmaps(docs, **parameters))
+    return by_text(map(tuple, out.select("id", "n_lines", "n_dropped", "text").collect()))
+
+
+@pytest.mark.parametrize("parameters", [{}, {"min_chars": 1, "min_documents": 2}, {"min_chars": 4, "min_documents": 1}])
+def test_lines_of_awkward_rows(awkward, parameters):
+    rows, df = awkward
+    assert dropped(df, **parameters) == by_text(brute.lines_dropped([(r[0], r[1]) for r in rows], **parameters))
+
+
+def test_bitmaps_of_long_documents(spark):
+    rng = random.Random(4)
+    pool = [f" A line that recurs, number {i} of them \x0b" for i in range(90)]
+    rows = []
+    for d in range(30):
+        lines = [rng.choice(pool) if rng.random() < 0.5 else f"line {rng.random()} of {d} alone" for _ in range(rng.choice([1, 63, 64, 65, 700]))]
+        rows.append((d, "\n".join(lines).swapcase() if d % 3 == 0 else "\n".join(lines)))
+    rows += [(100 + d, "\n".join([pool[0]] * 200)) for d in range(5)] + [(7, None), (8, "\n\n"), (None, "\n".join(pool * 3)), (None, pool[1])]
+    rows += [(50, rows[3][1])] * 3                                     # rows that repeat as a whole
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert dropped(df) == by_text(brute.lines_dropped(rows))
+    # compressed: a word that keeps all its lines is not in a bitmap
+    words = keep_bitmaps(df).selectExpr("explode(keep) AS w").select("w.bits")
+    assert words.count() > 0 and words.filter("bits = -1").count() == 0
+
+
+def test_a_line_of_every_document_is_dealt_over_partitions(spark):
+    line = "the very same line of every document"
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit(line + "\n"), F.col("id").cast("string")).alias("text"))
+    out = apply_bitmaps(df, keep_bitmaps(df))
+    assert out.filter("n_dropped = 1").count() == 3999
+    assert out.filter("n_dropped = 0").first()["text"] == f"{line}\n3999"
+
+
+def test_lines_of_an_empty_table(nothing):
+    assert dropped(nothing) == []
+
+
+def test_line_dedup_runs_no_python(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("test tables not present")
+    plan = queries.op11_range_partitioned_lines(spark, SF)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- Merkle manifest -----------------------------------------------------------------------------
+
+def proofs(df):
+    leaf = leaf_hash(F.col("doc_id"), F.col("text"))
+    other = F.when(F.col("doc_id") % 3 == 0, leaf_hash(F.col("doc_id"), ascii_lower(F.col("text"))))
+    out = manifest(df, "doc_id", "source", leaf, other)
+    out = out.select("id", "leaf", "subroot", "root", proof_digest().alias("proof"), folded(F.coalesce("altered", "leaf")).alias("back"))
+    return by_text(map(tuple, out.collect()))
+
+
+def proofs_wanted(rows):
+    """rows are (id, text, source)"""
+    def leaf(i, t):
+        return brute.sha(brute.encoded(i), brute.encoded(t))
+
+    altered = {leaf(i, t): leaf(i, t.translate(brute.LOWER) if t is not None else None) for i, t, _ in rows if i is not None and i % 3 == 0}
+    want = []
+    for i, h, subroot, root, path in brute.merkle([(s, i, leaf(i, t)) for i, t, s in rows]):
+        back = altered.get(h, h)
+        for left, right in path:
+            back = brute.sha(left, back, right)
+        want.append((i, h, subroot, root, brute.sha(*[a + b for a, b in path]), back))
+    return by_text(want)
+
+
+def test_manifest_of_awkward_rows(awkward):
+    rows, df = awkward
+    assert proofs(df) == proofs_wanted([(r[0], r[1], r[3]) for r in rows])
+
+
+def test_manifest_of_sparse_ids_and_many_groups(spark):
+    rng = random.Random(9)
+    edge = [-(1 << 63), -(1 << 63) + 1, -65537, -65536, -64, -1, 0, 63, 64, 65535, 65536, (1 << 32) - 1, 1 << 32, 1 << 48, (1 << 63) - 1]
+    rows = [(i, "Edge", "one") for i in edge]
+    rows += [(rng.randrange(-(1 << 63), 1 << 63), f"Text {n}", "one") for n in range(300)]      # a group of three levels
+    rows += [(n, f"Dense {n}", "two") for n in range(273)] + [(None, f"No id {n}", "two") for n in range(20)]
+    rows += [(5, f"Same id {n}", "two") for n in range(40)] + [(6, "Whole row", "two")] * 35
+    rows += [(n, "Alone", f"straße {n}") for n in range(20)] + [(1, None, None), (2, "", None), (1, "empty name", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = proofs(df)
+    assert got == proofs_wanted(rows)
+    assert len({r[3] for r in got}) == 1 and any(r[5] != r[3] for r in got)
+
+
+@pytest.mark.parametrize("n", [1, 2, 16, 17, 256, 257])
+def test_manifest_of_one_group(spark, n):
+    rows = [(i * 7, "T", "s") for i in range(n)]
+    assert proofs(spark.createDataFrame(rows, "doc_id long, text string, source string")) == proofs_wanted(rows)
+
+
+def test_manifest_of_an_empty_table(nothing):
+    assert proofs(nothing) == []
+
+
+# --- periodic runs -------------------------------------------------------------------------------
+
+def loops(rng, n):
+    """Texts of few words with many nested repetitions."""
+    out = []
+    for _ in range(n):
+        vocabulary = [f"w{i}" for i in range(rng.choice([1, 2, 3, 50]))]
+        words = []
+        for _ in range(rng.randint(0, 6)):
+            words += [rng.choice(vocabulary) for _ in range(rng.randint(1, 12))] * rng.randint(1, 9)
+            words = words[:len(words) - rng.randint(0, 2)]
+        out.append("".join(w + rng.choice([" ", "\n", " \t"]) for w in words))
+    return out
+
+
+@pytest.mark.parametrize("least,times", [(24, 3), (4, 3), (30, 5)])
+def test_runs_of_texts_with_nested_loops(spark, least, times):
+    rng = random.Random(least)
+    rows = list(enumerate(loops(rng, 150) + [None, "", " \n ", "a", "a " * 700, "A a " * 30, "é\u00a0b " * 40, "x " * 23, "x " * 24]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in collapse_runs(df, min_words=least, min_exponent=times).collect()}
+    runs = 0
+    for i, t in rows:
+        words = brute.re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        want = sorted(brute.periodic_runs(words, least, times), key=lambda r: (r[0], r[2]))
+        assert [tuple(r) for r in got[i]["runs"]] == want, t
+        assert got[i]["n_words"] == len(words) and got[i]["collapsed"] == brute.collapsed(words, want)
+        runs += len(want)
+    assert runs > 50
+
+
+def test_runs_of_awkward_rows(awkward):
+    rows, df = awkward
+    got = collapse_runs(df, carry={"doc_id": F.col("doc_id"), "said": F.col("text")}).collect()
+    assert by_text(r["doc_id"] for r in got) == by_text(r[0] for r in rows)
+    for r in got:
+        words = brute.re.findall(r"[^\x20\x09-\x0D]+", r["said"] or "")
+        if len(words) < 2000:
+            want = brute.periodic_runs(words)
+            assert [tuple(x) for x in r["runs"]] == want and r["collapsed"] == brute.collapsed(words, want)
+
+
+def test_one_long_loop_is_one_run(spark):
+    text = "begin " + "a b c a b d " * 40000 + "end"
+    (row,) = collapse_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [tuple(r) for r in row["runs"]] == [(1, 240000, 6)] and row["collapsed"] == "begin a b c a b d end"
+
+
+def test_a_phrase_in_many_places_is_no_run(spark):
+    phrase = " ".join(f"p{i}" for i in range(20))
+    text = " ".join(f"{phrase} x{i}" for i in range(3000))             # 3,000 left and right words of one phrase
+    (row,) = collapse_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row["runs"] == [] and row["collapsed"] == text
+
+
+def test_runs_of_an_empty_table(nothing):
+    assert collapse_runs(nothing).collect() == []
+
+
+def test_query_of_runs_equals_brute_force(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("test tables not present")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in queries.op13_maximal_pairs(spark, SF).collect()}
+    assert len(got) == len(docs)
+    planted = 0
+    for d, t in docs:
+        words = brute.re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        h, n = zlib.crc32(str(d).encode()), len(words)
+        if h % 10 == 0 and n:
+            g, planted = h // 10, planted + 1
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = sorted(brute.periodic_runs(words), key=lambda r: (r[0], r[2]))
+        best = None
+        for r in runs:
+            if best is None or r[1] * best[2] > best[1] * r[2]:
+                best = r
+        want = (len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+                brute.sha(*[f"{s},{m},{q}\n" for s, m, q in runs]), brute.sha(brute.collapsed(words, runs)))
+        assert tuple(got[d])[1:] == want, d
+    assert planted > 5
