@@ -3,16 +3,19 @@
     python -m refinery init     --warehouse ROOT [--prefix P]
     python -m refinery run      --landing DIR --warehouse ROOT [--prefix P] [--as-of YYYY-MM-DD]
                                 [--customer-buckets N] [--fact-by-month] [--salt-customers N]
+                                [--checks FILE] [--only-if-passed]
     python -m refinery bronze   --landing DIR [--prefix P]
     python -m refinery silver   [--prefix P] [--as-of YYYY-MM-DD]
     python -m refinery gold     [--prefix P]
-    python -m refinery validate [--prefix P] [--out PATH]
+    python -m refinery validate [--prefix P] [--out PATH] [--checks FILE]
     python -m refinery reset    [--prefix P] [--dry-run]
     python -m refinery stream   --landing DIR --warehouse ROOT [--as-of YYYY-MM-DD]
     python -m refinery land-fixtures --tables SF_DIR --landing DIR
 
-``validate`` prints the report and exits non-zero when a check fails
-(warnings do not fail).  ``stream`` loads only files that arrived since its
+``run`` publishes the tables of all layers together at its end; with
+``--only-if-passed`` only if no check fails.  ``validate`` prints the report and
+exits non-zero when a check fails (warnings do not fail).  ``--checks`` names a
+JSON file with a list of further checks (``plans.checks.from_dicts``).  ``stream`` loads only files that arrived since its
 last run into silver folders under ``ROOT/incremental`` (Structured Streaming,
 availableNow).  ``land-fixtures`` writes the six test extracts as CSV to a
 landing folder, for trying the layers on the test tables.
@@ -21,6 +24,7 @@ landing folder, for trying the layers on the test tables.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -59,6 +63,9 @@ def main(argv: list[str] | None = None) -> int:
                     help="write the fact partitioned by order month")
     ap.add_argument("--salt-customers", dest="salt_customers", type=int,
                     help="salt the fact's customer join for hot customers over N sub-keys")
+    ap.add_argument("--checks", help="JSON file with checks to add to the report")
+    ap.add_argument("--only-if-passed", dest="only_if_passed", action="store_true",
+                    help="publish a run's tables only if no check fails")
     a = ap.parse_args(argv)
 
     spark = _session()
@@ -67,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _run(spark: SparkSession, a: argparse.Namespace) -> int:
-    from refinery.plans import layers
+    from refinery.plans import checks, layers, quality
     from refinery.sources import files
     from refinery.sources.fixtures import bronze_inputs
 
@@ -81,8 +88,16 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> int:
     elif a.command == "gold":
         layers.run_gold(spark, names)
     elif a.command in ("run", "validate"):
-        report = (layers.run_all(spark, a.landing, names, a.warehouse, a.as_of) if a.command == "run"
-                  else layers.report(spark, names))
+        wanted = list(quality.CHECKS)
+        if a.checks:
+            with open(a.checks, encoding="utf-8") as f:
+                wanted += checks.from_dicts(json.load(f))
+        try:
+            report = (layers.run_all(spark, a.landing, names, a.warehouse, a.as_of, wanted, a.only_if_passed) if a.command == "run"
+                      else layers.report(spark, names, wanted))
+        except layers.ChecksFailed as failed:
+            report = failed.report
+            print("nothing published: a check failed")
         rows = report.orderBy("check_id").collect()        # one row per check: the report itself
         for r in rows:
             print(f"{r.status:5} {r.check_id:3} {r.check_name:58} {r.value}" + (f"  {r.about}" if r.status != "pass" else ""))

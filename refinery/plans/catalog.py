@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from refinery.functions import codes, dates, values
 from refinery.operators import aggregates, frames, joins, keys
 from refinery.plans import gold, layers, quality, silver
+from refinery.plans.checks import Check, Compare, Count, Reference, Rows, Share, Total, Unique
+from refinery.plans.checks import Query as Sql
+from refinery.plans.checks import report as check_report
 from refinery.plans.oracle_sql import dq_report_sql, with_ctes
 from refinery.session import concurrently, discard, materialize, scratch_path
 from refinery.sources import files, schemas
@@ -612,33 +615,80 @@ def q_dq_report(spark, sf):
     sales, (dc, dp) = concurrently(lambda: materialize(s_sales(spark, sf), "silver-sales"),
                                    lambda: both_dims(spark, sf))
     fact = materialize(gold.fact_sales(sales, dp, dc), "fact-sales")    # the gold fact table
-    report = materialize(quality.dq_report(
-        fixture(spark, sf, "f_cust_info"), fixture(spark, sf, "f_sales"), s_customers(spark, sf), sales,
-        s_erp_customers(spark, sf), s_locations(spark, sf), s_categories(spark, sf), dc, dp, fact).select(*REPORT), "report")
+    report = materialize(quality.dq_report({
+        quality.BRONZE_CUSTOMERS: fixture(spark, sf, "f_cust_info"), quality.BRONZE_SALES: fixture(spark, sf, "f_sales"),
+        quality.CUSTOMERS: s_customers(spark, sf), quality.SALES: sales, quality.ERP_CUSTOMERS: s_erp_customers(spark, sf),
+        quality.LOCATIONS: s_locations(spark, sf), quality.CATEGORIES: s_categories(spark, sf),
+        quality.DIM_CUSTOMERS: dc, quality.DIM_PRODUCTS: dp, quality.FACT: fact}, quality.NOTHING_REJECTED).select(*REPORT), "report")
     discard(sales, fact)
     return report
 
 
+# Checks that a user declares over tables of their own: every kind of rule.
+DECLARED = [
+    Check(1, "orders have rows", Rows("tpch.orders"), expect_zero=False),
+    Check(2, "orders not dearer than 300,000", Count("tpch.orders", "o_totalprice > 300000"), warn_only=True),
+    Check(3, "quantity in all", Total("tpch.lineitem", "CAST(l_quantity AS BIGINT)"), expect_zero=False),
+    Check(4, "no more customers than orders", Compare("tpch.customer", "<=", "tpch.orders")),
+    Check(5, "as many lines as orders", Compare("tpch.lineitem", "=", "tpch.orders"), warn_only=True),
+    Check(6, "a tenth of the orders are open", Share("tpch.orders", "o_orderstatus = 'O'", 10)),
+    Check(7, "order keys unique", Unique("tpch.orders", "o_orderkey")),
+    Check(8, "lines unique by part and supplier", Unique("tpch.lineitem", ("l_partkey", "l_suppkey")), warn_only=True),
+    Check(9, "lines have an order", Reference("tpch.lineitem", "l_orderkey", "tpch.orders", "o_orderkey")),
+    Check(10, "suppliers are also customers", Reference("tpch.supplier", "s_suppkey", "tpch.customer", "c_custkey"), warn_only=True),
+    Check(11, "nations that sell", Sql("SELECT count(DISTINCT s_nationkey) FROM {tpch.supplier}"), expect_zero=False,
+          about="no supplier has a nation"),
+]
+
+
+@register("declared_checks", """
+WITH v AS (
+  SELECT 1 AS check_id, 'orders have rows' AS check_name, 'error' AS severity, false AS zero, (SELECT count(*) FROM orders) AS value
+  UNION ALL SELECT 2, 'orders not dearer than 300,000', 'warn', true, (SELECT count(*) FROM orders WHERE o_totalprice > 300000)
+  UNION ALL SELECT 3, 'quantity in all', 'error', false, (SELECT CAST(sum(CAST(trunc(l_quantity) AS BIGINT)) AS BIGINT) FROM lineitem)
+  UNION ALL SELECT 4, 'no more customers than orders', 'error', true,
+    (SELECT CAST((SELECT count(*) FROM customer) > (SELECT count(*) FROM orders) AS BIGINT))
+  UNION ALL SELECT 5, 'as many lines as orders', 'warn', true, (SELECT abs((SELECT count(*) FROM lineitem) - (SELECT count(*) FROM orders)))
+  UNION ALL SELECT 6, 'a tenth of the orders are open', 'error', true,
+    (SELECT CAST(10 * count(*) FILTER (WHERE o_orderstatus = 'O') < count(*) AS BIGINT) FROM orders)
+  UNION ALL SELECT 7, 'order keys unique', 'error', true,
+    (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))
+  UNION ALL SELECT 8, 'lines unique by part and supplier', 'warn', true,
+    (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1))
+  UNION ALL SELECT 9, 'lines have an order', 'error', true,
+    (SELECT count(*) FROM lineitem WHERE NOT EXISTS (FROM orders WHERE o_orderkey = l_orderkey))
+  UNION ALL SELECT 10, 'suppliers are also customers', 'warn', true,
+    (SELECT count(*) FROM supplier WHERE NOT EXISTS (FROM customer WHERE c_custkey = s_suppkey))
+  UNION ALL SELECT 11, 'nations that sell', 'error', false, (SELECT count(DISTINCT s_nationkey) FROM supplier))
+SELECT CAST(check_id AS INTEGER) AS check_id, check_name, severity, CAST(value AS BIGINT) AS value,
+  if(if(zero, value = 0, value > 0), 'pass', if(severity = 'warn', 'warn', 'fail')) AS status,
+  if(check_id = 11, 'no supplier has a nation', '') AS about FROM v""")
+def q_declared_checks(spark, sf):
+    """Checks declared by a user over tables of their own, in one query."""
+    return check_report(DECLARED, {f"tpch.{t}": base_table(spark, sf, t) for t in ("orders", "lineitem", "customer", "supplier")})
+
+
 # ---- layer order and incremental load --------------------------------------------
 
 def _built(spark, sf, read):
     """Landing CSV -> bronze, silver, gold tables; what ``read`` makes of them."""
     landed = _landed(spark, sf, ALL_EXTRACTS)
     with _layers(spark) as (names, root):
-        layers.build(spark, landed, names, root, AS_OF)
-        return materialize(read(names), "layer-result")
+        known = layers.build(spark, landed, names, root, AS_OF)
+        return materialize(read(names, known), "layer-result")
 
 
 @register("layer_run", dq_report_sql())
 def q_layer_run(spark, sf):
-    """The layers from landing files to the report read from the tables."""
-    return _built(spark, sf, lambda names: layers.report(spark, names).select(*REPORT))
+    """The layers from landing files to the report: whole-table counts from
+    the writes, keys read from the tables."""
+    return _built(spark, sf, lambda names, known: layers.report(spark, names, known=known).select(*REPORT))
 
 
 def _written(table: str) -> Query:
     """A gold table as the layer run wrote it."""
     def query(spark, sf):
-        return _built(spark, sf, lambda names: spark.table(names.table("gold", table)))
+        return _built(spark, sf, lambda names, _: spark.table(names.table("gold", table)))
     return query
 
 

@@ -1,24 +1,32 @@
 """Layer order: landing files -> bronze -> silver -> gold -> quality report.
 
-Each step reads the previous layer's tables and writes its own with a
-full-refresh overwrite, so any step can be re-run alone and gives the same
-tables.  The six silver jobs are independent of each other; gold needs
-both dimensions before the fact.  Tables are Parquet in three schemas (one
-per layer) whose folders sit under a shared root.
+Each step reads the previous layer's tables and fully refreshes its own, so any
+step can be re-run alone and gives the same tables.  A whole run stages the
+tables of all layers and publishes them together when the last one is written
+(or when the report over them has no error): a run that fails in any layer leaves
+every table as it was.  Tables that do not depend on each other are written side
+by side.  Tables are Parquet in three schemas (one per layer) whose folders sit
+under a shared root.
+
+The counts that the report needs of a whole table are taken while it is written.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.plans import gold, quality, silver
-from refinery.session import concurrently
+from refinery.plans.checks import Check, Metric, Sum, sums_of
+from refinery.session import concurrently, materialize
 from refinery.sources import files
-from refinery.sources.schemas import LAYERS, SOURCES
+from refinery.sources.files import Staging
+from refinery.sources.schemas import LAYERS, SOURCE_BY_TABLE, SOURCES
 
 
 @dataclass(frozen=True)
@@ -55,74 +63,156 @@ class Layers:
         return f"`{getattr(self, layer)}`.`{name}`"
 
 
+# The gold tables and the silver tables each is made of.
+CUSTOMER_PARTS = ("crm_customers", "erp_customers", "erp_customer_location")
+PRODUCT_PARTS = ("crm_products", "erp_product_category")
+GOLD_TABLES = ("dim_customers", "dim_products", "fact_sales")
+
+
+class ChecksFailed(RuntimeError):
+    """A run whose report has errors, and which therefore published nothing."""
+
+    def __init__(self, report: DataFrame, failed: Sequence[str]):
+        super().__init__(f"not published, failed checks: {', '.join(failed)}")
+        self.report = report
+
+
+class Run:
+    """One run of layer steps: staged tables and what was measured on the way."""
+
+    def __init__(self, spark: SparkSession, layers: Layers, stage: Staging, checks: Sequence[Check] = (),
+                 as_of: _dt.date | str | None = None):
+        self.spark, self.layers, self.stage, self.checks, self.as_of = spark, layers, stage, checks, as_of
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        return self.stage.read(self.layers.table(layer, name))
+
+    def _measures(self, layer: str, name: str) -> dict[str, Column]:
+        return {s.expr: s.column() for s in sums_of(self.checks, f"{layer}.{name}")}
+
+    def write(self, df: DataFrame, layer: str, name: str, **layout) -> None:
+        self.stage.write(df, self.layers.table(layer, name), measures=self._measures(layer, name), **layout)
+
+    def known(self) -> dict[Metric, int]:
+        """The sums that were taken while the tables were written."""
+        logical = {self.layers.table(*t.split(".")): t for t in table_names()}
+        return {Sum(logical[table], expr): value for (table, expr), value in self.stage.measured.items()}
+
+    def bronze(self, landing_root: str, source: str) -> None:
+        """A raw extract becomes a typed bronze table; what does not fit its type
+        is kept in the column ``_rejected``."""
+        files.ingest_source(self.spark, landing_root, self.layers.table("bronze", source), SOURCE_BY_TABLE[source], self.stage,
+                            measures=self._measures("bronze", source))
+
+    def silver(self, target: str) -> None:
+        source, job = silver.SILVER_JOBS[target]
+        raw = self.read("bronze", source).drop(files.REJECTED)
+        cleaned = job(raw, self.as_of) if job is silver.silver_erp_customers else job(raw)
+        self.write(cleaned, "silver", target, **self.layers.bucketing(target))
+
+    def dim_customers(self) -> None:
+        dim = gold.dim_customers(*[self.read("silver", t) for t in CUSTOMER_PARTS])
+        self.write(dim, "gold", "dim_customers", **self.layers.bucketing("dim_customers"))
+
+    def dim_products(self) -> None:
+        self.write(gold.dim_products(*[self.read("silver", t) for t in PRODUCT_PARTS]), "gold", "dim_products")
+
+    def fact_sales(self) -> None:
+        fact = gold.fact_sales(self.read("silver", "crm_sales"), self.read("gold", "dim_products"),
+                               self.read("gold", "dim_customers"), salt_customers=self.layers.salt_customers)
+        if self.layers.fact_by_month:
+            fact = fact.withColumn("order_month", F.trunc("order_date", "month"))
+            self.write(fact, "gold", "fact_sales", partition_by="order_month", spread_by=("order_number",))
+        else:
+            self.write(fact, "gold", "fact_sales")
+
+    def all_layers(self, landing_root: str) -> None:
+        """Every table as soon as what it is made of is there."""
+        def cleaned(target: str) -> Callable[[], None]:
+            def load() -> None:
+                self.bronze(landing_root, silver.SILVER_JOBS[target][0])
+                self.silver(target)
+            return load
+
+        def dimension(parts: Sequence[str], build: Callable[[], None]) -> Callable[[], None]:
+            def load() -> None:
+                concurrently(*[cleaned(t) for t in parts])
+                build()
+            return load
+
+        concurrently(dimension(CUSTOMER_PARTS, self.dim_customers), dimension(PRODUCT_PARTS, self.dim_products),
+                     cleaned("crm_sales"))
+        self.fact_sales()
+
+
+def table_names() -> list[str]:
+    """The logical names (``layer.table``) that checks use."""
+    return ([f"bronze.{s.table}" for s in SOURCES] + [f"silver.{t}" for t in silver.SILVER_JOBS] + [f"gold.{t}" for t in GOLD_TABLES])
+
+
+@contextlib.contextmanager
+def _run(spark: SparkSession, layers: Layers, **more) -> Iterator[Run]:
+    """A run of its own that is published at the end."""
+    with Staging(spark) as stage:
+        yield Run(spark, layers, stage, **more)
+        stage.publish()
+
+
 def create_layers(spark: SparkSession, layers: Layers, root: str | None = None) -> None:
     files.create_layer_schemas(spark, root, {layer: getattr(layers, layer) for layer in LAYERS})
 
 
 def run_bronze(spark: SparkSession, landing_root: str, layers: Layers) -> dict[str, str]:
-    """Every raw extract under the landing root becomes a typed bronze table;
-    what does not fit its type is kept in the column ``_rejected``."""
-    return files.ingest_catalog(spark, landing_root, layers.bronze, SOURCES)
+    """The bronze layer alone: every raw extract under the landing root."""
+    with _run(spark, layers) as run:
+        concurrently(*[lambda s=s: run.bronze(landing_root, s.table) for s in SOURCES])
+    return {s.table: layers.table("bronze", s.table) for s in SOURCES}
 
 
 def run_silver(spark: SparkSession, layers: Layers, as_of: _dt.date | str | None = None) -> dict[str, str]:
-    """The six cleaning jobs are independent: their writes are submitted side by side."""
-    def one(target: str, source: str, job) -> str:
-        bronze_df = spark.table(layers.table("bronze", source)).drop(files.REJECTED)
-        cleaned = job(bronze_df, as_of) if job is silver.silver_erp_customers else job(bronze_df)
-        name = layers.table("silver", target)
-        files.write_table(cleaned, name, **layers.bucketing(target))
-        return name
-
-    jobs = list(silver.SILVER_JOBS.items())
-    names = concurrently(*[lambda t=t, s=s, j=j: one(t, s, j) for t, (s, j) in jobs])
-    return {t: n for (t, _), n in zip(jobs, names)}
+    """The silver layer alone, from the bronze tables: six independent cleaning jobs."""
+    with _run(spark, layers, as_of=as_of) as run:
+        concurrently(*[lambda t=t: run.silver(t) for t in silver.SILVER_JOBS])
+    return {t: layers.table("silver", t) for t in silver.SILVER_JOBS}
 
 
 def run_gold(spark: SparkSession, layers: Layers) -> dict[str, str]:
-    t = lambda name: spark.table(layers.table("silver", name))
-
-    def customers() -> None:
-        dim_c = gold.dim_customers(t("crm_customers"), t("erp_customers"), t("erp_customer_location"))
-        files.write_table(dim_c, layers.table("gold", "dim_customers"), **layers.bucketing("dim_customers"))
-
-    def products() -> None:
-        dim_p = gold.dim_products(t("crm_products"), t("erp_product_category"))
-        files.write_table(dim_p, layers.table("gold", "dim_products"))
-
-    concurrently(customers, products)           # independent; the fact needs both
-    fact = gold.fact_sales(t("crm_sales"), spark.table(layers.table("gold", "dim_products")),
-                           spark.table(layers.table("gold", "dim_customers")), salt_customers=layers.salt_customers)
-    if layers.fact_by_month:
-        fact = fact.withColumn("order_month", F.trunc("order_date", "month"))
-        files.write_table(fact, layers.table("gold", "fact_sales"), partition_by="order_month",
-                          spread_by=("order_number",))
-    else:
-        files.write_table(fact, layers.table("gold", "fact_sales"))
-    return {n: layers.table("gold", n) for n in ("dim_customers", "dim_products", "fact_sales")}
-
-
-def report(spark: SparkSession, layers: Layers) -> DataFrame:
-    b = lambda name: spark.table(layers.table("bronze", name))
-    s = lambda name: spark.table(layers.table("silver", name))
-    g = lambda name: spark.table(layers.table("gold", name))
-    rejected = files.rejected_values([b(spec.table) for spec in SOURCES])
-    return quality.dq_report(b("crm_cust_info"), b("crm_sales_details"), s("crm_customers"), s("crm_sales"),
-                             s("erp_customers"), s("erp_customer_location"), s("erp_product_category"),
-                             g("dim_customers"), g("dim_products"), g("fact_sales"), rejected)
-
-
-def build(spark: SparkSession, landing_root: str, layers: Layers, root: str | None = None,
-          as_of: _dt.date | str | None = None) -> None:
-    """Write the tables of all layers, in order."""
+    """The gold layer alone, from the silver tables; the fact needs both dimensions."""
+    with _run(spark, layers) as run:
+        concurrently(run.dim_customers, run.dim_products)
+        run.fact_sales()
+    return {n: layers.table("gold", n) for n in GOLD_TABLES}
+
+
+def report(spark: SparkSession, layers: Layers, checks: Sequence[Check] = quality.CHECKS,
+           known: Mapping[Metric, int] | None = None) -> DataFrame:
+    """The quality report over the tables in use; ``known`` are metrics of
+    them that are already measured (see ``build``)."""
+    return quality.dq_report({t: spark.table(layers.table(*t.split("."))) for t in table_names()}, known, checks)
+
+
+def build(spark: SparkSession, landing_root: str, layers: Layers, root: str | None = None, as_of: _dt.date | str | None = None,
+          checks: Sequence[Check] = quality.CHECKS, only_if_passed: bool = False) -> dict[Metric, int]:
+    """Write the tables of all layers and publish them together.  Returns the
+    counts for ``checks`` that were taken on the way.  With ``only_if_passed`` the
+    report over the staged tables comes first, and ``ChecksFailed`` is raised, with
+    nothing published, when a check fails (warnings do not)."""
     create_layers(spark, layers, root)
-    run_bronze(spark, landing_root, layers)
-    run_silver(spark, layers, as_of)
-    run_gold(spark, layers)
+    with Staging(spark) as stage:
+        run = Run(spark, layers, stage, checks, as_of)
+        run.all_layers(landing_root)
+        known = run.known()
+        if only_if_passed:
+            told = materialize(quality.dq_report({t: run.read(*t.split(".")) for t in table_names()}, known, checks), "report")
+            failed = [r.check_name for r in told.filter("status = 'fail'").orderBy("check_id").collect()]   # at most one row a check
+            if failed:
+                raise ChecksFailed(told, failed)
+        stage.publish()
+    return known
 
 
 def run_all(spark: SparkSession, landing_root: str, layers: Layers = Layers(), root: str | None = None,
-            as_of: _dt.date | str | None = None) -> DataFrame:
-    """Run the layers in order and return the quality report over the written tables."""
-    build(spark, landing_root, layers, root, as_of)
-    return report(spark, layers)
+            as_of: _dt.date | str | None = None, checks: Sequence[Check] = quality.CHECKS, only_if_passed: bool = False) -> DataFrame:
+    """Run the layers and return the quality report over the written tables."""
+    known = build(spark, landing_root, layers, root, as_of, checks, only_if_passed)
+    return report(spark, layers, checks, known)

@@ -1,192 +1,94 @@
-"""Data-quality report as a DataFrame.
+"""The warehouse's data-quality report, as declared checks.
 
 The 22 checks of the validation notebook (row counts, layer consistency,
 NULL keys, value domains, key uniqueness, orphan keys, business rules) plus
 the ones the gold design calls for (fact rows vs sales rows, NULL surrogate
 keys, uniqueness of every lookup side, products without a category) and one for
-the values that the ingest could not convert.
-
-Execution: a table without a key check is scanned once; a table with one is
-scanned once per key, grouped by it (NULL is a group of its own), and all of its
-other counts are taken in the same pass.  A fact key and its dimension are
-counted together: fact and dimension rows of a key are summed side by side, so
-rows, NULLs, repeated keys and orphans come out of one aggregate and no join.
-Groups are combined in the map tasks, so neither the fact nor a hot key is ever
-shuffled whole.  The metric rows are unioned, folded into one row, turned into
-check values and unpivoted: the whole report is one query.
+the values that the ingest could not convert.  ``plans.checks`` compiles them;
+a run with other checks passes ``CHECKS + (...)`` or a list of its own.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from refinery.functions.codes import GENDER_DOMAIN, MARITAL_STATUS_DOMAIN
+from refinery.plans.checks import Check, Compare, Count, Metric, Reference, Rows, Share, Sum, Total, Unique, report
+from refinery.sources.schemas import SOURCES
+
+BRONZE_CUSTOMERS, BRONZE_SALES = "bronze.crm_cust_info", "bronze.crm_sales_details"
+CUSTOMERS, SALES = "silver.crm_customers", "silver.crm_sales"
+ERP_CUSTOMERS, LOCATIONS, CATEGORIES = "silver.erp_customers", "silver.erp_customer_location", "silver.erp_product_category"
+DIM_CUSTOMERS, DIM_PRODUCTS, FACT = "gold.dim_customers", "gold.dim_products", "gold.fact_sales"
+BRONZE_TABLES = tuple(f"bronze.{s.table}" for s in SOURCES)
+_REJECTED = "size(_rejected)"
 
 
-@dataclass(frozen=True)
-class Check:
-    check_id: int
-    name: str
-    expr: str            # value, over the one-row metric table (SQL expression)
-    expect_zero: bool = True
-    warn_only: bool = False
-    about: str = ""      # what a failure means
+def _outside(column: str, domain: Sequence[str]) -> str:
+    return f"{column} NOT IN ({', '.join(repr(v) for v in domain)})"
 
 
 # The report's checks, in report order.
 CHECKS = (
-    Check(1, "bronze crm_cust_info has rows", "bronze_cust_rows", expect_zero=False, about="the customer extract is empty"),
-    Check(2, "bronze crm_sales_details has rows", "bronze_sales_rows", expect_zero=False, about="the sales extract is empty"),
-    Check(3, "gold fact_sales has rows", "fact_rows", expect_zero=False, about="the fact is empty"),
-    Check(4, "silver crm_customers rows <= bronze crm_cust_info rows",
-          "CASE WHEN silver_cust_rows > bronze_cust_rows THEN 1 ELSE 0 END", about="cleaning added customers"),
-    Check(5, "silver crm_sales rows = bronze crm_sales_details rows",
-          "abs(silver_sales_rows - bronze_sales_rows)", about="cleaning lost or added sales lines"),
-    Check(6, "silver crm_customers.customer_id not NULL", "cust_id_null", about="customers that no sale can refer to"),
-    Check(7, "silver crm_customers.customer_number not NULL", "cust_number_null",
+    Check(1, "bronze crm_cust_info has rows", Rows(BRONZE_CUSTOMERS), expect_zero=False, about="the customer extract is empty"),
+    Check(2, "bronze crm_sales_details has rows", Rows(BRONZE_SALES), expect_zero=False, about="the sales extract is empty"),
+    Check(3, "gold fact_sales has rows", Rows(FACT), expect_zero=False, about="the fact is empty"),
+    Check(4, "silver crm_customers rows <= bronze crm_cust_info rows", Compare(CUSTOMERS, "<=", BRONZE_CUSTOMERS),
+          about="cleaning added customers"),
+    Check(5, "silver crm_sales rows = bronze crm_sales_details rows", Compare(SALES, "=", BRONZE_SALES),
+          about="cleaning lost or added sales lines"),
+    Check(6, "silver crm_customers.customer_id not NULL", Count(CUSTOMERS, "customer_id IS NULL"),
+          about="customers that no sale can refer to"),
+    Check(7, "silver crm_customers.customer_number not NULL", Count(CUSTOMERS, "customer_number IS NULL"),
           about="customers that no ERP row can refer to"),
-    Check(8, "silver crm_sales.order_number not NULL", "order_number_null", about="sales lines that cannot be traced"),
-    Check(9, "gold dim_customers.customer_key not NULL", "customer_key_null", about="key assignment left a gap"),
-    Check(10, "gold dim_products.product_key not NULL", "product_key_null", about="key assignment left a gap"),
-    Check(11, "crm_customers.gender within domain", "cust_gender_bad", about="a gender code is not mapped"),
-    Check(12, "crm_customers.marital_status within domain", "cust_marital_bad", about="a marital status code is not mapped"),
-    Check(13, "erp_customers.gender within domain", "erp_gender_bad", about="an ERP gender code is not mapped"),
-    Check(14, "erp_customer_location.country not empty", "country_empty", about="a blank country was not replaced"),
-    Check(15, "dim_customers.customer_key unique", "customer_key_dups", about="two customers share a key"),
-    Check(16, "dim_products.product_key unique", "product_key_dups", about="two products share a key"),
-    Check(17, "dim_customers.customer_id unique", "customer_id_dups", warn_only=True,
+    Check(8, "silver crm_sales.order_number not NULL", Count(SALES, "order_number IS NULL"), about="sales lines that cannot be traced"),
+    Check(9, "gold dim_customers.customer_key not NULL", Count(DIM_CUSTOMERS, "customer_key IS NULL"), about="key assignment left a gap"),
+    Check(10, "gold dim_products.product_key not NULL", Count(DIM_PRODUCTS, "product_key IS NULL"), about="key assignment left a gap"),
+    Check(11, "crm_customers.gender within domain", Count(CUSTOMERS, _outside("gender", GENDER_DOMAIN)),
+          about="a gender code is not mapped"),
+    Check(12, "crm_customers.marital_status within domain", Count(CUSTOMERS, _outside("marital_status", MARITAL_STATUS_DOMAIN)),
+          about="a marital status code is not mapped"),
+    Check(13, "erp_customers.gender within domain", Count(ERP_CUSTOMERS, _outside("gender", GENDER_DOMAIN)),
+          about="an ERP gender code is not mapped"),
+    Check(14, "erp_customer_location.country not empty", Count(LOCATIONS, "country = ''"), about="a blank country was not replaced"),
+    Check(15, "dim_customers.customer_key unique", Unique(DIM_CUSTOMERS, "customer_key"), about="two customers share a key"),
+    Check(16, "dim_products.product_key unique", Unique(DIM_PRODUCTS, "product_key"), about="two products share a key"),
+    Check(17, "dim_customers.customer_id unique", Unique(DIM_CUSTOMERS, "customer_id"), warn_only=True,
           about="repeated ids multiply sales lines in the fact"),
-    Check(18, "fact_sales.product_key exists in dim_products", "fact_product_orphans",
+    Check(18, "fact_sales.product_key exists in dim_products", Reference(FACT, "product_key", DIM_PRODUCTS),
           about="sales refer to a product that is not there"),
-    Check(19, "fact_sales.customer_key exists in dim_customers", "fact_customer_orphans",
+    Check(19, "fact_sales.customer_key exists in dim_customers", Reference(FACT, "customer_key", DIM_CUSTOMERS),
           about="sales refer to a customer that is not there"),
-    Check(20, "crm_sales.sales_amount not negative", "sales_negative", warn_only=True, about="returns or wrong amounts"),
-    Check(21, "crm_sales.quantity positive", "quantity_not_positive", about="lines without goods"),
-    Check(22, "dim_customers with a country >= 50 percent",
-          "CASE WHEN country_covered * 100.0 / nullif(dimc_rows, 0) < 50 THEN 1 ELSE 0 END",
+    Check(20, "crm_sales.sales_amount not negative", Count(SALES, "sales_amount < 0"), warn_only=True, about="returns or wrong amounts"),
+    Check(21, "crm_sales.quantity positive", Count(SALES, "quantity <= 0"), about="lines without goods"),
+    Check(22, "dim_customers with a country >= 50 percent", Share(DIM_CUSTOMERS, "country <> 'n/a'", 50),
           about="most customers have no country"),
-    Check(23, "fact_sales rows = silver crm_sales rows", "abs(fact_rows - silver_sales_rows)", warn_only=True,
+    Check(23, "fact_sales rows = silver crm_sales rows", Compare(FACT, "=", SALES), warn_only=True,
           about="product versions or repeated customers multiply lines"),
-    Check(24, "fact_sales.product_key resolved", "fact_product_key_null", warn_only=True,
+    Check(24, "fact_sales.product_key resolved", Count(FACT, "product_key IS NULL"), warn_only=True,
           about="sales of products that the dimension lacks"),
-    Check(25, "fact_sales.customer_key resolved", "fact_customer_key_null", warn_only=True,
+    Check(25, "fact_sales.customer_key resolved", Count(FACT, "customer_key IS NULL"), warn_only=True,
           about="sales of customers that the dimension lacks"),
-    Check(26, "erp_customers.customer_number unique", "erp_number_dups", warn_only=True,
+    Check(26, "erp_customers.customer_number unique", Unique(ERP_CUSTOMERS, "customer_number"), warn_only=True,
           about="a repeated number multiplies customers"),
-    Check(27, "erp_customer_location.customer_number unique", "location_number_dups", warn_only=True,
+    Check(27, "erp_customer_location.customer_number unique", Unique(LOCATIONS, "customer_number"), warn_only=True,
           about="a repeated number multiplies customers"),
-    Check(28, "erp_product_category.category_id unique", "category_id_dups", warn_only=True,
+    Check(28, "erp_product_category.category_id unique", Unique(CATEGORIES, "category_id"), warn_only=True,
           about="a repeated id multiplies products"),
-    Check(29, "dim_products.category resolved", "product_category_missing", warn_only=True,
+    Check(29, "dim_products.category resolved", Count(DIM_PRODUCTS, "category IS NULL"), warn_only=True,
           about="the product's category is not in the lookup"),
-    Check(30, "bronze values all fit their types", "values_rejected", warn_only=True,
+    Check(30, "bronze values all fit their types", Total(BRONZE_TABLES, _REJECTED), warn_only=True,
           about="kept in the bronze tables' _rejected, NULL in their columns"),
 )
 
-REPORT_COLUMNS = ["check_id", "check_name", "severity", "value", "status", "about"]
-
-
-def _count_if(p: Column) -> Column:
-    return F.count_if(F.coalesce(p, F.lit(False)))
-
-
-Metrics = tuple[DataFrame, list[str]]
-
+# What a bronze layer without ``_rejected`` columns (a strict load) knows about check 30.
+NOTHING_REJECTED: dict[Metric, int] = {Sum(t, _REJECTED): 0 for t in BRONZE_TABLES}
 
-def _metrics(df: DataFrame, named: dict[str, Column]) -> Metrics:
-    """One scan -> rows (metric, value), with the metric names it yields."""
-    wide = df.agg(*[c.cast("long").alias(n) for n, c in named.items()])
-    pairs = ", ".join(f"'{n}', `{n}`" for n in named)
-    return wide.selectExpr(f"stack({len(named)}, {pairs}) AS (metric, value)"), list(named)
 
-
-def _by_key(df: DataFrame, key: str, sums: dict[str, Column], dups: str) -> Metrics:
-    """Metrics of a table grouped by ``key``: ``sums`` are counted per group and
-    then over all groups, ``dups`` counts the keys that repeat."""
-    groups = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in sums.items()])
-    over = {n: F.coalesce(F.sum(n), F.lit(0)) for n in sums}
-    return _metrics(groups, {**over, dups: _count_if(F.col("__n") > 1)})
-
-
-def _fact_key(fact: DataFrame, dim: DataFrame, key: str, named: dict[str, Column], of_dim: dict[str, Column]) -> Metrics:
-    """Metrics of a fact key and its dimension in one aggregate: per key
-    ``fact`` and ``dim`` rows, with ``of_dim`` counted over the dimension."""
-    marks = {n: c.cast("int") for n, c in of_dim.items()}
-    sides = fact.select(key, F.lit(1).alias("fact"), F.lit(0).alias("dim"), *[F.lit(0).alias(n) for n in marks]).unionByName(
-        dim.select(key, F.lit(0).alias("fact"), F.lit(1).alias("dim"), *[F.coalesce(c, F.lit(0)).alias(n) for n, c in marks.items()]))
-    groups = sides.groupBy(key).agg(*[F.sum(n).alias(n) for n in ("fact", "dim", *marks)])
-    return _metrics(groups, {**named, **{n: F.coalesce(F.sum(n), F.lit(0)) for n in marks}})
-
-
-def dq_report(bronze_cust: DataFrame, bronze_sales: DataFrame, customers: DataFrame, sales: DataFrame,
-              erp_customers: DataFrame, locations: DataFrame, categories: DataFrame,
-              dim_c: DataFrame, dim_p: DataFrame, fact: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+def dq_report(tables: Mapping[str, DataFrame], known: Mapping[Metric, int] | None = None,
+              checks: Sequence[Check] = CHECKS) -> DataFrame:
     """The report: one row per check (check_id, check_name, severity, value,
-    status, about).  ``rejected`` holds the values that a lenient load could
-    not convert (column ``n``: how often); without it there are none."""
-    no_key = lambda k: F.col(k).isNull()
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    orphan = lambda k: total(F.when(F.col(k).isNotNull() & (F.col("dim") == 0), F.col("fact")))
-    known = F.col("country").isNotNull() & (F.col("country") != "n/a")
-    parts = [
-        _metrics(bronze_cust, {"bronze_cust_rows": F.count(F.lit(1))}),
-        _metrics(bronze_sales, {"bronze_sales_rows": F.count(F.lit(1))}),
-        _metrics(customers, {
-            "silver_cust_rows": F.count(F.lit(1)),
-            "cust_id_null": _count_if(no_key("customer_id")),
-            "cust_number_null": _count_if(no_key("customer_number")),
-            "cust_gender_bad": _count_if(~F.col("gender").isin(*GENDER_DOMAIN)),
-            "cust_marital_bad": _count_if(~F.col("marital_status").isin(*MARITAL_STATUS_DOMAIN)),
-        }),
-        _metrics(sales, {
-            "silver_sales_rows": F.count(F.lit(1)),
-            "order_number_null": _count_if(no_key("order_number")),
-            "sales_negative": _count_if(F.col("sales_amount") < 0),
-            "quantity_not_positive": _count_if(F.col("quantity") <= 0),
-        }),
-        _fact_key(fact, dim_p, "product_key", {
-            "fact_rows": total("fact"),
-            "fact_product_key_null": total(F.when(no_key("product_key"), F.col("fact"))),
-            "fact_product_orphans": orphan("product_key"),
-            "product_key_null": total(F.when(no_key("product_key"), F.col("dim"))),
-            "product_key_dups": _count_if(F.col("dim") > 1),
-        }, {"product_category_missing": F.col("category").isNull()}),
-        _fact_key(fact, dim_c, "customer_key", {
-            "fact_customer_key_null": total(F.when(no_key("customer_key"), F.col("fact"))),
-            "fact_customer_orphans": orphan("customer_key"),
-            "dimc_rows": total("dim"),
-            "customer_key_null": total(F.when(no_key("customer_key"), F.col("dim"))),
-            "customer_key_dups": _count_if(F.col("dim") > 1),
-        }, {"country_covered": known}),
-        _by_key(dim_c, "customer_id", {}, "customer_id_dups"),
-        _by_key(erp_customers, "customer_number", {"erp_gender_bad": _count_if(~F.col("gender").isin(*GENDER_DOMAIN))},
-                "erp_number_dups"),
-        _by_key(locations, "customer_number", {"country_empty": _count_if(F.col("country") == "")}, "location_number_dups"),
-        _by_key(categories, "category_id", {}, "category_id_dups"),
-    ]
-    if rejected is not None:
-        parts.append(_metrics(rejected, {"values_rejected": total("n")}))
-    else:
-        parts.append((parts[0][0].sparkSession.sql("SELECT 'values_rejected' AS metric, 0L AS value"), ["values_rejected"]))
-    metrics = parts[0][0]
-    for frame, _ in parts[1:]:
-        metrics = metrics.unionByName(frame)
-    names = [n for _, ns in parts for n in ns]
-    one_row = metrics.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
-    values = one_row.select(*[F.expr(c.expr).cast("long").alias(f"c{c.check_id}") for c in CHECKS])
-    rows = ", ".join(
-        f"{c.check_id}, '{_quote(c.name)}', '{'warn' if c.warn_only else 'error'}', {str(c.expect_zero).lower()}, "
-        f"`c{c.check_id}`, '{_quote(c.about)}'" for c in CHECKS)
-    long = values.selectExpr(f"stack({len(CHECKS)}, {rows}) AS (check_id, check_name, severity, expect_zero, value, about)")
-    passed = F.when(F.col("expect_zero"), F.col("value") == 0).otherwise(F.col("value") > 0)
-    status = (F.when(F.coalesce(passed, F.lit(False)), F.lit("pass"))
-              .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
-    return long.select(F.col("check_id").cast("int").alias("check_id"), "check_name", "severity", "value",
-                       status.alias("status"), "about")
-
-
-def _quote(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+    status, about) over ``tables`` (``layer.table`` -> frame)."""
+    return report(checks, tables, known)

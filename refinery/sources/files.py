@@ -4,20 +4,24 @@ Columns are taken by header name, never by position: a reordered extract loads
 correctly, one with a missing, renamed or additional column is refused, and so
 is a folder whose files disagree.  No value is lost silently: the strict read
 fails on a value that does not fit its type, the lenient one keeps the value in
-``_rejected``.  Writes are full-refresh overwrites, so re-running a load gives
-the same table.  Tables are Parquet.
+``_rejected``.  Writes are full refreshes beside the table in use, which they
+replace once they are whole (``Staging``), so re-running a load gives the same
+table and a failed one changes nothing.  Tables are Parquet.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 import warnings
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from refinery.session import concurrently
+from refinery.session import concurrently, remove_folder
 from refinery.sources.schemas import LAYERS, SOURCES, SourceSpec
 
 TABLE_FORMAT = "parquet"
@@ -78,29 +82,178 @@ def write_csv(df: DataFrame, path: str) -> None:
        .csv(path))
 
 
-def write_table(df: DataFrame, table: str, mode: str = "overwrite",
-                bucket_by: str | None = None, buckets: int | None = None,
-                partition_by: str | None = None, spread_by: tuple[str, ...] = ()) -> None:
-    """Full-refresh write of a catalog table.
-
-    With ``bucket_by`` the table is hash-bucketed (and sorted) on that column
-    into ``buckets`` buckets; rows are first spread into exactly that many
-    partitions so each bucket is one file, not one file per writing task.
-
-    With ``partition_by`` the table gets one folder per value (partition
-    pruning for filters on it).  Rows are first range-partitioned on the
-    partition column and ``spread_by``, so each task covers a contiguous
-    stretch of values and writes few files, while a value holding many rows
-    is still split over several tasks by the trailing columns."""
-    if partition_by:
-        ranged = df.repartitionByRange(partition_by, *spread_by)
-        ranged.write.mode(mode).format(TABLE_FORMAT).partitionBy(partition_by).saveAsTable(table)
-    elif bucket_by:
-        df = df.repartition(buckets, bucket_by)
-        (df.write.mode(mode).format(TABLE_FORMAT).bucketBy(buckets, bucket_by).sortBy(bucket_by)
-           .saveAsTable(table))
-    else:
-        df.write.mode(mode).format(TABLE_FORMAT).saveAsTable(table)
+def _named(table: str) -> tuple[str, str]:
+    """(schema, table) of a qualified name, without quotes; the schema is empty
+    when the name has none."""
+    parts = [p.replace("`", "") for p in re.findall(r"`[^`]+`|[^.`]+", table)]
+    return ".".join(parts[:-1]), parts[-1]
+
+
+def _quoted(*names: str) -> str:
+    return ".".join(f"`{p}`" for n in names if n for p in n.split("."))
+
+
+@dataclass
+class _Staged:
+    """A table version that is written but not yet what its name reads."""
+    table: str               # the name it will have
+    staged: str              # the name it has until then
+    folder: str
+    old_folder: str | None = None
+    retired: str | None = None      # the name of the version it replaced, when that has another layout
+    switched: bool = False
+
+
+class Staging:
+    """Tables written beside the ones in use, which take their place together.
+
+        with Staging(spark) as stage:
+            stage.write(df, "silver.crm_sales")
+            fact = make(stage.read("silver.crm_sales"))    # the new version
+            stage.write(fact, "gold.fact_sales")
+            stage.publish()
+
+    Each write goes to a fresh folder in the schema's location, registered under
+    a name of its own.  ``publish`` then makes every table's name read its new
+    folder: one catalog call a table where the layout (columns, buckets) is as it
+    was, otherwise the two versions exchange names.  If a call fails, what was
+    switched is switched back.  Folders that are replaced are deleted only when
+    all tables have switched.  Leaving the block without ``publish``, by an
+    exception or not, drops what was staged and leaves every table as it was.
+
+    ``write`` can take sums while it writes (``DataFrame.observe`` in the stage
+    that writes the files, where every partition is counted once, whatever was
+    retried); they are in ``measured`` afterwards."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.measured: dict[tuple[str, str], int] = {}
+        self._tables: dict[str, _Staged] = {}
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        self.discard()
+
+    def write(self, df: DataFrame, table: str, bucket_by: str | None = None, buckets: int | None = None,
+              partition_by: str | None = None, spread_by: tuple[str, ...] = (),
+              measures: Mapping[str, Column] | None = None) -> None:
+        """Write a version of ``table``.
+
+        With ``bucket_by`` the table is hash-bucketed (and sorted) on that column
+        into ``buckets`` buckets; rows are first spread into exactly that many
+        partitions so each bucket is one file, not one file per writing task.
+
+        With ``partition_by`` the table gets one folder per value (partition
+        pruning for filters on it).  Rows are first range-partitioned on the
+        partition column and ``spread_by``, so each task covers a contiguous
+        stretch of values and writes few files, while a value holding many rows
+        is still split over several tasks by the trailing columns.
+
+        ``measures`` are named aggregates over the rows; their values are in
+        ``measured`` under (table, name) once the write has ended."""
+        schema, name = _named(table)
+        tag = uuid.uuid4().hex[:12]
+        location = self.spark.catalog.getDatabase(schema or self.spark.catalog.currentDatabase()).locationUri
+        new = _Staged(table, _quoted(schema, f"{name}__staged_{tag}"), f"{location.rstrip('/')}/{name}-{tag}")
+        if table in self._tables:
+            raise ValueError(f"{table} is already staged")
+        self._tables[table] = new
+        if partition_by:
+            df = df.repartitionByRange(partition_by, *spread_by)
+        elif bucket_by:
+            df = df.repartition(buckets, bucket_by)
+        seen = Observation() if measures else None
+        if seen is not None:         # after the last shuffle: in the stage that writes
+            df = df.observe(seen, *[c.alias(f"m{i}") for i, c in enumerate(measures.values())])
+        writer = df.write.format(TABLE_FORMAT).option("path", new.folder)
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        elif bucket_by:
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        writer.saveAsTable(new.staged)
+        if seen is not None:         # a write of no rows may observe nothing: then nothing is known
+            got = seen.get
+            self.measured |= {(table, n): got[f"m{i}"] for i, n in enumerate(measures) if got.get(f"m{i}") is not None}
+
+    def read(self, table: str) -> DataFrame:
+        """The staged version of a table if there is one, else the one in use."""
+        staged = self._tables.get(table)
+        return self.spark.table(staged.staged if staged else table)
+
+    def publish(self) -> None:
+        """Every staged table takes its place, or none does."""
+        tables = list(self._tables.values())
+        try:
+            for t in tables:
+                self._switch(t)
+        except Exception:
+            for t in reversed(tables):
+                if t.switched or t.retired:
+                    self._switch_back(t)
+            raise
+        for t in tables:
+            if t.retired:
+                self.spark.sql(f"DROP TABLE IF EXISTS {t.retired}")
+            if t.old_folder and t.old_folder != t.folder:
+                remove_folder(self.spark, t.old_folder)
+        self._tables = {}
+
+    def _switch(self, t: _Staged) -> None:
+        if not self.spark.catalog.tableExists(t.table):
+            self.spark.sql(f"ALTER TABLE {t.staged} RENAME TO {t.table}")
+        else:
+            layout, t.old_folder = _layout(self.spark, t.table)
+            if _layout(self.spark, t.staged)[0] == layout and "# Partition Information" not in layout:
+                self.spark.sql(f"ALTER TABLE {t.table} SET LOCATION '{t.folder}'")
+                t.switched = True
+                self.spark.sql(f"DROP TABLE {t.staged}")             # its files are the table's now
+                return
+            schema, name = _named(t.staged)
+            t.retired = _quoted(schema, name.replace("__staged_", "__retired_"))
+            self.spark.sql(f"ALTER TABLE {t.table} RENAME TO {t.retired}")
+            t.old_folder = _layout(self.spark, t.retired)[1]          # a rename moves the files of a managed table
+            self.spark.sql(f"ALTER TABLE {t.staged} RENAME TO {t.table}")
+        t.switched = True
+
+    def _switch_back(self, t: _Staged) -> None:
+        """Undo ``_switch``; the new version is dropped."""
+        if t.switched and t.old_folder and not t.retired:
+            self.spark.sql(f"ALTER TABLE {t.table} SET LOCATION '{t.old_folder}'")
+        else:
+            if t.switched:
+                self.spark.sql(f"DROP TABLE IF EXISTS {t.table}")
+            if t.retired and self.spark.catalog.tableExists(t.retired):
+                self.spark.sql(f"ALTER TABLE {t.retired} RENAME TO {t.table}")
+        t.switched, t.retired = False, None
+
+    def discard(self) -> None:
+        """Drop what is staged and not published, with its files."""
+        for t in self._tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {t.staged}")
+            remove_folder(self.spark, t.folder)
+        self._tables = {}
+
+
+def _layout(spark: SparkSession, table: str) -> tuple[tuple, str]:
+    """What readers of a table depend on besides its rows (columns, types,
+    partitions, buckets), and its folder."""
+    rows = [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    names = [n for n, _ in rows]
+    cut = names.index("# Detailed Table Information")
+    told = dict(rows[cut + 1:])
+    kept = tuple(rows[:cut]) + tuple((k, told.get(k)) for k in ("Provider", "Num Buckets", "Bucket Columns", "Sort Columns"))
+    return (*kept, *[n for n in names[:cut] if n.startswith("# Partition")]), told["Location"]
+
+
+def write_table(df: DataFrame, table: str, **layout) -> None:
+    """Full refresh of a catalog table: a version beside the old one, which it
+    replaces once it is whole.  A write that fails leaves the table readable with
+    its old rows and no folder behind.  ``layout`` as in ``Staging.write``."""
+    with Staging(df.sparkSession) as stage:
+        stage.write(df, table, **layout)
+        stage.publish()
 
 
 def create_layer_schemas(spark: SparkSession, root: str | None = None, names: Mapping[str, str] | None = None,
@@ -123,17 +276,30 @@ def drop_layer_schemas(spark: SparkSession, layers: Iterable[str] = tuple(LAYERS
                        dry_run: bool = False, prefix: str = "") -> list[str]:
     """``DROP SCHEMA IF EXISTS ... CASCADE`` per layer.  A dry run only returns
     the statements; a failing statement becomes a warning, not an error."""
-    stmts = [f"DROP SCHEMA IF EXISTS `{prefix + name}` CASCADE" for name in layers]
+    names = [prefix + name for name in layers]
+    stmts = [f"DROP SCHEMA IF EXISTS `{name}` CASCADE" for name in names]
     if dry_run:
         return stmts
-    for s in stmts:
+    for name, stmt in zip(names, stmts):
         try:
-            spark.sql(s)
+            folders = _folders_inside(spark, name)
+            spark.sql(stmt)
+            for folder in folders:           # a catalog may keep the files of tables with a folder of their own
+                remove_folder(spark, folder)
         except Exception as exc:  # noqa: BLE001 - cleanup continues past a failed drop
-            warnings.warn(f"{s}: {exc}", stacklevel=2)
+            warnings.warn(f"{stmt}: {exc}", stacklevel=2)
     return stmts
 
 
+def _folders_inside(spark: SparkSession, schema: str) -> list[str]:
+    """The folders of a schema's tables that lie in the schema's location."""
+    if not spark.catalog.databaseExists(schema):
+        return []
+    root = spark.catalog.getDatabase(schema).locationUri.rstrip("/") + "/"
+    tables = [_quoted(schema, t.name) for t in spark.catalog.listTables(schema) if not t.isTemporary and t.tableType != "VIEW"]
+    return [f for f in (_layout(spark, t)[1] for t in tables) if f.startswith(root)]
+
+
 def use_layer(spark: SparkSession, database: str, catalog: str | None = None) -> None:
     """Make a layer schema current (``USE [CATALOG c;] SCHEMA s``); jobs in this
     library still use qualified names, so this only affects ad-hoc SQL."""
@@ -167,21 +333,26 @@ def land_sources(inputs: Mapping[str, DataFrame], root: str,
         write_csv(inputs[spec.fixture], f"{root.rstrip('/')}/{spec.path}")
 
 
+def ingest_source(spark: SparkSession, root: str, table: str, spec: SourceSpec, stage: Staging, strict: bool = False,
+                  measures: Mapping[str, Column] | None = None) -> None:
+    """One extract of the config, staged as ``table`` (see ``Staging.write``)."""
+    path = f"{root.rstrip('/')}/{spec.path}"
+    df = ingest_csv(spark, path, spec.schema) if strict else ingest_csv_strings(spark, path, spec.schema, keep_rejected=True)
+    stage.write(df, table, measures=measures)
+
+
 def ingest_catalog(spark: SparkSession, root: str, database: str,
                    specs: Sequence[SourceSpec] = SOURCES, strict: bool = False) -> dict[str, str]:
     """Config-driven full-refresh load: every extract under ``root`` becomes
-    the table ``database.<spec.table>``, all of them side by side.  Returns
-    {table: qualified name}.  The lenient load (the default) gives each table
-    the column ``_rejected``; with ``strict`` a bad value fails the load."""
-    def load(spec: SourceSpec) -> str:
-        path = f"{root.rstrip('/')}/{spec.path}"
-        df = ingest_csv(spark, path, spec.schema) if strict else ingest_csv_strings(spark, path, spec.schema, keep_rejected=True)
-        name = f"`{database}`.`{spec.table}`"
-        write_table(df, name)
-        return name
-
-    names = concurrently(*[lambda s=spec: load(s) for spec in specs])
-    return {spec.table: name for spec, name in zip(specs, names)}
+    the table ``database.<spec.table>``, all of them side by side; either all are
+    replaced or none.  Returns {table: qualified name}.  The lenient load (the
+    default) gives each table the column ``_rejected``; with ``strict`` a bad value
+    fails the load."""
+    names = {spec.table: f"`{database}`.`{spec.table}`" for spec in specs}
+    with Staging(spark) as stage:
+        concurrently(*[lambda s=spec: ingest_source(spark, root, names[s.table], s, stage, strict) for spec in specs])
+        stage.publish()
+    return names
 
 
 def rejected_values(tables: Iterable[DataFrame]) -> DataFrame:
