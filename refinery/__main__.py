@@ -3,7 +3,7 @@
     python -m refinery init     --warehouse ROOT [--prefix P]
     python -m refinery run      --landing DIR --warehouse ROOT [--prefix P] [--as-of YYYY-MM-DD]
                                 [--customer-buckets N] [--fact-by-month] [--salt-customers N]
-                                [--checks FILE] [--only-if-passed]
+                                [--keep-keys] [--checks FILE] [--only-if-passed]
     python -m refinery bronze   --landing DIR [--prefix P]
     python -m refinery silver   [--prefix P] [--as-of YYYY-MM-DD]
     python -m refinery gold     [--prefix P]
@@ -63,6 +63,8 @@ def main(argv: list[str] | None = None) -> int:
                     help="write the fact partitioned by order month")
     ap.add_argument("--salt-customers", dest="salt_customers", type=int,
                     help="salt the fact's customer join for hot customers over N sub-keys")
+    ap.add_argument("--keep-keys", dest="keep_keys", action="store_true",
+                    help="keep the surrogate keys that known dimension rows have")
     ap.add_argument("--checks", help="JSON file with checks to add to the report")
     ap.add_argument("--only-if-passed", dest="only_if_passed", action="store_true",
                     help="publish a run's tables only if no check fails")
@@ -78,7 +80,7 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> int:
     from refinery.sources import files
     from refinery.sources.fixtures import bronze_inputs
 
-    names = layers.Layers.with_prefix(a.prefix, a.customer_buckets, a.fact_by_month, a.salt_customers)
+    names = layers.Layers.with_prefix(a.prefix, a.customer_buckets, a.fact_by_month, a.salt_customers, a.keep_keys)
     if a.command == "init":
         layers.create_layers(spark, names, a.warehouse)
     elif a.command == "bronze":

@@ -25,6 +25,37 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return left.join(r, left[left_key] == r["__rk"], "left").drop("__rk")
 
 
+def one_per_key(right: DataFrame, key: str, columns: Sequence[str], matches: str = "matches", conflict: str = "conflict") -> DataFrame:
+    """A lookup side with one row per key: ``columns`` of the key's smallest row
+    (in their order, NULL first), ``matches``, the number of its rows, and
+    ``conflict``, whether they differ in these columns.  One aggregate, combined
+    in the map tasks; NULL keys, which match nothing, are left out."""
+    row = F.struct(*[F.col(c) for c in columns])
+    groups = right.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min(row).alias("__least"), F.max(row).alias("__most"), F.count(F.lit(1)).alias(matches))
+    return groups.select(key, *[F.col(f"__least.{c}").alias(c) for c in columns], matches,
+                         (~F.col("__least").eqNullSafe(F.col("__most"))).alias(conflict))
+
+
+def guarded_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None, right_cols: Sequence[str] = (),
+                   prefix: str = "", matches: str = "matches", conflict: str = "conflict", fail_on_conflict: bool = False) -> DataFrame:
+    """``left_lookup`` that keeps exactly one row per left row, whatever the
+    lookup side holds, and says what it met: ``matches`` (0 when the key is not
+    there) and ``conflict`` (true when the key's rows differ in ``right_cols``, of
+    which the smallest is taken).  With ``fail_on_conflict`` a left row that meets
+    such a key fails the query."""
+    rk = right_key or left_key
+    side = one_per_key(right, rk, right_cols, "__matches", "__conflict")
+    side = side.select(F.col(rk).alias("__rk"), *[F.col(c).alias(prefix + c) for c in right_cols], "__matches", "__conflict")
+    joined = left.join(side, left[left_key] == side["__rk"], "left")
+    differ = F.coalesce("__conflict", F.lit(False))
+    if fail_on_conflict:
+        said = F.concat(F.lit(f"rows of one {rk} differ: "), F.col("__rk").cast("string"))
+        differ = F.when(differ, F.raise_error(said).cast("boolean")).otherwise(False)
+    return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`{prefix}{c}`") for c in right_cols],
+                         F.coalesce("__matches", F.lit(0).cast("long")).alias(matches), differ.alias(conflict))
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None,
             ignore_null: bool = True) -> DataFrame:
     """Child rows whose key has no parent row (a left anti join).  NULL child

@@ -31,6 +31,7 @@ _ROW = "__row"
 _PID = "__part"
 _BEFORE = "__before"
 _OFF = "__offset"
+_POS, _NTH = "__pos", "__nth"
 
 
 def sort_columns(df: DataFrame, order_by: Sequence[Column | str], tiebreak: Sequence[str] | None) -> list[Column]:
@@ -77,6 +78,48 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
     return tagged.join(offsets, _PID).select((F.col(_OFF) + F.col(_BEFORE) + 1).alias(key), *cols)
 
 
+def kept_key(df: DataFrame, identity: Sequence[str], key: str, known: DataFrame | None = None,
+             tiebreak: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``dense_key`` that survives a refresh: a row that is known keeps its key,
+    others are numbered after the last one, in the order of ``identity`` and
+    ``tiebreak`` (default: all other columns).  Returns the rows with ``key`` in
+    front, and the map to hand in as ``known`` next time (``identity``, ``nth``,
+    ``key``; it keeps the keys of rows that are gone, so no key is given twice).
+
+    A row is known by its identity columns (NULL is a value); of several rows with
+    one identity the n-th in order keeps the key of the n-th.  The keys of the map
+    are 1..N without gaps.  Positions come from ``dense_key``, and what precedes an
+    identity from one minimum per identity, so no group is sorted in one task."""
+    placed = dense_key(df, identity, _POS, tiebreak)
+    first = placed.groupBy(*identity).agg(F.min(_POS).alias("__first"))
+    rows = _with_same(placed, first, identity, ["__first"]).withColumn(_NTH, (F.col(_POS) - F.col("__first") + 1).cast("long")).drop("__first")
+    if known is None:
+        keyed = rows.withColumn(key, F.col(_POS))
+        old, last = None, 0
+    else:
+        old = materialize(known.select(*identity, F.col("nth").alias(_NTH), F.col(key)), "kept-keys")
+        last = old.agg(F.max(key)).first()[0] or 0                    # one number
+        met = materialize(_with_same(rows, old, [*identity, _NTH], [key]), "kept-rows")
+        new = dense_key(met.filter(F.col(key).isNull()).select(_POS), [_POS], "__new", distinct=True)
+        keyed = met.join(new.withColumnRenamed(_POS, "__at"), F.col(_POS) == F.col("__at"), "left")
+        keyed = keyed.withColumn(key, F.coalesce(key, F.col("__new") + F.lit(last)).cast("long"))
+    keyed = materialize(keyed.select(key, *[F.col(f"`{c}`") for c in df.columns], _NTH), "kept-keyed")
+    map_columns = [*[F.col(f"`{c}`") for c in identity], F.col(_NTH).alias("nth"), F.col(key)]
+    fresh = keyed.filter(F.col(key) > last).select(*map_columns)
+    kept = fresh if old is None else old.select(*map_columns).unionByName(fresh)
+    return keyed.drop(_NTH), kept
+
+
+def _with_same(left: DataFrame, right: DataFrame, on: Sequence[str], take: Sequence[str]) -> DataFrame:
+    """``left`` with ``take`` of the row of ``right`` that has the same values in
+    ``on``, NULL meeting NULL (NULL columns where there is none)."""
+    side = right.select(*[F.col(f"`{c}`").alias(f"__on{i}") for i, c in enumerate(on)], *take)
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__on{i}"))
+    return left.join(side, same, "left").drop(*[f"__on{i}" for i in range(len(on))])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                    tiebreak: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` (NULLs count as

@@ -26,7 +26,7 @@ from refinery.plans.checks import Query as Sql
 from refinery.plans.checks import report as check_report
 from refinery.plans.oracle_sql import dq_report_sql, with_ctes
 from refinery.session import concurrently, discard, materialize, scratch_path
-from refinery.sources import files, schemas
+from refinery.sources import files, inference, schemas
 from refinery.sources.fixtures import base_table, fixture
 from refinery.streaming import run_incremental
 
@@ -343,6 +343,23 @@ def q_left_join_lookup(spark, sf):
     return joins.left_lookup(pn, s_categories(spark, sf), "category_id", right_cols=["category", "subcategory", "maintenance_flag"])
 
 
+@register("left_join_guarded", with_ctes("""
+SELECT * FROM (WITH versions AS (SELECT product_number, product_name, product_cost, start_date,
+    row_number() OVER (PARTITION BY product_number ORDER BY product_name NULLS FIRST, product_cost NULLS FIRST, start_date NULLS FIRST) AS nth
+  FROM s_products WHERE product_number IS NOT NULL),
+  counted AS (SELECT product_number, count(*) AS n,
+    count(DISTINCT (coalesce(product_name, '-'), coalesce(product_cost, -1), coalesce(start_date, DATE '1-01-01'))) AS kinds
+  FROM versions GROUP BY product_number)
+SELECT order_number, s.product_number, product_name, product_cost, start_date, coalesce(n, 0) AS matches, coalesce(kinds > 1, false) AS conflict
+FROM s_sales s LEFT JOIN versions v ON v.product_number = s.product_number AND nth = 1
+LEFT JOIN counted c ON c.product_number = s.product_number)""", "s_sales", "s_products"))
+def q_left_join_guarded(spark, sf):
+    """Sales lines with their product's attributes, where a product has several
+    versions: one row per line all the same, and the conflict is told."""
+    sales = s_sales(spark, sf).select("order_number", "product_number")
+    return joins.guarded_lookup(sales, s_products(spark, sf), "product_number", right_cols=["product_name", "product_cost", "start_date"])
+
+
 @register("fact_key_lookup", with_ctes("""
 SELECT sd.order_number, sd.product_number, pr.product_key, sd.customer_id
 FROM s_sales sd LEFT JOIN dim_products pr ON sd.product_number = pr.product_number""", "s_sales", "dim_products"))
@@ -463,6 +480,19 @@ def q_surrogate_key_global(spark, sf):
     return keys.dense_key(orders_by_date(spark, sf), ["o_orderdate", "o_orderkey"], "order_key", distinct=True)
 
 
+@register("surrogate_key_kept", """
+SELECT CAST(row_number() OVER (ORDER BY o_orderdate >= DATE '1996-01-01', o_orderdate, o_orderkey) AS BIGINT) AS order_key,
+  o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM (SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders)""")
+def q_surrogate_key_kept(spark, sf):
+    """Two runs: the orders before 1996, then all of them.  The second run keeps
+    the keys of the first and numbers the other orders after them."""
+    orders = orders_by_date(spark, sf)
+    order = ["o_orderdate", "o_orderkey"]
+    _, known = keys.kept_key(orders.filter("o_orderdate < DATE '1996-01-01'"), order, "order_key")
+    return keys.kept_key(orders, order, "order_key", known)[0]
+
+
 @register("preview_ordered", "SELECT * FROM customer ORDER BY c_custkey LIMIT 10")
 def q_preview_ordered(spark, sf):
     return frames.preview_ordered(base_table(spark, sf, "customer"), ["c_custkey"], 10)
@@ -493,7 +523,27 @@ def q_ingest_csv_inferred(spark, sf):
     """Type inference (an extra pass over the files): customer ids that fit
     in 32 bits come back as INT."""
     root = _landed(spark, sf)
-    return files.read_csv(spark, f"{root}/source_crm/sales_details", infer=True)
+    return inference.ingest_csv_inferred(spark, f"{root}/source_crm/sales_details")
+
+
+def _type_counts(column: str, position: int) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    whole = f"regexp_full_match({text}, '[+-]?[0-9]+') AND try_cast({text} AS INTEGER) IS NOT NULL"
+    return f"""SELECT {position} AS position, '{column}' AS "column", count(*) FILTER ({column} IS NULL) AS n_null,
+  count(*) FILTER ({whole}) AS n_int, count(*) FILTER ({column} IS NOT NULL AND NOT ({whole})) AS n_string,
+  max({text}) FILTER ({column} IS NOT NULL AND NOT ({whole})) AS text, max({text}) FILTER ({whole}) AS whole FROM f_sales"""
+
+
+@register("csv_column_types", with_ctes(
+    """SELECT position, "column", if(n_string > 0, 'string', 'int') AS type, n_null, n_int, 0 AS n_long, 0 AS n_decimal, 0 AS n_double,
+  0 AS n_date, 0 AS n_timestamp, 0 AS n_boolean, n_string, coalesce(text, whole) AS forced_by FROM ("""
+    + "\nUNION ALL\n".join(_type_counts(f.name, i) for i, f in enumerate(schemas.SALES_DETAILS.fields)) + ")", "f_sales"))
+def q_csv_column_types(spark, sf):
+    """Which values make each column of the sales extract the type it is (all
+    its values are integers or text)."""
+    root = _landed(spark, sf)
+    text = files.read_csv(spark, f"{root}/source_crm/sales_details")
+    return inference.column_types(text)
 
 
 @register("ingest_csv_strings", with_ctes("SELECT * FROM f_sales", "f_sales"))

@@ -14,6 +14,8 @@ dimensions, whose natural keys are unique, so fact rows = sales rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from refinery.functions.codes import boolean_to_flag, merge_gender
 from refinery.operators.joins import left_lookup, salted_left_lookup
 from refinery.operators.keys import dense_key, latest_per_key
 
+Numbering = Callable[[DataFrame, Sequence[str], str], DataFrame]
+
 # The output columns of the gold tables, in order.
 DIM_CUSTOMER_COLUMNS = ["customer_key", "customer_id", "customer_number", "first_name", "last_name",
                         "country", "marital_status", "gender", "birthdate", "create_date"]
@@ -43,11 +47,12 @@ def customer_attributes(customers: DataFrame, erp_customers: DataFrame, location
     return both.select(*[named.get(c, F.col(c)).alias(c) for c in DIM_CUSTOMER_COLUMNS if c != "customer_key"])
 
 
-def dim_customers(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame) -> DataFrame:
+def dim_customers(customers: DataFrame, erp_customers: DataFrame, locations: DataFrame, numbering: Numbering = dense_key) -> DataFrame:
     """Customer dimension; key order: customer id, then customer number (the
-    id alone has ties in the source), then the remaining columns."""
+    id alone has ties in the source), then the remaining columns.  ``numbering``
+    gives the keys: anew, or as a run before did (``operators.keys.kept_key``)."""
     attrs = customer_attributes(customers, erp_customers, locations)
-    return dense_key(attrs, ["customer_id", "customer_number"], "customer_key").select(*DIM_CUSTOMER_COLUMNS)
+    return numbering(attrs, ["customer_id", "customer_number"], "customer_key").select(*DIM_CUSTOMER_COLUMNS)
 
 
 def latest_customers(customers: DataFrame) -> DataFrame:
@@ -65,10 +70,10 @@ def product_attributes(products: DataFrame, categories: DataFrame) -> DataFrame:
     return left_lookup(products, categories, "category_id", right_cols=["category", "subcategory", "maintenance_flag"])
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame, numbering: Numbering = dense_key) -> DataFrame:
     """Product dimension with full history (every version is a row)."""
     attrs = product_attributes(products, categories).select(*[c for c in DIM_PRODUCT_COLUMNS if c != "product_key"])
-    return dense_key(attrs, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_COLUMNS)
+    return numbering(attrs, ["start_date", "product_number"], "product_key").select(*DIM_PRODUCT_COLUMNS)
 
 
 def latest_products(products: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from refinery.operators.keys import dense_key, kept_key
 from refinery.plans import gold, quality, silver
 from refinery.plans.checks import Check, Metric, Sum, sums_of
 from refinery.session import concurrently, materialize
@@ -47,12 +48,16 @@ class Layers:
     # When set, the fact's customer join is salted over this many sub-keys
     # for customers holding a large share of the sales.
     salt_customers: int | None = None
+    # When set, a refresh keeps the surrogate keys of known dimension rows and
+    # numbers new ones after them.  The maps are the gold tables
+    # ``customer_keys`` and ``product_keys``, published with the dimensions.
+    keep_keys: bool = False
 
     @classmethod
     def with_prefix(cls, prefix: str, customer_buckets: int | None = None, fact_by_month: bool = False,
-                    salt_customers: int | None = None) -> Layers:
+                    salt_customers: int | None = None, keep_keys: bool = False) -> Layers:
         return cls(prefix + "bronze", prefix + "silver", prefix + "gold", customer_buckets, fact_by_month,
-                   salt_customers)
+                   salt_customers, keep_keys)
 
     def bucketing(self, table: str) -> dict:
         if self.customer_buckets and table in ("crm_sales", "dim_customers"):
@@ -110,12 +115,25 @@ class Run:
         cleaned = job(raw, self.as_of) if job is silver.silver_erp_customers else job(raw)
         self.write(cleaned, "silver", target, **self.layers.bucketing(target))
 
+    def _keyed(self, build: Callable[..., DataFrame], parts: Sequence[str], keys_table: str, layout: dict) -> None:
+        numbering = dense_key
+        if self.layers.keep_keys:
+            map_name = self.layers.table("gold", keys_table)
+            known = self.spark.table(map_name) if self.spark.catalog.tableExists(map_name) else None
+
+            def numbering(rows: DataFrame, order: Sequence[str], key: str) -> DataFrame:
+                keyed, now_known = kept_key(rows, order, key, known)
+                self.stage.write(now_known, map_name)
+                return keyed
+
+        dim = build(*[self.read("silver", t) for t in parts], numbering=numbering)
+        self.write(dim, "gold", build.__name__, **layout)
+
     def dim_customers(self) -> None:
-        dim = gold.dim_customers(*[self.read("silver", t) for t in CUSTOMER_PARTS])
-        self.write(dim, "gold", "dim_customers", **self.layers.bucketing("dim_customers"))
+        self._keyed(gold.dim_customers, CUSTOMER_PARTS, "customer_keys", self.layers.bucketing("dim_customers"))
 
     def dim_products(self) -> None:
-        self.write(gold.dim_products(*[self.read("silver", t) for t in PRODUCT_PARTS]), "gold", "dim_products")
+        self._keyed(gold.dim_products, PRODUCT_PARTS, "product_keys", {})
 
     def fact_sales(self) -> None:
         fact = gold.fact_sales(self.read("silver", "crm_sales"), self.read("gold", "dim_products"),

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from crosschecks import latest_per_key_window, naive_dense_key
+from refinery.operators import keys
 from refinery.operators.keys import dense_key, latest_per_key, ranked_partitions
 from refinery.plans import catalog
+from refinery.session import materialize
 
 
 def rows(df, order):
@@ -118,3 +120,51 @@ def test_dense_key_splits_a_large_group_of_identical_rows(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(parts) > 1 and max(r["count"] for r in parts) < 15000
     assert dense_key(df, ["x"], "k").agg(F.count_distinct("k"), F.min("k"), F.max("k")).first() == (30000, 1, 30000)
+
+
+def kept(spark, rows, known=None):
+    df = spark.createDataFrame(rows, "a int, b string, v int").repartition(3)
+    keyed, known = keys.kept_key(df, ["a", "b"], "k", known)
+    known = materialize(known, "known")          # as a table between two runs
+    return {tuple(r)[1:]: r.k for r in keyed.collect()}, known, keyed
+
+
+def test_known_rows_keep_their_keys(spark):
+    first, known, _ = kept(spark, [(2, "x", 1), (1, "y", 1), (None, "z", 1), (3, None, 1)])
+    assert first == {(None, "z", 1): 1, (1, "y", 1): 2, (2, "x", 1): 3, (3, None, 1): 4}
+    # attributes change, rows are added before and between, one is gone
+    again, known, _ = kept(spark, [(2, "x", 7), (1, "y", 1), (3, None, 1), (0, "n", 1), (2, "a", 1), (None, None, 1)], known)
+    assert again == {(2, "x", 7): 3, (1, "y", 1): 2, (3, None, 1): 4, (None, None, 1): 5, (0, "n", 1): 6, (2, "a", 1): 7}
+    # what was gone comes back with its key; the map has 1..N
+    back, known, keyed = kept(spark, [(None, "z", 9), (9, "q", 1)], known)
+    assert back == {(None, "z", 9): 1, (9, "q", 1): 8}
+    assert sorted(r.k for r in known.collect()) == list(range(1, 9)) and keyed.columns == ["k", "a", "b", "v"]
+
+
+def test_rows_that_share_an_identity_keep_the_keys_of_their_places(spark):
+    first, known, _ = kept(spark, [(1, "x", 1), (1, "x", 2), (2, "y", 1), (1, "x", 2)])
+    assert first[(1, "x", 1)] == 1 and first[(2, "y", 1)] == 4
+    df = spark.createDataFrame([(1, "x", 0), (1, "x", 1), (1, "x", 2), (1, "x", 3), (2, "y", 1)], "a int, b string, v int")
+    keyed, known = keys.kept_key(df, ["a", "b"], "k", known)
+    assert [tuple(r) for r in keyed.orderBy("v", "a").collect()] == [(1, 1, "x", 0), (2, 1, "x", 1), (4, 2, "y", 1), (3, 1, "x", 2), (5, 1, "x", 3)]
+    assert sorted(map(tuple, known.collect())) == [(1, "x", 1, 1), (1, "x", 2, 2), (1, "x", 3, 3), (1, "x", 4, 5), (2, "y", 1, 4)]
+
+
+def test_kept_keys_of_empty_tables(spark):
+    got, known, _ = kept(spark, [])
+    assert got == {} and known.count() == 0
+    got, known, _ = kept(spark, [(1, "x", 1)], known)
+    assert got == {(1, "x", 1): 1}
+    got, known, _ = kept(spark, [], known)
+    assert got == {} and [tuple(r) for r in known.collect()] == [(1, "x", 1, 1)]
+
+
+def test_kept_keys_of_a_large_identity_are_dense(spark):
+    df = spark.range(20000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id").cast("int")).alias("a"), F.col("id").alias("v"))
+    keyed, known = keys.kept_key(df.filter("v < 15000"), ["a"], "k")
+    known = materialize(known, "known")
+    more, known = keys.kept_key(df, ["a"], "k", known)
+    stats = more.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()
+    assert tuple(stats) == (1, 20000, 20000)
+    same = keyed.filter("a != 7").join(more, "a").filter(keyed["k"] != more["k"])
+    assert same.count() == 0

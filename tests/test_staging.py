@@ -211,3 +211,31 @@ def test_the_steps_alone_give_the_same_tables(spark, landing, names, tmp_path):
     layers.run_silver(spark, names, "2024-01-01")
     layers.run_gold(spark, names)
     assert state(spark, names, root)[0] == whole[0]
+
+
+def test_a_refresh_can_keep_the_keys(spark, landing, tmp_path):
+    """The second landing has the first one's rows and more; known rows keep
+    their keys, new ones follow, and the fact uses them."""
+    few = scratch_path(spark, "staging-landing-few")
+    cut = {"f_cust_info": "cst_id % 3 <> 0", "f_prd_info": "prd_id % 2 = 0"}
+    files.land_sources({k: df.filter(cut[k]) if k in cut else df for k, df in bronze_inputs(spark, "/root/testdata/sf0.001").items()}, few)
+    plain, keeping = layers.Layers.with_prefix("kn_"), layers.Layers.with_prefix("kk_", keep_keys=True)
+    keyed = lambda n, t, k: {tuple(r)[1:]: r[k] for r in spark.table(n.table("gold", t)).collect()}
+    dims = [("dim_customers", "customer_key"), ("dim_products", "product_key")]
+    try:
+        layers.build(spark, few, plain, str(tmp_path / "p"), "2024-01-01")
+        layers.build(spark, few, keeping, str(tmp_path / "k"), "2024-01-01")
+        first = {d: keyed(keeping, d, k) for d, k in dims}
+        assert first == {d: keyed(plain, d, k) for d, k in dims}            # the first run numbers as without the option
+        layers.build(spark, landing, plain, str(tmp_path / "p"), "2024-01-01")
+        layers.build(spark, landing, keeping, str(tmp_path / "k"), "2024-01-01")
+        for d, k in dims:
+            now, anew = keyed(keeping, d, k), keyed(plain, d, k)
+            assert set(now) == set(anew) and set(first[d]) < set(now)
+            assert {r: now[r] for r in first[d]} == first[d] != {r: anew[r] for r in first[d]}
+            assert sorted(now.values()) == sorted(anew.values())            # 1..N
+        fact = [r[0] for r in spark.table(keeping.table("gold", "fact_sales")).select("product_key").distinct().collect() if r[0]]
+        assert set(fact) <= set(keyed(keeping, "dim_products", "product_key").values())
+    finally:
+        for n in (plain, keeping):
+            files.drop_layer_schemas(spark, [n.bronze, n.silver, n.gold])
