@@ -60,6 +60,25 @@ def bitmap_of(df: DataFrame, hash_column: str, bits: int = BITMAP_BITS) -> np.nd
     return out
 
 
+def bitmaps_over(df: DataFrame, hash_column: str, count_column: str, limits: tuple[int, ...], bits: int = BITMAP_BITS) -> list[np.ndarray]:
+    """For each limit the bitmap of the hashes whose count reaches it, all from
+    one pass and of a fixed size each."""
+    slot = F.col(hash_column).bitwiseAND((1 << bits) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    rows = df.filter(F.col(count_column) >= min(limits)).select(F.shiftright(slot, 6).alias("w"), bit.alias("b"), F.col(count_column).alias("n"))
+    names = [f"b{i}" for i in range(len(limits))]
+    words = rows.groupBy("w").agg(*[F.coalesce(F.bit_or(F.when(F.col("n") >= f, F.col("b"))), F.lit(0).cast("long")).alias(c)
+                                    for c, f in zip(names, limits)])
+    packed = words.groupBy(F.shiftright("w", 9).alias("g")).agg(F.collect_list("w").alias("w"), *[F.collect_list(c).alias(c) for c in names])
+    found = packed.select("w", *names).toArrow()              # at most the size of the bitmaps and once more
+    at = found.column("w").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    out = []
+    for c in names:
+        out.append(np.zeros(1 << (bits - 6), np.uint64))
+        out[-1][at] = found.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return out
+
+
 def in_bitmap(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the 64-bit ``hashes`` (uint64) have their bit set."""
     slot = hashes & np.uint64(len(words) * 64 - 1)

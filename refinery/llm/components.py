@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from refinery.session import discard, materialize
@@ -12,9 +12,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of ``edges``; the root is the smallest node
     of its component.  Edges may repeat in either direction.  Every round is
     written, aggregates are combined in the map tasks, and a node with many
-    neighbours meets only one row of minima."""
-    u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
-    now = materialize(edges.select(u, v).filter("u <> v").distinct(), "components")
+    neighbours meets only one row of minima.  ``edges`` is read a few times: hand in
+    a written table."""
+    edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v")
+    now, seen = edges, None
     while True:
         # large star: every larger neighbour of a node goes to the node's smallest neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -23,15 +24,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: a node and its smaller neighbours go to the smallest of them
         large = large.filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        before, now = now, materialize(small.filter("u <> v").distinct(), "components")
+        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        # two rounds that give the same edges give the same for ever; the sums are taken by the write
+        sums = Observation()
+        small = small.observe(sums, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+        before, now = now, materialize(small, "components")
         del both, low, large, small
-        discard(before)
-        # done when every node has one root and no root is below another
-        ends = now.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-            now.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-        ends = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-        if not ends.filter("up > 1 or (up > 0 and down > 0)").take(1):
+        if before is not edges:
+            discard(before)
+        found = sums.get
+        if found == seen or not found.get("n"):
             break
+        seen = found
     roots = now.select("v").distinct().select(F.col("v").alias("u"), "v")
     return now.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -8,8 +8,11 @@
    of a fixed size says which; any such bitmap gives a valid order).  An index
    list holds the classes that have a shingle in their prefix, with set size
    and position, and lists with one class are dropped.
-3. Index-level skipping: an entry of a list is passed over when size and
-   position rule a link out.
+3. Block skipping: a list is cut into blocks by set size (``BAND``).  From an
+   entry's size and position follows which sizes can link with it and are not
+   larger than it (a late position leaves few shingles to share), and only the
+   blocks of these sizes are joined with it; the other blocks are passed over
+   whole.  Within a block size and position are checked once more, pair by pair.
 4. Answer-level skipping: in a few rounds each class meets the leaders (first
    entries) of its lists and is compared with the most promising; if they link,
    it becomes a member of the leader's star.  Then only leaders of different
@@ -31,20 +34,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import (
-    PACKED, SPACED_WORD, SpanHash, bitmap_of, buckets_for, gram_hashes, in_bitmap, mix, packed, repeated, text_steps, words_of,
+    PACKED, SPACED_WORD, SpanHash, bitmap_of, bitmaps_over, buckets_for, gram_hashes, in_bitmap, mix, packed, repeated, text_steps,
+    words_of,
 )
 from refinery.llm.components import components
 from refinery.session import discard, materialize
 
 SHINGLE = 5
 SIMILARITY = (3, 4)          # 0.75 as a fraction
-FREQUENT = (2, 4, 8, 16, 64)  # numbers of classes from which a shingle comes later
-STAR_ROUNDS, TRIES = 1, 3
+FREQUENT = (4, 8, 16, 64)    # numbers of classes from which a shingle comes later; two and more come after one
+STAR_ROUNDS, TRIES, DRAWS = 1, 1, 1
 FILTER_BITS = 27
+BAND = 1.1                   # ratio of the sizes at the ends of a block
 
 
 def shingle_sets(batch: pa.RecordBatch, column: str, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -141,7 +147,16 @@ def index_entries(docs: DataFrame, k: int, num: int, den: int, tiers: list[np.nd
             [signed(parts), repeat(cls, parts, np.int64), repeat(size, parts, np.int32),
              pa.array((np.concatenate(pos) if pos else np.zeros(0)).astype(np.int32))], ["s", "class", "n", "position"])
 
-    return scan(docs, k, "s long, class long, n int, position int", emit)
+    entries = scan(docs, k, "s long, class long, n int, position int", emit).distinct()
+    return released(entries, "jaccard-entries", shared, known)
+
+
+def released(df: DataFrame, name: str, *sent: Broadcast) -> DataFrame:
+    """``df`` written; what was sent to the tasks for it is dropped everywhere."""
+    out = materialize(df, name)
+    for b in sent:
+        b.destroy()
+    return out
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -161,8 +176,8 @@ def most_common(na: int, nb: int, x: bytes, y: bytes) -> int:
 
 
 def needed_sets(docs: DataFrame, k: int, wanted: np.ndarray, holders: np.ndarray) -> DataFrame:
-    """(class, n, set) of the classes in the bitmap ``wanted``, from the rows
-    whose id is in ``holders`` (the first id of a class)."""
+    """(class, n, set, sketch) of the classes in the bitmap ``wanted``, from the
+    rows whose id is in ``holders`` (the first id of a class); written."""
     sc = docs.sparkSession.sparkContext
     cls, ids = sc.broadcast(wanted), sc.broadcast(holders)          # both of a fixed size
 
@@ -173,18 +188,10 @@ def needed_sets(docs: DataFrame, k: int, wanted: np.ndarray, holders: np.ndarray
         sets = [x for x, y in zip(sets, keep) if y]
         return pa.RecordBatch.from_arrays(
             [pa.array([c for _, c, _ in sets], pa.int64()), pa.array([len(s) for _, _, s in sets], pa.int32()),
-             pa.array([s.tobytes() for _, _, s in sets], pa.binary())], ["class", "n", "set"])
-
-    return scan(docs, k, "class long, n int, set binary", emit)
+             pa.array([s.tobytes() for _, _, s in sets], pa.binary()), pa.array([sketch(s) for _, _, s in sets], pa.binary())],
+            ["class", "n", "set", "sketch"])
 
-
-def sketches_of(sets: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = [sketch(np.frombuffer(v.as_py(), np.uint64)) for v in b.column("set")]
-            yield pa.RecordBatch.from_arrays([b.column("class"), b.column("n"), pa.array(made, pa.binary())], ["class", "n", "set"])
-
-    return sets.mapInArrow(run, sets.schema)
+    return released(scan(docs, k, "class long, n int, set binary, sketch binary", emit), "jaccard-sets", cls, ids)
 
 
 def both_sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -230,8 +237,9 @@ class Verifier:
         self.num, self.den = num, den
         wanted = materialize(index.select("class").distinct(), "jaccard-wanted")
         holders = first.join(wanted, "class").select(F.xxhash64("first.id").alias("h"))
-        self.sets = materialize(needed_sets(docs, k, bitmap_of(wanted, "class"), bitmap_of(holders, "h")), "jaccard-sets")
-        self.sketches = materialize(sketches_of(self.sets), "jaccard-sketches")
+        written = needed_sets(docs, k, bitmap_of(wanted, "class"), bitmap_of(holders, "h"))
+        self.written, self.sets = written, written.select("class", "n", "set")
+        self.sketches = written.select("class", "n", F.col("sketch").alias("set"))
 
     def bound(self, pairs: DataFrame) -> DataFrame:
         """(a, b, na, nb, common, open): ``open`` where the bound allows a link."""
@@ -240,11 +248,8 @@ class Verifier:
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, na, nb, common, link) of pairs, from their sets; written."""
-        pairs = materialize(pairs.select("a", "b").distinct(), f"{name}-pairs")
-        found = overlaps(pairs, self.sets).withColumn("link", links(F.col("common"), F.col("na"), F.col("nb"), self.num, self.den))
-        found = materialize(found, name)
-        discard(pairs)
-        return found
+        found = overlaps(pairs.select("a", "b").distinct(), self.sets)
+        return materialize(found.withColumn("link", links(F.col("common"), F.col("na"), F.col("nb"), self.num, self.den)), name)
 
 
 def may_link(na: Column, ra: Column, nb: Column, rb: Column, num: int, den: int) -> Column:
@@ -280,8 +285,6 @@ def stars(index: DataFrame, verify: Verifier, rounds: int) -> tuple[DataFrame, D
         met = met.select(F.col("class").alias("a"), F.col("leader").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         best = verify.bound(met).filter("open").groupBy("a").agg(F.min(F.struct(F.xxhash64("b").alias("rank"), "b")).alias("best"))
         compared = verify.compare(best.select("a", F.col("best.b").alias("b")), "jaccard-stars")
-        if not late and not compared.take(1):
-            continue
         found = compared.filter("link")
         tried = tried.unionByName(compared.filter("not link").select("a", "b"))
         found_links = found_links.unionByName(found.select("a", "b"))
@@ -301,36 +304,46 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known
     root = components(known)
     led = index.join(members, "class", "left").join(root, F.col("class") == F.col("node"), "left").select(
         "s", F.coalesce("leader", "class").alias("star"), F.coalesce("root", "class").alias("root"), "n",
-        (F.col("n") - F.col("position")).alias("r"))
-    lists = led.groupBy("s", "star", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("r").alias("r"))
-    x = lists.select("s", *[F.col(c).alias(f"{c}_a") for c in ("star", "root", "low", "high", "r")])
-    y = lists.select("s", *[F.col(c).alias(f"{c}_b") for c in ("star", "root", "low", "high", "r")])
+        (F.col("n") - F.col("position")).alias("r"), band(F.col("n")).alias("block"))
+    lists = led.groupBy("s", "block", "star", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("r").alias("r"))
+    apart = lists.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("s")
+    lists = materialize(lists.join(apart, "s", "left_semi"), "jaccard-lists")
+    side = lambda t, s: t.select(*[F.col(c).alias(f"{c}_{s}") for c in t.columns])
+    # the smaller partner's size is at least ``num / den`` of the entry's, and the shared rest bounds both sizes together
+    least = F.ceil(F.col("low") * num / den)
+    most = F.least(F.col("high").cast("long"), F.floor(F.col("r").cast("long") * (num + den) / num).cast("long") - F.col("low"))
+    asking = lists.withColumn("most", most).filter(F.col("most") >= least)
+    asking = asking.withColumn("block", F.explode(F.sequence(band(least), band(F.col("most")))))
+    x = asking.select("s", "block", *[F.col(c).alias(f"{c}_a") for c in ("star", "root", "low", "high", "r")])
+    y = lists.select("s", "block", *[F.col(c).alias(f"{c}_b") for c in ("star", "root", "low", "high", "r")])
     total = (F.col("low_a") + F.col("low_b")).cast("long") * num
     open_ = ((F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
              & (F.least("r_a", "r_b").cast("long") * (num + den) >= total))
-    pairs = x.join(y, "s").filter((F.col("star_a") < F.col("star_b")) & (F.col("root_a") != F.col("root_b")) & open_).select(
-        F.col("star_a").alias("a"), F.col("star_b").alias("b")).distinct()
+    pairs = x.join(y, ["s", "block"]).filter((F.col("root_a") != F.col("root_b")) & open_).select(
+        F.least("star_a", "star_b").alias("a"), F.greatest("star_a", "star_b").alias("b")).distinct()
     leaders = materialize(verify.bound(pairs), "jaccard-leaders")
+    discard(lists)
     compared = verify.compare(leaders.filter("open"), "jaccard-leader-links")
     linked = compared.filter("link").select("a", "b")
 
     # members of two stars that are still apart: only where the bound leaves a link open
-    root = components(edges_of(root).unionByName(linked))
-    side = lambda t, s: t.select(*[F.col(c).alias(f"{c}_{s}") for c in t.columns])
+    edges = materialize(known.unionByName(linked), "jaccard-links")
+    root = components(edges)
     apart = leaders.filter("not open").select("a", "b", "common").unionByName(compared.filter("not link").select("a", "b", "common"))
     apart = materialize(still_apart(apart, root), "jaccard-apart-stars")
     own = verify.sketches.select("class", "n").distinct().join(members, "class", "left").select(
         "class", "n", F.coalesce("leader", "class").alias("star"), F.coalesce("missing", F.lit(0)).alias("missing"))
     own = materialize(own, "jaccard-own")
     # first one member of each star, drawn anew, for its whole star
-    for k in range(TRIES - 1):
+    for k in range(DRAWS):
         drawn = own.groupBy("star").agg(F.min(F.struct(F.xxhash64("class", F.lit(k)), "class")).alias("of")).select(
             "star", F.col("of.class").alias("class"))
         pairs = apart.join(side(drawn, "a"), F.col("a") == F.col("star_a")).join(side(drawn, "b"), F.col("b") == F.col("star_b"))
         pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
         compared = verify.compare(verify.bound(pairs).filter("open"), "jaccard-drawn")
-        root = components(edges_of(root).unionByName(compared.filter("link").select("a", "b")))
-        apart = materialize(still_apart(apart, root), "jaccard-apart-stars")
+        edges = materialize(edges.unionByName(compared.filter("link").select("a", "b")), "jaccard-links")
+        root = components(edges)
+        apart = still_apart(apart, root)
     most = own.groupBy("star").agg(F.max("missing").alias("most"), F.min("n").alias("low"))
     apart = apart.join(side(most, "a"), F.col("a") == F.col("star_a")).join(side(most, "b"), F.col("b") == F.col("star_b"))
     apart = apart.filter(links(F.col("common") + F.col("most_a") + F.col("most_b"), F.col("low_a"), F.col("low_b"), num, den))
@@ -342,7 +355,7 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known
     rest = wide.filter(bound & fits & other).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
     more = verify.compare(verify.bound(rest).filter("open"), "jaccard-members-links")
     more = more.filter("link").select("a", "b")
-    return components(edges_of(root).unionByName(more)) if more.take(1) else root
+    return components(materialize(edges.unionByName(more), "jaccard-links")) if more.take(1) else root
 
 
 def still_apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
@@ -352,8 +365,9 @@ def still_apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "common")
 
 
-def edges_of(root: DataFrame) -> DataFrame:
-    return root.select(F.col("node").alias("a"), F.col("root").alias("b"))
+def band(size: Column) -> Column:
+    """The block that holds sets of this size."""
+    return F.floor(F.log(size.cast("double")) / float(np.log(BAND))).cast("int")
 
 
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = SHINGLE,
@@ -375,10 +389,10 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     shingles = rows.agg(F.sum("n_shingles")).first()[0] or 0
     counts = materialize(shingle_counts(docs, k, buckets_for(shingles)), "jaccard-counts")
-    tiers = [bitmap_of(counts.filter(F.col("n") >= f), "s") for f in frequent]
     known = bitmap_of(counts, "s", FILTER_BITS)
+    tiers = [known, *bitmaps_over(counts, "s", "n", frequent)]
     discard(counts)
-    entries = materialize(index_entries(docs, k, num, den, tiers, known).distinct(), "jaccard-entries")
+    entries = index_entries(docs, k, num, den, tiers, known)
     several = entries.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("s")
     index = materialize(entries.join(several, "s"), "jaccard-index")
     del several
@@ -387,7 +401,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     verify = Verifier(docs, k, first, index, num, den)
     members, known = stars(index, verify, rounds)
     root = joined_classes(index, verify, members, known)
-    discard(index, verify.sets, verify.sketches, members, known)
+    discard(index, verify.written, members, known)
     named = first.join(root, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     label = named.join(smallest, "root").select("class", "component")
