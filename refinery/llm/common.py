@@ -63,6 +63,8 @@ def bitmap_of(df: DataFrame, hash_column: str, bits: int = BITMAP_BITS) -> np.nd
 def bitmaps_over(df: DataFrame, hash_column: str, count_column: str, limits: tuple[int, ...], bits: int = BITMAP_BITS) -> list[np.ndarray]:
     """For each limit the bitmap of the hashes whose count reaches it, all from
     one pass and of a fixed size each."""
+    if not limits:
+        return []
     slot = F.col(hash_column).bitwiseAND((1 << bits) - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
     rows = df.filter(F.col(count_column) >= min(limits)).select(F.shiftright(slot, 6).alias("w"), bit.alias("b"), F.col(count_column).alias("n"))

@@ -312,14 +312,15 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known
     # the smaller partner's size is at least ``num / den`` of the entry's, and the shared rest bounds both sizes together
     least = F.ceil(F.col("low") * num / den)
     most = F.least(F.col("high").cast("long"), F.floor(F.col("r").cast("long") * (num + den) / num).cast("long") - F.col("low"))
-    asking = lists.withColumn("most", most).filter(F.col("most") >= least)
+    asking = lists.withColumns({"most": most, "own": F.col("block")}).filter(F.col("most") >= least)
     asking = asking.withColumn("block", F.explode(F.sequence(band(least), band(F.col("most")))))
-    x = asking.select("s", "block", *[F.col(c).alias(f"{c}_a") for c in ("star", "root", "low", "high", "r")])
+    x = asking.select("s", "block", "own", *[F.col(c).alias(f"{c}_a") for c in ("star", "root", "low", "high", "r")])
     y = lists.select("s", "block", *[F.col(c).alias(f"{c}_b") for c in ("star", "root", "low", "high", "r")])
     total = (F.col("low_a") + F.col("low_b")).cast("long") * num
     open_ = ((F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
              & (F.least("r_a", "r_b").cast("long") * (num + den) >= total))
-    pairs = x.join(y, ["s", "block"]).filter((F.col("root_a") != F.col("root_b")) & open_).select(
+    once = (F.col("own") > F.col("block")) | (F.col("star_a") < F.col("star_b"))      # in one block both sides ask
+    pairs = x.join(y, ["s", "block"]).filter((F.col("root_a") != F.col("root_b")) & once & open_).select(
         F.least("star_a", "star_b").alias("a"), F.greatest("star_a", "star_b").alias("b")).distinct()
     leaders = materialize(verify.bound(pairs), "jaccard-leaders")
     discard(lists)
