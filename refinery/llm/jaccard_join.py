@@ -48,7 +48,7 @@ from refinery.session import discard, materialize
 SHINGLE = 5
 SIMILARITY = (3, 4)          # 0.75 as a fraction
 FREQUENT = (4, 8, 16, 64)    # numbers of classes from which a shingle comes later; two and more come after one
-STAR_ROUNDS, TRIES, DRAWS = 1, 1, 1
+STAR_ROUNDS, DRAWS = 1, 1
 FILTER_BITS = 27
 BAND = 1.1                   # ratio of the sizes at the ends of a block
 
@@ -259,26 +259,20 @@ def may_link(na: Column, ra: Column, nb: Column, rb: Column, num: int, den: int)
             & (F.least(ra, rb).cast("long") * (num + den) >= (na + nb).cast("long") * num))
 
 
-def stars(index: DataFrame, verify: Verifier, rounds: int) -> tuple[DataFrame, DataFrame]:
+def stars(index: DataFrame, verify: Verifier, rounds: int) -> DataFrame:
     """(class, leader, missing) of the members of stars, where ``missing`` is
-    how many of its shingles the leader lacks, and all links that were found.
+    how many of its shingles the leader lacks.
 
     One order of classes says who leads: the first class of a list, and of the
     leaders that a class may link with the first one it has not yet tried.  So
     a group of similar classes gathers around few leaders."""
     spark, num, den = index.sparkSession, verify.num, verify.den
     members = spark.createDataFrame([], "class long, leader long, missing long")
-    found_links = tried = spark.createDataFrame([], "a long, b long")
-    for k in range(rounds + TRIES):
-        # afterwards what has no link yet tries others of its lists, in another order each time: a
-        # link to any member joins the star's component
-        late = k >= rounds
-        out = members.select("class") if not late else found_links.select(F.col("a").alias("class")).unionByName(
-            found_links.select(F.col("b").alias("class"))).distinct()
-        active = index.join(out, "class", "left_anti")
-        order = F.xxhash64("class", F.lit(k)) if late else F.xxhash64("class")
-        first = F.struct(order.alias("rank"), "class", "n", (F.col("n") - F.col("position")).alias("r"))
-        top = (index if late else active).groupBy("s").agg(F.min(first).alias("top"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    tried = spark.createDataFrame([], "a long, b long")
+    for _ in range(rounds):
+        active = index.join(members.select("class"), "class", "left_anti")
+        first = F.struct(F.xxhash64("class").alias("rank"), "class", "n", (F.col("n") - F.col("position")).alias("r"))
+        top = active.groupBy("s").agg(F.min(first).alias("top"), F.count(F.lit(1)).alias("c")).filter("c > 1")
         top = top.select("s", F.col("top.class").alias("leader"), F.col("top.n").alias("ln"), F.col("top.r").alias("lr"))
         met = active.join(top, "s").filter((F.col("class") != F.col("leader")) & may_link(
             F.col("n"), F.col("n") - F.col("position"), F.col("ln"), F.col("lr"), num, den))
@@ -287,26 +281,21 @@ def stars(index: DataFrame, verify: Verifier, rounds: int) -> tuple[DataFrame, D
         compared = verify.compare(best.select("a", F.col("best.b").alias("b")), "jaccard-stars")
         found = compared.filter("link")
         tried = tried.unionByName(compared.filter("not link").select("a", "b"))
-        found_links = found_links.unionByName(found.select("a", "b"))
-        if late:
-            continue
         # a leader that itself joined a star in this round leads none; its followers try again
         joined = found.join(found.select(F.col("a").alias("b")), "b", "left_anti")
         members = materialize(members.unionByName(joined.select(
             F.col("a").alias("class"), F.col("b").alias("leader"), (F.col("na") - F.col("common")).alias("missing"))), "jaccard-members")
-    return members, materialize(found_links.distinct(), "jaccard-star-links")
+    return members
 
 
-def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known: DataFrame) -> DataFrame:
-    """(node, root) of the linked classes, from the ``known`` links and those
+def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> DataFrame:
+    """(node, root) of the linked classes, from the links of the stars and those
     between stars: stars of one component are not compared again."""
     num, den = verify.num, verify.den
-    root = components(known)
-    led = index.join(members, "class", "left").join(root, F.col("class") == F.col("node"), "left").select(
-        "s", F.coalesce("leader", "class").alias("star"), F.coalesce("root", "class").alias("root"), "n",
-        (F.col("n") - F.col("position")).alias("r"), band(F.col("n")).alias("block"))
-    lists = led.groupBy("s", "block", "star", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("r").alias("r"))
-    apart = lists.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("s")
+    led = index.join(members, "class", "left").select(
+        "s", F.coalesce("leader", "class").alias("star"), "n", (F.col("n") - F.col("position")).alias("r"), band(F.col("n")).alias("block"))
+    lists = led.groupBy("s", "block", "star").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("r").alias("r"))
+    apart = lists.groupBy("s").agg(F.min("star").alias("x"), F.max("star").alias("y")).filter("x <> y").select("s")
     lists = materialize(lists.join(apart, "s", "left_semi"), "jaccard-lists")
     side = lambda t, s: t.select(*[F.col(c).alias(f"{c}_{s}") for c in t.columns])
     # the smaller partner's size is at least ``num / den`` of the entry's, and the shared rest bounds both sizes together
@@ -314,13 +303,13 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known
     most = F.least(F.col("high").cast("long"), F.floor(F.col("r").cast("long") * (num + den) / num).cast("long") - F.col("low"))
     asking = lists.withColumns({"most": most, "own": F.col("block")}).filter(F.col("most") >= least)
     asking = asking.withColumn("block", F.explode(F.sequence(band(least), band(F.col("most")))))
-    x = asking.select("s", "block", "own", *[F.col(c).alias(f"{c}_a") for c in ("star", "root", "low", "high", "r")])
-    y = lists.select("s", "block", *[F.col(c).alias(f"{c}_b") for c in ("star", "root", "low", "high", "r")])
+    x = asking.select("s", "block", "own", *[F.col(c).alias(f"{c}_a") for c in ("star", "low", "high", "r")])
+    y = lists.select("s", "block", *[F.col(c).alias(f"{c}_b") for c in ("star", "low", "high", "r")])
     total = (F.col("low_a") + F.col("low_b")).cast("long") * num
     open_ = ((F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
              & (F.least("r_a", "r_b").cast("long") * (num + den) >= total))
     once = (F.col("own") > F.col("block")) | (F.col("star_a") < F.col("star_b"))      # in one block both sides ask
-    pairs = x.join(y, ["s", "block"]).filter((F.col("root_a") != F.col("root_b")) & once & open_).select(
+    pairs = x.join(y, ["s", "block"]).filter((F.col("star_a") != F.col("star_b")) & once & open_).select(
         F.least("star_a", "star_b").alias("a"), F.greatest("star_a", "star_b").alias("b")).distinct()
     leaders = materialize(verify.bound(pairs), "jaccard-leaders")
     discard(lists)
@@ -328,8 +317,7 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known
     linked = compared.filter("link").select("a", "b")
 
     # members of two stars that are still apart: only where the bound leaves a link open
-    edges = materialize(known.unionByName(linked), "jaccard-links")
-    root = components(edges)
+    root = components(members.select(F.col("class").alias("a"), F.col("leader").alias("b")).unionByName(linked))
     apart = leaders.filter("not open").select("a", "b", "common").unionByName(compared.filter("not link").select("a", "b", "common"))
     apart = materialize(still_apart(apart, root), "jaccard-apart-stars")
     own = verify.sketches.select("class", "n").distinct().join(members, "class", "left").select(
@@ -342,8 +330,7 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known
         pairs = apart.join(side(drawn, "a"), F.col("a") == F.col("star_a")).join(side(drawn, "b"), F.col("b") == F.col("star_b"))
         pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
         compared = verify.compare(verify.bound(pairs).filter("open"), "jaccard-drawn")
-        edges = materialize(edges.unionByName(compared.filter("link").select("a", "b")), "jaccard-links")
-        root = components(edges)
+        root = components(edges_of(root).unionByName(compared.filter("link").select("a", "b")))
         apart = still_apart(apart, root)
     most = own.groupBy("star").agg(F.max("missing").alias("most"), F.min("n").alias("low"))
     apart = apart.join(side(most, "a"), F.col("a") == F.col("star_a")).join(side(most, "b"), F.col("b") == F.col("star_b"))
@@ -356,7 +343,7 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame, known
     rest = wide.filter(bound & fits & other).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
     more = verify.compare(verify.bound(rest).filter("open"), "jaccard-members-links")
     more = more.filter("link").select("a", "b")
-    return components(materialize(edges.unionByName(more), "jaccard-links")) if more.take(1) else root
+    return components(edges_of(root).unionByName(more)) if more.take(1) else root
 
 
 def still_apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
@@ -366,6 +353,10 @@ def still_apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "common")
 
 
+def edges_of(root: DataFrame) -> DataFrame:
+    return root.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def band(size: Column) -> Column:
     """The block that holds sets of this size."""
     return F.floor(F.log(size.cast("double")) / float(np.log(BAND))).cast("int")
@@ -400,9 +391,9 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     discard(entries)
 
     verify = Verifier(docs, k, first, index, num, den)
-    members, known = stars(index, verify, rounds)
-    root = joined_classes(index, verify, members, known)
-    discard(index, verify.written, members, known)
+    members = stars(index, verify, rounds)
+    root = joined_classes(index, verify, members)
+    discard(index, verify.written, members)
     named = first.join(root, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     label = named.join(smallest, "root").select("class", "component")
