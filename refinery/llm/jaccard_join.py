@@ -48,7 +48,8 @@ from refinery.session import discard, materialize
 SHINGLE = 5
 SIMILARITY = (3, 4)          # 0.75 as a fraction
 FREQUENT = (4, 8, 16, 64)    # numbers of classes from which a shingle comes later; two and more come after one
-STAR_ROUNDS, DRAWS = 1, 1
+STAR_ROUNDS = 1
+DRAWN = 64                   # members of a star that meet the leader of another first
 FILTER_BITS = 27
 BAND = 1.1                   # ratio of the sizes at the ends of a block
 
@@ -319,23 +320,26 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> Da
     # members of two stars that are still apart: only where the bound leaves a link open
     root = components(members.select(F.col("class").alias("a"), F.col("leader").alias("b")).unionByName(linked))
     apart = leaders.filter("not open").select("a", "b", "common").unionByName(compared.filter("not link").select("a", "b", "common"))
-    apart = materialize(still_apart(apart, root), "jaccard-apart-stars")
     own = verify.sketches.select("class", "n").distinct().join(members, "class", "left").select(
         "class", "n", F.coalesce("leader", "class").alias("star"), F.coalesce("missing", F.lit(0)).alias("missing"))
     own = materialize(own, "jaccard-own")
-    # first one member of each star, drawn anew, for its whole star
-    for k in range(DRAWS):
-        drawn = own.groupBy("star").agg(F.min(F.struct(F.xxhash64("class", F.lit(k)), "class")).alias("of")).select(
-            "star", F.col("of.class").alias("class"))
-        pairs = apart.join(side(drawn, "a"), F.col("a") == F.col("star_a")).join(side(drawn, "b"), F.col("b") == F.col("star_b"))
-        pairs = pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-        compared = verify.compare(verify.bound(pairs).filter("open"), "jaccard-drawn")
-        root = components(edges_of(root).unionByName(compared.filter("link").select("a", "b")))
-        apart = still_apart(apart, root)
     most = own.groupBy("star").agg(F.max("missing").alias("most"), F.min("n").alias("low"))
-    apart = apart.join(side(most, "a"), F.col("a") == F.col("star_a")).join(side(most, "b"), F.col("b") == F.col("star_b"))
+    apart = still_apart(apart, root).join(side(most, "a"), F.col("a") == F.col("star_a")).join(side(most, "b"), F.col("b") == F.col("star_b"))
     apart = apart.filter(links(F.col("common") + F.col("most_a") + F.col("most_b"), F.col("low_a"), F.col("low_b"), num, den))
-    apart = materialize(apart.select("a", "b", "common"), "jaccard-apart")
+    apart = materialize(apart.drop("star_a", "star_b"), "jaccard-apart")
+
+    # a few members drawn from each star, with the other star's leader: most stars that are linked meet here
+    every = own.groupBy("star").agg(F.ceil(F.count(F.lit(1)) / DRAWN).alias("every"))
+    drawn = own.join(every, "star").filter(F.pmod(F.xxhash64("class", F.lit(1)), F.col("every")) == 0).drop("every")
+
+    def facing(x: str, y: str) -> DataFrame:
+        rows = apart.join(side(drawn, x), F.col(x) == F.col(f"star_{x}")).filter(F.col(f"class_{x}") != F.col(x))
+        return rows.select(F.col(f"class_{x}").alias("a"), F.col(y).alias("b"))
+
+    compared = verify.compare(verify.bound(facing("a", "b").unionByName(facing("b", "a"))).filter("open"), "jaccard-drawn")
+    root = components(edges_of(root).unionByName(compared.filter("link").select("a", "b")))
+    apart = materialize(still_apart(apart, root), "jaccard-apart")
+    # of the stars that are still apart every two members that the bound leaves open
     wide = apart.join(side(own, "a"), F.col("a") == F.col("star_a")).join(side(own, "b"), F.col("b") == F.col("star_b"))
     bound = links(F.col("common") + F.col("missing_a") + F.col("missing_b"), F.col("n_a"), F.col("n_b"), num, den)
     fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
@@ -347,10 +351,11 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> Da
 
 
 def still_apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
-    """The pairs of stars (a, b, common) that are not of one component."""
+    """The pairs of stars (a, b, ...) that are not of one component."""
+    columns = pairs.columns
     for c in ("a", "b"):
         pairs = pairs.join(root.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
-    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "common")
+    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*columns)
 
 
 def edges_of(root: DataFrame) -> DataFrame:
