@@ -27,8 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train_on_open_part(docs)
     if model is None:
         return with_letter(docs)
-    told = identify(docs, model, carry={c: F.col(f"`{c}`") for c in docs.columns}, names=("__lang", "__score"))
-    return told.filter(F.col("__lang") != UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
+    told = identify(docs, model, carry={"id": F.col("doc_id"), "text_hash": F.xxhash64("text")}, names=("__lang", "__score"))
+    rejected = told.filter(F.col("__lang") == UNDETERMINED).select("id", "text_hash").distinct()
+    return without(docs, materialize(rejected, "pipeline-rejected"))        # texts do not come back from Python
 
 
 def text_key(docs: DataFrame, prefix: str = "__") -> DataFrame:
