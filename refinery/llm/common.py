@@ -3,6 +3,7 @@ bitmap, and numpy views of Arrow text batches."""
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+ARROW_ROWS = 2048         # rows of documents that go to a Python worker at once
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """Jobs run inside send at most ``rows`` rows to a Python worker at once:
+    Spark's default of 10,000 documents takes tens of MB in every buffer on the way
+    there and back.  The session's own setting is put back at the end."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def numbered(df: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
     """``columns`` of ``df``, written once, with a row number ``row`` that the
     write fixes (unique, not dense).  Later stages can join on it even where

@@ -39,8 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import (
-    PACKED, SPACED_WORD, SpanHash, bitmap_of, bitmaps_over, buckets_for, gram_hashes, in_bitmap, mix, packed, repeated, text_steps,
-    words_of,
+    PACKED, SPACED_WORD, SpanHash, bitmap_of, bitmaps_over, buckets_for, gram_hashes, in_bitmap, mix, packed, repeated,
+    small_batches, text_steps, words_of,
 )
 from refinery.llm.components import components
 from refinery.session import discard, materialize
@@ -377,6 +377,12 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     empty text has no shingles and its row is alone.  Rows may repeat; null ids
     never name a component unless all its ids are null.  Sets are compared by
     64-bit shingle hashes and classes by a 64-bit hash of the set."""
+    with small_batches(docs.sparkSession):
+        return _similar_groups(docs, id_column, text_column, k, similarity, frequent, rounds)
+
+
+def _similar_groups(docs: DataFrame, id_column: str, text_column: str, k: int, similarity: tuple[int, int],
+                    frequent: tuple[int, ...], rounds: int) -> DataFrame:
     num, den = similarity
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.xxhash64(id_column).alias("id_hash"),
                        F.xxhash64(text_column).alias("text_hash"))
