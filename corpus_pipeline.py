@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm.common import table
+from refinery.llm.common import small_batches, table
 from refinery.llm.decontaminate import contamination
 from refinery.llm.jaccard_join import similar_groups
 from refinery.llm.language import UNDETERMINED, identify, train_on_open_part, with_letter
@@ -29,7 +29,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return with_letter(docs)
     told = identify(docs, model, carry={"id": F.col("doc_id"), "text_hash": F.xxhash64("text")}, names=("__lang", "__score"))
     rejected = told.filter(F.col("__lang") == UNDETERMINED).select("id", "text_hash").distinct()
-    return without(docs, materialize(rejected, "pipeline-rejected"))        # texts do not come back from Python
+    with small_batches(spark):
+        rejected = materialize(rejected, "pipeline-rejected")        # texts do not come back from Python
+    return without(docs, rejected)
 
 
 def text_key(docs: DataFrame, prefix: str = "__") -> DataFrame:
@@ -63,8 +65,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, materialize(found.filter("n_hit > 0").select("id", "text_hash").distinct(), "pipeline-contaminated"))
+    with small_batches(spark):
+        found = contamination(docs, table(spark, sf_dir, "benchmark"))
+        found = materialize(found.filter("n_hit > 0").select("id", "text_hash").distinct(), "pipeline-contaminated")
+    return without(docs, found)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +85,8 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     folder = scratch_path(spark, "pipeline-tokens")
-    manifest = write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    with small_batches(spark):
+        manifest = write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
     return read_token_files(manifest, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
