@@ -396,6 +396,8 @@ def _similar_groups(docs: DataFrame, id_column: str, text_column: str, k: int, s
     tiers = [known, *bitmaps_over(counts, "s", "n", frequent)]
     discard(counts)
     entries = index_entries(docs, k, num, den, tiers, known)
+    del tiers, known             # some 50 MB of the driver
+    pa.default_memory_pool().release_unused()
     several = entries.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("s")
     index = materialize(entries.join(several, "s"), "jaccard-index")
     del several
