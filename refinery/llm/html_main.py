@@ -7,6 +7,12 @@ lies in the content.  One linear scan finds the contiguous region with the
 highest sum.  Inside the region, elements that are never main text (menus,
 forms, scripts, adverts, comments and so on) are left out.
 
+A page's own mark around its content is a label too: no kind of word or tag
+counts against the content there, and a region that ends inside marked content
+is drawn out to its ends.  Where the page marks nothing the learnt weights
+alone decide, and a tag that no labelled page has in its content is unknown
+there, not proof against it.
+
 Labelled pages are those that mark their content themselves (``article``,
 ``main`` or ``itemprop=articleBody``); a bounded sample of them is enough,
 since only a weight per HTML element name is learnt.
@@ -61,6 +67,10 @@ _WORDS = re.compile(r"[a-z]+")
 SAMPLE_PAGES = 1000
 # Scores where no labelled page has the kind: a word, a word in a link, a tag, a left-out element.
 DEFAULT = {"word": 0.5, "link": -1.0, "tag": -0.05, "gap": -1.0}
+# Lowest weight of a tag that no labelled page has in its content.
+UNSEEN = -0.25
+# What a content mark says: a main element may hold more than the article in it.
+MAIN, ARTICLE = 1, 2
 
 
 class Gap:
@@ -126,26 +136,31 @@ def gap_of(name: str, attrs: str, in_content: bool, found: bool = False, story:
 
 
 def tokens(page: str) -> Iterator[tuple]:
-    """("tag", name, in content, gaps) and ("text", kind, in content, gaps,
-    text, block number) in page order.  Unclosed and stray tags are allowed."""
-    stack: list[tuple[str, Gap | None, bool]] = []
+    """("tag", name, level, gaps) and ("text", kind, level, gaps, text, block
+    number) in page order.  The level is ``ARTICLE``, ``MAIN`` or 0, outside of
+    marked content.  Unclosed and stray tags are allowed."""
+    stack: list[tuple[str, Gap | None, int]] = []
     gaps: tuple[Gap, ...] = ()
-    depth = block = links = 0                 # open content marks, block number, open links
+    block = links = 0                         # block number, open links
+    depth = [0, 0, 0]                         # open elements without a mark, main elements, articles
     found = story = headed = False            # text of marked content, of any content, a headline
 
     def pop(to: int) -> None:
-        nonlocal gaps, depth, links
+        nonlocal gaps, links
         while len(stack) > to:
             name, gap, mark = stack.pop()
             gaps = gaps[:-1] if gap else gaps
-            depth -= mark
+            depth[mark] -= 1
             links -= name == "a"
 
+    def level() -> int:
+        return ARTICLE if depth[ARTICLE] else MAIN if depth[MAIN] else 0
+
     for m in _TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
             kind = next((n for n, _, _ in reversed(stack) if n not in INLINE), "body")
-            yield "text", (kind if kind in KNOWN else "other") + ("+a" if links > 0 else ""), depth > 0, gaps, text, block
+            yield "text", (kind if kind in KNOWN else "other") + ("+a" if links > 0 else ""), level(), gaps, text, block
             continue
         if m["raw"]:
             block += m["raw"].lower() not in INLINE
@@ -168,8 +183,8 @@ def tokens(page: str) -> Iterator[tuple]:
                 at = max(i for i in range(len(stack)) if stack[i][0] == "a")
                 pop(at)
             attrs = m["attrs"] or ""
-            mark = name in CONTENT or "articlebody" in attrs.lower()
-            gap = gap_of(name, attrs, depth > 0, found, story)
+            mark = ARTICLE if name == "article" or "articlebody" in attrs.lower() else MAIN if name == "main" else 0
+            gap = gap_of(name, attrs, level() > 0, found, story)
             if mark or name == "h1":
                 # an article of a comment does not show that comments wrap content
                 said = name != "main" and names(attributes(attrs).get("class", "").split(), COMMENT_WORDS, False)
@@ -177,13 +192,13 @@ def tokens(page: str) -> Iterator[tuple]:
                     g.on = g.on and (g.sure or said and g.kind == "comments")
             stack.append((name, gap, mark))
             gaps = (*gaps, gap) if gap else gaps
-            depth += mark
+            depth[mark] += 1
             links += name == "a"
             if (mark or name in ("h1", "p")) and not any(g.on for g in gaps):
                 headed |= name == "h1"
-                found |= mark and name != "main" or name == "p" and depth > 0
+                found |= mark > 0 and name != "main" or name == "p" and level() > 0
                 story |= found or name == "p" and headed and not any(n in ("header", "hgroup") for n, _, _ in stack)
-        yield "tag", name if name in KNOWN else "other", depth > 0, gaps
+        yield "tag", name if name in KNOWN else "other", level(), gaps
 
 
 def page_tokens(page: str) -> list[tuple]:
@@ -208,11 +223,12 @@ def kind_counts(page: str) -> Counter:
     for t in page_tokens(page):
         if any(g.on for g in t[3]):
             continue
-        marked |= t[2]
+        inside = t[2] > 0
+        marked |= inside
         if t[0] == "tag":
-            found[f"<{t[1]}>", t[2]] += 1
+            found[f"<{t[1]}>", inside] += 1
         else:
-            found[t[1], t[2]] += len(t[4].split())
+            found[t[1], inside] += len(t[4].split())
     return found if marked else Counter()
 
 
@@ -237,7 +253,7 @@ def learn(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE_PAGE
     sums = (drawn.mapInArrow(count, "kind string, inside boolean, n long").groupBy("kind")
             .agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("i"),
                  F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("o")).collect())
-    odds = {r["kind"]: max(-3.0, min(3.0, math.log((r["i"] + 1) / (r["o"] + 1)))) for r in sums}
+    odds = {r["kind"]: max(-3.0 if r["i"] or r["kind"][0] != "<" else UNSEEN, min(3.0, math.log((r["i"] + 1) / (r["o"] + 1)))) for r in sums}
     # tags never score positive, and a plain word's weight stays above a tag's
     return {k: min(v, DEFAULT["tag"] / 4) if k[0] == "<" else v for k, v in odds.items()}
 
@@ -256,21 +272,32 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
-    """The page's main text: blocks in page order joined by one space."""
+    """The page's main text: blocks in page order joined by one space.
+
+    Articles with words are the marked content; without any, main elements are.
+    In it a word scores no less than an unknown one and a tag no less than an
+    unknown tag.  All of an article that the best region reaches is kept, but
+    for left-out elements."""
     if not page:
         return ""
     row, scores, open_gaps = page_tokens(page), [], set()
+    marked = max((t[2] for t in row if t[0] == "text" and t[4].strip() and not any(g.on for g in t[3])), default=0) or MAIN
     for t in row:
         on = [g for g in t[3] if g.on]
         if on:
             scores.append(DEFAULT["gap"] if id(on[0]) not in open_gaps else 0.0)
             open_gaps.add(id(on[0]))
         elif t[0] == "tag":
-            scores.append(weights.get(f"<{t[1]}>", DEFAULT["tag"]))
+            w = weights.get(f"<{t[1]}>", DEFAULT["tag"])
+            scores.append(max(w, DEFAULT["tag"]) if t[2] >= marked else w)
         else:
             w = weights.get(t[1], DEFAULT["link"] if t[1].endswith("+a") else DEFAULT["word"])
-            scores.append(w * len(t[4].split()))
+            scores.append((max(w, DEFAULT["word"]) if t[2] >= marked else w) * len(t[4].split()))
     start, end = best_region(scores)
+    while start < end < len(row) and row[end - 1][2] >= marked and row[end][2] >= marked:
+        end += 1
+    while 0 < start < end and row[start][2] >= marked and row[start - 1][2] >= marked:
+        start -= 1
     blocks: dict[int, list[str]] = {}
     for t in row[start:end]:
         if t[0] == "text" and not any(g.on for g in t[3]):

@@ -175,6 +175,53 @@ def test_broken_markup_and_bare_text():
     assert H.main_text("<p>5 < 6 &lt; 7 &#233; &eacute;</p>", {}) == "5 < 6 < 7 é é"
 
 
+# As learnt from pages whose articles hold headlines and paragraphs only.
+POOR = {"<div>": -3.0, "<ul>": -3.0, "<li>": -3.0, "<table>": -3.0, "<td>": -3.0, "<body>": -3.0, "<p>": -0.0125, "<h1>": -0.0125, "<article>": -0.0125,
+        "p": 3.0, "h1": 3.0, "div": -3.0, "li": -3.0, "li+a": -3.0, "td": -3.0, "p+a": -3.0}
+
+
+@pytest.mark.parametrize("inner, want", [
+    ('<h1>T</h1><div class="c"><div><div>one two three four five</div></div></div><p>six seven</p>', "T one two three four five six seven"),
+    ("<p>a b c d</p><div><div><div><div>x</div></div></div></div><p>z</p>", "a b c d x z"),
+    ('<p>a b</p><ul><li><a href="/1">first link</a></li><li><a href="/2">second</a></li></ul>', "a b first link second"),
+    ("<div>" * 40 + "deep" + "</div>" * 40 + "<p>a b</p>", "deep a b"),
+    ("<table><tr><td>1</td><td>2</td></tr><tr><td>3</td></tr></table><p>below it</p><table><tr><td>4</td></tr></table>", "1 2 3 below it 4"),
+    ("<div>only words of blocks</div>", "only words of blocks"),
+    ('<p><a href="#">all is a link</a></p>', "all is a link"),
+    ("<ul><li>one<ul><li>two</li></ul></li></ul>", "one two"),
+    ('<p>a</p><div class="ad">Buy</div><nav>Home</nav><aside>See</aside><form>Name</form><p>z</p>', "a z")])
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main>{}</main>", '<div itemprop="articleBody">{}</div>',
+                                    "<main><article>{}</article></main>", '<div id="wrap"><div><article class="post">{}</article></div></div>'])
+@pytest.mark.parametrize("weights", [{}, POOR])
+def test_marked_content_is_kept_whole(inner, want, around, weights):
+    page = f"<body>{CHROME[0]}{CHROME[1]}<div>Site line</div>{around.format(inner)}<div><div>Words of the site</div></div>{CHROME[2]}</body>"
+    got = H.main_text(page, weights)
+    assert got == want if weights else want in got       # without weights nothing tells a site's unnamed blocks
+
+
+def test_main_around_an_article_is_not_all_content():
+    page = f"<body><main><div>Site line</div><article><p>{PROSE}</p><div>end</div></article><div><div>Other words</div></div></main></body>"
+    assert H.main_text(page, POOR) == " ".join(f"{PROSE} end".split())
+
+
+def test_a_tag_unseen_in_content_is_no_proof_against_it(spark):
+    page = f"<body>{'<div><div></div></div>' * 9}<article><h1>T</h1><p>{PROSE}</p></article></body>"
+    w = H.learn(spark.createDataFrame([(page,)] * 20, "html string"))
+    assert w["<div>"] == H.UNSEEN
+    want = " ".join(f"{PROSE} x {PROSE}".split())
+    assert H.main_text(f"<body><p>{PROSE}</p><div><div><div>x</div></div></div><p>{PROSE}</p></body>", w) == want
+
+
+def test_neither_the_word_lists_nor_the_weights_alone_are_enough(monkeypatch):
+    """An unnamed block of the site needs the weights, an advert in a paragraph of the article the word lists."""
+    page = f'<body><div>Site words here</div><h1>T</h1><p>{PROSE}</p><p class="ad">Buy it now</p><p>{PROSE}</p><div>More of the site</div></body>'
+    want = " ".join(f"T {PROSE} {PROSE}".split())
+    assert H.main_text(page, POOR) == want
+    assert "Site words" in H.main_text(page, {}) and "More of the site" in H.main_text(page, {})
+    monkeypatch.setattr(H, "NEVER_WORDS", set())
+    assert H.main_text(page, POOR) == " ".join(f"T {PROSE} Buy it now {PROSE}".split())
+
+
 def test_best_region_is_the_maximum():
     rng = np.random.default_rng(1)
     for _ in range(200):
