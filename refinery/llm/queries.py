@@ -42,7 +42,7 @@ def op3_vector_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = pack(table(spark, sf, "documents"), shards=40, overhead=16)
     return packed.select(F.col("id").alias("doc_id"), F.col("bytes").alias("size"), F.col("crc32").alias("text_crc32"),
                          F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
-                         F.lit(None).cast("int").alias("grown_shard"))
+                         F.lit(None).cast("int").alias("grown_shard"), "pieces", "split_groups")
 
 
 def op4_water_filling(spark: SparkSession, sf: str) -> DataFrame:

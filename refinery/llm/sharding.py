@@ -6,9 +6,10 @@ with it.  Two levels keep that parallel:
 
 * Items over a set share of a shard's capacity in some dimension are few by
   arithmetic: with share s, at most ``3 * shards / s`` of them exist.  They
-  are placed first, in one small step, and of these any that exceeds
-  ``split_share`` of a shard is first split into pieces by a hash of its rows'
-  ids (a shard could not hold it whole and stay near the others).
+  are placed first, in one small step.  A group stays whole as long as one
+  shard can hold it; only a group that exceeds a whole shard's capacity (the
+  mean of all shards) in some dimension is split, into pieces of about
+  ``piece_share`` of a shard by a hash of its rows' ids.
 * All other items are hash-spread over cells.  Every cell fills an equal part
   of what the large items left of each shard, largest items first, so the
   cells' loads add up to balanced shards.
@@ -26,7 +27,7 @@ from refinery.llm.common import numbered
 from refinery.session import materialize
 
 LARGE_SHARE = 1 / 100      # of a shard's capacity: placed one by one beforehand
-SPLIT_SHARE = 1 / 10       # of a shard's capacity: split into pieces
+PIECE_SHARE = 1 / 10       # of a shard's capacity: a piece of a group that no shard can hold
 CELL_ITEMS = 5_000         # items in a cell, about
 SLOT_ROWS = 20_000         # rows that one window task numbers, about
 DIMS = ("bytes", "tokens", "rows")
@@ -45,11 +46,13 @@ def place(sizes: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def pack(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: str = "text", overhead: int = 0,
-         large_share: float = LARGE_SHARE, split_share: float = SPLIT_SHARE, cell_items: int = CELL_ITEMS,
+         large_share: float = LARGE_SHARE, piece_share: float = PIECE_SHARE, cell_items: int = CELL_ITEMS,
          slot_rows: int = SLOT_ROWS) -> DataFrame:
     """One row per input row: ``row``, ``id``, ``bytes`` (UTF-8 bytes of the
     text plus ``overhead``), ``tokens`` (words), ``crc32`` of the text,
-    ``shard`` (0 to shards - 1) and ``slot`` (0, 1, 2, ... in its shard).
+    ``shard`` (0 to shards - 1), ``slot`` (0, 1, 2, ... in its shard),
+    ``pieces`` (into how many the row's group is cut, 1: whole) and
+    ``split_groups`` (how many groups of the table are cut).
 
     A null text has no bytes and is equal to the empty text.  Ids may repeat or
     be null, each row is placed.  Shards are near equal in bytes, tokens and
@@ -67,8 +70,8 @@ def pack(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: s
 
     sums = [F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
     whole = materialize(rows.groupBy("item").agg(*sums), "shard-items")
-    big = whole.filter(share(whole) > split_share).select("item", F.ceil(share(whole) / split_share).alias("pieces"))
-    big = materialize(big, "shard-big")                       # at most 3 * shards / split_share rows
+    big = whole.filter(share(whole) > 1).select("item", F.ceil(share(whole) / piece_share).alias("pieces"))
+    big = materialize(big, "shard-big")                       # fewer than 3 * shards rows
     rows = rows.join(big, "item", "left").withColumn(
         "piece", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("id", "row"), F.col("pieces"))).cast("long"))
     pieces = rows.filter(F.col("pieces").isNotNull()).groupBy("item", "piece").agg(*sums)
@@ -95,8 +98,9 @@ def pack(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: s
     packed = (small.withColumn("cell", F.pmod(F.xxhash64("item", "piece"), F.lit(cells))).groupBy("cell")
               .applyInPandas(fill, "item binary, piece long, shard int"))
     placement = materialize(packed.unionByName(placed), "shard-placement")
-    out = materialize(rows.join(placement, ["item", "piece"]).select("row", "id", "bytes", "tokens", "crc32", "shard"),
-                      "shard-placed")
+    out = materialize(rows.join(placement, ["item", "piece"])
+                      .select("row", "id", "bytes", "tokens", "crc32", "shard", F.coalesce("pieces", F.lit(1)).cast("long").alias("pieces"),
+                              F.lit(big.count()).cast("long").alias("split_groups")), "shard-placed")
     return slots(out, slot_rows)
 
 

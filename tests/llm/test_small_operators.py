@@ -10,7 +10,7 @@ import pytest
 
 from refinery.llm.exact_dedup import refine
 from refinery.llm.mixing import mix
-from refinery.llm.sharding import balance, pack
+from refinery.llm.sharding import balance, pack, place
 
 
 def test_refinement_keeps_one_row_of_each_text(awkward):
@@ -85,6 +85,8 @@ def test_packing_is_balanced_and_keeps_groups_together(spark):
         assert r["crc32"] == zlib.crc32((texts[r["id"]] or "").encode())
         shards[texts[r["id"]] or ""].add(r["shard"])
     assert all(len(v) == 1 for t, v in shards.items() if t != texts[0])   # only the hot group is split
+    assert {r["split_groups"] for r in out} == {1}
+    assert {(texts[r["id"]] or "") for r in out if r["pieces"] > 1} == {texts[0]}
     slots = defaultdict(list)
     for r in out:
         slots[r["shard"]].append(r["slot"])
@@ -94,6 +96,38 @@ def test_packing_is_balanced_and_keeps_groups_together(spark):
         assert len(v) == 8 and max(v) - min(v) <= 0.1 * sum(v) / 8
 
 
+def test_a_group_that_a_shard_can_hold_stays_whole(spark):
+    rng = random.Random(5)
+    texts = [brute.prose(rng, rng.randint(20, 40)) for _ in range(2000)]
+    texts += [texts[0]] * 240 + [texts[1]] * 200 + [texts[2]] * 100           # most of a shard
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    packed = pack(df, shards=7, overhead=16, cell_items=500).cache()
+    shards = defaultdict(set)
+    for r in packed.collect():
+        shards[texts[r["id"]]].add(r["shard"])
+        assert (r["pieces"], r["split_groups"]) == (1, 0)
+    assert all(len(v) == 1 for v in shards.values())
+    for dim in ("bytes", "tokens", "rows"):
+        v = [r[dim] for r in balance(packed).collect()]
+        assert len(v) == 7 and max(v) - min(v) <= 0.1 * sum(v) / 7
+
+
+def test_placement_equals_a_plain_search():
+    rng = random.Random(6)
+    for _ in range(60):
+        shards = rng.randint(1, 6)
+        # eighths: sums and products are exact, so ties are ties on both sides
+        items = [[rng.randint(0, 8) / 8 for _ in range(3)] for _ in range(rng.randint(0, 40))]
+        left = [[1.0] * 3 for _ in range(shards)]
+        want = [0] * len(items)
+        for i in sorted(range(len(items)), key=lambda i: (-max(items[i]), i)):
+            scores = [sum(a * b for a, b in zip(room, items[i])) for room in left]
+            want[i] = scores.index(max(scores))
+            left[want[i]] = [a - b for a, b in zip(left[want[i]], items[i])]
+        got, room = place(np.array(items).reshape(-1, 3), np.ones((shards, 3)))
+        assert got.tolist() == want and room.tolist() == left
+
+
 def test_packing_places_every_awkward_row(awkward):
     rows, df = awkward
     out = pack(df, shards=4).collect()
