@@ -2,9 +2,9 @@
 
 Rows are grouped by length first; rows whose length occurs again are grouped
 by a hash of their first bytes; only rows that still share a group have their
-whole content hashed.  The first two steps run on a narrow table (id, length,
-prefix hash), and every count is combined in the map tasks before it is
-shuffled, so a text that makes up a third of the table is one row per task.
+whole content hashed.  The first two steps run on counts per (length, prefix
+hash), combined in the map tasks before they are shuffled, so a text or a
+length that makes up a third of the table is one row per task and prefix.
 """
 
 from __future__ import annotations
@@ -32,12 +32,12 @@ def refine(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).alias("id"), text.alias("text"))
 
-    # 1 length, 2 prefix hash
-    narrow = materialize(rows.select(F.octet_length("text").alias("n_bytes"),
-                                     F.xxhash64(F.substring("text", 1, prefix_chars)).alias("prefix")), "refine-narrow")
-    lengths = narrow.groupBy("n_bytes").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("n_bytes")
-    shared = materialize(narrow.join(lengths, "n_bytes", "left_semi").groupBy("n_bytes", "prefix")
-                         .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("n_bytes", "prefix"), "refine-groups")
+    # 1 length, 2 prefix hash: one count of both, whose sums are the counts by length
+    counts = materialize(rows.groupBy(F.octet_length("text").alias("n_bytes"),
+                                      F.xxhash64(F.substring("text", 1, prefix_chars)).alias("prefix"))
+                         .agg(F.count(F.lit(1)).alias("n")), "refine-counts")
+    lengths = counts.groupBy("n_bytes").agg(F.sum("n").alias("n")).filter("n > 1").select("n_bytes")
+    shared = materialize(counts.filter("n > 1").join(lengths, "n_bytes", "left_semi").select("n_bytes", "prefix"), "refine-groups")
 
     # 3 full content, of the rows that are left in a group
     survivor = F.col("again").isNotNull()
