@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
 import pytest
 
 from refinery.llm.exact_dedup import refine
