@@ -339,12 +339,17 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> Da
     compared = verify.compare(verify.bound(facing("a", "b").unionByName(facing("b", "a"))).filter("open"), "jaccard-drawn")
     root = components(edges_of(root).unionByName(compared.filter("link").select("a", "b")))
     apart = materialize(still_apart(apart, root), "jaccard-apart")
-    # of the stars that are still apart every two members that the bound leaves open
-    wide = apart.join(side(own, "a"), F.col("a") == F.col("star_a")).join(side(own, "b"), F.col("b") == F.col("star_b"))
+    # of the stars that are still apart every two members that meet in a list, where size, position and bound leave a link open
+    entries = index.select("s", "class", (F.col("n") - F.col("position")).alias("r")).join(own, "class")
+    held = entries.select("s", "star").distinct()
+    met = apart.select("a", "b", "common").join(held.select(F.col("star").alias("a"), "s"), "a").join(
+        held.select(F.col("star").alias("b"), "s"), ["b", "s"])
+    x, y = (entries.select("s", F.col("star").alias(c), *[F.col(v).alias(f"{v}_{c}") for v in ("class", "n", "r", "missing")]) for c in ("a", "b"))
     bound = links(F.col("common") + F.col("missing_a") + F.col("missing_b"), F.col("n_a"), F.col("n_b"), num, den)
-    fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
+    fits = may_link(F.col("n_a"), F.col("r_a"), F.col("n_b"), F.col("r_b"), num, den)
     other = (F.col("class_a") != F.col("a")) | (F.col("class_b") != F.col("b"))     # the leaders are compared already
-    rest = wide.filter(bound & fits & other).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    rest = met.join(x, ["a", "s"]).join(y, ["b", "s"]).filter(bound & fits & other).select(
+        F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
     more = verify.compare(verify.bound(rest).filter("open"), "jaccard-members-links")
     more = more.filter("link").select("a", "b")
     return components(edges_of(root).unionByName(more)) if more.take(1) else root
