@@ -323,7 +323,7 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> Da
     own = verify.sketches.select("class", "n").distinct().join(members, "class", "left").select(
         "class", "n", F.coalesce("leader", "class").alias("star"), F.coalesce("missing", F.lit(0)).alias("missing"))
     own = materialize(own, "jaccard-own")
-    most = own.groupBy("star").agg(F.max("missing").alias("most"), F.min("n").alias("low"))
+    most = own.groupBy("star").agg(F.max("missing").alias("most"), F.min("n").alias("low"), F.count(F.lit(1)).alias("size"))
     apart = still_apart(apart, root).join(side(most, "a"), F.col("a") == F.col("star_a")).join(side(most, "b"), F.col("b") == F.col("star_b"))
     apart = apart.filter(links(F.col("common") + F.col("most_a") + F.col("most_b"), F.col("low_a"), F.col("low_b"), num, den))
     apart = materialize(apart.drop("star_a", "star_b"), "jaccard-apart")
@@ -342,13 +342,18 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> Da
     # of the stars that are still apart every two members that meet in a list, where size, position and bound leave a link open
     entries = index.select("s", "class", (F.col("n") - F.col("position")).alias("r")).join(own, "class")
     held = entries.select("s", "star").distinct()
-    met = apart.select("a", "b", "common").join(held.select(F.col("star").alias("a"), "s"), "a").join(
-        held.select(F.col("star").alias("b"), "s"), ["b", "s"])
+    swap = F.col("size_a") > F.col("size_b")            # the members of the smaller star ask, those of the larger one answer
+    ask = apart.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"),
+                       *[F.when(swap, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(f"{c}_b") for c in ("most", "low")], "common")
+    met = ask.join(held.select(F.col("star").alias("a"), "s"), "a").join(held.select(F.col("star").alias("b"), "s"), ["b", "s"])
     x, y = (entries.select("s", F.col("star").alias(c), *[F.col(v).alias(f"{v}_{c}") for v in ("class", "n", "r", "missing")]) for c in ("a", "b"))
     bound = links(F.col("common") + F.col("missing_a") + F.col("missing_b"), F.col("n_a"), F.col("n_b"), num, den)
     fits = may_link(F.col("n_a"), F.col("r_a"), F.col("n_b"), F.col("r_b"), num, den)
     other = (F.col("class_a") != F.col("a")) | (F.col("class_b") != F.col("b"))     # the leaders are compared already
-    rest = met.join(x, ["a", "s"]).join(y, ["b", "s"]).filter(bound & fits & other).select(
+    some = (links(F.col("common") + F.col("missing_a") + F.col("most_b"), F.col("n_a"), F.col("low_b"), num, den)
+            & (F.col("r_a").cast("long") * (num + den) >= (F.col("n_a") + F.col("low_b")).cast("long") * num))
+    asking = met.join(x, ["a", "s"]).filter(some).drop("most_b", "low_b")
+    rest = asking.join(y, ["b", "s"]).filter(bound & fits & other).select(
         F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
     more = verify.compare(verify.bound(rest).filter("open"), "jaccard-members-links")
     more = more.filter("link").select("a", "b")
