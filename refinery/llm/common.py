@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,16 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]
         spark.conf.set(key, before)
 
 
+@contextlib.contextmanager
+def sent(spark: SparkSession, value: object) -> Iterator[Broadcast]:
+    """``value`` (of a bounded size) at all tasks, for the jobs run inside."""
+    shared = spark.sparkContext.broadcast(value)
+    try:
+        yield shared
+    finally:
+        shared.unpersist()
+
+
 def numbered(df: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
     """``columns`` of ``df``, written once, with a row number ``row`` that the
     write fixes (unique, not dense).  Later stages can join on it even where

@@ -20,8 +20,9 @@ found, exactly, without a rank for every byte of the corpus:
    by string, against the other cells of its rank.
 
 The texts are scanned, never shuffled, until the end, when the rows with
-something to remove meet their spans.  Cells and strings are told apart by 128
-bits; an error in a rank could only make more of them be compared.
+something to remove meet their spans.  Cells are told apart by 128 bits; two
+strings by 64 bits of their bytes and the 64 bits of their anchor's first rank.
+An error in a rank could only make more of them be compared.
 """
 
 from __future__ import annotations
@@ -31,15 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import PACKED, SpanHash, bitmap_of, buckets_for, in_bitmap, mix, packed, repeated, text_steps
+from refinery.llm.common import PACKED, SpanHash, bitmap_of, buckets_for, in_bitmap, mix, packed, repeated, sent, small_batches, text_steps
 from refinery.session import discard, materialize
 
 LENGTH = 400
 WINDOW, GRAM = 96, 16
 RANK_BITS = 27
+SEEN_CELLS = 1 << 18      # cells that a task remembers having given
 _POSITION = np.uint64((1 << 31) - 1)
 
 
@@ -116,11 +120,11 @@ ANCHORS = ("key long, pos array<int>, follows array<int>, next array<int>, rank
            "c1 array<long>, c2 array<long>")
 
 
-def candidate_anchors(rows: DataFrame, length: int, known: np.ndarray) -> DataFrame:
-    """The anchors of each text whose first rank may be repeated, with their
-    cells, in text order: position, place of the next anchor in this list (-1
-    where it is not in it) and its position, first rank, cell bounds and name."""
-    shared = rows.sparkSession.sparkContext.broadcast(known)       # of a fixed size
+def candidate_anchors(rows: DataFrame, length: int, shared: Broadcast) -> DataFrame:
+    """The anchors of each text whose first rank may be repeated (bitmap
+    ``shared``), with their cells, in text order: position, place of the next
+    anchor in this list (-1 where it is not in it) and its position, first rank,
+    cell bounds and name."""
 
     def emit(keys, data, a):
         a.pick(np.flatnonzero(in_bitmap(shared.value, a.rank)))
@@ -206,7 +210,7 @@ def shared_cells(anchors: DataFrame, core: int, first_length: int) -> DataFrame:
     whose anchor's rank is shared.  Each round reads the anchors, brings them up
     to date with the bitmaps of the rounds before, and hands the rank pairs to
     Spark, which finds the ones that recur by grouping."""
-    sc = anchors.sparkSession.sparkContext
+    spark = anchors.sparkSession
     bitmaps: list[np.ndarray] = []
 
     def up_to_date(batch: pa.RecordBatch, known: list[np.ndarray]) -> Doubling:
@@ -216,15 +220,15 @@ def shared_cells(anchors: DataFrame, core: int, first_length: int) -> DataFrame:
         return d
 
     while True:
-        shared = sc.broadcast(bitmaps)                              # of a fixed size each
+        with sent(spark, bitmaps) as shared:                        # of a fixed size each
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                _, one, two = up_to_date(batch, shared.value).pairs()
-                yield pa.RecordBatch.from_arrays([long(one), long(two)], ["rank", "rank2"])
+            def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    _, one, two = up_to_date(batch, shared.value).pairs()
+                    yield pa.RecordBatch.from_arrays([long(one), long(two)], ["rank", "rank2"])
 
-        pairs = anchors.mapInArrow(run, "rank long, rank2 long").groupBy("rank", "rank2").agg(F.count(F.lit(1)).alias("n"))
-        again = materialize(pairs.filter("n > 1"), "suffix-pairs")
+            pairs = anchors.mapInArrow(run, "rank long, rank2 long").groupBy("rank", "rank2").agg(F.count(F.lit(1)).alias("n"))
+            again = materialize(pairs.filter("n > 1"), "suffix-pairs")
         more = bool(again.filter("rank2 <> 0").take(1))
 
         def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +241,6 @@ def shared_cells(anchors: DataFrame, core: int, first_length: int) -> DataFrame:
         discard(again)
         if not more:
             break
-    shared = sc.broadcast(bitmaps)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,38 +250,53 @@ def shared_cells(anchors: DataFrame, core: int, first_length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([long(keys[d.text[at]]), long(d.rank[at]), *[pa.array(d.flat[c][at]) for c in ("low", "high", "c1", "c2")]],
                                              ["key", "rank", "low", "high", "c1", "c2"])
 
-    return anchors.mapInArrow(cells, "key long, rank long, low int, high int, c1 long, c2 long")
+    with sent(spark, bitmaps) as shared:
+        return materialize(anchors.mapInArrow(cells, "key long, rank long, low int, high int, c1 long, c2 long"), "suffix-cells")
 
 
-def strings_of_cells(rows: DataFrame, length: int, wanted: np.ndarray, lone: np.ndarray) -> DataFrame:
-    """(c1, c2, first, off, h, lone) of every string of the cells in the bitmap
-    ``wanted``, each cell once per task: its offset from the cell's start, its
-    hash, the anchor's first rank, and whether the bitmap ``lone`` has the cell."""
-    sc = rows.sparkSession.sparkContext
-    cells, single = sc.broadcast(wanted), sc.broadcast(lone)        # both of a fixed size
-    seen: set[int] = set()                                          # of one task: the function is unpickled for each
+CELLS = "c1 long, c2 long, first long, lone boolean, h binary"
+STRINGS = "c1 long, c2 long, first long, off int, h long, lone boolean"
+
+
+def strings_of_cells(rows: DataFrame, length: int, wanted: Broadcast, lone: Broadcast) -> DataFrame:
+    """The cells in the bitmap ``wanted``, a row each: the hashes of the cell's
+    strings in text order (8 bytes each, so a string's place is its offset from
+    the cell's start), the anchor's first rank, and whether the bitmap ``lone``
+    has the cell.  A cell may come more than once."""
+    seen: set[int] = set()                                          # spares most rows of hot cells; forgotten when it is large
 
     def emit(keys, data, a):
         a.pick(np.flatnonzero(a.high >= a.low))
         c1, c2 = cell_hashes(a, data, length)
-        hit = [i for i in np.flatnonzero(in_bitmap(cells.value, c1)) if not (int(c1[i]) in seen or seen.add(int(c1[i])))]
+        at = np.flatnonzero(in_bitmap(wanted.value, c1))
+        names, first = np.unique(c1[at], return_index=True)
+        new = [i for i, c in zip(first.tolist(), names.tolist()) if c not in seen]
+        if len(seen) > SEEN_CELLS:
+            seen.clear()
+        seen.update(c1[at[new]].tolist())
+        hit = at[np.sort(np.array(new, np.int64))]
         n = (a.high - a.low + 1)[hit]
-        cell = np.repeat(np.array(hit, np.int64), n)
-        off = np.arange(len(cell)) - np.repeat(np.cumsum(n) - n, n)
-        at = a.low[cell] + off
+        ends = np.concatenate(([0], np.cumsum(n)))
+        at = np.repeat(a.low[hit], n) + np.arange(ends[-1]) - np.repeat(ends[:-1], n)
+        h = pa.Array.from_buffers(pa.binary(), len(hit), [None, pa.py_buffer((ends * 8).astype(np.int32)), pa.py_buffer(a.one(at, at + length))])
         return pa.RecordBatch.from_arrays(
-            [long(c1[cell]), long(c2[cell]), long(a.rank[cell]), pa.array(off.astype(np.int32)), long(a.one(at, at + length)),
-             pa.array(in_bitmap(single.value, c1[cell]))], ["c1", "c2", "first", "off", "h", "lone"])
+            [long(c1[hit]), long(c2[hit]), long(a.rank[hit]), pa.array(in_bitmap(lone.value, c1[hit])), h], ["c1", "c2", "first", "lone", "h"])
+
+    return scan(rows, length, CELLS, emit)
+
 
-    return scan(rows, length, "c1 long, c2 long, first long, off int, h long, lone boolean", emit)
+def hashes_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(all string hashes of a batch of cells, strings of each cell)."""
+    h = batch.column("h")
+    return np.frombuffer(b"".join(h.to_pylist()), np.uint64), pc.binary_length(h).to_numpy(zero_copy_only=False) // 8
 
 
 def repeated_strings(strings: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for b in batches:
-            held.append(b.column("h").to_numpy(zero_copy_only=False).view(np.uint64))
-            n += b.num_rows
+            held.append(hashes_of(b)[0])
+            n += len(held[-1])
             if n >= 1 << 19:
                 yield packed(np.concatenate(held), buckets)
                 held, n = [], 0
@@ -287,36 +305,43 @@ def repeated_strings(strings: DataFrame, buckets: int) -> DataFrame:
     return repeated(strings.select("h").mapInArrow(run, PACKED))
 
 
-def in_both(strings: DataFrame, known: np.ndarray) -> DataFrame:
-    """The strings whose hash is in the bitmap."""
-    shared = strings.sparkSession.sparkContext.broadcast(known)
-
+def in_both(strings: DataFrame, shared: Broadcast) -> DataFrame:
+    """A row for each string whose hash is in the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(in_bitmap(shared.value, b.column("h").to_numpy(zero_copy_only=False).view(np.uint64))))
+            h, n = hashes_of(b)
+            at = np.flatnonzero(in_bitmap(shared.value, h))
+            begin = np.cumsum(n) - n
+            cell = np.repeat(np.arange(b.num_rows), n)[at]
+            c1, c2, first, lone = (b.column(c).take(pa.array(cell)) for c in ("c1", "c2", "first", "lone"))
+            yield pa.RecordBatch.from_arrays([c1, c2, first, pa.array((at - begin[cell]).astype(np.int32)), long(h[at]), lone],
+                                             ["c1", "c2", "first", "off", "h", "lone"])
 
-    return strings.mapInArrow(run, strings.schema)
+    return strings.mapInArrow(run, STRINGS)
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, spans): sorted byte ranges to remove, which may overlap."""
-    window, gram = WINDOW, GRAM
+    spark, window, gram = rows.sparkSession, WINDOW, GRAM
     buckets = buckets_for((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) * 2 // window)
     ranks = materialize(first_ranks(rows, length, buckets), "suffix-first")
-    anchors = materialize(candidate_anchors(rows, length, bitmap_of(ranks, "s", RANK_BITS)), "suffix-anchors")
+    with sent(spark, bitmap_of(ranks, "s", RANK_BITS)) as known:
+        anchors = materialize(candidate_anchors(rows, length, known), "suffix-anchors")
     discard(ranks)
-    cells = materialize(shared_cells(anchors, length - window + 1, window + gram), "suffix-cells")
+    cells = shared_cells(anchors, length - window + 1, window + gram)
     discard(anchors)
 
     kinds = materialize(cells.groupBy("rank", "c1", "c2").agg(F.count(F.lit(1)).alias("n")), "suffix-kinds")
     mixed = kinds.groupBy("rank").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
     look = materialize(kinds.join(mixed.select("rank"), "rank"), "suffix-mixed")
     lone = kinds.filter("n = 1").select("c1", "c2")
-    strings = materialize(strings_of_cells(rows, length, bitmap_of(look, "c1"), bitmap_of(look.filter("n = 1"), "c1")), "suffix-strings")
+    with sent(spark, bitmap_of(look, "c1")) as wanted, sent(spark, bitmap_of(look.filter("n = 1"), "c1")) as single:
+        strings = materialize(strings_of_cells(rows, length, wanted, single), "suffix-strings")
     discard(look)
     # a cell that occurs once gives each of its strings once: a second row is another cell's
     again = materialize(repeated_strings(strings, buckets), "suffix-again")
-    twofold = materialize(in_both(strings, bitmap_of(again, "s", RANK_BITS)), "suffix-twofold")
+    with sent(spark, bitmap_of(again, "s", RANK_BITS)) as known:
+        twofold = materialize(in_both(strings, known), "suffix-twofold")
     discard(strings, again)
     equal = twofold.groupBy("h", "first").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).filter("lo <> hi").select("h", "first")
     found = materialize(twofold.filter("lone").join(equal, ["h", "first"]).join(lone, ["c1", "c2"]).groupBy("c1", "c2").agg(
@@ -343,27 +368,29 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if length < 2 * (WINDOW + GRAM):
         raise ValueError(f"length must be at least {2 * (WINDOW + GRAM)} bytes")
     rows = keyed(docs, id_column, text_column)
-    spans = repeated_spans(rows, length)
+    with small_batches(rows.sparkSession):
+        spans = repeated_spans(rows, length)
     touched = rows.sparkSession.sparkContext.broadcast(bitmap_of(spans, "key"))
     id_type = dict(rows.dtypes)["id"]
+    result = f"id {id_type}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary, kept_sha256 string"
 
-    def part(hit: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-                yield batch.filter(pa.array(in_bitmap(touched.value, keys) == hit))
-
-        return rows.mapInArrow(run, f"key long, id {id_type}, text string")
+    def part(batches: Iterator[pa.RecordBatch], hit: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(in_bitmap(touched.value, keys) == hit))
 
     empty = F.array().cast("array<struct<start:int,end:int>>")
-    cut = part(True).join(spans, "key", "left").withColumn("spans", F.coalesce("spans", empty))
-    return cut.unionByName(part(False).withColumn("spans", empty)).select("id", "text", "spans").mapInArrow(
-        _cut, f"id {id_type}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary, kept_sha256 string")
+    hit = rows.mapInArrow(lambda batches: part(batches, True), f"key long, id {id_type}, text string")
+    cut = hit.join(spans, "key", "left").select("id", "text", F.coalesce("spans", empty).alias("spans")).mapInArrow(_cut, result)
+    return cut.unionByName(rows.mapInArrow(lambda batches: _cut(part(batches, False)), result))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without their ``spans``; without that column nothing is cut."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
+        if "spans" not in batch.schema.names:
+            batch = batch.append_column("spans", pa.array([[]] * batch.num_rows, span))
         for at in range(0, batch.num_rows, 512):
             b, out = batch.slice(at, 512), []
             for text, spans in zip(b.column("text"), b.column("spans").to_pylist()):
