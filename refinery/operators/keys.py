@@ -12,9 +12,13 @@ Python:
    its partition and its position there;
 3. that result is written as Parquet under the shared checkpoint folder, so
    partitions and positions are fixed facts even if executors are lost later;
-4. the partitions' sizes (one row per partition) become offsets by a running
+4. the partitions' sizes (one number per partition) become offsets by a running
    sum, and key = offset + position + 1.
 
+The keyed rows are thus a projection of a scan, which the planner sizes from the
+written bytes; a join with the offsets would multiply the two sizes, and no
+lookup of the keys would ever be small.
+
 Rows are carried through unchanged: nothing is grouped by value.
 """
 
@@ -73,9 +77,10 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], key: str,
     tagged = materialize(ranked_partitions(rows, order_by, tiebreak, distinct), "dense-key")
     sizes = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__size"))
     upto = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range partition; written, so the planner sees its size
     offsets = materialize(sizes.select(_PID, F.coalesce(F.sum("__size").over(upto), F.lit(0)).alias(_OFF)), "dense-key-offsets")
-    return tagged.join(offsets, _PID).select((F.col(_OFF) + F.col(_BEFORE) + 1).alias(key), *cols)
+    before = {r[_PID]: r[_OFF] for r in offsets.collect()}                   # one number per range partition
+    at = F.expr(f"array({', '.join(f'{before.get(p, 0)}L' for p in range(max(before, default=0) + 1))})")
+    return tagged.select((F.coalesce(F.get(at, F.col(_PID)), F.lit(0)) + F.col(_BEFORE) + 1).cast("long").alias(key), *cols)
 
 
 def kept_key(df: DataFrame, identity: Sequence[str], key: str, known: DataFrame | None = None,
