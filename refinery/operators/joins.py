@@ -99,7 +99,8 @@ def salted_left_lookup(left: DataFrame, right: DataFrame, key: str, salts: int =
     lft = (left.join(hot, key, "left")
                .withColumn("__salt", F.when(spread, salt).otherwise(F.lit(0).cast("long")))
                .drop("__hot"))
-    reps = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))) \
-        .otherwise(F.array(F.lit(0).cast("long")))
-    rgt = right.join(hot, key, "left").withColumn("__salt", F.explode(reps)).drop("__hot")
+    # semi and anti joins: the planner takes them to be no larger than ``right``, so a small side can still be broadcast
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    rgt = right.join(hot, key, "left_semi").withColumn("__salt", every).unionByName(
+        right.join(hot, key, "left_anti").withColumn("__salt", F.lit(0).cast("long")))
     return lft.join(rgt, [key, "__salt"], "left").drop("__salt")
