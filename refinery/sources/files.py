@@ -16,6 +16,8 @@ import uuid
 import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +69,12 @@ def ingest_csv_strings(spark: SparkSession, path: str, schema: StructType, keep_
     text = [StructField(f.name, StringType(), True) for f in header_order(spark, path, schema)]
     raw = _by_header(spark, path, text)
     typed = [f for f in schema.fields if not isinstance(f.dataType, StringType)]
-    bad = [F.when((F.trim(F.col(f.name)) != "") & F.col(f.name).try_cast(f.dataType).isNull(),
-                  F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("value"))) for f in typed]
+    bad = {f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() & (F.trim(F.col(f.name)) != "") for f in typed}
     none = F.lit(None).cast("struct<column:string,value:string>")
-    rejected = [F.array_compact(F.array(none, *bad)).alias(REJECTED)] if keep_rejected else []
+    found = F.array_compact(F.array(none, *[F.when(b, F.struct(F.lit(n).alias("column"), F.col(n).alias("value"))) for n, b in bad.items()]))
+    # the list is built for rows that have something to tell, which are few
+    some = reduce(or_, bad.values(), F.lit(False))
+    rejected = [F.when(some, found).otherwise(F.array_compact(F.array(none))).alias(REJECTED)] if keep_rejected else []
     return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields] + rejected)
 
 
@@ -327,10 +331,9 @@ def landing_rows(spark: SparkSession, root: str) -> DataFrame:
 
 def land_sources(inputs: Mapping[str, DataFrame], root: str,
                  specs: Sequence[SourceSpec] = SOURCES) -> None:
-    """Write each extract as headered CSV under ``root/<spec.path>`` (used to
-    build a landing area from the test projections)."""
-    for spec in specs:
-        write_csv(inputs[spec.fixture], f"{root.rstrip('/')}/{spec.path}")
+    """Write each extract as headered CSV under ``root/<spec.path>``, side by side
+    (used to build a landing area from the test projections)."""
+    concurrently(*[lambda s=spec: write_csv(inputs[s.fixture], f"{root.rstrip('/')}/{s.path}") for spec in specs])
 
 
 def ingest_source(spark: SparkSession, root: str, table: str, spec: SourceSpec, stage: Staging, strict: bool = False,

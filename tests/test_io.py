@@ -244,3 +244,13 @@ def test_concurrently_threads_inherit_the_job_group(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
         sc.setLocalProperty("spark.job.description", None)
     assert seen == ["refinery-test-group", "refinery-test-group"]
+
+
+def test_rejected_list_is_built_only_for_rows_with_bad_values(spark, tmp_path):
+    from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
+    schema = StructType([StructField("a", LongType()), StructField("b", IntegerType()), StructField("c", DateType()), StructField("d", StringType())])
+    (tmp_path / "a.csv").write_text('a,b,c,d\n1,2,2020-01-01,x\n,"  ",,\n1x,3,2020-13-01,y\n5,9999999999,,z\n')
+    df = files.ingest_csv_strings(spark, str(tmp_path), schema, keep_rejected=True)
+    got = {r.d: [tuple(v) for v in r[files.REJECTED]] for r in df.collect()}
+    assert got == {"x": [], None: [], "y": [("a", "1x"), ("c", "2020-13-01")], "z": [("b", "9999999999")]}
+    assert df.select(files.REJECTED)._jdf.queryExecution().optimizedPlan().toString().split("[", 1)[1].startswith("CASE WHEN")
