@@ -9,6 +9,9 @@ at when a column is wider than expected.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from string import ascii_letters
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -20,24 +23,34 @@ _INTEGER, _WHOLE = r"^[+-]?[0-9]+$", r"^[+-]?[0-9]+\.?$"
 _FLOAT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?\s*$"
 _NAMED = r"^(NaN|[+-]?Inf|[+-]?Infinity)$"
 _DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+# Letters that begin none of NaN, Inf, true and false, nor a timestamp (T12:30)
+_TEXT_STARTS = [c for c in ascii_letters if c not in "NITFtf"]
 
 
 def _digits(value: Column) -> Column:
     return F.length(F.regexp_replace(value, r"^[+-]?0*|\.", ""))
 
 
-def value_class(value: Column) -> Column:
-    """The class of a text value; NULL for NULL and for empty text."""
+def _classified(value: Column, named: Callable[[str], object]) -> Column:
+    """What ``named`` makes of the class of a text value; NULL for NULL and for
+    empty text.  A first letter that begins no typed value ends the search: a
+    cast that fails costs more than all patterns."""
     integer = value.rlike(_INTEGER)
     return (F.when(value.isNull() | (value == ""), None)
-            .when(integer & value.try_cast("int").isNotNull(), "int")
-            .when(integer & value.try_cast("bigint").isNotNull(), "long")
-            .when(value.rlike(_WHOLE) & (_digits(value) <= 38), "decimal")
-            .when(value.rlike(_FLOAT) | value.rlike(_NAMED), "double")
-            .when(value.rlike(_DAY) & value.try_cast("date").isNotNull(), "date")
-            .when(value.try_cast("timestamp").isNotNull(), "timestamp")
-            .when(F.lower(value).isin("true", "false"), "boolean")
-            .otherwise("string"))
+            .when(integer & value.try_cast("int").isNotNull(), named("int"))
+            .when(integer & value.try_cast("bigint").isNotNull(), named("long"))
+            .when(F.substring(value, 1, 1).isin(_TEXT_STARTS), named("string"))
+            .when(value.rlike(_WHOLE) & (_digits(value) <= 38), named("decimal"))
+            .when(value.rlike(_FLOAT) | value.rlike(_NAMED), named("double"))
+            .when(value.rlike(_DAY) & value.try_cast("date").isNotNull(), named("date"))
+            .when(value.try_cast("timestamp").isNotNull(), named("timestamp"))
+            .when(F.lower(value).isin("true", "false"), named("boolean"))
+            .otherwise(named("string")))
+
+
+def value_class(value: Column) -> Column:
+    """The class of a text value; NULL for NULL and for empty text."""
+    return _classified(value, str)
 
 
 def _joined(found: Column) -> Column:
@@ -59,17 +72,17 @@ def column_types(text: DataFrame) -> DataFrame:
     if not text.columns:
         raise ValueError("a frame without columns has no types")
     named = {f"v{i}": F.col(f"`{c}`") for i, c in enumerate(text.columns)}
-    kinds = text.select(*[c.alias(v) for v, c in named.items()]).select(
-        "*", *[value_class(F.col(v)).alias(f"k{i}") for i, v in enumerate(named)])
+    # one rule over the row's values: a rule for each column makes code too long to be compiled, at nine columns already
+    classes = F.transform(F.array(*[F.col(v) for v in named]), lambda value: _classified(value, CLASSES.index))
+    kinds = text.select(*[c.alias(v) for v, c in named.items()]).select("*", classes.alias("kinds"))
     # no grouping: every task folds its rows into one, whatever is in them
     sums = []
     for i, v in enumerate(named):
-        kind = F.col(f"k{i}")
+        kind = F.col("kinds")[i]
         sums.append(F.count_if(kind.isNull()).alias(f"c{i}_null"))
-        sums += [F.count_if(kind == k).alias(f"c{i}_{k}") for k in CLASSES]
-        width = F.array_position(F.array(*[F.lit(k) for k in CLASSES]), kind)
-        sums.append(F.max(F.when(kind.isNotNull(), F.struct(width.alias("w"), F.col(v).alias("v"))))["v"].alias(f"f{i}"))
-        sums.append(F.max(F.when(kind == "decimal", _digits(F.col(v)))).alias(f"d{i}"))
+        sums += [F.count_if(kind == w).alias(f"c{i}_{k}") for w, k in enumerate(CLASSES)]
+        sums.append(F.max(F.when(kind.isNotNull(), F.struct(kind.alias("w"), F.col(v).alias("v"))))["v"].alias(f"f{i}"))
+        sums.append(F.max(F.when(kind == CLASSES.index("decimal"), _digits(F.col(v)))).alias(f"d{i}"))
     one = kinds.agg(*sums)
     rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"c{i}_null").alias("n_null"),
                      *[F.col(f"c{i}_{k}").alias(f"n_{k}") for k in CLASSES],

@@ -60,3 +60,19 @@ def test_typed_read_of_a_folder(spark, tmp_path):
 def test_files_without_rows_are_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\n")
     assert ingest_csv_inferred(spark, str(tmp_path)).dtypes == [("id", "string"), ("name", "string")]
+
+
+def test_first_letters_end_no_typed_value(spark):
+    from refinery.sources.inference import value_class
+    want = {"True": "boolean", "fALSE": "boolean", "T12:30": "timestamp", "NaN": "double", "Infinity": "double", "SO1": "string", "a2020-01-01": "string",
+            "Tx": "string", "-1": "int", "\u00e91": "string"}
+    df = spark.createDataFrame(list(want.items()), "v string, want string")
+    assert df.select("v", value_class(df["v"]).alias("k")).filter("k IS NOT NULL").rdd.collectAsMap() == want
+
+
+def test_the_rule_is_in_the_plan_once_however_many_columns(spark, tmp_path):
+    def patterns(n):
+        write(tmp_path / f"{n}.csv", [["1", "a"]] * n)
+        plan = column_types(files.read_csv(spark, f"{tmp_path}/{n}.csv"))._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("RLIKE")
+    assert 0 < patterns(9) <= patterns(3)
