@@ -15,10 +15,13 @@
    whole.  Within a block size and position are checked once more, pair by pair.
 4. Answer-level skipping: in a few rounds each class meets the leaders (first
    entries) of its lists and is compared with the most promising; if they link,
-   it becomes a member of the leader's star.  Then only leaders of different
-   stars are compared.  A member's overlap with anything is at most its
-   leader's overlap plus what the member does not share with the leader, so
-   pairs of members are verified only where that bound leaves a link open.
+   it becomes a member of the leader's star.  In lists that are still crowded
+   classes then meet, in a few rounds, some of the list's largest component, so
+   that a large group falls into few components before its stars are paired.
+   Then only leaders of stars of different components are compared.  A member's
+   overlap with anything is at most its leader's overlap plus what the member
+   does not share with the leader, so pairs of members are verified only where
+   that bound leaves a link open.
    Before any comparison a parity sketch (a bit per shingle, about) bounds the
    overlap from above, so full sets are read only for pairs near a link.
 5. Links give components.
@@ -49,6 +52,8 @@ SHINGLE = 5
 SIMILARITY = (3, 4)          # 0.75 as a fraction
 FREQUENT = (4, 8, 16, 64)    # numbers of classes from which a shingle comes later; two and more come after one
 STAR_ROUNDS = 1
+CROWD = 16                   # classes outside stars from which a list is crowded
+CROWD_ROUNDS = 4
 DRAWN = 64                   # members of a star that meet the leader of another first
 FILTER_BITS = 27
 BAND = 1.1                   # ratio of the sizes at the ends of a block
@@ -289,14 +294,55 @@ def stars(index: DataFrame, verify: Verifier, rounds: int) -> DataFrame:
     return members
 
 
+def crowd_links(index: DataFrame, verify: Verifier, members: DataFrame, rounds: int = CROWD_ROUNDS) -> DataFrame:
+    """(node, root) of the classes linked by stars and, in crowded lists, by
+    rounds in which a list's classes meet some of the component that has most of
+    it, others each round: the fewer classes are left to ask, the more of them
+    answer, so that a round's rows are about twice the lists' entries at most.
+    The links are some of all."""
+    num, den = verify.num, verify.den
+    root = components(members.select(F.col("class").alias("a"), F.col("leader").alias("b")))
+    outside = index.join(members.select("class"), "class", "left_anti")
+    crowded = outside.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= CROWD).select("s")
+    crowded = index.join(crowded, "s", "left_semi").select("s", "class", "n", (F.col("n") - F.col("position")).alias("r"))
+    crowded = materialize(crowded, "jaccard-crowded")
+    for i in range(rounds if crowded.take(1) else 0):
+        held = with_root(crowded, root, "class")
+        parts = held.groupBy("s", "root").agg(F.count(F.lit(1)).alias("c"))
+        main = parts.groupBy("s").agg(F.max(F.struct("c", "root")).alias("main"), F.sum("c").alias("all"))
+        main = main.select("s", F.col("main.c").alias("c"), F.col("main.root").alias("main"), "all").filter("c < all")
+        held = held.join(main, "s")
+        chosen = F.pmod(F.xxhash64("class", "s", F.lit(i)), F.col("c")) < F.ceil(F.col("all") / (F.col("all") - F.col("c")))
+        chosen = held.filter((F.col("root") == F.col("main")) & chosen).select("s", *[F.col(c).alias(f"main_{c}") for c in ("class", "n", "r")])
+        met = held.filter(F.col("root") != F.col("main")).join(chosen, "s").filter(may_link(
+            F.col("n"), F.col("r"), F.col("main_n"), F.col("main_r"), num, den))
+        met = met.select(F.col("class").alias("a"), F.col("main_class").alias("b")).distinct()
+        compared = verify.compare(verify.bound(met).filter("open"), "jaccard-crowd-links")
+        found = compared.filter("link").select("a", "b")
+        if not found.take(1):
+            break
+        root = components(materialize(edges_of(root).unionByName(found), "jaccard-crowd-edges"))
+    discard(crowded)
+    return root
+
+
+def with_root(rows: DataFrame, root: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the root of the class in ``column``: itself where nothing links it."""
+    named = root.select(F.col("node").alias(column), F.col("root"))
+    return rows.join(named, column, "left").withColumn("root", F.coalesce("root", column))
+
+
 def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> DataFrame:
-    """(node, root) of the linked classes, from the links of the stars and those
-    between stars: stars of one component are not compared again."""
+    """(node, root) of the linked classes, from the links of the stars, those of
+    crowded lists and those between stars: stars of one component are not
+    compared again."""
     num, den = verify.num, verify.den
+    root = crowd_links(index, verify, members)
     led = index.join(members, "class", "left").select(
         "s", F.coalesce("leader", "class").alias("star"), "n", (F.col("n") - F.col("position")).alias("r"), band(F.col("n")).alias("block"))
     lists = led.groupBy("s", "block", "star").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("r").alias("r"))
-    apart = lists.groupBy("s").agg(F.min("star").alias("x"), F.max("star").alias("y")).filter("x <> y").select("s")
+    lists = with_root(lists, root, "star")
+    apart = lists.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("s")
     lists = materialize(lists.join(apart, "s", "left_semi"), "jaccard-lists")
     side = lambda t, s: t.select(*[F.col(c).alias(f"{c}_{s}") for c in t.columns])
     # the smaller partner's size is at least ``num / den`` of the entry's, and the shared rest bounds both sizes together
@@ -304,13 +350,13 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> Da
     most = F.least(F.col("high").cast("long"), F.floor(F.col("r").cast("long") * (num + den) / num).cast("long") - F.col("low"))
     asking = lists.withColumns({"most": most, "own": F.col("block")}).filter(F.col("most") >= least)
     asking = asking.withColumn("block", F.explode(F.sequence(band(least), band(F.col("most")))))
-    x = asking.select("s", "block", "own", *[F.col(c).alias(f"{c}_a") for c in ("star", "low", "high", "r")])
-    y = lists.select("s", "block", *[F.col(c).alias(f"{c}_b") for c in ("star", "low", "high", "r")])
+    x = asking.select("s", "block", "own", *[F.col(c).alias(f"{c}_a") for c in ("star", "low", "high", "r", "root")])
+    y = lists.select("s", "block", *[F.col(c).alias(f"{c}_b") for c in ("star", "low", "high", "r", "root")])
     total = (F.col("low_a") + F.col("low_b")).cast("long") * num
     open_ = ((F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num)
              & (F.least("r_a", "r_b").cast("long") * (num + den) >= total))
     once = (F.col("own") > F.col("block")) | (F.col("star_a") < F.col("star_b"))      # in one block both sides ask
-    pairs = x.join(y, ["s", "block"]).filter((F.col("star_a") != F.col("star_b")) & once & open_).select(
+    pairs = x.join(y, ["s", "block"]).filter((F.col("root_a") != F.col("root_b")) & once & open_).select(
         F.least("star_a", "star_b").alias("a"), F.greatest("star_a", "star_b").alias("b")).distinct()
     leaders = materialize(verify.bound(pairs), "jaccard-leaders")
     discard(lists)
@@ -318,7 +364,7 @@ def joined_classes(index: DataFrame, verify: Verifier, members: DataFrame) -> Da
     linked = compared.filter("link").select("a", "b")
 
     # members of two stars that are still apart: only where the bound leaves a link open
-    root = components(members.select(F.col("class").alias("a"), F.col("leader").alias("b")).unionByName(linked))
+    root = components(edges_of(root).unionByName(linked))
     apart = leaders.filter("not open").select("a", "b", "common").unionByName(compared.filter("not link").select("a", "b", "common"))
     own = verify.sketches.select("class", "n").distinct().join(members, "class", "left").select(
         "class", "n", F.coalesce("leader", "class").alias("star"), F.coalesce("missing", F.lit(0)).alias("missing"))
