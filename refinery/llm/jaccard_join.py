@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.common import (
-    PACKED, SPACED_WORD, SpanHash, bitmap_of, bitmaps_over, buckets_for, gram_hashes, in_bitmap, mix, packed, repeated,
+    PACKED, SPACED_WORD, SpanHash, bitmap_of, bitmaps_over, buckets_for, gram_hashes, in_bitmap, lean, mix, packed, repeated,
     small_batches, text_steps, words_of,
 )
 from refinery.llm.components import components
@@ -56,13 +56,14 @@ CROWD = 16                   # classes outside stars from which a list is crowde
 CROWD_ROUNDS = 4
 DRAWN = 64                   # members of a star that meet the leader of another first
 FILTER_BITS = 27
+SET_STEP = 1 << 18           # bytes of text that a task hashes at once
 BAND = 1.1                   # ratio of the sizes at the ends of a block
 
 
 def shingle_sets(batch: pa.RecordBatch, column: str, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct 64-bit shingle hashes) of each text.  A text of
     fewer than ``k`` words is one shingle, one without words has none."""
-    for lo, hi, data, off in text_steps(batch, column):
+    for lo, hi, data, off in text_steps(batch, column, SET_STEP):
         low, starts, ends, text = words_of(data, off, SPACED_WORD)
         h = mix(SpanHash(low)(starts, ends))
         grams = gram_hashes(h, k)
@@ -89,7 +90,7 @@ def scan(docs: DataFrame, k: int, schema: str, emit) -> DataFrame:
                 part = batch.slice(at, 2048)
                 yield emit(part, [(i, class_of(s), s) for i, s in shingle_sets(part, "text", k)])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lambda batches: lean(run(batches)), schema)
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -136,17 +137,16 @@ def final_prefix(s: np.ndarray, tiers: list[np.ndarray], num: int, den: int) ->
     return np.argsort(tier, kind="stable")[:prefix_length(len(s), num, den)]
 
 
-def index_entries(docs: DataFrame, k: int, num: int, den: int, tiers: list[np.ndarray], several: np.ndarray) -> DataFrame:
-    """(s, class, n, position) of the prefixes, for shingles in the bitmap
-    ``several`` (others have no one to meet)."""
-    sc = docs.sparkSession.sparkContext
-    shared, known = sc.broadcast(tiers), sc.broadcast(several)      # of a fixed size
+def index_entries(docs: DataFrame, k: int, num: int, den: int, tiers: list[np.ndarray]) -> DataFrame:
+    """(s, class, n, position) of the prefixes, for shingles in the first of the
+    bitmaps (others have no one to meet)."""
+    shared = docs.sparkSession.sparkContext.broadcast(tiers)        # of a fixed size
 
     def emit(batch, sets):
         cls, size, parts, pos = [], [], [], []
         for _, c, s in once(sets):
             order = final_prefix(s, shared.value, num, den)
-            at = np.flatnonzero(in_bitmap(known.value, s[order]))
+            at = np.flatnonzero(in_bitmap(shared.value[0], s[order]))
             if len(at):
                 cls.append(c), size.append(len(s)), parts.append(s[order[at]]), pos.append(at)
         return pa.RecordBatch.from_arrays(
@@ -154,7 +154,7 @@ def index_entries(docs: DataFrame, k: int, num: int, den: int, tiers: list[np.nd
              pa.array((np.concatenate(pos) if pos else np.zeros(0)).astype(np.int32))], ["s", "class", "n", "position"])
 
     entries = scan(docs, k, "s long, class long, n int, position int", emit).distinct()
-    return released(entries, "jaccard-entries", shared, known)
+    return released(entries, "jaccard-entries", shared)
 
 
 def released(df: DataFrame, name: str, *sent: Broadcast) -> DataFrame:
@@ -448,11 +448,10 @@ def _similar_groups(docs: DataFrame, id_column: str, text_column: str, k: int, s
 
     shingles = rows.agg(F.sum("n_shingles")).first()[0] or 0
     counts = materialize(shingle_counts(docs, k, buckets_for(shingles)), "jaccard-counts")
-    known = bitmap_of(counts, "s", FILTER_BITS)
-    tiers = [known, *bitmaps_over(counts, "s", "n", frequent)]
+    tiers = [bitmap_of(counts, "s", FILTER_BITS), *bitmaps_over(counts, "s", "n", frequent)]
     discard(counts)
-    entries = index_entries(docs, k, num, den, tiers, known)
-    del tiers, known             # some 50 MB of the driver
+    entries = index_entries(docs, k, num, den, tiers)
+    del tiers                    # some 50 MB of the driver
     pa.default_memory_pool().release_unused()
     several = entries.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("s")
     index = materialize(entries.join(several, "s"), "jaccard-index")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import LOWER, text_steps
+from refinery.llm.common import LOWER, lean, text_steps
 from refinery.session import materialize
 
 # Families of common languages; a language not listed is a family of its own.
@@ -205,7 +205,7 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text",
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(lang, pa.string()), pa.array(value)],
                                              [*kept, "lang_pred", "score"])
 
-    out = rows.mapInArrow(score, schema)
+    out = rows.mapInArrow(lambda batches: lean(score(batches)), schema)
     return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(carry)],
                       F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
 

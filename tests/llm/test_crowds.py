@@ -1,8 +1,14 @@
-"""Large groups of near copies."""
+"""Large groups of near copies, and what a Python worker keeps."""
 
+import ctypes
 import random
 
+import psutil
+import pyarrow as pa
+import pytest
+
 from refinery.llm import jaccard_join
+from refinery.llm.common import lean
 
 
 def shingles(text):
@@ -54,3 +60,19 @@ def test_a_large_group_is_not_compared_pair_by_pair(spark, monkeypatch):
     got = {r["id"]: r["component"] for r in jaccard_join.similar_groups(docs).collect()}
     assert [got[i] for i in range(len(texts))] == linked(texts)
     assert pairs[0] < 2 * len(texts)
+
+
+def test_a_worker_gives_freed_memory_back():
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("the C library has no malloc_trim")
+    me, most = psutil.Process(), 0
+
+    def batches():
+        nonlocal most
+        held = [bytes(1000) for _ in range(200_000)]
+        most, last = me.memory_info().rss, held[-1]
+        del held
+        yield pa.RecordBatch.from_arrays([pa.array([len(last)])], ["n"])
+
+    assert [b.num_rows for b in lean(batches())] == [1]
+    assert most - me.memory_info().rss > 100_000_000
