@@ -53,7 +53,7 @@ SIMILARITY = (3, 4)          # 0.75 as a fraction
 FREQUENT = (4, 8, 16, 64)    # numbers of classes from which a shingle comes later; two and more come after one
 STAR_ROUNDS = 1
 CROWD = 16                   # classes outside stars from which a list is crowded
-CROWD_ROUNDS = 4
+CROWD_ROUNDS = 2
 DRAWN = 64                   # members of a star that meet the leader of another first
 FILTER_BITS = 27
 SET_STEP = 1 << 18           # bytes of text that a task hashes at once
@@ -318,10 +318,11 @@ def crowd_links(index: DataFrame, verify: Verifier, members: DataFrame, rounds:
             F.col("n"), F.col("r"), F.col("main_n"), F.col("main_r"), num, den))
         met = met.select(F.col("class").alias("a"), F.col("main_class").alias("b")).distinct()
         compared = verify.compare(verify.bound(met).filter("open"), "jaccard-crowd-links")
-        found = compared.filter("link").select("a", "b")
-        if not found.take(1):
-            break
-        root = components(materialize(edges_of(root).unionByName(found), "jaccard-crowd-edges"))
+        edges = materialize(edges_of(root).unionByName(compared.filter("link").select("a", "b")), "jaccard-crowd-edges")
+        del held, parts, main, chosen, met, root       # their shuffle files go with the next discard
+        discard(compared)
+        root = components(edges)
+        discard(edges)
     discard(crowded)
     return root
 
