@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import ALNUM_WORD, SpanHash, bitmap_of, gram_hashes, in_bitmap, mix, text_steps, words_of
+from refinery.llm.common import ALNUM_WORD, SpanHash, bitmap_of, gram_hashes, in_bitmap, lean, mix, text_steps, words_of
 from refinery.session import materialize
 
 WINDOW, GRAM = 10, 5
+SCAN_STEP = 1 << 18          # bytes of documents that a task cuts into words at once
 
 
 class Words:
@@ -102,7 +103,7 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, known: np.nd
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, off in text_steps(batch, "text"):
+            for lo, hi, data, off in text_steps(batch, "text", SCAN_STEP):
                 w, n = Words(data, off), hi - lo
                 found = []
                 _, chosen, g = w.chosen(window, gram)
@@ -128,8 +129,8 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, known: np.nd
                      pa.array(nulls + [w.strings(p - b, e) for p, _, b, e in found], pa.list_(pa.string()))],
                     ["id", "text_hash", "row", "n_words", "hash", "position", "before", "around"])
 
-    return rows.mapInArrow(scan, f"id {id_type}, text_hash long, row long, n_words long, hash long, position int, before int, "
-                                 "around array<string>")
+    schema = f"id {id_type}, text_hash long, row long, n_words long, hash long, position int, before int, around array<string>"
+    return rows.mapInArrow(lambda batches: lean(scan(batches)), schema)
 
 
 def covered(spans: Column) -> Column:

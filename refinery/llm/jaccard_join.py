@@ -273,8 +273,9 @@ def stars(index: DataFrame, verify: Verifier, rounds: int) -> DataFrame:
     leaders that a class may link with the first one it has not yet tried.  So
     a group of similar classes gathers around few leaders."""
     spark, num, den = index.sparkSession, verify.num, verify.den
-    members = spark.createDataFrame([], "class long, leader long, missing long")
-    tried = spark.createDataFrame([], "a long, b long")
+    none = spark.range(0)                       # rows made in Python would start workers of another kind on every executor
+    members = none.select(*[F.col("id").alias(c) for c in ("class", "leader", "missing")])
+    tried = none.select(*[F.col("id").alias(c) for c in ("a", "b")])
     for _ in range(rounds):
         active = index.join(members.select("class"), "class", "left_anti")
         first = F.struct(F.xxhash64("class").alias("rank"), "class", "n", (F.col("n") - F.col("position")).alias("r"))

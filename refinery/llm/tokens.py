@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from refinery.llm.common import lean
 from refinery.llm.store import new_file, open_folder
 from refinery.session import materialize
 
@@ -98,6 +99,11 @@ class Encoder:
             cls._made[key] = cls(path, end_id)
         return cls._made[key]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Drop the encoders of this worker with the words they remember."""
+        cls._made.clear()
+
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Packed ids of each text, the end id appended; null is empty.  Once
         the memory is full, further words are encoded without being kept."""
@@ -226,7 +232,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         yield pa.RecordBatch.from_pylist(made, pa.schema([("path", pa.string()), ("part", pa.int32()),
                                                           ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    return materialize(ordered.mapInArrow(write, MANIFEST), "token-manifest")
+    return materialize(ordered.mapInArrow(lambda batches: lean(write(batches)), MANIFEST), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, folder: str, wanted: set | None = None) -> DataFrame:
@@ -234,6 +240,7 @@ def read_token_files(manifest: DataFrame, folder: str, wanted: set | None = None
     whole corpus, how many they are and their crc32.  With ``wanted`` ids only
     the frames that hold them are read."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.forget()                                         # the files are written: a worker needs its encoder no more
         fs, root = open_folder(folder)
         for batch in batches:
             for f in batch.to_pylist():
@@ -248,7 +255,7 @@ def read_token_files(manifest: DataFrame, folder: str, wanted: set | None = None
     files = manifest.count()
     if files == 0:
         return manifest.sparkSession.createDataFrame([], DOCUMENTS + ", start long")
-    found = manifest.repartition(min(files, 2000)).mapInArrow(read, DOCUMENTS)
+    found = manifest.repartition(min(files, 2000)).mapInArrow(lambda batches: lean(read(batches)), DOCUMENTS)
     before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)      # one row per file
     offsets = materialize(manifest.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("before")),
                           "token-offsets")

@@ -3,12 +3,13 @@
 import ctypes
 import random
 
+import numpy as np
 import psutil
 import pyarrow as pa
 import pytest
 
 from refinery.llm import jaccard_join
-from refinery.llm.common import lean
+from refinery.llm.common import SpanHash, lean
 
 
 def shingles(text):
@@ -76,3 +77,25 @@ def test_a_worker_gives_freed_memory_back():
 
     assert [b.num_rows for b in lean(batches())] == [1]
     assert most - me.memory_info().rss > 100_000_000
+
+
+def test_groups_need_no_rows_made_in_python(spark, monkeypatch):
+    """A frame of rows from the driver's Python keeps workers of another kind on every executor."""
+    docs = spark.createDataFrame(list(enumerate(near_copies(5))), "doc_id long, text string")
+
+    def refuse(*args, **options):
+        raise AssertionError("rows made in Python")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert {r["component"] for r in jaccard_join.similar_groups(docs).collect()} == set(linked(near_copies(5)))
+
+
+def test_hash_tables_are_no_larger_than_the_steps_need(monkeypatch):
+    monkeypatch.setattr(SpanHash, "_powers", {})
+    data = np.frombuffer(random.Random(2).randbytes(40_000), np.uint8)
+    small = SpanHash(data[:1000])
+    assert len(small.power) < 4_000
+    at = np.arange(900)
+    large = SpanHash(data)                       # the tables grow, the hashes stay
+    assert (small(at, at + 100) == large(at, at + 100)).all()
+    assert len(large.power) < 100_000

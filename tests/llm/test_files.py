@@ -193,6 +193,12 @@ def test_word_cache_gives_the_ids_of_whole_texts(tokenizer):
     assert got == [ids + [0] for ids in whole_texts(tokenizer, texts)]
 
 
+def test_a_worker_can_drop_its_encoder(tokenizer):
+    Encoder.of(tokenizer, 0)
+    Encoder.forget()
+    assert not Encoder._made
+
+
 def test_token_files_round_trip(spark, awkward, tokenizer):
     import numpy as np
 
