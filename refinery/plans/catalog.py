@@ -25,7 +25,7 @@ from refinery.plans.checks import Check, Compare, Count, Reference, Rows, Share,
 from refinery.plans.checks import Query as Sql
 from refinery.plans.checks import report as check_report
 from refinery.plans.oracle_sql import dq_report_sql, with_ctes
-from refinery.session import concurrently, discard, materialize, scratch_path
+from refinery.session import concurrently, discard, materialize, release_shuffles, remove_folder, scratch_path
 from refinery.sources import files, inference, schemas
 from refinery.sources.fixtures import base_table, fixture
 from refinery.streaming import run_incremental
@@ -500,10 +500,10 @@ def q_preview_ordered(spark, sf):
 
 # ---- sources and sinks -------------------------------------------------------------
 
-def _landed(spark, sf, names=("f_sales",)) -> str:
+def _landed(spark, sf, names=("f_sales",), compression=None) -> str:
     root = scratch_path(spark, "landing")
     specs = [s for s in schemas.SOURCES if s.fixture in names]
-    files.land_sources({s.fixture: fixture(spark, sf, s.fixture) for s in specs}, root, specs)
+    files.land_sources({s.fixture: fixture(spark, sf, s.fixture) for s in specs}, root, specs, compression)
     return root
 
 
@@ -721,24 +721,31 @@ def q_declared_checks(spark, sf):
 # ---- layer order and incremental load --------------------------------------------
 
 def _built(spark, sf, read):
-    """Landing CSV -> bronze, silver, gold tables; what ``read`` makes of them."""
-    landed = _landed(spark, sf, ALL_EXTRACTS)
-    with _layers(spark) as (names, root):
-        known = layers.build(spark, landed, names, root, AS_OF)
-        return materialize(read(names, known), "layer-result")
+    """Landing CSV -> bronze, silver, gold tables; what ``read`` makes of them,
+    in a folder of its own.  What is no longer needed does not stay on disk: the
+    shuffles of the landing, its files (compressed) once they are bronze, and
+    the other tables at the end."""
+    landed = _landed(spark, sf, ALL_EXTRACTS, "lz4")
+    release_shuffles(spark)
+    try:
+        with _layers(spark) as (names, root):
+            known = layers.build(spark, landed, names, root, AS_OF, keep_landing=False)
+            return read(names, known)
+    finally:
+        remove_folder(spark, landed)
 
 
 @register("layer_run", dq_report_sql())
 def q_layer_run(spark, sf):
     """The layers from landing files to the report: whole-table counts from
     the writes, keys read from the tables."""
-    return _built(spark, sf, lambda names, known: layers.report(spark, names, known=known).select(*REPORT))
+    return _built(spark, sf, lambda names, known: materialize(layers.report(spark, names, known=known).select(*REPORT), "layer-result"))
 
 
 def _written(table: str) -> Query:
-    """A gold table as the layer run wrote it."""
+    """A gold table as the layer run wrote it (its files, not a copy)."""
     def query(spark, sf):
-        return _built(spark, sf, lambda names, _: spark.table(names.table("gold", table)))
+        return _built(spark, sf, lambda names, _: files.detach_table(spark, names.table("gold", table), scratch_path(spark, "layer-result")))
     return query
 
 

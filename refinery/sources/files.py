@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from refinery.session import concurrently, remove_folder
+from refinery.session import concurrently, move_folder, remove_folder
 from refinery.sources.schemas import LAYERS, SOURCES, SourceSpec
 
 TABLE_FORMAT = "parquet"
@@ -78,12 +78,14 @@ def ingest_csv_strings(spark: SparkSession, path: str, schema: StructType, keep_
     return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields] + rejected)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write a headered CSV folder (one file per partition).  Leading and
-    trailing blanks are kept: padding is part of the raw data."""
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write a headered CSV folder (one file per partition), as plain text or
+    compressed (``gzip``, ``lz4``: every reader here takes them, but reads such a
+    file in one task).  Leading and trailing blanks are kept: padding is part of
+    the raw data."""
     (df.write.mode("overwrite").option("header", "true")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-       .csv(path))
+       .csv(path, compression=compression))
 
 
 def _named(table: str) -> tuple[str, str]:
@@ -142,8 +144,9 @@ class Staging:
 
     def write(self, df: DataFrame, table: str, bucket_by: str | None = None, buckets: int | None = None,
               partition_by: str | None = None, spread_by: tuple[str, ...] = (),
-              measures: Mapping[str, Column] | None = None) -> None:
-        """Write a version of ``table``.
+              measures: Mapping[str, Column] | None = None, compression: str | None = None) -> None:
+        """Write a version of ``table`` (with the session's codec, unless
+        ``compression`` names one).
 
         With ``bucket_by`` the table is hash-bucketed (and sorted) on that column
         into ``buckets`` buckets; rows are first spread into exactly that many
@@ -172,6 +175,8 @@ class Staging:
         if seen is not None:         # after the last shuffle: in the stage that writes
             df = df.observe(seen, *[c.alias(f"m{i}") for i, c in enumerate(measures.values())])
         writer = df.write.format(TABLE_FORMAT).option("path", new.folder)
+        if compression:
+            writer = writer.option("compression", compression)
         if partition_by:
             writer = writer.partitionBy(partition_by)
         elif bucket_by:
@@ -260,6 +265,19 @@ def write_table(df: DataFrame, table: str, **layout) -> None:
         stage.publish()
 
 
+def detach_table(spark: SparkSession, table: str, folder: str) -> DataFrame:
+    """Take a table out of the catalog with its rows kept: its files are renamed
+    to ``folder``, which must not exist yet, not copied.  Returns a frame that
+    reads them.  Not for partitioned tables, whose folders hold a column."""
+    schema = spark.table(table).schema
+    layout, location = _layout(spark, table)
+    if "# Partition Information" in layout:
+        raise ValueError(f"{table} is partitioned")
+    move_folder(spark, location, folder)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(schema).parquet(folder)
+
+
 def create_layer_schemas(spark: SparkSession, root: str | None = None, names: Mapping[str, str] | None = None,
                          prefix: str = "") -> list[str]:
     """``CREATE SCHEMA IF NOT EXISTS`` for each layer, with its comment; ``names``
@@ -330,18 +348,22 @@ def landing_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def land_sources(inputs: Mapping[str, DataFrame], root: str,
-                 specs: Sequence[SourceSpec] = SOURCES) -> None:
+                 specs: Sequence[SourceSpec] = SOURCES, compression: str | None = None) -> None:
     """Write each extract as headered CSV under ``root/<spec.path>``, side by side
     (used to build a landing area from the test projections)."""
-    concurrently(*[lambda s=spec: write_csv(inputs[s.fixture], f"{root.rstrip('/')}/{s.path}") for spec in specs])
+    concurrently(*[lambda s=spec: write_csv(inputs[s.fixture], extract_folder(root, s), compression) for spec in specs])
+
+
+def extract_folder(root: str, spec: SourceSpec) -> str:
+    return f"{root.rstrip('/')}/{spec.path}"
 
 
 def ingest_source(spark: SparkSession, root: str, table: str, spec: SourceSpec, stage: Staging, strict: bool = False,
-                  measures: Mapping[str, Column] | None = None) -> None:
+                  measures: Mapping[str, Column] | None = None, compression: str | None = None) -> None:
     """One extract of the config, staged as ``table`` (see ``Staging.write``)."""
-    path = f"{root.rstrip('/')}/{spec.path}"
+    path = extract_folder(root, spec)
     df = ingest_csv(spark, path, spec.schema) if strict else ingest_csv_strings(spark, path, spec.schema, keep_rejected=True)
-    stage.write(df, table, measures=measures)
+    stage.write(df, table, measures=measures, compression=compression)
 
 
 def ingest_catalog(spark: SparkSession, root: str, database: str,

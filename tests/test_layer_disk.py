@@ -1,0 +1,117 @@
+"""What a layer run keeps on disk while it goes on and when it is over."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from refinery.plans import catalog, gold, layers
+from refinery.session import checkpoint_dir, scratch_path
+from refinery.sources import files
+from refinery.sources.fixtures import bronze_inputs
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Base tables of a few rows: a repeated customer, an order without lines, lines of an order that comes twice."""
+    root = str(tmp_path_factory.mktemp("base"))
+    day = dt.datetime(2020, 3, 4)
+    rows = {
+        "nation": ("n_nationkey int, n_name string", [(0, "PERU"), (5, "CHINA")]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+                     [(k, f"Customer {k}", k % 2 * 5, "AUTO") for k in (1, 2, 2, 3, 97)]),
+        "part": ("p_partkey long, p_name string, p_retailprice double", [(k, f"part {k}", 10.5 * k) for k in range(9)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp_ntz", [(k, k % 5, day) for k in (1, 2, 3, 3, 89)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
+                     [(o, p, n, float(n), 100.0 * n, day) for n, (o, p) in enumerate([(1, 0), (1, 4), (2, 8), (3, 2), (3, 40), (3, None), (None, 1)], 1)]),
+    }
+    for name, (schema, data) in rows.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def scratch(spark):
+    """The scratch folders that hold files."""
+    root = checkpoint_dir(spark).removeprefix("file:") + "/refinery-scratch"
+    return {f for f in os.listdir(root) if any(names for _, _, names in os.walk(f"{root}/{f}"))} if os.path.isdir(root) else set()
+
+
+def kinds(folders):
+    return sorted(f.rsplit("-", 1)[0] for f in folders)
+
+
+def plain(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("name", ["fact_sales", "dim_customers", "dim_products"])
+def test_a_layer_query_leaves_its_result_alone(spark, tables, name):
+    want = plain(catalog.QUERIES[name](spark, tables))
+    before = scratch(spark)
+    got = catalog.QUERIES[f"layer_{name}"](spark, tables)
+    assert plain(got) == want and len(want) > 4
+    left = kinds(f for f in scratch(spark) - before if not f.startswith("dense-key"))
+    assert left == ["layer-result"]                                     # no landing files, no other table, no copy
+    assert [d.name for d in spark.catalog.listDatabases() if d.name.endswith("_gold")] == []
+
+
+def test_landing_files_are_gone_when_the_fact_is_made(spark, tables, monkeypatch):
+    before, seen = scratch(spark), []
+    make = gold.fact_sales
+
+    def looking(*a, **k):
+        seen.extend(kinds(f for f in scratch(spark) - before if not f.startswith("dense-key")))
+        return make(*a, **k)
+
+    monkeypatch.setattr(gold, "fact_sales", looking)
+    catalog.QUERIES["layer_fact_sales"](spark, tables)
+    assert seen == ["layers"]
+
+
+def test_shuffles_of_earlier_steps_are_released_before_the_fact(spark, tables, monkeypatch):
+    steps = []
+    monkeypatch.setattr(layers, "release_shuffles", lambda _: steps.append("released"))
+    make = gold.fact_sales
+    monkeypatch.setattr(gold, "fact_sales", lambda *a, **k: steps.append("fact") or make(*a, **k))
+    catalog.QUERIES["layer_fact_sales"](spark, tables)
+    assert steps == ["released", "fact", "released"]
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_landing_files_stay_unless_asked(spark, tables, tmp_path, keep):
+    landing, names = str(tmp_path / "in"), layers.Layers.with_prefix("ld_")
+    files.land_sources(bronze_inputs(spark, tables), landing, compression="lz4")
+    there = glob.glob(f"{landing}/*/*/*.csv.lz4")
+    assert there
+    try:
+        layers.build(spark, landing, names, str(tmp_path / "wh"), "2024-01-01", **({} if keep else {"keep_landing": False}))
+        assert glob.glob(f"{landing}/*/*/*.csv.lz4") == (there if keep else [])
+        assert plain(spark.table(names.table("gold", "fact_sales"))) == plain(catalog.QUERIES["fact_sales"](spark, tables))
+        for table in layers.table_names():                              # the planner sizes lookups by the bytes of the others
+            codecs = {f.rsplit(".", 2)[1] for f in spark.table(names.table(*table.split("."))).inputFiles()}
+            assert codecs == {"zstd" if "sales" in table else "snappy"}, table
+    finally:
+        files.drop_layer_schemas(spark, [names.bronze, names.silver, names.gold])
+
+
+def test_a_detached_table_keeps_its_files(spark, tmp_path):
+    schema, root = "t_detach", str(tmp_path / "with blank")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{root}'")
+    try:
+        rows = spark.range(20).select("id", F.concat(F.lit("v"), F.col("id")).alias("v"))
+        for name, layout in (("t", {}), ("kept", {}), ("none", {}), ("parts", {"partition_by": "v"})):
+            files.write_table(rows.limit(0) if name == "none" else rows, f"{schema}.{name}", **layout)
+        was = {os.path.basename(f) for f in spark.table(f"{schema}.t").inputFiles()}
+        out = files.detach_table(spark, f"{schema}.t", to := scratch_path(spark, "detached"))
+        assert files.detach_table(spark, f"{schema}.none", scratch_path(spark, "detached")).count() == 0
+        with pytest.raises(OSError, match="could not be renamed"):
+            files.detach_table(spark, f"{schema}.kept", to)
+        with pytest.raises(ValueError, match="is partitioned"):
+            files.detach_table(spark, f"{schema}.parts", scratch_path(spark, "detached"))
+        assert spark.table(f"{schema}.kept").count() == spark.table(f"{schema}.parts").count() == 20
+        assert sorted(t.name for t in spark.catalog.listTables(schema)) == ["kept", "parts"]
+    finally:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    assert plain(out) == plain(rows) and {os.path.basename(f) for f in out.inputFiles()} == was
